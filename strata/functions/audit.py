@@ -23,13 +23,17 @@ def calculation_timestamp(as_of=None) -> Column:
     return _ts(as_of)
 
 
-def audit_columns(df: DataFrame, as_of=None, *, partition_from: Column | str | None = None) -> DataFrame:
-    """Add ``update_timestamp``, ``etl_date``, ``year``, ``month``.
+def audit_columns(df: DataFrame, as_of=None, *, partition_from: Column | str | None = None,
+                  with_partitions: bool = True) -> DataFrame:
+    """Add ``update_timestamp``, ``etl_date`` and (unless ``with_partitions``
+    is false) ``year``, ``month``.
 
     ``year``/``month`` come from the run date by default (the source layout);
     ``partition_from`` takes them from an event-time column instead.
     """
     ts = _ts(as_of)
+    if not with_partitions:
+        return df.withColumns({"update_timestamp": ts, "etl_date": F.to_date(ts)})
     src = F.to_date(F.col(partition_from) if isinstance(partition_from, str) else partition_from) \
         if partition_from is not None else F.col("etl_date")
     return (df.withColumns({"update_timestamp": ts, "etl_date": F.to_date(ts)})

@@ -34,11 +34,14 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
 
 
 def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
-                     out: str = "percentile", buckets: int | None = None) -> DataFrame:
+                     out: str = "percentile", buckets: int | None = None,
+                     digits: int | None = None) -> DataFrame:
     """One row per group of ``keys`` (null keys included): ``keys + [out]``.
 
     Groups whose values are all null are absent; join the result onto the
-    group's other aggregates with a left join.
+    group's other aggregates with a left join. With ``digits`` the
+    interpolation is done in decimal and rounded HALF_UP, so a median that
+    falls exactly half-way rounds the same on every run.
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be within [0, 1]")
@@ -81,7 +84,14 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
         F.min(F.when(F.col("_cum") > F.col("_lo"), F.col("_v"))).alias("_vlo"),
         F.min(F.when(F.col("_cum") > F.col("_hi"), F.col("_v"))).alias("_vhi"),
         F.max("_pos").alias("_pos"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-    res = F.when((F.col("_lo") == F.col("_hi")) | (F.col("_vlo") == F.col("_vhi")), F.col("_vlo")) \
-        .otherwise((F.col("_hi") - F.col("_pos")) * F.col("_vlo")
-                   + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
+    same = (F.col("_lo") == F.col("_hi")) | (F.col("_vlo") == F.col("_vhi"))
+    if digits is None:
+        res = F.when(same, F.col("_vlo")).otherwise(
+            (F.col("_hi") - F.col("_pos")) * F.col("_vlo")
+            + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
+    else:
+        d = "decimal(38,10)"
+        res = F.round(F.when(same, F.col("_vlo").cast(d)).otherwise(
+            (F.col("_hi") - F.col("_pos")).cast(d) * F.col("_vlo").cast(d)
+            + (F.col("_pos") - F.col("_lo")).cast(d) * F.col("_vhi").cast(d)), digits).cast("double")
     return picked.select(*keys, res.alias(out))

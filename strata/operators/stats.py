@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.numeric import exact, rounded_mean, rounded_ratio
 from strata.operators.quantiles import exact_percentile, null_safe_on
 from strata.operators.rank import global_dense_rank
 
@@ -24,6 +25,11 @@ def _r(c: Column, digits: int | None) -> Column:
     return c if digits is None else F.round(c, digits)
 
 
+def _mean(c: Column, digits: int | None) -> Column:
+    """Mean, rounded with exact summation when ``digits`` is given."""
+    return F.avg(c) if digits is None else rounded_mean(c, digits)
+
+
 def _left_join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join on ``keys`` with null-safe equality; keeps left's key columns."""
     l, r = left.alias("_l"), right.alias("_r")
@@ -65,8 +71,8 @@ def group_stats(df: DataFrame, keys: Sequence[str], value: str, second: str, *,
     keys = list(keys)
     v, s = F.col(value), F.col(second)
     aggs = [
-        _r(F.avg(v), digits).alias(f"avg_{value_name}"),
-        _r(F.avg(s), digits).alias(f"avg_{second_name}"),
+        _mean(v, digits).alias(f"avg_{value_name}"),
+        _mean(s, digits).alias(f"avg_{second_name}"),
         F.count(F.lit(1)).alias(count_name),
         _r(F.min(v), digits).alias(f"min_{value_name}"),
         _r(F.max(v), digits).alias(f"max_{value_name}"),
@@ -125,8 +131,8 @@ def ranked_groups(df: DataFrame, key: str, value: str, second: str, distinct_col
     v = F.col(value)
     agg = df.groupBy(key).agg(
         F.count(F.lit(1)).alias(count_name),
-        F.round(F.avg(v), digits).alias(f"avg_{value_name}"),
-        F.round(F.avg(second), digits).alias(f"avg_{second_name}"),
+        rounded_mean(v, digits).alias(f"avg_{value_name}"),
+        rounded_mean(second, digits).alias(f"avg_{second_name}"),
         F.round(F.min(v), digits).alias(f"min_{value_name}"),
         F.round(F.max(v), digits).alias(f"max_{value_name}"),
         F.countDistinct(distinct_col).alias(distinct_name),
@@ -154,15 +160,15 @@ def premium(df: DataFrame, key: str, value: str, second: str, item: str, *,
     v, s = F.col(value), F.col(second)
     lvl1 = df.groupBy(key, item).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.sum(v).alias("_sv"), F.count(v).alias("_nv"),
-        F.sum(s).alias("_ss"), F.count(s).alias("_ns"),
+        F.sum(exact(v)).alias("_sv"), F.count(v).alias("_nv"),
+        F.sum(exact(s)).alias("_ss"), F.count(s).alias("_ns"),
         F.max(v).alias("_mx"))
     entry = F.when(F.col(item).isNotNull(),
                    F.struct(F.col("_rows").alias("n"), F.col(item).alias("item")))
     lvl2 = lvl1.groupBy(key).agg(
         F.sum("_rows").alias(count_name),
-        F.round(F.sum("_sv") / F.sum("_nv"), digits).alias(f"avg_{value_name}"),
-        F.round(F.sum("_ss") / F.sum("_ns"), digits).alias(f"avg_{second_name}"),
+        rounded_ratio(F.sum("_sv"), F.sum("_nv"), digits).alias(f"avg_{value_name}"),
+        rounded_ratio(F.sum("_ss"), F.sum("_ns"), digits).alias(f"avg_{second_name}"),
         F.round(F.max("_mx"), digits).alias(f"max_{value_name}"),
         F.count(F.col(item)).alias(distinct_name),
         F.collect_list(entry).alias("_entries"))
@@ -191,16 +197,15 @@ def gap(df: DataFrame, a: str, b: str, value: str, second: str, *,
     v = F.col(value)
     over = df.groupBy(a).agg(
         F.count(F.lit(1)).alias(count_name),
-        F.round(F.avg(v), digits).alias(f"avg_{value_name}"),
-        F.round(F.avg(second), digits).alias(f"avg_{second_name}"),
+        rounded_mean(v, digits).alias(f"avg_{value_name}"),
+        rounded_mean(second, digits).alias(f"avg_{second_name}"),
         *[F.countDistinct(c).alias(n) for n, c in distinct.items()])
-    med = exact_percentile(df, [a], value, 0.5, out=f"median_{value_name}")
-    med = med.withColumn(f"median_{value_name}", F.round(f"median_{value_name}", digits))
+    med = exact_percentile(df, [a], value, 0.5, out=f"median_{value_name}", digits=digits)
     overview = _left_join_on_keys(over, med, [a])
     pairs = df.groupBy(a, b).agg(
         F.count(F.lit(1)).alias(count_name),
-        F.round(F.avg(v), digits).alias(f"avg_{value_name}"),
-        F.round(F.avg(second), digits).alias(f"avg_{second_name}"))
+        rounded_mean(v, digits).alias(f"avg_{value_name}"),
+        rounded_mean(second, digits).alias(f"avg_{second_name}"))
     return overview, pairs
 
 
@@ -213,14 +218,14 @@ def benchmarks(df: DataFrame, value: str, second: str, *, distinct: dict[str, st
     """One-row totals; ``data_quality_score = round(n / per * 100)`` is not
     capped at 100 (it is a volume indicator, as in the source)."""
     v = F.col(value)
-    med = exact_percentile(df, [], value, 0.5, out="_med").select("_med").scalar()
+    med = exact_percentile(df, [], value, 0.5, out="_med", digits=digits).select("_med").scalar()
     return (df.agg(
         F.count(F.lit(1)).alias(count_name),
-        F.round(F.avg(v), digits).alias(f"{prefix}_avg_{value_name}"),
-        F.round(F.avg(second), digits).alias(f"{prefix}_avg_{second_name}"),
+        rounded_mean(v, digits).alias(f"{prefix}_avg_{value_name}"),
+        rounded_mean(second, digits).alias(f"{prefix}_avg_{second_name}"),
         F.round(F.stddev(v), digits).alias(f"{prefix}_{value_name}_stddev"),
         *[F.countDistinct(c).alias(n) for n, c in distinct.items()])
-        .withColumn(f"{prefix}_median_{value_name}", F.round(med, digits))
+        .withColumn(f"{prefix}_median_{value_name}", med)
         .withColumn("data_quality_score",
                     F.round(F.col(count_name) / F.lit(per) * 100, digits))
         .withColumn("benchmark_id", F.lit(benchmark_id)))

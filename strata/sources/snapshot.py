@@ -1,0 +1,18 @@
+"""Snapshot reads of versioned tables."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from strata.tables.versioned import VersionedTable
+
+
+def read_snapshot(spark: SparkSession, root: str, columns: Sequence[str] | None = None,
+                  cache: bool = False, schema: T.StructType | None = None,
+                  commit_id: int | None = None) -> DataFrame:
+    """Newest (or a given) snapshot of the table at ``root``; optional early
+    projection and caching for several aggregations over one read."""
+    return VersionedTable(spark, root, schema).read(commit_id, columns, cache)

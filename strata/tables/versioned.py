@@ -1,0 +1,241 @@
+"""Versioned snapshot tables on plain Parquet.
+
+Layout under a table root (any Hadoop path: local, HDFS, object store)::
+
+    <root>/v=00000001/...parquet     one folder per commit (data)
+    <root>/_commits/...parquet       one row per commit (the log)
+
+A write puts the data folder first and appends the commit row last: a
+folder without a commit row is invisible, so readers never see a half
+written version. Readers resolve a commit id to its leaf folder (reading
+the parent would add a ``v`` column and mix versions). Single writer, like
+the source's table mode.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import json
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.tables.upsert import merge_on_read as _mor
+from strata.tables.upsert import upsert as _upsert
+
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("commit_id", T.LongType(), False),
+    T.StructField("committed_at", T.TimestampType(), False),
+    T.StructField("operation", T.StringType(), False),
+    T.StructField("rows", T.LongType(), False),
+    T.StructField("parent_id", T.LongType(), True),
+    T.StructField("path", T.StringType(), False),
+    T.StructField("schema_json", T.StringType(), True),
+])
+
+COMMIT_ID = "_commit_id"
+COMMIT_TS = "_commit_ts"
+
+# Operations whose folder is a full snapshot (a delta only holds changes).
+_FULL = ("overwrite", "upsert", "compaction", "clustering")
+
+
+def _as_ts(as_of) -> _dt.datetime:
+    if as_of is None:
+        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    if isinstance(as_of, str):
+        return _dt.datetime.fromisoformat(as_of)
+    return as_of
+
+
+def cluster(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Layout rewrite: range-partition on ``cols`` and sort inside each
+    partition, so each output file covers a narrow, non-overlapping key range
+    (tight Parquet min/max statistics -> file skipping). Without an explicit
+    partition count AQE sizes the partitions
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)."""
+    return df.repartitionByRange(*[F.col(c) for c in cols]).sortWithinPartitions(*cols)
+
+
+class VersionedTable:
+    """A table root holding numbered snapshots and a commit log."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schema = schema
+
+    # ------------------------------------------------------------------ paths
+    @property
+    def commits_path(self) -> str:
+        return f"{self.root}/_commits"
+
+    def version_path(self, commit_id: int) -> str:
+        return f"{self.root}/v={commit_id:08d}"
+
+    # ---------------------------------------------------------------- history
+    def _fs_exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p))
+
+    def history(self) -> DataFrame:
+        """Commit log (T5): commit_id, committed_at, operation, rows, parent_id, path."""
+        if not self._fs_exists(self.commits_path):
+            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
+
+    def _last(self, where: Column | None = None):
+        h = self.history()
+        if where is not None:
+            h = h.where(where)
+        # The log holds one row per commit; only the newest row is fetched.
+        return h.orderBy(F.col("commit_id").desc()).limit(1).first()
+
+    def latest_commit_id(self) -> int | None:
+        r = self._last()
+        return None if r is None else int(r["commit_id"])
+
+    # ------------------------------------------------------------------ reads
+    def read(self, commit_id: int | None = None, columns: Sequence[str] | None = None,
+             cache: bool = False) -> DataFrame:
+        """Snapshot read (S2): newest full snapshot, or the one ``commit_id`` names.
+
+        ``columns`` projects early (the Parquet scan then reads only those);
+        ``cache`` keeps the snapshot for several downstream aggregations.
+        """
+        if commit_id is None:
+            last = self._last(F.col("operation").isin(*_FULL))
+            if last is None:
+                raise FileNotFoundError(f"no committed snapshot under {self.root}")
+            commit_id = int(last["commit_id"])
+        df = self.read_version(commit_id)
+        if columns:
+            df = df.select(*columns)
+        if cache:
+            df = df.cache()
+        return df
+
+    def read_merged(self, keys: Sequence[str], precombine: str,
+                    tie_break: Sequence[Column | str] = ()) -> DataFrame:
+        """Merge-on-read view (T2): newest full snapshot + later deltas."""
+        h = self.history()
+        base = self._last(F.col("operation").isin(*_FULL))
+        base_id = -1 if base is None else int(base["commit_id"])
+        delta_ids = [int(r["commit_id"]) for r in
+                     h.where((F.col("operation") == "delta") & (F.col("commit_id") > base_id))
+                      .select("commit_id").orderBy("commit_id").collect()]
+        base_df = None if base is None else self.read(base_id)
+        deltas = [self.read_version(i) for i in delta_ids]
+        return _mor(base_df, deltas, keys, precombine, tie_break)
+
+    def read_version(self, commit_id: int) -> DataFrame:
+        """Read one commit's folder with a declared schema: the table's, else
+        the one stored in the commit row. Partition values therefore keep
+        their type (a string "01" is not re-inferred as the integer 1)."""
+        schema = self.schema
+        if schema is None:
+            r = self._last(F.col("commit_id") == commit_id)
+            if r is not None and r["schema_json"]:
+                schema = T.StructType.fromJson(json.loads(r["schema_json"]))
+        reader = self.spark.read
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(self.version_path(commit_id))
+
+    def commit_ids(self) -> DataFrame:
+        """Distinct commit ids present in the newest snapshot's rows (S6)."""
+        return self.read().select(COMMIT_ID).distinct().orderBy(COMMIT_ID)
+
+    # ----------------------------------------------------------------- writes
+    def write(self, df: DataFrame, operation: str = "overwrite",
+              partition_by: Sequence[str] | None = None, as_of=None,
+              max_records_per_file: int | None = None,
+              sort_within: Sequence[str] | None = None) -> int:
+        """Write ``df`` as a new commit and return its id (T3, T4).
+
+        Every row gets ``_commit_id`` and ``_commit_ts``. ``partition_by`` gives
+        the Hive-style folder layout; ``max_records_per_file`` and
+        ``sort_within`` tune files (Parquet, snappy).
+        """
+        prev = self.latest_commit_id()
+        cid = 1 if prev is None else prev + 1
+        ts = _as_ts(as_of)
+        out = (df.withColumn(COMMIT_ID, F.lit(cid).cast("long"))
+                 .withColumn(COMMIT_TS, F.lit(ts).cast("timestamp")))
+        if sort_within:
+            out = out.sortWithinPartitions(*sort_within)
+        w = out.write.mode("overwrite").option("compression", "snappy")
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", int(max_records_per_file))
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        path = self.version_path(cid)
+        w.parquet(path)
+        # Row count from the Parquet footers of what was just written.
+        rows = self.spark.read.parquet(path).count()
+        rec = self.spark.createDataFrame(
+            [(cid, ts, operation, int(rows), prev, path, out.schema.json())], COMMIT_SCHEMA)
+        rec.coalesce(1).write.mode("append").parquet(self.commits_path)
+        return cid
+
+    def upsert(self, changes: DataFrame, keys: Sequence[str], precombine: str,
+               partition_by: Sequence[str] | None = None, as_of=None,
+               replace: bool = False) -> int:
+        """Keyed upsert into a new snapshot (T1; T6 when ``partition_by`` is not
+        part of ``keys``). ``replace=True`` overwrites, collapsing duplicate
+        keys of the batch (the source jobs' effective behaviour)."""
+        base = None
+        if not replace and self.latest_commit_id() is not None:
+            base = self.read().drop(COMMIT_ID, COMMIT_TS)
+        merged = _upsert(base, changes, keys, precombine, replace=replace)
+        return self.write(merged, "upsert", partition_by=partition_by, as_of=as_of)
+
+    def append_delta(self, changes: DataFrame, as_of=None) -> int:
+        """Merge-on-read write: store only the changes as a delta commit (T2)."""
+        return self.write(changes, "delta", as_of=as_of)
+
+    def compact(self, keys: Sequence[str], precombine: str, max_deltas: int = 5,
+                as_of=None, force: bool = False) -> int | None:
+        """Fold the merge-on-read view into a new full snapshot once at least
+        ``max_deltas`` deltas are pending (or when ``force``)."""
+        base = self._last(F.col("operation").isin(*_FULL))
+        base_id = -1 if base is None else int(base["commit_id"])
+        pending = self.history().where(
+            (F.col("operation") == "delta") & (F.col("commit_id") > base_id)).count()
+        if pending == 0 or (pending < max_deltas and not force):
+            return None
+        view = self.read_merged(keys, precombine).drop(COMMIT_ID, COMMIT_TS)
+        return self.write(view, "compaction", as_of=as_of)
+
+    def rewrite_layout(self, cols: Sequence[str], as_of=None,
+                       max_records_per_file: int | None = None) -> int:
+        """Clustering commit (T7): same rows, range-partitioned and sorted."""
+        cur = self.read().drop(COMMIT_ID, COMMIT_TS)
+        return self.write(cluster(cur, cols), "clustering", as_of=as_of,
+                          max_records_per_file=max_records_per_file)
+
+    # -------------------------------------------------------------- retention
+    def expired(self, keep: int = 10) -> DataFrame:
+        """Commits outside the newest ``keep`` (T8), with their data paths."""
+        h = self.history()
+        newest = h.orderBy(F.col("commit_id").desc()).limit(keep).select("commit_id")
+        return h.join(newest, "commit_id", "left_anti")
+
+    def expire(self, keep: int = 10, delete: bool = False) -> list[int]:
+        """List (and with ``delete=True`` remove) data folders of expired commits.
+
+        The commit rows stay, so the history remains complete; reading an
+        expired commit fails with a clear missing-path error.
+        """
+        rows = self.expired(keep).select("commit_id", "path").collect()
+        if delete:
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            for r in rows:
+                p = jvm.org.apache.hadoop.fs.Path(r["path"])
+                p.getFileSystem(conf).delete(p, True)
+        return sorted(int(r["commit_id"]) for r in rows)
