@@ -4,11 +4,11 @@ from strata.operators.dedup import dedup, keep_latest
 from strata.operators.profile import profile, profile_columns
 from strata.operators.quantiles import exact_percentile
 from strata.operators.rank import global_dense_rank, top_dense_rank
-from strata.operators.stats import (benchmarks, category_breakdown, cross_summary, diversity,
+from strata.operators.stats import (benchmarks, category_breakdown, cross_summary, distinct_counts, diversity,
                                     gap, group_stats, premium, ranked_groups,
                                     split_group_stats, summary)
 
 __all__ = ["dedup", "keep_latest", "profile", "profile_columns", "exact_percentile",
            "global_dense_rank", "top_dense_rank", "benchmarks", "category_breakdown",
-           "cross_summary", "diversity", "gap", "group_stats", "premium", "ranked_groups",
+           "cross_summary", "distinct_counts", "diversity", "gap", "group_stats", "premium", "ranked_groups",
            "split_group_stats", "summary"]

@@ -38,6 +38,24 @@ def _left_join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -
         *[F.col(f"_l.`{c}`") for c in left.columns], *[F.col(f"_r.`{c}`") for c in extra])
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], cols: dict[str, str]) -> DataFrame:
+    """Exact distinct counts per group, one two-level aggregate per column.
+
+    Use next to heavy aggregates (quantile sketches): mixed into one
+    ``agg``, a distinct count makes Spark group by (keys, column) first, and
+    every sketch is then built per distinct (keys, column) pair instead of
+    per group.
+    """
+    keys = list(keys)
+    out = None
+    for name, c in cols.items():
+        part = (df.select(*keys, c).where(F.col(c).isNotNull()).distinct()
+                  .groupBy(*keys).agg(F.count(F.lit(1)).alias(name)))
+        out = part if out is None else _left_join_on_keys(out, part, keys) if keys else \
+            out.withColumns({name: part.select(name).scalar()})
+    return out
+
+
 # --------------------------------------------------------------------------- C5
 def category_breakdown(df: DataFrame, key: str, sub: str, *, count_of: str | None = None,
                        list_name: str | None = None,
