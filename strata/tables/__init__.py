@@ -1,8 +1,11 @@
 """Keyed, versioned tables on plain Parquet: snapshots, commit log, upsert,
 merge-on-read views, compaction, retention and layout rewrite."""
 
+from strata.tables.catalog import (ensure_namespace, list_namespaces, list_tables,
+                                   write_catalog_table)
 from strata.tables.upsert import global_upsert, merge_on_read, upsert
 from strata.tables.versioned import COMMIT_SCHEMA, VersionedTable, cluster
 
 __all__ = ["upsert", "global_upsert", "merge_on_read", "VersionedTable", "COMMIT_SCHEMA",
-           "cluster"]
+           "cluster", "ensure_namespace", "list_namespaces", "list_tables",
+           "write_catalog_table"]
