@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import materialize
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
@@ -54,12 +54,11 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
     # Range partitioning computes its bounds by sampling and assigns rows with
     # a binary search on the JVM; the partition id is the value-range bucket.
-    # Materialised once (reliable checkpoint, shared folder) so that the bucket
-    # statistics and the bucket scan below see one and the same assignment.
-    ensure_checkpoint_dir(spark)
-    vr = (vc.repartitionByRange(nb, *[F.col(k) for k in keys], F.col("_v"))
-            .withColumn("_b", F.spark_partition_id())
-            .checkpoint(eager=True))
+    # Materialised once (a table in the shared checkpoint folder) so that the
+    # bucket statistics and the bucket scan below see one and the same
+    # assignment, even if a stage is recomputed after an executor loss.
+    vr = materialize(vc.repartitionByRange(nb, *[F.col(k) for k in keys], F.col("_v"))
+                       .withColumn("_b", F.spark_partition_id()), "percentile_buckets")
     per_bucket = vr.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
     wk = Window.partitionBy(*keys).orderBy("_b")
     offs = (per_bucket

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import materialize
 
 
 def global_dense_rank(df: DataFrame, value: str, out: str = "rank",
@@ -27,14 +27,13 @@ def global_dense_rank(df: DataFrame, value: str, out: str = "rank",
     nb = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vcol = F.col(value)
     distinct_vals = df.select(vcol.alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    # The bucket id is a partition id, so it is materialised once (reliable
-    # checkpoint in the shared checkpoint folder): both consumers below then
-    # see the same assignment, even if a stage is recomputed.
-    ensure_checkpoint_dir(spark)
-    ordered = (distinct_vals
-               .repartitionByRange(nb, F.col("_v").desc() if descending else F.col("_v").asc())
-               .withColumn("_b", F.spark_partition_id())
-               .checkpoint(eager=True))
+    # The bucket id is a partition id, so it is materialised once (a table in
+    # the shared checkpoint folder): both consumers below then see the same
+    # assignment, even if a stage is recomputed after an executor loss.
+    ordered = materialize(distinct_vals
+                          .repartitionByRange(nb, F.col("_v").desc() if descending
+                                              else F.col("_v").asc())
+                          .withColumn("_b", F.spark_partition_id()), "rank_buckets")
     counts = ordered.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

@@ -315,7 +315,8 @@ def q_articles_silver(spark, d):
 
 
 def q_article_stats(spark, d):
-    out = _strip_clock(retail.articles_gold(_articles(spark, d), AS_OF))
+    silver = _silver_table(spark, _articles(spark, d), "articles", parts=("product_category",))
+    out = _strip_clock(retail.articles_gold(silver, AS_OF))
     out = _r9(out, "avg_completeness_score", "min_completeness_score", "max_completeness_score")
     return _joined(out, "garment_groups")
 

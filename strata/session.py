@@ -64,3 +64,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "materialized"):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back.
+
+    One job computes ``df`` once (an eager ``checkpoint()`` computes it a
+    second time to write it); the result is columnar, so later reads prune
+    columns. Survives executor loss: the files live in the shared folder.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -18,7 +18,7 @@ import datetime as _dt
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,6 +89,8 @@ class VersionedTable:
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
 
     def _last(self, where: Column | None = None):
+        if not self._fs_exists(self.commits_path):
+            return None
         h = self.history()
         if where is not None:
             h = h.where(where)
@@ -168,6 +170,9 @@ class VersionedTable:
                  .withColumn(COMMIT_TS, F.lit(ts).cast("timestamp")))
         if sort_within:
             out = out.sortWithinPartitions(*sort_within)
+        # Row count collected by the write job itself (no second pass).
+        obs = Observation(f"commit_{cid}")
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
         w = out.write.mode("overwrite").option("compression", "snappy")
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", int(max_records_per_file))
@@ -175,8 +180,7 @@ class VersionedTable:
             w = w.partitionBy(*partition_by)
         path = self.version_path(cid)
         w.parquet(path)
-        # Row count from the Parquet footers of what was just written.
-        rows = self.spark.read.parquet(path).count()
+        rows = obs.get["rows"]
         rec = self.spark.createDataFrame(
             [(cid, ts, operation, int(rows), prev, path, out.schema.json())], COMMIT_SCHEMA)
         rec.coalesce(1).write.mode("append").parquet(self.commits_path)
