@@ -66,6 +66,7 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self._log: list | None = None
 
     # ------------------------------------------------------------------ paths
     @property
@@ -88,14 +89,25 @@ class VersionedTable:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
 
-    def _last(self, where: Column | None = None):
-        if not self._fs_exists(self.commits_path):
-            return None
-        h = self.history()
-        if where is not None:
-            h = h.where(where)
-        # The log holds one row per commit; only the newest row is fetched.
-        return h.orderBy(F.col("commit_id").desc()).limit(1).first()
+    def commit_log(self, refresh: bool = False) -> list:
+        """The commit rows, newest first, read once per handle.
+
+        The log holds one small row per commit (bounded by retention), so it
+        is the one thing read to the driver; this handle refreshes it after
+        its own writes. ``refresh=True`` re-reads it (other writers).
+        """
+        if self._log is None or refresh:
+            if not self._fs_exists(self.commits_path):
+                self._log = []
+            else:
+                self._log = sorted(self.history().collect(), key=lambda r: -r["commit_id"])
+        return self._log
+
+    def _last(self, pred=None):
+        for r in self.commit_log():
+            if pred is None or pred(r):
+                return r
+        return None
 
     def latest_commit_id(self) -> int | None:
         r = self._last()
@@ -110,7 +122,7 @@ class VersionedTable:
         ``cache`` keeps the snapshot for several downstream aggregations.
         """
         if commit_id is None:
-            last = self._last(F.col("operation").isin(*_FULL))
+            last = self._last(lambda r: r["operation"] in _FULL)
             if last is None:
                 raise FileNotFoundError(f"no committed snapshot under {self.root}")
             commit_id = int(last["commit_id"])
@@ -124,12 +136,10 @@ class VersionedTable:
     def read_merged(self, keys: Sequence[str], precombine: str,
                     tie_break: Sequence[Column | str] = ()) -> DataFrame:
         """Merge-on-read view (T2): newest full snapshot + later deltas."""
-        h = self.history()
-        base = self._last(F.col("operation").isin(*_FULL))
+        base = self._last(lambda r: r["operation"] in _FULL)
         base_id = -1 if base is None else int(base["commit_id"])
-        delta_ids = [int(r["commit_id"]) for r in
-                     h.where((F.col("operation") == "delta") & (F.col("commit_id") > base_id))
-                      .select("commit_id").orderBy("commit_id").collect()]
+        delta_ids = sorted(int(r["commit_id"]) for r in self.commit_log()
+                           if r["operation"] == "delta" and r["commit_id"] > base_id)
         base_df = None if base is None else self.read(base_id)
         deltas = [self.read_version(i) for i in delta_ids]
         return _mor(base_df, deltas, keys, precombine, tie_break)
@@ -140,7 +150,7 @@ class VersionedTable:
         their type (a string "01" is not re-inferred as the integer 1)."""
         schema = self.schema
         if schema is None:
-            r = self._last(F.col("commit_id") == commit_id)
+            r = self._last(lambda r: r["commit_id"] == commit_id)
             if r is not None and r["schema_json"]:
                 schema = T.StructType.fromJson(json.loads(r["schema_json"]))
         reader = self.spark.read
@@ -184,6 +194,7 @@ class VersionedTable:
         rec = self.spark.createDataFrame(
             [(cid, ts, operation, int(rows), prev, path, out.schema.json())], COMMIT_SCHEMA)
         rec.coalesce(1).write.mode("append").parquet(self.commits_path)
+        self._log = None
         return cid
 
     def upsert(self, changes: DataFrame, keys: Sequence[str], precombine: str,
@@ -206,10 +217,10 @@ class VersionedTable:
                 as_of=None, force: bool = False) -> int | None:
         """Fold the merge-on-read view into a new full snapshot once at least
         ``max_deltas`` deltas are pending (or when ``force``)."""
-        base = self._last(F.col("operation").isin(*_FULL))
+        base = self._last(lambda r: r["operation"] in _FULL)
         base_id = -1 if base is None else int(base["commit_id"])
-        pending = self.history().where(
-            (F.col("operation") == "delta") & (F.col("commit_id") > base_id)).count()
+        pending = sum(1 for r in self.commit_log()
+                      if r["operation"] == "delta" and r["commit_id"] > base_id)
         if pending == 0 or (pending < max_deltas and not force):
             return None
         view = self.read_merged(keys, precombine).drop(COMMIT_ID, COMMIT_TS)
