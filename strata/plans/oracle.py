@@ -497,4 +497,8 @@ SELECT count(*) AS total_records, {_xmean('salary')} AS industry_avg_salary,
        'industry_overall' AS benchmark_id
 FROM silver_salary"""
 
+# The whole-job queries read back gold tables equal to the step queries.
+_SQL["retail_run_customer_stats"] = _SQL["customer_stats"]
+_SQL["salary_run_job_titles"] = _SQL["job_title_analysis"]
+
 ORACLE_SQL: dict[str, str] = dict(_SQL)

@@ -399,6 +399,34 @@ def q_industry_benchmarks(spark, d):
     return _strip_clock(salary.industry_benchmarks(_salary_table(spark, d), AS_OF))
 
 
+# ------------------------------------------------- whole jobs, CSV to gold
+def _bronze_csv(spark, df: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    df.write.option("header", True).csv(path)
+    return path
+
+
+def q_retail_run_customer_stats(spark, d):
+    """The retail job end to end: bronze CSV files -> silver snapshots -> gold
+    snapshots; the customer stats gold table is read back."""
+    cust = _bronze_csv(spark, bronze_customers(spark, d), "bronze_customers")
+    arts = _bronze_csv(spark, bronze_articles(spark, d), "bronze_articles")
+    root = scratch_path(spark, "retail_lake")
+    retail.run_retail(spark, cust, arts, root, as_of=AS_OF)
+    out = _strip_clock(VersionedTable(spark, f"{root}/gold/customer_stats").read())
+    out = _r9(out.drop("_commit_id"), "avg_age", "stddev_age", "variance_age")
+    return _joined(out, "age_categories")
+
+
+def q_salary_run_job_titles(spark, d):
+    """The salary job end to end; the job-title gold table is read back."""
+    src = _bronze_csv(spark, bronze_salary(spark, d), "bronze_salary")
+    root = scratch_path(spark, "salary_lake")
+    salary.run_salary(spark, src, root, as_of=AS_OF)
+    out = VersionedTable(spark, f"{root}/gold/job_title_salary_analysis").read()
+    return _strip_clock(out.drop("_commit_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bucketize": q_bucketize,
     "standardize": q_standardize,
@@ -440,4 +468,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_title_analysis": q_job_title_analysis,
     "top_paying_jobs": q_top_paying_jobs,
     "industry_benchmarks": q_industry_benchmarks,
+    "retail_run_customer_stats": q_retail_run_customer_stats,
+    "salary_run_job_titles": q_salary_run_job_titles,
 }
