@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import exact, rounded_mean, rounded_ratio
@@ -166,7 +166,7 @@ def premium(df: DataFrame, key: str, value: str, second: str, item: str, *,
             base: float = 65000, step: float = 10000, value_name: str = "salary",
             second_name: str = "experience", count_name: str = "sample_size",
             distinct_name: str = "unique_positions", list_name: str = "common_positions",
-            digits: int = 2) -> DataFrame:
+            digits: int = 2, top_n: int | None = None) -> DataFrame:
     """Per group: size, rounded means, rounded max, distinct items, the item
     multiset and ``premium_score = round((avg - base) / step, digits)``.
 
@@ -196,7 +196,22 @@ def premium(df: DataFrame, key: str, value: str, second: str, item: str, *,
                      .when(a["item"] < b["item"], -1)
                      .when(a["item"] > b["item"], 1).otherwise(0)),
         lambda e: F.struct(e["item"].alias(item), e["n"].alias("n")))
-    return (lvl2.withColumn(list_name, ordered).drop("_entries")
+    out = lvl2.withColumn(list_name, ordered).drop("_entries")
+    if top_n is not None:
+        # Only the n most common items per group: ranked on the (group, item)
+        # rows with a map-side limited row_number, never the whole list.
+        w = Window.partitionBy(key).orderBy(F.col("_rows").desc(), F.col(item).asc())
+        top = (lvl1.where(F.col(item).isNotNull())
+                   .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top_n))
+        lists = top.groupBy(key).agg(F.collect_list(F.struct(
+            F.col("_rows").alias("n"), F.col(item).alias("item"))).alias("_entries"))
+        lists = lists.withColumn(list_name, F.transform(
+            F.array_sort(F.col("_entries"), lambda a, b: F.when(a["n"] > b["n"], -1)
+                         .when(a["n"] < b["n"], 1).when(a["item"] < b["item"], -1)
+                         .when(a["item"] > b["item"], 1).otherwise(0)),
+            lambda e: F.struct(e["item"].alias(item), e["n"].alias("n")))).drop("_entries")
+        out = _left_join_on_keys(out.drop(list_name), lists, [key])
+    return (out
                 .withColumn("premium_score",
                             F.round((F.col(f"avg_{value_name}") - F.lit(base)) / F.lit(step),
                                     digits)))

@@ -34,8 +34,10 @@ def customers_silver(bronze: DataFrame, as_of=None,
     column ascending, nulls last), never the arrival order.
     """
     df = bronze.withColumn("age", legacy_int("age"))
-    df = audit_columns(df, as_of)
+    # De-duplicate before adding the audit columns: they are constants of the
+    # run, so the survivor is the same and the sort key stays narrow.
     df = dedup(df, ["customer_id"], order_by)
+    df = audit_columns(df, as_of)
     return (df.withColumn("customer_hash", content_hash("customer_id", "age"))
               .withColumn("age_category", bucketize("age", AGE_CATEGORY))
               .where(F.col("customer_id").isNotNull()))
@@ -48,12 +50,14 @@ def articles_silver(bronze: DataFrame, as_of=None,
     article columns -> article_id not null -> one row per article."""
     missing = [c for c in ARTICLE_COLUMNS if c not in bronze.columns]
     df = bronze.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else bronze
+    # Key filter and de-duplication on the bronze columns first: the audit,
+    # category and score columns are constants or functions of those
+    # columns, so the survivor is the same and only survivors are scored.
+    df = dedup(df.where(F.col("article_id").isNotNull()), ["article_id"], order_by)
     df = audit_columns(df, as_of, with_partitions=False)
-    df = (df.withColumn("product_category",
-                        F.coalesce(F.col("product_type_name"), F.lit(default_category)))
-            .withColumn("data_completeness_score", completeness(list(ARTICLE_COLUMNS)))
-            .where(F.col("article_id").isNotNull()))
-    return dedup(df, ["article_id"], order_by)
+    return (df.withColumn("product_category",
+                          F.coalesce(F.col("product_type_name"), F.lit(default_category)))
+              .withColumn("data_completeness_score", completeness(list(ARTICLE_COLUMNS))))
 
 
 # --------------------------------------------------------------------- gold

@@ -65,6 +65,9 @@ def upsert(base: DataFrame | None, changes: DataFrame, keys: Sequence[str], prec
     rows of untouched keys pass through map-side, without any shuffle, and
     only the rows of changed keys are shuffled and ranked. Otherwise base and
     batch are shuffled together once.
+
+    ``base`` is a keyed table: one row per key (every table written by an
+    upsert is). Untouched base rows are passed through as they are.
     """
     order = _order(precombine, tie_break)
     c = changes.withColumn(_SRC, F.lit(1))

@@ -124,3 +124,11 @@ def test_distinct_counts(spark):
     got = {r.k: r.n for r in distinct_counts(df, ["k"], {"n": "v"}).collect()}
     exp = {r.k: r.n for r in df.groupBy("k").agg(F.countDistinct("v").alias("n")).collect()}
     assert got == exp
+
+
+def test_premium_top_n(spark):
+    rows = [("e", j, 1.0, 1.0) for j in "AAABBC"] + [("f", "Z", 2.0, 1.0)]
+    df = spark.createDataFrame(rows, "edu string, job string, sal double, yrs double")
+    got = {r.edu: [(p.job, p.n) for p in r.common_positions]
+           for r in premium(df, "edu", "sal", "yrs", "job", top_n=2).collect()}
+    assert got == {"e": [("A", 3), ("B", 2)], "f": [("Z", 1)]}
