@@ -196,7 +196,8 @@ def _gs(key: str, keys: list[str], src: str, v: str, s: str, vn: str, sn: str,
 
 _LI_KEYS = ["l_returnflag", "l_linestatus", "l_suppkey"]
 _SQL["group_stats"] = "\nUNION ALL\n".join(
-    _gs(k, _LI_KEYS, "lineitem", "l_extendedprice", "l_quantity", "price", "quantity")
+    _gs(k, _LI_KEYS, "(SELECT * REPLACE (CAST(l_suppkey AS VARCHAR) AS l_suppkey) FROM lineitem)",
+        "l_extendedprice", "l_quantity", "price", "quantity")
     for k in _LI_KEYS)
 
 _SQL["category_breakdown"] = """
@@ -340,11 +341,11 @@ FROM customer"""
 
 _SQL["history"] = """
 SELECT CAST(1 AS BIGINT) AS commit_id, 'overwrite' AS operation, count(*) AS rows,
-       CAST(NULL AS BIGINT) AS parent_id FROM nation
+       CAST(NULL AS VARCHAR) AS parent_id FROM nation
 UNION ALL
-SELECT 2, 'upsert', count(*), 1 FROM nation
+SELECT 2, 'upsert', count(*), '1' FROM nation
 UNION ALL
-SELECT 3, 'overwrite', count(*), 2 FROM nation WHERE n_regionkey = 0"""
+SELECT 3, 'overwrite', count(*), '2' FROM nation WHERE n_regionkey = 0"""
 
 _SQL["retention"] = """
 SELECT CAST(1 AS BIGINT) AS commit_id, 'overwrite' AS operation, count(*) AS rows
