@@ -5,7 +5,8 @@ from strata.tables.catalog import (ensure_namespace, list_namespaces, list_table
                                    write_catalog_table)
 from strata.tables.upsert import global_upsert, merge_on_read, upsert
 from strata.tables.versioned import COMMIT_SCHEMA, VersionedTable, cluster
+from strata.tables.writers import COPY_ON_WRITE, MERGE_ON_READ, write_keyed_table
 
 __all__ = ["upsert", "global_upsert", "merge_on_read", "VersionedTable", "COMMIT_SCHEMA",
            "cluster", "ensure_namespace", "list_namespaces", "list_tables",
-           "write_catalog_table"]
+           "write_catalog_table", "write_keyed_table", "COPY_ON_WRITE", "MERGE_ON_READ"]

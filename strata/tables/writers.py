@@ -1,0 +1,47 @@
+"""One call for a keyed table write: copy-on-write or merge-on-read, with the
+table services (compaction, retention, clustering) run inline."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+from strata.tables.versioned import VersionedTable
+
+COPY_ON_WRITE = "copy_on_write"
+MERGE_ON_READ = "merge_on_read"
+
+
+def write_keyed_table(spark: SparkSession, df: DataFrame, root: str, keys: Sequence[str],
+                      precombine: str, partition_by: Sequence[str] | None = None,
+                      table_type: str = COPY_ON_WRITE, replace: bool = False,
+                      compact_after: int = 5, keep_commits: int | None = None,
+                      cluster_by: Sequence[str] | None = None, cluster_every: int | None = None,
+                      max_records_per_file: int | None = None, as_of=None) -> VersionedTable:
+    """Write ``df`` into the keyed table at ``root`` and return its handle.
+
+    * copy-on-write: a new full snapshot per write (latest-wins upsert, or an
+      overwrite collapsing duplicate keys with ``replace=True``);
+    * merge-on-read: the batch is stored as a delta; once ``compact_after``
+      deltas are pending they are folded into a new snapshot;
+    * ``keep_commits``: data folders of older commits are removed (the commit
+      log keeps every row);
+    * ``cluster_by`` / ``cluster_every``: every N-th commit rewrites the
+      layout range-partitioned and sorted on those columns.
+    """
+    t = VersionedTable(spark, root)
+    if table_type == COPY_ON_WRITE or t.latest_commit_id() is None or replace:
+        t.upsert(df, keys, precombine, partition_by=partition_by, as_of=as_of, replace=replace)
+    elif table_type == MERGE_ON_READ:
+        t.append_delta(df, as_of=as_of)
+        t.compact(keys, precombine, max_deltas=compact_after, as_of=as_of)
+    else:
+        raise ValueError(f"unknown table type {table_type!r}")
+    if cluster_by and cluster_every:
+        cid = t.latest_commit_id() or 0
+        if cid % cluster_every == 0 and table_type == COPY_ON_WRITE:
+            t.rewrite_layout(cluster_by, as_of=as_of, max_records_per_file=max_records_per_file)
+    if keep_commits:
+        t.expire(keep=keep_commits, delete=True)
+    return t

@@ -4,7 +4,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from strata.tables import VersionedTable, global_upsert, merge_on_read, upsert
+from strata.tables import (MERGE_ON_READ, VersionedTable, global_upsert, merge_on_read, upsert,
+                           write_keyed_table)
 
 SCHEMA = "id int, part string, ts int, v string"
 
@@ -123,3 +124,15 @@ def test_layout_rewrite_keeps_rows(spark, tmpdir_path):
     t.rewrite_layout(["id"], max_records_per_file=500)
     assert _rows(t.read()) == _rows(df)
     assert t.history().orderBy(F.col("commit_id").desc()).first().operation == "clustering"
+
+
+def test_keyed_writer_merge_on_read_compacts_inline(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "kw")
+    for i in range(4):
+        batch = spark.createDataFrame([(1, "a", i, f"v{i}"), (10 + i, "a", 0, "n")], SCHEMA)
+        t = write_keyed_table(spark, batch, root, ["id"], "ts", table_type=MERGE_ON_READ,
+                              compact_after=3, keep_commits=3)
+    ops = [r.operation for r in t.history().orderBy("commit_id").collect()]
+    assert ops == ["upsert", "delta", "delta", "delta", "compaction"]
+    assert _rows(t.read()) == [(1, "a", 3, "v3"), (10, "a", 0, "n"), (11, "a", 0, "n"),
+                               (12, "a", 0, "n"), (13, "a", 0, "n")]
