@@ -45,9 +45,7 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be within [0, 1]")
-    spark = df.sparkSession
     keys = list(keys)
-    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value).cast("double")
     vc = (df.select(*[F.col(k) for k in keys], v.alias("_v"))
             .where(F.col("_v").isNotNull())
@@ -57,8 +55,11 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
     # Materialised once (a table in the shared checkpoint folder) so that the
     # bucket statistics and the bucket scan below see one and the same
     # assignment, even if a stage is recomputed after an executor loss.
-    vr = materialize(vc.repartitionByRange(nb, *[F.col(k) for k in keys], F.col("_v"))
-                       .withColumn("_b", F.spark_partition_id()), "percentile_buckets")
+    # Without an explicit count AQE may merge adjacent ranges of small data
+    # into fewer partitions; a merged partition is still one contiguous range.
+    exprs = [F.col(k) for k in keys] + [F.col("_v")]
+    ranged = vc.repartitionByRange(buckets, *exprs) if buckets else vc.repartitionByRange(*exprs)
+    vr = materialize(ranged.withColumn("_b", F.spark_partition_id()), "percentile_buckets")
     per_bucket = vr.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
     wk = Window.partitionBy(*keys).orderBy("_b")
     offs = (per_bucket

@@ -23,17 +23,17 @@ def global_dense_rank(df: DataFrame, value: str, out: str = "rank",
     ``ASC NULLS LAST`` would place them. Returns all columns of ``df`` plus
     ``out`` (int).
     """
-    spark = df.sparkSession
-    nb = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vcol = F.col(value)
     distinct_vals = df.select(vcol.alias("_v")).where(F.col("_v").isNotNull()).distinct()
     # The bucket id is a partition id, so it is materialised once (a table in
     # the shared checkpoint folder): both consumers below then see the same
     # assignment, even if a stage is recomputed after an executor loss.
-    ordered = materialize(distinct_vals
-                          .repartitionByRange(nb, F.col("_v").desc() if descending
-                                              else F.col("_v").asc())
-                          .withColumn("_b", F.spark_partition_id()), "rank_buckets")
+    order = F.col("_v").desc() if descending else F.col("_v").asc()
+    # Without an explicit count AQE may merge adjacent ranges of small data;
+    # a merged partition is still one contiguous range of values.
+    ranged = (distinct_vals.repartitionByRange(partitions, order) if partitions
+              else distinct_vals.repartitionByRange(order))
+    ordered = materialize(ranged.withColumn("_b", F.spark_partition_id()), "rank_buckets")
     counts = ordered.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
