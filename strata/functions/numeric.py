@@ -32,5 +32,6 @@ def rounded_mean(x: Column | str, digits: int = 2, exact_sum: bool = True) -> Co
 
 
 def rounded_ratio(total: Column, count: Column, digits: int = 2) -> Column:
-    """``round(total / count, digits)`` for an exact decimal ``total``."""
-    return F.round(total / count.cast("decimal(20,0)"), digits).cast("double")
+    """``round(total / count, digits)`` for an exact decimal ``total``; null
+    (not an error) when ``count`` is 0, as ``avg`` of only nulls is null."""
+    return F.round(F.try_divide(total, count.cast("decimal(20,0)")), digits).cast("double")

@@ -166,18 +166,26 @@ class VersionedTable:
     def write(self, df: DataFrame, operation: str = "overwrite",
               partition_by: Sequence[str] | None = None, as_of=None,
               max_records_per_file: int | None = None,
-              sort_within: Sequence[str] | None = None) -> int:
+              sort_within: Sequence[str] | None = None, rebalance: bool = True) -> int:
         """Write ``df`` as a new commit and return its id (T3, T4).
 
         Every row gets ``_commit_id`` and ``_commit_ts``. ``partition_by`` gives
         the Hive-style folder layout; ``max_records_per_file`` and
         ``sort_within`` tune files (Parquet, snappy).
+
+        A partitioned write is rebalanced on the partition columns first
+        (``REBALANCE`` hint): each task then holds few partition values, so the
+        output is not tasks x values small files, and AQE sizes the files
+        (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and splits a
+        partition value that holds a large share of the rows.
         """
         prev = self.latest_commit_id()
         cid = 1 if prev is None else prev + 1
         ts = _as_ts(as_of)
         out = (df.withColumn(COMMIT_ID, F.lit(cid).cast("long"))
                  .withColumn(COMMIT_TS, F.lit(ts).cast("timestamp")))
+        if partition_by and rebalance:
+            out = out.hint("rebalance", *partition_by)
         if sort_within:
             out = out.sortWithinPartitions(*sort_within)
         # Row count collected by the write job itself (no second pass).

@@ -98,3 +98,27 @@ def test_run_salary_end_to_end(spark, tmpdir_path):
     assert jobs.collect()[0].job_title == "ENGINEER" and jobs.count() == 1
     by_edu = VersionedTable(spark, f"{root}/gold/gender_pay_by_education").read()
     assert by_edu.select(F.sum("sample_size")).collect()[0][0] == 4
+
+
+def test_customers_gold_compat_and_articles_empty(spark):
+    from strata.plans.retail import articles_gold, customers_gold
+    silver = spark.createDataFrame(
+        [("a", 20, None, "young_adult"), ("b", 30, "UNKNOWN", "young_adult"),
+         ("c", 40, "ACTIVE", "middle_age")],
+        "customer_id string, age int, club_member_status string, age_category string")
+    fixed = {r.club_member_status: r for r in customers_gold(silver, "2024-01-01").collect()}
+    assert fixed["UNKNOWN"].total_customers == 2 and fixed["UNKNOWN"].total_in_categories == 2
+    compat = {r.club_member_status: r for r in
+              customers_gold(silver, "2024-01-01", compat=True).collect()}
+    # raw breakdown keeps the null status apart: only the literal UNKNOWN row joins
+    assert compat["UNKNOWN"].total_customers == 2 and compat["UNKNOWN"].total_in_categories == 1
+    empty = silver.where("1 = 0")
+    assert articles_gold(empty) is empty
+
+
+def test_premium_all_null_group_is_null_not_error(spark):
+    from strata.operators import premium
+    df = spark.createDataFrame([("e", "A", None, None)],
+                               "edu string, job string, sal double, yrs double")
+    r = premium(df, "edu", "sal", "yrs", "job").collect()[0]
+    assert r.avg_salary is None and r.premium_score is None and r.sample_size == 1
