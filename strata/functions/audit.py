@@ -10,13 +10,22 @@ from pyspark.sql import functions as F
 
 
 def _ts(as_of: _dt.datetime | str | Column | None) -> Column:
+    """The run instant. Strings and datetimes without a zone are UTC, so the
+    result does not depend on the session time zone."""
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of.cast("timestamp")
     if isinstance(as_of, _dt.datetime):
+        if as_of.tzinfo is not None:
+            as_of = as_of.astimezone(_dt.timezone.utc).replace(tzinfo=None)
         as_of = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.lit(as_of).cast("timestamp")
+    return F.lit(as_of.strip() + "Z" if _naive(as_of) else as_of).cast("timestamp")
+
+
+def _naive(text: str) -> bool:
+    t = text.strip()
+    return not (t.endswith("Z") or "+" in t[10:] or t[10:].count("-") > 0)
 
 
 def calculation_timestamp(as_of=None) -> Column:

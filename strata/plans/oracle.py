@@ -498,6 +498,24 @@ SELECT count(*) AS total_records, {_xmean('salary')} AS industry_avg_salary,
        'industry_overall' AS benchmark_id
 FROM silver_salary"""
 
+_SQL["stream_customers_silver"] = f"""
+WITH bronze AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS customer_id,
+         CASE WHEN o_orderpriority = '5-LOW' THEN NULL
+              ELSE CAST(trunc(o_totalprice / 5000) AS INTEGER) END AS age,
+         NULLIF(o_orderstatus, 'P') AS club_member_status,
+         CASE WHEN year(o_orderdate) < 1997 THEN 0 WHEN year(o_orderdate) < 1999 THEN 1
+              ELSE 2 END AS batch
+  FROM orders)
+SELECT customer_id, age, club_member_status,
+       CAST(2024 AS INTEGER) AS year, CAST(6 AS INTEGER) AS month,
+       sha256(customer_id || CAST(age AS VARCHAR)) AS customer_hash,
+       {_case('age', *AGE_CAT)} AS age_category
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+                 ORDER BY batch DESC, age ASC NULLS LAST, club_member_status ASC NULLS LAST) AS rn
+      FROM bronze)
+WHERE rn = 1 AND customer_id IS NOT NULL"""
+
 # The whole-job queries read back gold tables equal to the step queries.
 _SQL["retail_run_customer_stats"] = _SQL["customer_stats"]
 _SQL["salary_run_job_titles"] = _SQL["job_title_analysis"]

@@ -432,6 +432,26 @@ def q_salary_run_job_titles(spark, d):
     return _strip_clock(out.drop("_commit_id"))
 
 
+def q_stream_customers_silver(spark, d):
+    """Incremental ingestion: bronze customer files arrive in three batches
+    (by order year); after each arrival one AvailableNow streaming run
+    upserts the new file into the silver table. Per customer, the row of the
+    latest batch holding it wins (equal run instant, later batch first)."""
+    from strata.plans.standins import bronze_customers as bc
+    from strata.streaming import ingest_bronze_stream
+    root = scratch_path(spark, "stream_customers")
+    bronze = bc(spark, d, with_batch=True)
+    for b in range(3):
+        (bronze.where(F.col("batch") == b).drop("batch")
+               .write.option("header", True).csv(f"{root}/bronze/batch={b}"))
+        ingest_bronze_stream(spark, f"{root}/bronze/*/*.csv", retail.CUSTOMER_COLUMNS,
+                             f"{root}/silver", ["customer_id"], "update_timestamp",
+                             lambda df: retail.customers_silver(df, AS_OF),
+                             checkpoint=f"{root}/_stream", partition_by=["year", "month"])
+    out = VersionedTable(spark, f"{root}/silver").read()
+    return _strip_clock(out.drop("_commit_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bucketize": q_bucketize,
     "standardize": q_standardize,
@@ -475,4 +495,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "industry_benchmarks": q_industry_benchmarks,
     "retail_run_customer_stats": q_retail_run_customer_stats,
     "salary_run_job_titles": q_salary_run_job_titles,
+    "stream_customers_silver": q_stream_customers_silver,
 }

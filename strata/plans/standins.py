@@ -25,14 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Arrival batches for the incremental run: orders before 1997, 1997-1998, later.
+ARRIVAL_YEARS = (1997, 1999)
+
+
+def bronze_customers(spark: SparkSession, sf_dir: str, with_batch: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     age = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("unknown"))
            .otherwise((F.col("o_totalprice") / 5000).cast("string")))
-    return o.select(F.col("o_custkey").cast("string").alias("customer_id"),
-                    age.alias("age"),
-                    F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
-                     .alias("club_member_status"))
+    cols = [F.col("o_custkey").cast("string").alias("customer_id"), age.alias("age"),
+            F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+             .alias("club_member_status")]
+    if with_batch:
+        yr = F.year("o_orderdate")
+        cols.append(F.when(yr < ARRIVAL_YEARS[0], 0).when(yr < ARRIVAL_YEARS[1], 1)
+                     .otherwise(2).alias("batch"))
+    return o.select(*cols)
 
 
 def bronze_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
