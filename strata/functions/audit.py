@@ -20,7 +20,10 @@ def _ts(as_of: _dt.datetime | str | Column | None) -> Column:
         if as_of.tzinfo is not None:
             as_of = as_of.astimezone(_dt.timezone.utc).replace(tzinfo=None)
         as_of = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.lit(as_of.strip() + "Z" if _naive(as_of) else as_of).cast("timestamp")
+    text = as_of.strip()
+    if len(text) == 10:                       # a date alone means its midnight
+        text += " 00:00:00"
+    return F.lit(text + "Z" if _naive(text) else text).cast("timestamp")
 
 
 def _naive(text: str) -> bool:
