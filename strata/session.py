@@ -50,13 +50,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when the setting is absent -- local runs and tests -- a fresh local
     folder is created and registered.
     """
-    cur = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not cur:
-        cur = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        cur = sc.getCheckpointDir()           # set through sc.setCheckpointDir(...)
     if not cur:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a "
+                               "shared folder (HDFS, object store); a machine-local folder "
+                               "would not survive the loss of an executor")
         cur = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(cur)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(cur)
     return cur
 
 
