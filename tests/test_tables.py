@@ -136,3 +136,14 @@ def test_keyed_writer_merge_on_read_compacts_inline(spark, tmpdir_path):
     assert ops == ["upsert", "delta", "delta", "delta", "compaction"]
     assert _rows(t.read()) == [(1, "a", 3, "v3"), (10, "a", 0, "n"), (11, "a", 0, "n"),
                                (12, "a", 0, "n"), (13, "a", 0, "n")]
+
+
+def test_snapshot_reads_prune_partitions_and_columns(spark, tmpdir_path):
+    t = VersionedTable(spark, os.path.join(tmpdir_path, "pp"))
+    t.write(spark.createDataFrame([(i, "a" if i % 2 else "b", i, "v") for i in range(20)], SCHEMA),
+            partition_by=["part"])
+    q = t.read().where(F.col("part") == "a").select("id")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and "EqualTo(part" not in plan
+    assert "ReadSchema: struct<id:int>" in plan
+    assert q.count() == 10
