@@ -243,10 +243,21 @@ class VersionedTable:
 
     # -------------------------------------------------------------- retention
     def expired(self, keep: int = 10) -> DataFrame:
-        """Commits outside the newest ``keep`` (T8), with their data paths."""
+        """Commits outside the newest ``keep`` (T8), with their data paths.
+
+        The newest full snapshot and the deltas after it are never expired,
+        whatever ``keep`` says: the current merge-on-read view reads them.
+        """
+        keep = max(int(keep), 1)
+        log = self.commit_log()                      # newest first
+        base = self._last(lambda r: r["operation"] in _FULL)
+        floor = int(base["commit_id"]) if base is not None else min(
+            (int(r["commit_id"]) for r in log), default=0)
+        newest = {int(r["commit_id"]) for r in log[:keep]}
+        ids = [int(r["commit_id"]) for r in log
+               if int(r["commit_id"]) not in newest and int(r["commit_id"]) < floor]
         h = self.history()
-        newest = h.orderBy(F.col("commit_id").desc()).limit(keep).select("commit_id")
-        return h.join(newest, "commit_id", "left_anti")
+        return h.where(F.col("commit_id").isin(ids)) if ids else h.limit(0)
 
     def expire(self, keep: int = 10, delete: bool = False) -> list[int]:
         """List (and with ``delete=True`` remove) data folders of expired commits.

@@ -147,3 +147,15 @@ def test_snapshot_reads_prune_partitions_and_columns(spark, tmpdir_path):
     assert "PartitionFilters: [isnotnull(part" in plan and "EqualTo(part" not in plan
     assert "ReadSchema: struct<id:int>" in plan
     assert q.count() == 10
+
+
+def test_retention_keeps_the_base_of_pending_deltas(spark, tmpdir_path):
+    t = VersionedTable(spark, os.path.join(tmpdir_path, "ret"))
+    t.write(spark.createDataFrame([(i, "p", 0, "b") for i in range(5)], SCHEMA))
+    for i in range(4):
+        t.append_delta(spark.createDataFrame([(i, "p", 1, f"d{i}")], SCHEMA))
+    assert t.expire(keep=2, delete=True) == []          # base 1 is still needed
+    assert t.read_merged(["id"], "ts").count() == 5
+    t.compact(["id"], "ts", force=True)
+    assert t.expire(keep=2, delete=True) == [1, 2, 3, 4]
+    assert sorted(r.v for r in t.read().collect()) == ["b", "d0", "d1", "d2", "d3"]
