@@ -31,3 +31,21 @@ def test_upsert_matches_model(spark, base, changes, limit):
     got = sorted(tuple(r) for r in upsert(b, c, ["k"], "ts", tie_break=["v"],
                                           broadcast_keys_limit=limit).collect())
     assert got == _model(base, changes)
+
+
+VALUES = st.one_of(st.none(), st.integers(-20, 20).map(lambda x: x / 4))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b", None]), VALUES),
+                     min_size=1, max_size=40),
+       p=st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]))
+def test_exact_percentile_matches_builtin(spark, rows, p):
+    from pyspark.sql import functions as F
+
+    from strata.operators import exact_percentile
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.x for r in exact_percentile(df, ["k"], "v", p, out="x").collect()}
+    exp = {r.k: r.y for r in df.groupBy("k").agg(F.percentile("v", p).alias("y")).collect()
+           if r.y is not None}
+    assert got == exp
