@@ -6,13 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return True
 
 
 def _order(df: DataFrame, keys: Sequence[str], order_by) -> list[Column]:
     if order_by is None:
-        # No business order given: fall back to every other column, ascending,
-        # so the survivor does not depend on partitioning or arrival order.
-        return [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
+        # No business order given: fall back to every other (orderable) column,
+        # ascending, so the survivor does not depend on partitioning or
+        # arrival order.
+        return [F.col(f.name).asc_nulls_last() for f in df.schema.fields
+                if f.name not in keys and _orderable(f.dataType)]
     out = []
     for o in order_by:
         out.append(F.col(o).asc_nulls_last() if isinstance(o, str) else o)

@@ -132,3 +132,9 @@ def test_premium_top_n(spark):
     got = {r.edu: [(p.job, p.n) for p in r.common_positions]
            for r in premium(df, "edu", "sal", "yrs", "job", top_n=2).collect()}
     assert got == {"e": [("A", 3), ("B", 2)], "f": [("Z", 1)]}
+
+
+def test_dedup_default_order_skips_map_columns(spark):
+    df = spark.createDataFrame([("k", 2, {"a": 1}), ("k", 1, {"b": 2})],
+                               "k string, v int, m map<string,int>")
+    assert [r.v for r in dedup(df, ["k"]).collect()] == [1]
