@@ -22,6 +22,9 @@ ARTICLE_COLUMNS = (
 )
 CUSTOMER_COLUMNS = ("customer_id", "age", "club_member_status")
 METRIC_VERSION = "v2.0"
+# Target file sizes of the layers.
+SILVER_FILE_BYTES = 128 * 1024 * 1024
+GOLD_FILE_BYTES = 256 * 1024 * 1024
 
 
 # ------------------------------------------------------------------- silver
@@ -134,11 +137,12 @@ def run_retail(spark: SparkSession, customers_csv: str, articles_csv: str, root:
     t_arts = VersionedTable(spark, f"{root}/silver/articles")
     out["silver.customers"] = t_cust.upsert(cust.drop("_corrupt_record"), ["customer_id"],
                                             "update_timestamp", partition_by=["year", "month"],
-                                            as_of=as_of, replace=True)
+                                            as_of=as_of, replace=True,
+                                            target_file_bytes=SILVER_FILE_BYTES)
     out["silver.articles"] = t_arts.upsert(arts.drop("_corrupt_record"), ["article_id"],
                                            "update_timestamp",
                                            partition_by=["product_category"], as_of=as_of,
-                                           replace=True)
+                                           replace=True, target_file_bytes=SILVER_FILE_BYTES)
     sc = t_cust.read(cache=True).drop("_commit_id", "_commit_ts")
     sa = t_arts.read(cache=True).drop("_commit_id", "_commit_ts")
     gold = {
@@ -148,7 +152,8 @@ def run_retail(spark: SparkSession, customers_csv: str, articles_csv: str, root:
     }
     for name, (df, parts) in gold.items():
         t = VersionedTable(spark, f"{root}/{name.replace('.', '/')}")
-        out[name] = t.write(df, "overwrite", partition_by=parts, as_of=as_of)
+        out[name] = t.write(df, "overwrite", partition_by=parts, as_of=as_of,
+                            target_file_bytes=GOLD_FILE_BYTES)
         if preview:
             t.read().show(5, truncate=False)
     sc.unpersist()

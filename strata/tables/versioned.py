@@ -166,7 +166,8 @@ class VersionedTable:
     def write(self, df: DataFrame, operation: str = "overwrite",
               partition_by: Sequence[str] | None = None, as_of=None,
               max_records_per_file: int | None = None,
-              sort_within: Sequence[str] | None = None, rebalance: bool = True) -> int:
+              sort_within: Sequence[str] | None = None, rebalance: bool = True,
+              target_file_bytes: int | None = None, dictionary: bool = True) -> int:
         """Write ``df`` as a new commit and return its id (T3, T4).
 
         Every row gets ``_commit_id`` and ``_commit_ts``. ``partition_by`` gives
@@ -178,20 +179,43 @@ class VersionedTable:
         output is not tasks x values small files, and AQE sizes the files
         (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and splits a
         partition value that holds a large share of the rows.
+        ``target_file_bytes`` (e.g. 128 MB for silver, 256 MB for gold) sets
+        that advisory size for this write only and rebalances an unpartitioned
+        write too; ``dictionary`` toggles Parquet dictionary encoding.
         """
+        args = (df, operation, partition_by, as_of, max_records_per_file, sort_within,
+                rebalance, dictionary)
+        if not target_file_bytes:
+            return self._write(*args, rebalance_unpartitioned=False)
+        key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        before = self.spark.conf.get(key, None)
+        self.spark.conf.set(key, str(int(target_file_bytes)))
+        try:
+            return self._write(*args, rebalance_unpartitioned=True)
+        finally:
+            if before is None:
+                self.spark.conf.unset(key)
+            else:
+                self.spark.conf.set(key, before)
+
+    def _write(self, df, operation, partition_by, as_of, max_records_per_file, sort_within,
+               rebalance, dictionary, rebalance_unpartitioned) -> int:
         prev = self.latest_commit_id()
         cid = 1 if prev is None else prev + 1
         ts = _as_ts(as_of)
         out = (df.withColumn(COMMIT_ID, F.lit(cid).cast("long"))
                  .withColumn(COMMIT_TS, F.lit(ts).cast("timestamp")))
-        if partition_by and rebalance:
+        if rebalance and partition_by:
             out = out.hint("rebalance", *partition_by)
+        elif rebalance and rebalance_unpartitioned:
+            out = out.hint("rebalance")
         if sort_within:
             out = out.sortWithinPartitions(*sort_within)
         # Row count collected by the write job itself (no second pass).
         obs = Observation(f"commit_{cid}")
         out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-        w = out.write.mode("overwrite").option("compression", "snappy")
+        w = (out.write.mode("overwrite").option("compression", "snappy")
+             .option("parquet.enable.dictionary", str(bool(dictionary)).lower()))
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", int(max_records_per_file))
         if partition_by:
@@ -207,15 +231,17 @@ class VersionedTable:
 
     def upsert(self, changes: DataFrame, keys: Sequence[str], precombine: str,
                partition_by: Sequence[str] | None = None, as_of=None,
-               replace: bool = False) -> int:
+               replace: bool = False, **write_options) -> int:
         """Keyed upsert into a new snapshot (T1; T6 when ``partition_by`` is not
         part of ``keys``). ``replace=True`` overwrites, collapsing duplicate
-        keys of the batch (the source jobs' effective behaviour)."""
+        keys of the batch (the source jobs' effective behaviour).
+        ``write_options`` go to :meth:`write` (file size, dictionary, ...)."""
         base = None
         if not replace and self.latest_commit_id() is not None:
             base = self.read().drop(COMMIT_ID, COMMIT_TS)
         merged = _upsert(base, changes, keys, precombine, replace=replace)
-        return self.write(merged, "upsert", partition_by=partition_by, as_of=as_of)
+        return self.write(merged, "upsert", partition_by=partition_by, as_of=as_of,
+                          **write_options)
 
     def append_delta(self, changes: DataFrame, as_of=None) -> int:
         """Merge-on-read write: store only the changes as a delta commit (T2)."""

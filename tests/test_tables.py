@@ -159,3 +159,17 @@ def test_retention_keeps_the_base_of_pending_deltas(spark, tmpdir_path):
     t.compact(["id"], "ts", force=True)
     assert t.expire(keep=2, delete=True) == [1, 2, 3, 4]
     assert sorted(r.v for r in t.read().collect()) == ["b", "d0", "d1", "d2", "d3"]
+
+
+def test_target_file_size_rebalances_unpartitioned_writes(spark, tmpdir_path):
+    import glob
+    t = VersionedTable(spark, os.path.join(tmpdir_path, "fs"))
+    df = spark.range(0, 20000, numPartitions=8).select(
+        F.col("id").cast("int").alias("id"), F.lit("p").alias("part"),
+        F.col("id").cast("int").alias("ts"), F.lit("v").alias("v"))
+    small = t.write(df)
+    big = t.write(df, target_file_bytes=256 << 20, dictionary=False)
+    n = {c: len(glob.glob(t.version_path(c) + "/*.parquet")) for c in (small, big)}
+    assert n[small] == 8 and n[big] == 1
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) != str(256 << 20)
+    assert _rows(t.read()) == _rows(df)
