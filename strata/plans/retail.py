@@ -27,6 +27,13 @@ SILVER_FILE_BYTES = 128 * 1024 * 1024
 GOLD_FILE_BYTES = 256 * 1024 * 1024
 
 
+def _or_default(c: str, default: str):
+    """Null or empty -> ``default``. These columns become partition folders,
+    where an empty value would come back as null; mapping it first keeps one
+    stable group."""
+    return F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(default))
+
+
 # ------------------------------------------------------------------- silver
 def customers_silver(bronze: DataFrame, as_of=None,
                      order_by: Sequence[Column | str] | None = None) -> DataFrame:
@@ -58,8 +65,7 @@ def articles_silver(bronze: DataFrame, as_of=None,
     # columns, so the survivor is the same and only survivors are scored.
     df = dedup(df.where(F.col("article_id").isNotNull()), ["article_id"], order_by)
     df = audit_columns(df, as_of, with_partitions=False)
-    return (df.withColumn("product_category",
-                          F.coalesce(F.col("product_type_name"), F.lit(default_category)))
+    return (df.withColumn("product_category", _or_default("product_type_name", default_category))
               .withColumn("data_completeness_score", completeness(list(ARTICLE_COLUMNS))))
 
 
@@ -73,8 +79,7 @@ def customers_gold(silver: DataFrame, as_of=None, accuracy: int = 10000,
     ``compat=True`` the breakdown uses the raw status, so the cleaned
     ``UNKNOWN`` row finds no breakdown (the source's behaviour).
     """
-    clean = silver.withColumn("club_member_status",
-                              F.coalesce(F.col("club_member_status"), F.lit("UNKNOWN")))
+    clean = silver.withColumn("club_member_status", _or_default("club_member_status", "UNKNOWN"))
     stats = (profile(clean, ["club_member_status"], "age", count_of="customer_id",
                      count_name="total_customers", accuracy=accuracy)
              .withColumn("calculation_timestamp", calculation_timestamp(as_of))
@@ -92,8 +97,7 @@ def articles_gold(silver: DataFrame, as_of=None, sort: bool = True,
     empty)."""
     if silver.isEmpty():
         return silver
-    clean = silver.withColumn("product_category",
-                              F.coalesce(F.col("product_category"), F.lit(default_category)))
+    clean = silver.withColumn("product_category", _or_default("product_category", default_category))
     out = diversity(clean, "product_category", count_of="article_id",
                     count_name="total_articles",
                     distinct={"unique_colours": "colour_group_name",

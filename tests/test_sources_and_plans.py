@@ -122,3 +122,16 @@ def test_premium_all_null_group_is_null_not_error(spark):
                                "edu string, job string, sal double, yrs double")
     r = premium(df, "edu", "sal", "yrs", "job").collect()[0]
     assert r.avg_salary is None and r.premium_score is None and r.sample_size == 1
+
+
+def test_empty_partition_values_map_to_default(spark):
+    from strata.plans.retail import articles_silver, customers_gold
+    arts = spark.createDataFrame([("a1", ""), ("a2", None), ("a3", "Shirt")],
+                                 "article_id string, product_type_name string")
+    cats = {r.article_id: r.product_category for r in articles_silver(arts, "2024-01-01").collect()}
+    assert cats == {"a1": "UNKNOWN", "a2": "UNKNOWN", "a3": "Shirt"}
+    cust = spark.createDataFrame([("c1", 30, "", "young_adult"), ("c2", 40, None, "middle_age")],
+                                 "customer_id string, age int, club_member_status string, "
+                                 "age_category string")
+    rows = customers_gold(cust, "2024-01-01").collect()
+    assert [(r.club_member_status, r.total_customers) for r in rows] == [("UNKNOWN", 2)]
