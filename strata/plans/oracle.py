@@ -363,7 +363,8 @@ SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal,
        CAST(NULL AS VARCHAR) AS _corrupt_record
 FROM customer"""
 
-_SQL["customers_silver"] = _with(SILVER_CUSTOMERS) + "\nSELECT * FROM silver_customers"
+_SQL["customers_silver"] = _with(SILVER_CUSTOMERS) + """
+SELECT * REPLACE (CAST(age AS VARCHAR) AS age) FROM silver_customers"""
 
 _SQL["customer_stats"] = _with(SILVER_CUSTOMERS, f"""
 clean AS (SELECT * REPLACE (COALESCE(club_member_status, 'UNKNOWN') AS club_member_status)
@@ -507,7 +508,7 @@ WITH bronze AS (
          CASE WHEN year(o_orderdate) < 1997 THEN 0 WHEN year(o_orderdate) < 1999 THEN 1
               ELSE 2 END AS batch
   FROM orders)
-SELECT customer_id, age, club_member_status,
+SELECT customer_id, CAST(age AS VARCHAR) AS age, club_member_status,
        CAST(2024 AS INTEGER) AS year, CAST(6 AS INTEGER) AS month,
        sha256(customer_id || CAST(age AS VARCHAR)) AS customer_hash,
        {_case('age', *AGE_CAT)} AS age_category

@@ -303,8 +303,14 @@ def _articles(spark, d):
     return retail.articles_silver(bronze_articles(spark, d), AS_OF)
 
 
+def _age_as_text(df: DataFrame) -> DataFrame:
+    # age is null for unparseable input; a nullable integer column has no
+    # common representation across engines' result frames, text does.
+    return df.withColumn("age", F.col("age").cast("string"))
+
+
 def q_customers_silver(spark, d):
-    return _strip_clock(_customers(spark, d))
+    return _age_as_text(_strip_clock(_customers(spark, d)))
 
 
 def q_customer_stats(spark, d):
@@ -448,7 +454,7 @@ def q_stream_customers_silver(spark, d):
                              lambda df: retail.customers_silver(df, AS_OF),
                              checkpoint=f"{root}/_stream", partition_by=["year", "month"])
     out = VersionedTable(spark, f"{root}/silver").read()
-    return _strip_clock(out.drop("_commit_id"))
+    return _age_as_text(_strip_clock(out.drop("_commit_id")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
