@@ -163,3 +163,32 @@ def run_retail(spark: SparkSession, customers_csv: str, articles_csv: str, root:
     sc.unpersist()
     sa.unpersist()
     return out
+
+
+def main(argv: list[str] | None = None) -> dict[str, int]:
+    """``python -m strata.plans.retail --customers ... --articles ... --root ...``
+
+    On a cluster: ``spark-submit --py-files strata.zip strata/plans/retail.py ...``.
+    """
+    import argparse
+    import json
+
+    from strata.session import get_session
+    ap = argparse.ArgumentParser(description="retail layers: bronze CSV -> silver -> gold")
+    ap.add_argument("--customers", required=True, help="bronze customers CSV path")
+    ap.add_argument("--articles", required=True, help="bronze articles CSV path")
+    ap.add_argument("--root", required=True, help="lake root (silver/ and gold/ below it)")
+    ap.add_argument("--as-of", default=None, help="run instant, UTC (default: now)")
+    ap.add_argument("--preview", action="store_true", help="show the gold tables")
+    a = ap.parse_args(argv)
+    spark = get_session(app="strata-retail")
+    try:
+        ids = run_retail(spark, a.customers, a.articles, a.root, as_of=a.as_of, preview=a.preview)
+        print(json.dumps(ids))
+        return ids
+    finally:
+        spark.catalog.clearCache()
+
+
+if __name__ == "__main__":
+    main()

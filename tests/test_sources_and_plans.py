@@ -135,3 +135,18 @@ def test_empty_partition_values_map_to_default(spark):
                                  "age_category string")
     rows = customers_gold(cust, "2024-01-01").collect()
     assert [(r.club_member_status, r.total_customers) for r in rows] == [("UNKNOWN", 2)]
+
+
+def test_salary_job_command_line(tmpdir_path):
+    import json
+    import subprocess
+    import sys
+    p = _write(os.path.join(tmpdir_path, "salary.csv"), SALARY)
+    root = os.path.join(tmpdir_path, "cli_lake")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "strata.plans.salary", "--csv", p, "--root", root,
+                          "--as-of", "2024-06-15 12:00:00"], cwd=repo, capture_output=True,
+                         text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    ids = json.loads(out.stdout.strip().splitlines()[-1])
+    assert ids["gold.industry_benchmarks"] == 1 and len(ids) == 10
