@@ -62,7 +62,8 @@ def top_dense_rank(df: DataFrame, value: str, k: int, out: str = "rank",
         Window.orderBy(F.col("_v").desc() if descending else F.col("_v").asc())))
     hits = df.join(F.broadcast(top), vcol == F.col("_v"), "inner").drop("_v")
     # Null values rank after all distinct non-null values; keep them only
-    # when that rank is still within k.
-    null_rank = (vals.select(F.count(F.lit(1))).scalar() + 1).cast("int")
+    # when that rank is still within k. The k-row top table tells: with fewer
+    # than k rows it holds every distinct value, else the null rank exceeds k.
+    null_rank = (top.select(F.count(F.lit(1))).scalar() + 1).cast("int")
     nulls = df.where(vcol.isNull()).withColumn(out, null_rank).where(F.col(out) <= k)
     return hits.unionByName(nulls)

@@ -138,3 +138,11 @@ def test_dedup_default_order_skips_map_columns(spark):
     df = spark.createDataFrame([("k", 2, {"a": 1}), ("k", 1, {"b": 2})],
                                "k string, v int, m map<string,int>")
     assert [r.v for r in dedup(df, ["k"]).collect()] == [1]
+
+
+def test_top_dense_rank_includes_nulls_within_k(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 1.0), (3, None), (4, 2.0)], "id int, v double")
+    got = {r.id: r.r for r in top_dense_rank(df, "v", 5, out="r").collect()}
+    assert got == {1: 1, 4: 1, 2: 2, 3: 3}
+    got2 = {r.id: r.r for r in top_dense_rank(df, "v", 2, out="r").collect()}
+    assert got2 == {1: 1, 4: 1, 2: 2}
