@@ -150,3 +150,17 @@ def test_salary_job_command_line(tmpdir_path):
     assert out.returncode == 0, out.stderr[-2000:]
     ids = json.loads(out.stdout.strip().splitlines()[-1])
     assert ids["gold.industry_benchmarks"] == 1 and len(ids) == 10
+
+
+def test_salary_aggregates_split_like_three_group_bys(spark, tmpdir_path):
+    from strata.plans.salary import salary_aggregates
+    p = _write(os.path.join(tmpdir_path, "s2.csv"), SALARY)
+    silver = salary_silver(read_bronze_csv(spark, p), "2024-06-15 12:00:00")
+    tables = salary_aggregates(silver, "2024-06-15 12:00:00")
+    assert set(tables) == {"education_level", "job_title", "gender"}
+    for key, df in tables.items():
+        assert key in df.columns and not ({"education_level", "job_title", "gender"} - {key}
+                                          ) & set(df.columns)
+        plain = {r[0]: r[1] for r in silver.groupBy(key).count().collect()}
+        assert {r[key]: r.record_count for r in df.collect()} == plain
+        assert {r.stat_type for r in df.collect()} == {key}
