@@ -16,7 +16,7 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
          ((('0x' || substr(h, (1 + 5 * (i // 4))::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31) + 1, 1)), '')
          AS payload_digest,
        CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id = last_id THEN NULL ELSE last_id END AS refers_to
+       CASE WHEN page_id = last_id THEN NULL ELSE last_id END::DOUBLE AS refers_to  -- as pandas holds a nullable long
 FROM hashed
 """
 
@@ -56,12 +56,12 @@ windows AS (
   FROM items),
 docs AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
 places AS (
-  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS at,
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos,
          unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g
   FROM docs JOIN (SELECT DISTINCT n FROM windows) k ON len(w) >= n),
-hits AS (SELECT p.doc_id, p.at, p.n, x.item_id FROM places p JOIN windows x ON x.n = p.n AND x.g = p.g),
+hits AS (SELECT p.doc_id, p.pos, p.n, x.item_id FROM places p JOIN windows x ON x.n = p.n AND x.g = p.g),
 hit_words AS (SELECT doc_id, count(*) AS n_hit FROM (
-  SELECT DISTINCT doc_id, unnest(range(at, at + n)) AS word FROM hits) GROUP BY doc_id),
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS word FROM hits) GROUP BY doc_id),
 hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (
   SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
