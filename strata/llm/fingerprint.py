@@ -8,8 +8,7 @@ entry when the same elements were picked and stand in the same order, so the
 share of equal entries falls with the edits between the texts, moves included,
 and not only with the elements they share.
 
-Everything is column expressions: arrays are sorted once to number the
-elements, and a second time to pick them; there is no shuffle for the
+Everything is column expressions over arrays; there is no shuffle for the
 fingerprint itself.
 
 Defined cases: a null text counts as empty; an empty text has no elements and
@@ -37,49 +36,59 @@ def _each(n: Column, f) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), f)).otherwise(F.array().cast("array<bigint>"))
 
 
+def _packed(rank: Column, at: Column) -> Column:
+    """31 bits of a rank before 32 bits of a place, as a long that sorts so."""
+    return F.shiftleft(F.shiftrightunsigned(rank, 33), 32).bitwiseOR(at.cast("long"))
+
+
 def add_fingerprint(df: DataFrame, text: str, out: str, *, k: int = K, bins: int = BINS,
                     picks: int = PICKS) -> DataFrame:
     """``df`` with the fingerprint of ``text`` as the array column ``out`` (one
-    long per bin, null where the bin is empty)."""
-    words, marks, runs = f"{out}_words", f"{out}_marks", f"{out}_runs"
-    df = df.withColumn(words, F.transform(F.filter(F.split(text, " "), lambda w: w != ""), lambda w: F.xxhash64(w)))
-    n = F.size(words)
-    gram = lambda i: F.xxhash64(*(F.get(F.col(words), i + j) for j in range(k)))
-    df = df.withColumn(words, F.when(n >= k, _each(n - (k - 1), gram)).when(
-        n > 0, F.array(F.xxhash64(F.array_join(F.transform(words, lambda w: w.cast("string")), " "))))
+    long per bin, null where the bin is empty). ``bins`` is a power of two.
+
+    Ranks and places are packed into longs, which sort without objects; the
+    numbering of equal elements is only worked out for texts that have some."""
+    grams, marks, runs = f"{out}_grams", f"{out}_marks", f"{out}_runs"
+    df = df.withColumn(grams, F.transform(F.filter(F.split(text, " "), lambda w: w != ""), lambda w: F.xxhash64(w)))
+    n = F.size(grams)
+    gram = lambda i: F.xxhash64(*(F.get(F.col(grams), i + j) for j in range(k)))
+    df = df.withColumn(grams, F.when(n >= k, _each(n - (k - 1), gram)).when(
+        n > 0, F.array(F.xxhash64(F.array_join(F.transform(grams, lambda w: w.cast("string")), " "))))
         .otherwise(F.array().cast("array<bigint>")))
-    # (element hash, place), sorted: equal elements stand together, by place
-    df = df.withColumn(marks, F.array_sort(F.transform(
-        words, lambda h, i: F.struct(h.alias("h"), i.alias("at")))))
-    # where a run of equal elements begins
-    starts = F.filter(F.transform(marks, lambda m, i: F.when(
-        (i == 0) | (F.get(F.col(marks), i - 1)["h"] != m["h"]), i)), lambda i: i.isNotNull())
-    df = df.withColumn(runs, starts)
-    end = lambda r: F.coalesce(F.get(F.col(runs), r + 1), F.size(marks))
-    number = F.flatten(F.transform(runs, lambda lo, r: F.transform(
-        F.slice(F.col(marks), lo + 1, end(r) - lo),
-        lambda m, j: _ranked(F.when(j == 0, m["h"]).otherwise(F.xxhash64(m["h"], j)), m["at"], bins))))
-    # (bin, rank, place), sorted: each bin's smallest come first
-    df = df.withColumn(marks, F.array_sort(number))
-    starts = F.filter(F.transform(marks, lambda m, i: F.when(
-        (i == 0) | (F.get(F.col(marks), i - 1)["bin"] != m["bin"]), i)), lambda i: i.isNotNull())
-    df = df.withColumn(runs, starts)
+    # (gram, place), sorted: equal grams stand together, by place; and where each run begins
+    df = df.withColumn(marks, F.when(F.size(F.array_distinct(grams)) < n, F.sort_array(
+        F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("at"))))))
+    df = df.withColumn(runs, F.filter(F.transform(marks, lambda m, i: F.when(
+        (i == 0) | (F.get(F.col(marks), i - 1)["h"] != m["h"]), i)), lambda i: i.isNotNull()))
+
+    def numbered(lo, r):
+        head, size = F.get(F.col(marks), lo), F.coalesce(F.get(F.col(runs), r + 1), F.size(marks)) - lo
+        return F.when(size == 1, F.array(_packed(head["h"], head["at"]))).otherwise(F.transform(
+            F.sequence(F.lit(0), size - 1), lambda j: _packed(
+                F.when(j == 0, head["h"]).otherwise(F.xxhash64(head["h"], j)), F.get(F.col(marks), lo + j)["at"])))
+
+    df = df.withColumn(marks, F.sort_array(F.coalesce(
+        F.flatten(F.transform(runs, numbered)), F.transform(grams, lambda h, i: _packed(h, i)))))
+    # a bin is the ranks' top bits, so each bin's smallest elements come first in its run
+    shift = 63 - (bins.bit_length() - 1)
+    df = df.withColumn(runs, F.filter(F.transform(marks, lambda m, i: F.when(
+        (i == 0) | (F.shiftright(F.get(F.col(marks), i - 1), shift) != F.shiftright(m, shift)), i)),
+        lambda i: i.isNotNull()))
 
     def entry(lo, r):
-        first = F.slice(F.col(marks), lo + 1, F.least(end(r) - lo, F.lit(picks)))
-        ordered = F.array_sort(F.transform(first, lambda m: F.struct(m["at"].alias("at"), m["rank"].alias("rank"))))
-        whole = F.aggregate(ordered, F.lit(42).cast("long"), lambda a, m: F.xxhash64(a, m["rank"]))
-        return F.struct(F.get(F.col(marks), lo)["bin"].alias("bin"), whole.alias("hash"))
+        size = F.least(F.coalesce(F.get(F.col(runs), r + 1), F.size(marks)) - lo, F.lit(picks))
+        low = lambda x: x.bitwiseAND(F.lit((1 << 32) - 1))
+        ordered = F.sort_array(F.transform(F.sequence(F.lit(0), size - 1), lambda j: F.struct(
+            low(F.get(F.col(marks), lo + j)).alias("at"),
+            F.shiftright(F.get(F.col(marks), lo + j), 32).alias("rank"))))
+        whole = F.aggregate(ordered, F.lit(42).cast("long"), lambda a, m: F.xxhash64(
+            a, m["rank"], F.get(F.col(grams), m["at"].cast("int"))))
+        return F.struct(F.shiftright(F.get(F.col(marks), lo), shift).alias("bin"), whole.alias("hash"))
 
     df = df.withColumn(runs, F.map_from_entries(F.transform(runs, entry)))
-    return df.withColumn(out, F.transform(F.sequence(F.lit(0), F.lit(bins - 1)),
-                                          lambda b: F.try_element_at(F.col(runs), b.cast("long")))
-                         ).drop(words, marks, runs)
-
-
-def _ranked(rank: Column, at: Column, bins: int) -> Column:
-    return F.struct(F.pmod(F.shiftrightunsigned(rank, 40), F.lit(bins)).cast("long").alias("bin"),
-                    rank.alias("rank"), at.alias("at"))
+    # not a lambda over the bins: the optimiser would put the map into it, once per bin
+    return df.withColumn(out, F.array(*(F.try_element_at(runs, F.lit(b).cast("long")) for b in range(bins)))
+                         ).drop(grams, marks, runs)
 
 
 def likeness(a: str, b: str) -> Column:
@@ -104,37 +113,35 @@ def _range_of(value: Column, bounds: list, lo: int = 0) -> Column:
         _range_of(value, bounds[mid + 1:], lo + mid + 1))
 
 
-def with_next(rows: DataFrame, *columns: str) -> DataFrame:
-    """``rows`` with, for each of ``columns``, ``next_<column>``: its value in
-    the row with the next doc_id (equal ids by text; after the last, the
-    first). Rows are dealt into ranges of ids found by quantiles, so that the
+def with_next(rows: DataFrame, derive, *columns: str) -> DataFrame:
+    """``derive(rows)`` with, for each of ``columns``, ``next_<column>``: its
+    value in the row with the next doc_id (equal ids by text; after the last,
+    the first). ``rows`` holds doc_id and text; ``derive`` adds columns row by
+    row. Rows are dealt into ranges of ids found by quantiles, so that the
     order is made side by side; the first rows of the ranges close the gaps."""
-    spark = rows.sparkSession
-    n = shuffle_partitions(spark) * RANGES
-    found = rows.select("doc_id").agg(F.percentile_approx(
-        "doc_id", [k / n for k in range(1, n)], 10 * n)).first()[0] if n > 1 else []
+    n = shuffle_partitions(rows.sparkSession) * RANGES
+    found = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 10 * n)).first()[0] if n > 1 else []
     dealt = rows.withColumn("range", F.coalesce(
         F.when(F.col("doc_id").isNull(), -1), _range_of(F.col("doc_id"), sorted(set(found or [])))))
     order = [F.col("doc_id").asc_nulls_first(), "text"]
-    w = Window.partitionBy("range").orderBy(*order)
-    value = F.struct(*columns)
-    chained = dealt.withColumn("following", F.lead(value).over(w))
-    firsts = dealt.groupBy("range").agg(F.min(F.struct("doc_id", "text", *(c for c in columns if c != "text"))).alias("f"))
-    firsts = firsts.select("range", F.struct(*(F.col(f"f.{c}").alias(c) for c in columns)).alias("first"))
+    ranged = derive(dealt)
+    chained = ranged.withColumn("following", F.lead(F.struct(*columns)).over(
+        Window.partitionBy("range").orderBy(*order)))
+    firsts = dealt.groupBy("range").agg(F.min(F.struct("doc_id", "text")).alias("f")).select("range", "f.*")
+    firsts = derive(firsts).select("range", F.struct(*columns).alias("first"))
     over = Window.orderBy("range")                          # one row per range
     gaps = firsts.select(F.col("range").alias("gap"), F.coalesce(
         F.lead("first").over(over), F.first("first").over(over)).alias("beyond"))
     return chained.join(gaps, F.col("range") == F.col("gap")).select(
-        *rows.columns, *(F.coalesce(F.col(f"following.{c}"), F.when(F.col("following").isNull(), F.col(f"beyond.{c}")))
-                         .alias(f"next_{c}") for c in columns))
+        *(c for c in ranged.columns if c != "range"),
+        *(F.when(F.col("following").isNull(), F.col(f"beyond.{c}")).otherwise(F.col(f"following.{c}"))
+          .alias(f"next_{c}") for c in columns))
 
 
 def fingerprints(docs: DataFrame, *, k: int = K, bins: int = BINS, picks: int = PICKS,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, n_chars and fingerprint (array of longs) per document."""
-    rows = id_text(docs, id_col, text_col)
-    return add_fingerprint(rows, "text", "fingerprint", k=k, bins=bins, picks=picks).withColumn(
-        "n_chars", F.length("text").cast("long"))
+    """doc_id, text and fingerprint (array of longs) per document."""
+    return add_fingerprint(id_text(docs, id_col, text_col), "text", "fingerprint", k=k, bins=bins, picks=picks)
 
 
 def edited_report(docs: DataFrame, *, k: int = K, bins: int = BINS, picks: int = PICKS,
@@ -142,8 +149,9 @@ def edited_report(docs: DataFrame, *, k: int = K, bins: int = BINS, picks: int =
     """The contract's columns: every document's fingerprint, that of its
     edited text (its last quarter replaced by as much of the next document's
     beginning), and how like its own they and the next document's are."""
-    rows = fingerprints(docs, k=k, bins=bins, picks=picks, id_col=id_col, text_col=text_col)
-    rows = with_next(rows, "text", "fingerprint")
+    rows = with_next(id_text(docs, id_col, text_col),
+                     lambda df: add_fingerprint(df, "text", "fingerprint", k=k, bins=bins, picks=picks),
+                     "text", "fingerprint").withColumn("n_chars", F.length("text").cast("long"))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.left("text", F.col("n_chars").cast("int") - quarter), F.left("next_text", quarter))
     rows = rows.select("doc_id", "n_chars", "fingerprint", "next_fingerprint", edited.alias("edited"))
