@@ -14,9 +14,12 @@ with equal sets form a class, and only classes go on.
   ranges) and set size. The sketch only rules out pairs: its limit lies 4.5
   standard deviations below the threshold. From a node's remaining pairs the
   most alike that span it are confirmed on full sets and joined.
-* Second round: what the first left apart in a node is compared in full: every
-  remaining pair of different components is confirmed, in large nodes by
-  taking all classes outside the node's main component to each block.
+* Second round: what the first left apart in a node is compared in full, in
+  large nodes by taking all classes outside the node's main component to each
+  block. Classes tied by pairs that the sketch leaves open, in different
+  components, form groups; equal groups from different nodes are one. A
+  group's full sets meet in one task, which finds all their intersections by
+  one matrix product and sends on the links that join components.
 
 Independent trees are repeated to the wanted recall (``recall_at``): with the
 default eight trees a pair at the threshold of 0.85 meets in a first-level
@@ -171,69 +174,161 @@ def alike(n: np.ndarray, s: np.ndarray, k: int, percent: int) -> tuple[np.ndarra
     return ok + k + 1, est[ok]
 
 
-def node_pairs(keys: list, n: np.ndarray, s: np.ndarray, labels: list | None, percent: int) -> list[tuple]:
-    """Pairs of one node to confirm. Without labels: the most alike pairs that
-    span everything that may be linked. With labels: all pairs that may be
-    linked and have different ones."""
+class Forest:
+    """Union-find over the members of a group."""
+
+    def __init__(self, n: int):
+        self.top = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self.top[x] != x:
+            self.top[x] = self.top[self.top[x]]
+            x = self.top[x]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        a, b = self.root(a), self.root(b)
+        self.top[a] = b
+        return a != b
+
+
+def open_pairs(n: np.ndarray, s: np.ndarray, labels: list | None, percent: int) -> list[tuple[float, int, int]]:
+    """(minus the estimate, i, j) of a node's pairs that may be linked, and
+    have different labels if there are any."""
     pairs = []
-    for k in range(len(keys) - 1):
+    for k in range(len(n) - 1):
         at, est = alike(n, s, k, percent)
-        pairs += [(-e, k, j) for j, e in zip(at.tolist(), est.tolist())
-                  if keys[j] != keys[k] and (labels is None or labels[j] != labels[k])]
-    if labels is None:
-        top = list(range(len(keys)))
-
-        def root(x):
-            while top[x] != x:
-                top[x] = top[top[x]]
-                x = top[x]
-            return x
-
-        kept = []
-        for p in sorted(pairs):
-            a, b = root(p[1]), root(p[2])
-            if a != b:
-                top[a] = b
-                kept.append(p)
-        pairs = kept
-    return [(min(keys[i], keys[j]), max(keys[i], keys[j])) for _, i, j in pairs]
-
-
-def compare(members: DataFrame, classes: DataFrame, percent: int, labelled: bool) -> DataFrame:
-    """Distinct pairs (a, b) of keys to confirm from rows of (path, block, key
-    and, if labelled, label). Groups stream through their task one by one."""
-    rows = members.join(classes.select("key", "n", "sketch"), "key")
-    rows = rows.repartition("path", "block").sortWithinPartitions("path", "block", "key")
-    columns = ["path", "block", "key", "n", "sketch", *(["label"] if labelled else [])]
+        pairs += [(-e, k, j) for j, e in zip(at.tolist(), est.tolist()) if labels is None or labels[j] != labels[k]]
+    return pairs
+
+
+def streamed(batches, n_keys: int):
+    """Groups of rows with equal first ``n_keys`` columns, from batches sorted
+    by them: lists of the other columns' values, one group at a time."""
+    now, held = None, []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if row[:n_keys] != now:
+                if held:
+                    yield held
+                now, held = row[:n_keys], []
+            held.append(row[n_keys:])
+    if held:
+        yield held
+
+
+def _sketched(members: DataFrame, classes: DataFrame, *more: str) -> DataFrame:
+    rows = members.join(classes.select("key", "n", "sketch"), "key").select(
+        "path", "block", "key", "n", "sketch", *more)
+    return rows.repartition("path", "block").sortWithinPartitions("path", "block", "key")
+
+
+def _arrays(group: list) -> tuple[list, np.ndarray, np.ndarray]:
+    """The rows of distinct keys, their set sizes and sketches."""
+    group = [r for k, r in enumerate(group) if not k or r[0] != group[k - 1][0]]
+    sketches = np.frombuffer(b"".join(r[2] for r in group), dtype=np.uint8).reshape(len(group), SKETCH)
+    return group, np.array([r[1] for r in group]), sketches
+
 
+def span(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of keys: per block, the most alike pairs that
+    span everything in it that may be linked. At most one per member."""
     def run(batches):
         import pyarrow as pa
 
-        group, held = None, []
+        for group in streamed(batches, 2):
+            if len(group) < 2:
+                continue
+            group, n, s = _arrays(group)
+            forest = Forest(len(group))
+            kept = [(group[i][0], group[j][0]) for _, i, j in sorted(open_pairs(n, s, None, percent))
+                    if forest.join(i, j)]
+            if kept:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([min(p) for p in kept], pa.binary()), pa.array([max(p) for p in kept], pa.binary())],
+                    names=["a", "b"])
 
-        def pairs():
-            if len(held) < 2:
-                return []
-            s = np.frombuffer(b"".join(r[2] for r in held), dtype=np.uint8).reshape(len(held), SKETCH)
-            return node_pairs([r[0] for r in held], np.array([r[1] for r in held]), s,
-                              [r[3] for r in held] if labelled else None, percent)
+    return _sketched(members, classes).mapInArrow(run, "a binary, b binary").distinct()
 
-        def send(found):
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)],
-                                              names=["a", "b"])
 
-        for b in batches:
-            out = []
-            for path, block, *row in zip(*(c.to_pylist() for c in b.columns)):
-                if (path, block) != group:
-                    out += pairs()
-                    group, held = (path, block), []
-                if not held or held[-1][0] != row[0]:
-                    held.append(row)
-            yield send(out)
-        yield send(pairs())
+def open_groups(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(group, key, label) of the members that open pairs tie together across
+    labels; a group is named by its members, so equal ones are one."""
+    def run(batches):
+        import pyarrow as pa
+
+        for rows in streamed(batches, 2):
+            if len(rows) < 2:
+                continue
+            rows, n, s = _arrays(rows)
+            labels = [r[3] for r in rows]
+            forest, tied = Forest(len(rows)), set()
+            for _, i, j in open_pairs(n, s, labels, percent):
+                forest.join(i, j)
+                tied |= {i, j}
+            groups: dict[int, list[int]] = {}
+            for k in sorted(tied):
+                groups.setdefault(forest.root(k), []).append(k)
+            out = [(hashlib.blake2b(b"".join(rows[k][0] for k in g), digest_size=16).digest(), rows[k][0], labels[k])
+                   for g in groups.values() for k in g]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)],
+                                                 names=["group", "key", "label"])
+
+    return _sketched(members, classes, "label").mapInArrow(
+        run, "group binary, key binary, label binary").distinct()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
+def intersections(sets: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
+    """Sizes of all pairwise intersections: the product of the sets' incidence
+    matrix, over elements in two sets or more, with its transpose."""
+    which = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = np.cumsum(shared) - 1
+    use = np.flatnonzero(shared[place])
+    row, col = which[use], column[place[use]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(sets), len(sets)))
+    for lo in range(0, int(shared.sum()), columns):
+        a, b = np.searchsorted(col, [lo, lo + columns])
+        x = np.zeros((len(sets), columns), dtype=np.float32)
+        x[row[a:b], col[a:b] - lo] = 1
+        out += x @ x.T
+    return out
+
+
+def group_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) on full sets that join different labels within a group; at
+    most one per member."""
+    rows = groups.join(sets, "key").select("group", "key", "label", "set")
+    rows = rows.repartition("group").sortWithinPartitions("group", "key")
 
-    return rows.select(*columns).mapInArrow(run, "a binary, b binary").distinct()
+    def run(batches):
+        import pyarrow as pa
+
+        for group in streamed(batches, 1):
+            arrays = [unpack(r[2]) for r in group]
+            both, n = intersections(arrays), np.array([len(x) for x in arrays])
+            alike = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+            names = {label: k for k, label in reversed(list(enumerate(r[1] for r in group)))}
+            forest = Forest(len(group))
+            for k, r in enumerate(group):
+                forest.join(k, names[r[1]])
+            kept = [(group[i][0], group[j][0]) for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(alike, 1))))
+                    if forest.join(i, j)]
+            if kept:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*kept)], names=["u", "v"])
+
+    return rows.mapInArrow(run, "u binary, v binary")
 
 
 def blocks(nodes: DataFrame, leaf: int) -> DataFrame:
@@ -272,10 +367,9 @@ def leftovers(nodes: DataFrame, labels: DataFrame, leaf: int) -> DataFrame:
     return small.union(both)
 
 
-def full_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(key, set) of the classes in ``pairs``: 48 bits of each sorted hash,
-    recomputed from one whole text of each class."""
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+def full_sets(docs: DataFrame, keys: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(key, set) of classes: 48 bits of each sorted hash, recomputed from one
+    whole text of each class."""
     wanted = keys.join(classes.select("key", "rep"), "key").select(F.col("rep").alias("doc_id"), "key")
     rows = docs.join(wanted, "doc_id")
 
@@ -300,11 +394,6 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left, right = (sets.select(F.col("key").alias(k), F.col("set").alias(f"set_{k}")) for k in ("a", "b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
 
-    def unpack(raw: bytes) -> np.ndarray:
-        out = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
-        out[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
-        return out.view(np.uint64).ravel()
-
     def run(batches):
         import pyarrow as pa
 
@@ -332,14 +421,18 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, width: int = WID
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("paths").alias("paths"),
             F.first("sketch").alias("sketch")), "classes")
     nodes = materialize(meet(classes, len(branches), leaf), "nodes")
-    first = materialize(compare(blocks(nodes, leaf), classes, percent, False), "pairs")
-    sets = materialize(full_sets(rows, first, classes, width), "sets")
+    first = materialize(span(blocks(nodes, leaf), classes, percent), "pairs")
+    keys = first.select(F.col("a").alias("key")).union(first.select("b")).distinct()
+    sets = materialize(full_sets(rows, keys, classes, width), "sets")
     links = materialize(confirm(first, sets, percent), "links")
     labels = components(links)
-    second = compare(leftovers(nodes, labels, leaf), classes, percent, True)
-    second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = confirm(second, sets, percent)
-    labels = components(links.union(more))
+    groups = materialize(open_groups(leftovers(nodes, labels, leaf), classes, percent), "groups")
+    new = materialize(groups.select("key").distinct().join(sets, "key", "left_anti"), "keys")
+    if not new.isEmpty():                  # met for the first time, across blocks
+        sets = sets.union(materialize(full_sets(rows, new, classes, width), "sets"))
+    more = materialize(group_links(groups, sets, percent), "links")
+    if not more.isEmpty():
+        labels = components(links.union(more))
     ids = classes.select("key", "rep").join(labels, F.col("key") == F.col("vertex"), "left").select(
         "key", "rep", F.coalesce("component", "key").alias("part"))
     least = ids.groupBy("part").agg(F.min("rep").alias("component_id"))
