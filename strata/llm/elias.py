@@ -11,21 +11,24 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
-_POP = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
-_AT = np.zeros((256, 8), dtype=np.uint8)
+_L8, _H8 = _U(0x0101010101010101), _U(0x8080808080808080)
+#: Place of the k-th set bit of a byte, by byte and k.
+_AT = np.zeros((256, 8), dtype=np.uint64)
 for _b in range(256):
     _at = [k for k in range(8) if _b >> k & 1]
     _AT[_b, :len(_at)] = _at
 
 
 def _bit_at(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th (from 0) set bit of each word."""
-    raw = words.astype("<u8").view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_POP[raw], axis=1, dtype=np.int64)
-    byte = (upto <= k[:, None]).sum(axis=1)
-    row = np.arange(len(raw))
-    before = np.where(byte > 0, upto[row, byte - 1], 0)
-    return byte * 8 + _AT[raw[row, byte], k - before]
+    """Place of the k-th (from 0) set bit of each word: counts of the bits up
+    to each byte, side by side in one word, show the byte to look into."""
+    k = k.astype(_U)
+    c = words - ((words >> _U(1)) & _U(0x5555555555555555))
+    c = (c & _U(0x3333333333333333)) + ((c >> _U(2)) & _U(0x3333333333333333))
+    upto = ((c + (c >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _L8
+    place = np.bitwise_count(((k * _L8 | _H8) - upto) & _H8).astype(_U) << _U(3)
+    before = ((upto << _U(8)) >> place) & _U(0xFF)
+    return (place + _AT[((words >> place) & _U(0xFF)).astype(np.intp), (k - before).astype(np.intp)]).astype(np.int64)
 
 
 def pack(values: np.ndarray, bits: int) -> np.ndarray:

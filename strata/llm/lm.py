@@ -53,6 +53,9 @@ ADD = 0.1
 STEPS = 32
 #: Tokens gathered in a task before their n-grams are sent on.
 FLUSH = 4 << 20
+#: Bytes of text whose n-grams are looked up together: the more, the fewer
+#: distinct queries per token and visits to each shard.
+TOGETHER = 8 << 20
 END = np.uint64(0x656E64206F662074)
 _UNIT = 10.0 ** (-np.arange(256) / STEPS)
 _TAIL = struct.Struct("<Q")
@@ -230,6 +233,19 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (np.insert(words.hashes, words.bounds[1:], END), words.bounds + np.arange(len(words.bounds)))
 
 
+def together(groups):
+    """Groups of columns (see words.grouped) joined up to about TOGETHER bytes."""
+    held, size = None, 0
+    for g in groups:
+        held = g if held is None else [a + b for a, b in zip(held, g)]
+        size += sum(map(len, g[-1]))
+        if size >= TOGETHER:
+            yield held
+            held, size = None, 0
+    if held is not None:
+        yield held
+
+
 def _starts(bounds: np.ndarray) -> np.ndarray:
     out = np.zeros(int(bounds[-1]), dtype=bool)
     out[bounds[:-1]] = True
@@ -336,7 +352,7 @@ def count_grams(train: DataFrame, level: int, make_trie, min_count: int, buckets
                 [pa.array(used), pa.array([keys[at[b]:at[b + 1]].tobytes() for b in used], pa.binary()),
                  pa.array([n[at[b]:at[b + 1]].tobytes() for b in used], pa.binary())], names=["bucket", "keys", "n"])
 
-        for _, texts in grouped(batches, "doc_id", "text"):
+        for _, texts in together(grouped(batches, "doc_id", "text")):
             h, bounds = tokens(texts)
             ids, _ = trie.ids(h)
             start = _starts(bounds)
@@ -489,7 +505,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
         import pyarrow as pa
 
         trie = model()
-        for ids, out, texts in grouped(batches, "doc_id", "held_out", "text"):
+        for ids, out, texts in together(grouped(batches, "doc_id", "held_out", "text")):
             h, bounds = tokens(texts)
             word, count = trie.ids(h)
             known = np.add.reduceat((count > 0).astype(np.int64), bounds[:-1])
