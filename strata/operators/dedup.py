@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _orderable(t: T.DataType) -> bool:
+def orderable(t: T.DataType) -> bool:
     if isinstance(t, T.MapType):
         return False
     if isinstance(t, T.ArrayType):
-        return _orderable(t.elementType)
+        return orderable(t.elementType)
     if isinstance(t, T.StructType):
-        return all(_orderable(f.dataType) for f in t.fields)
+        return all(orderable(f.dataType) for f in t.fields)
     return True
 
 
@@ -25,7 +25,7 @@ def _order(df: DataFrame, keys: Sequence[str], order_by) -> list[Column]:
         # ascending, so the survivor does not depend on partitioning or
         # arrival order.
         return [F.col(f.name).asc_nulls_last() for f in df.schema.fields
-                if f.name not in keys and _orderable(f.dataType)]
+                if f.name not in keys and orderable(f.dataType)]
     out = []
     for o in order_by:
         out.append(F.col(o).asc_nulls_last() if isinstance(o, str) else o)

@@ -12,75 +12,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.dedup import dedup
+from strata.operators.dedup import dedup, orderable
 
 _SRC = "_strata_src"
 
 
-def _order(precombine: str, tie_break: Sequence[Column | str]) -> list[Column]:
-    return ([F.col(precombine).desc_nulls_last(), F.col(_SRC).desc()]
-            + [F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tie_break])
-
-
-# Upper bound on the distinct keys of a change batch that are broadcast to
-# every task (a few tens of MB for typical keys). Beyond it the upsert falls
-# back to one shuffle of base and changes together.
-BROADCAST_KEYS_LIMIT = 1_000_000
-
-
-def _keys_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
-def _split_untouched(base: DataFrame, changed: DataFrame, keys: Sequence[str],
-                     limit: int | None) -> tuple[DataFrame, DataFrame] | None:
-    """(base rows whose key is untouched, base rows whose key changed), split
-    map-side against a broadcast of the changed keys -- only when the number
-    of changed keys is checked to be at most ``limit``."""
-    if not limit:
-        return None
-    ck = changed.select(*keys).distinct()
-    if ck.limit(limit + 1).count() > limit:
-        return None
-    b, k = base.alias("_base"), F.broadcast(ck).alias("_keys")
-    on = _keys_on(b, k, keys)
-    return b.join(k, on, "left_anti"), b.join(k, on, "left_semi")
+def _merge(rows: DataFrame, keys: Sequence[str], precombine: str, tie_break: Sequence[Column | str]) -> DataFrame:
+    """One row per key: greatest ``precombine``, then the latest source, then
+    ``tie_break``, then every other orderable column, so that the survivor
+    never depends on the order of the input."""
+    order = [F.col(precombine).desc_nulls_last(), F.col(_SRC).desc()]
+    order += [F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tie_break]
+    order += [F.col(f.name).asc_nulls_last() for f in rows.schema.fields
+              if f.name not in (*keys, precombine, _SRC) and orderable(f.dataType)]
+    return dedup(rows, keys, order).drop(_SRC)
 
 
 def upsert(base: DataFrame | None, changes: DataFrame, keys: Sequence[str], precombine: str,
-           tie_break: Sequence[Column | str] = (), replace: bool = False,
-           broadcast_keys_limit: int | None = BROADCAST_KEYS_LIMIT) -> DataFrame:
-    """Merge ``changes`` into ``base``: per key, the row with the greatest
-    ``precombine`` wins; on equal ``precombine`` the change beats the base,
-    then ``tie_break`` decides. Keys absent from ``changes`` pass unchanged.
+           tie_break: Sequence[Column | str] = (), replace: bool = False) -> DataFrame:
+    """Merge ``changes`` into ``base``: one row per key, the one with the
+    greatest ``precombine``; on equal ``precombine`` the change beats the base,
+    then ``tie_break`` and the remaining columns decide. Duplicate keys within
+    either side are collapsed too.
 
     ``replace=True`` drops ``base`` (an overwrite that still collapses
     duplicate keys inside the incoming batch).
 
-    When the batch has at most ``broadcast_keys_limit`` distinct keys
-    (checked with one job over the batch), those keys are broadcast: base
-    rows of untouched keys pass through map-side, without any shuffle, and
-    only the rows of changed keys are shuffled and ranked. Otherwise base and
-    batch are shuffled together once.
-
-    ``base`` is a keyed table: one row per key (every table written by an
-    upsert is). Untouched base rows are passed through as they are.
+    The plan is the same for every size of batch: one shuffle of at most one
+    row per key and map task.
     """
-    order = _order(precombine, tie_break)
     c = changes.withColumn(_SRC, F.lit(1))
-    if base is None or replace:
-        return dedup(c, keys, order).drop(_SRC)
-    split = _split_untouched(base, changes, keys, broadcast_keys_limit)
-    if split is None:
-        u = base.withColumn(_SRC, F.lit(0)).unionByName(c, allowMissingColumns=True)
-        return dedup(u, keys, order).drop(_SRC)
-    untouched, touched = split
-    merged = dedup(touched.withColumn(_SRC, F.lit(0)).unionByName(c, allowMissingColumns=True),
-                   keys, order).drop(_SRC)
-    return untouched.unionByName(merged, allowMissingColumns=True)
+    if base is not None and not replace:
+        c = base.withColumn(_SRC, F.lit(0)).unionByName(c, allowMissingColumns=True)
+    return _merge(c, keys, precombine, tie_break)
 
 
 def global_upsert(base: DataFrame | None, changes: DataFrame, key: str, precombine: str,
@@ -96,30 +60,16 @@ def global_upsert(base: DataFrame | None, changes: DataFrame, key: str, precombi
 
 
 def merge_on_read(base: DataFrame | None, deltas: Sequence[DataFrame], keys: Sequence[str],
-                  precombine: str, tie_break: Sequence[Column | str] = (),
-                  broadcast_keys_limit: int | None = BROADCAST_KEYS_LIMIT) -> DataFrame:
+                  precombine: str, tie_break: Sequence[Column | str] = ()) -> DataFrame:
     """View of ``base`` with ``deltas`` applied in order, evaluated at read.
 
     Equal to applying :func:`upsert` delta by delta: a later delta beats an
-    earlier one on equal ``precombine``. One shuffle however many deltas;
-    with few changed keys (checked), only their rows are shuffled.
+    earlier one on equal ``precombine``. One shuffle however many deltas.
     """
     if base is None and not deltas:
         raise ValueError("nothing to read")
-    changed = None
+    rows = None if base is None else base.withColumn(_SRC, F.lit(0))
     for i, d in enumerate(deltas, start=1):
         d = d.withColumn(_SRC, F.lit(i))
-        changed = d if changed is None else changed.unionByName(d, allowMissingColumns=True)
-    order = _order(precombine, tie_break)
-    if changed is None:
-        return base
-    if base is None:
-        return dedup(changed, keys, order).drop(_SRC)
-    split = _split_untouched(base, changed, keys, broadcast_keys_limit)
-    if split is None:
-        u = base.withColumn(_SRC, F.lit(0)).unionByName(changed, allowMissingColumns=True)
-        return dedup(u, keys, order).drop(_SRC)
-    untouched, touched = split
-    merged = dedup(touched.withColumn(_SRC, F.lit(0))
-                   .unionByName(changed, allowMissingColumns=True), keys, order).drop(_SRC)
-    return untouched.unionByName(merged, allowMissingColumns=True)
+        rows = d if rows is None else rows.unionByName(d, allowMissingColumns=True)
+    return _merge(rows, keys, precombine, tie_break)

@@ -21,15 +21,14 @@ def _model(base, changes):
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(base=st.dictionaries(st.integers(0, 5), st.tuples(st.integers(0, 3), st.integers(0, 9)),
                             max_size=6),
-       changes=st.lists(ROW, max_size=8), limit=st.sampled_from([0, 1000]))
-def test_upsert_matches_model(spark, base, changes, limit):
+       changes=st.lists(ROW, max_size=8))
+def test_upsert_matches_model(spark, base, changes):
     # base is a keyed table: one row per key
     base = [(k, ts, v) for k, (ts, v) in base.items()]
     schema = "k int, ts int, v int"
     b = spark.createDataFrame(base, schema)
     c = spark.createDataFrame(changes, schema)
-    got = sorted(tuple(r) for r in upsert(b, c, ["k"], "ts", tie_break=["v"],
-                                          broadcast_keys_limit=limit).collect())
+    got = sorted(tuple(r) for r in upsert(b, c, ["k"], "ts", tie_break=["v"]).collect())
     assert got == _model(base, changes)
 
 
