@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.numeric import exact
 from strata.session import materialize
 
 
@@ -85,13 +86,15 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
         F.min(F.when(F.col("_cum") > F.col("_hi"), F.col("_v"))).alias("_vhi"),
         F.max("_pos").alias("_pos"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     same = (F.col("_lo") == F.col("_hi")) | (F.col("_vlo") == F.col("_vhi"))
+    plain = F.when(same, F.col("_vlo")).otherwise(
+        (F.col("_hi") - F.col("_pos")) * F.col("_vlo")
+        + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
     if digits is None:
-        res = F.when(same, F.col("_vlo")).otherwise(
-            (F.col("_hi") - F.col("_pos")) * F.col("_vlo")
-            + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
-    else:
-        d = "decimal(38,10)"
-        res = F.round(F.when(same, F.col("_vlo").cast(d)).otherwise(
-            (F.col("_hi") - F.col("_pos")).cast(d) * F.col("_vlo").cast(d)
-            + (F.col("_pos") - F.col("_lo")).cast(d) * F.col("_vhi").cast(d)), digits).cast("double")
-    return picked.select(*keys, res.alias(out))
+        return picked.select(*keys, plain.alias(out))
+    # Null, not an error, where a decimal cannot hold a value; the plain
+    # double interpolation answers then.
+    lo, hi = exact("_vlo"), exact("_vhi")
+    res = F.round(F.when(same, lo).otherwise(
+        exact(F.col("_hi") - F.col("_pos")) * lo
+        + exact(F.col("_pos") - F.col("_lo")) * hi), digits).cast("double")
+    return picked.select(*keys, F.coalesce(res, F.round(plain, digits)).alias(out))

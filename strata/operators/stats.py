@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import exact, rounded_mean, rounded_ratio
+from strata.functions.numeric import mean_of_parts, mean_parts, rounded_mean
 from strata.operators.quantiles import exact_percentile, null_safe_on
 from strata.operators.rank import global_dense_rank
 
@@ -177,40 +177,35 @@ def premium(df: DataFrame, key: str, value: str, second: str, item: str, *,
     """
     v, s = F.col(value), F.col(second)
     lvl1 = df.groupBy(key, item).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(exact(v)).alias("_sv"), F.count(v).alias("_nv"),
-        F.sum(exact(s)).alias("_ss"), F.count(s).alias("_ns"),
-        F.max(v).alias("_mx"))
+        F.count(F.lit(1)).alias("_rows"), F.max(v).alias("_mx"),
+        *mean_parts(v, "_v"), *mean_parts(s, "_s"))
+    # Negative counts first: the built-in struct order is then the list's order.
     entry = F.when(F.col(item).isNotNull(),
-                   F.struct(F.col("_rows").alias("n"), F.col(item).alias("item")))
-    lvl2 = lvl1.groupBy(key).agg(
-        F.sum("_rows").alias(count_name),
-        rounded_ratio(F.sum("_sv"), F.sum("_nv"), digits).alias(f"avg_{value_name}"),
-        rounded_ratio(F.sum("_ss"), F.sum("_ns"), digits).alias(f"avg_{second_name}"),
-        F.round(F.max("_mx"), digits).alias(f"max_{value_name}"),
-        F.count(F.col(item)).alias(distinct_name),
-        F.collect_list(entry).alias("_entries"))
-    ordered = F.transform(
-        F.array_sort(F.col("_entries"), lambda a, b: F.when(a["n"] > b["n"], -1)
-                     .when(a["n"] < b["n"], 1)
-                     .when(a["item"] < b["item"], -1)
-                     .when(a["item"] > b["item"], 1).otherwise(0)),
-        lambda e: F.struct(e["item"].alias(item), e["n"].alias("n")))
-    out = lvl2.withColumn(list_name, ordered).drop("_entries")
+                   F.struct((-F.col("_rows")).alias("less"), F.col(item).alias("item")))
+
+    def listed(entries: str) -> Column:
+        return F.transform(F.sort_array(entries), lambda e: F.struct(
+            e["item"].alias(item), (-e["less"]).alias("n")))
+
+    aggs = [F.sum("_rows").alias(count_name),
+            mean_of_parts("_v", digits).alias(f"avg_{value_name}"),
+            mean_of_parts("_s", digits).alias(f"avg_{second_name}"),
+            F.round(F.max("_mx"), digits).alias(f"max_{value_name}"),
+            F.count(F.col(item)).alias(distinct_name)]
+    if top_n is None:
+        out = (lvl1.groupBy(key).agg(*aggs, F.collect_list(entry).alias("_entries"))
+                   .withColumn(list_name, listed("_entries")).drop("_entries"))
+    else:
+        out = lvl1.groupBy(key).agg(*aggs)
     if top_n is not None:
         # Only the n most common items per group: ranked on the (group, item)
         # rows with a map-side limited row_number, never the whole list.
         w = Window.partitionBy(key).orderBy(F.col("_rows").desc(), F.col(item).asc())
         top = (lvl1.where(F.col(item).isNotNull())
                    .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top_n))
-        lists = top.groupBy(key).agg(F.collect_list(F.struct(
-            F.col("_rows").alias("n"), F.col(item).alias("item"))).alias("_entries"))
-        lists = lists.withColumn(list_name, F.transform(
-            F.array_sort(F.col("_entries"), lambda a, b: F.when(a["n"] > b["n"], -1)
-                         .when(a["n"] < b["n"], 1).when(a["item"] < b["item"], -1)
-                         .when(a["item"] > b["item"], 1).otherwise(0)),
-            lambda e: F.struct(e["item"].alias(item), e["n"].alias("n")))).drop("_entries")
-        out = _left_join_on_keys(out.drop(list_name), lists, [key])
+        lists = (top.groupBy(key).agg(F.collect_list(entry).alias("_entries"))
+                    .withColumn(list_name, listed("_entries")).drop("_entries"))
+        out = _left_join_on_keys(out, lists, [key])
     return (out
                 .withColumn("premium_score",
                             F.round((F.col(f"avg_{value_name}") - F.lit(base)) / F.lit(step),
@@ -218,28 +213,36 @@ def premium(df: DataFrame, key: str, value: str, second: str, item: str, *,
 
 
 # -------------------------------------------------------------------------- C11
-def gap(df: DataFrame, a: str, b: str, value: str, second: str, *,
-        distinct: dict[str, str], value_name: str = "salary",
-        second_name: str = "experience", count_name: str = "sample_size",
-        digits: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(overview by ``a``, breakdown by ``a`` x ``b``).
-
-    The overview's exact median comes from :func:`exact_percentile`, which
-    never holds a whole group in one task.
-    """
-    v = F.col(value)
+def gap_overview(df: DataFrame, a: str, value: str, second: str, *, distinct: dict[str, str],
+                 value_name: str = "salary", second_name: str = "experience",
+                 count_name: str = "sample_size", digits: int = 2) -> DataFrame:
+    """Per ``a``: size, rounded means, distinct counts and the exact median,
+    which comes from :func:`exact_percentile` and so never holds a whole
+    group in one task."""
     over = df.groupBy(a).agg(
         F.count(F.lit(1)).alias(count_name),
-        rounded_mean(v, digits).alias(f"avg_{value_name}"),
+        rounded_mean(value, digits).alias(f"avg_{value_name}"),
         rounded_mean(second, digits).alias(f"avg_{second_name}"),
         *[F.countDistinct(c).alias(n) for n, c in distinct.items()])
     med = exact_percentile(df, [a], value, 0.5, out=f"median_{value_name}", digits=digits)
-    overview = _left_join_on_keys(over, med, [a])
-    pairs = df.groupBy(a, b).agg(
+    return _left_join_on_keys(over, med, [a])
+
+
+def gap_pairs(df: DataFrame, a: str, b: str, value: str, second: str, *,
+              value_name: str = "salary", second_name: str = "experience",
+              count_name: str = "sample_size", digits: int = 2) -> DataFrame:
+    """Per ``a`` x ``b``: size and rounded means."""
+    return df.groupBy(a, b).agg(
         F.count(F.lit(1)).alias(count_name),
-        rounded_mean(v, digits).alias(f"avg_{value_name}"),
+        rounded_mean(value, digits).alias(f"avg_{value_name}"),
         rounded_mean(second, digits).alias(f"avg_{second_name}"))
-    return overview, pairs
+
+
+def gap(df: DataFrame, a: str, b: str, value: str, second: str, *,
+        distinct: dict[str, str], **names) -> tuple[DataFrame, DataFrame]:
+    """(:func:`gap_overview` by ``a``, :func:`gap_pairs` by ``a`` x ``b``)."""
+    return (gap_overview(df, a, value, second, distinct=distinct, **names),
+            gap_pairs(df, a, b, value, second, **names))
 
 
 # -------------------------------------------------------------------------- C12

@@ -520,5 +520,18 @@ WHERE rn = 1 AND customer_id IS NOT NULL"""
 # The whole-job queries read back gold tables equal to the step queries.
 _SQL["retail_run_customer_stats"] = _SQL["customer_stats"]
 _SQL["salary_run_job_titles"] = _SQL["job_title_analysis"]
+_SQL["retail_run_customers"] = _SQL["customers_silver"]
+_SQL["retail_run_articles"] = _SQL["articles_silver"]
+_SQL["retail_run_article_stats"] = _SQL["article_stats"]
+_SQL["retail_run_cross_metrics"] = _SQL["cross_metrics"]
+_SQL["salary_run_detail"] = _SQL["salary_silver"]
+for _name, _key in (("education", "education_level"), ("job", "job_title"), ("gender", "gender")):
+    _SQL[f"salary_{_name}_stats"] = _with(SILVER_SALARY) + "\n" + _gs(
+        _key, [_key], "silver_salary", "salary", "years_of_experience", "salary", "experience")
+_SQL["salary_run_experience_trends"] = _SQL["experience_trends"]
+_SQL["salary_run_education_impact"] = _SQL["education_impact"]
+_SQL["salary_run_gender_pay_overview"] = _SQL["gender_pay_overview"]
+_SQL["salary_run_gender_pay_by_education"] = _SQL["gender_pay_by_education"]
+_SQL["salary_run_benchmarks"] = _SQL["industry_benchmarks"]
 
 ORACLE_SQL: dict[str, str] = dict(_SQL)

@@ -19,7 +19,7 @@ from strata.functions import (AGE_CATEGORY, AGE_GROUP, EXPERIENCE_LEVEL, SALARY_
                               strip_to_number)
 from strata.functions.numeric import rounded_mean
 from strata.operators import (benchmarks, category_breakdown, cross_summary, dedup, diversity,
-                              gap, group_stats, premium, profile, ranked_groups, summary,
+                              gap_overview, gap_pairs, group_stats, premium, profile, ranked_groups, summary,
                               top_dense_rank)
 from strata.plans import retail, salary
 from strata.plans.standins import bronze_articles, bronze_customers, bronze_salary, table
@@ -158,18 +158,18 @@ def q_premium(spark, d):
         "statuses", lambda e: F.concat(e["l_linestatus"], F.lit(":"), e["n"].cast("string"))), ","))
 
 
-def _lineitem_gap(spark, d):
-    return gap(table(spark, d, "lineitem"), "l_returnflag", "l_linestatus", "l_extendedprice",
-               "l_quantity", distinct={"unique_suppliers": "l_suppkey", "unique_parts": "l_partkey"},
-               value_name="price", second_name="quantity", count_name="n")
+LINE_NAMES = {"value_name": "price", "second_name": "quantity", "count_name": "n"}
 
 
 def q_gap_overview(spark, d):
-    return _lineitem_gap(spark, d)[0]
+    return gap_overview(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice",
+                        "l_quantity", distinct={"unique_suppliers": "l_suppkey",
+                                                "unique_parts": "l_partkey"}, **LINE_NAMES)
 
 
 def q_gap_pairs(spark, d):
-    return _lineitem_gap(spark, d)[1]
+    return gap_pairs(table(spark, d, "lineitem"), "l_returnflag", "l_linestatus",
+                     "l_extendedprice", "l_quantity", **LINE_NAMES)
 
 
 def q_benchmarks(spark, d):
@@ -375,19 +375,22 @@ def q_experience_trends(spark, d):
                                                  accuracy=EXACT_REGIME_ACCURACY))
 
 
-def q_education_impact(spark, d):
-    out = _strip_clock(salary.education_impact(_salary_table(spark, d), AS_OF))
+def _positions_text(out: DataFrame) -> DataFrame:
     return out.withColumn("common_positions", F.array_join(F.transform(
         "common_positions",
         lambda e: F.concat(e["job_title"], F.lit(":"), e["n"].cast("string"))), ","))
 
 
+def q_education_impact(spark, d):
+    return _positions_text(_strip_clock(salary.education_impact(_salary_table(spark, d), AS_OF)))
+
+
 def q_gender_pay_overview(spark, d):
-    return _strip_clock(salary.gender_pay(_salary_table(spark, d), AS_OF)[0])
+    return _strip_clock(salary.gender_pay_overview(_salary_table(spark, d), AS_OF))
 
 
 def q_gender_pay_by_education(spark, d):
-    return _strip_clock(salary.gender_pay(_salary_table(spark, d), AS_OF)[1])
+    return _strip_clock(salary.gender_pay_by_education(_salary_table(spark, d), AS_OF))
 
 
 def q_job_title_analysis(spark, d):
@@ -399,10 +402,9 @@ def q_top_paying_jobs(spark, d):
     salary.job_title_analysis(_salary_table(spark, d), AS_OF, sort=False) \
         .createOrReplaceTempView("job_title_salary_analysis")
     return spark.sql("""
-        SELECT job_title, avg_salary, sample_size, pay_rank
-        FROM job_title_salary_analysis
-        WHERE pay_rank <= 10
-        ORDER BY pay_rank""")
+        SELECT j.pay_rank, j.job_title, j.sample_size, j.avg_salary
+        FROM job_title_salary_analysis AS j
+        WHERE j.pay_rank BETWEEN 1 AND 10""")
 
 
 def q_industry_benchmarks(spark, d):
@@ -416,13 +418,93 @@ def _bronze_csv(spark, df: DataFrame, name: str) -> str:
     return path
 
 
-def q_retail_run_customer_stats(spark, d):
-    """The retail job end to end: bronze CSV files -> silver snapshots -> gold
-    snapshots; the customer stats gold table is read back."""
+def _run_retail(spark, d) -> str:
     cust = _bronze_csv(spark, bronze_customers(spark, d), "bronze_customers")
     arts = _bronze_csv(spark, bronze_articles(spark, d), "bronze_articles")
     root = scratch_path(spark, "retail_lake")
     retail.run_retail(spark, cust, arts, root, as_of=AS_OF)
+    return root
+
+
+def _run_salary(spark, d) -> str:
+    src = _bronze_csv(spark, bronze_salary(spark, d), "bronze_salary")
+    root = scratch_path(spark, "salary_lake")
+    salary.run_salary(spark, src, root, as_of=AS_OF, accuracy=EXACT_REGIME_ACCURACY)
+    return root
+
+
+# One run of a job serves the queries that read its other tables.
+_LAKES: dict[tuple[str, str, str], str] = {}
+
+
+def _job_table(spark, d, job: str, name: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, d, job)
+    if key not in _LAKES:
+        _LAKES[key] = (_run_retail if job == "retail" else _run_salary)(spark, d)
+    return _strip_clock(VersionedTable(spark, f"{_LAKES[key]}/{name}").read().drop("_commit_id"))
+
+
+def q_retail_run_customers(spark, d):
+    return _age_as_text(_job_table(spark, d, "retail", "silver/customers"))
+
+
+def q_retail_run_articles(spark, d):
+    return _job_table(spark, d, "retail", "silver/articles").select(
+        "article_id", "product_category", "data_completeness_score", "colour_group_name",
+        "garment_group_name")
+
+
+def q_retail_run_article_stats(spark, d):
+    out = _job_table(spark, d, "retail", "gold/article_stats")
+    out = _r9(out, "avg_completeness_score", "min_completeness_score", "max_completeness_score")
+    return _joined(out, "garment_groups")
+
+
+def q_retail_run_cross_metrics(spark, d):
+    return _r9(_job_table(spark, d, "retail", "gold/cross_metrics"), "overall_avg_age",
+               "overall_avg_completeness")
+
+
+def q_salary_run_detail(spark, d):
+    return _job_table(spark, d, "salary", "silver/salary_detailed")
+
+
+def q_salary_education_stats(spark, d):
+    return _job_table(spark, d, "salary", "silver/salary_education_stats")
+
+
+def q_salary_job_stats(spark, d):
+    return _job_table(spark, d, "salary", "silver/salary_job_stats")
+
+
+def q_salary_gender_stats(spark, d):
+    return _job_table(spark, d, "salary", "silver/salary_gender_stats")
+
+
+def q_salary_run_experience_trends(spark, d):
+    return _job_table(spark, d, "salary", "gold/salary_experience_trends")
+
+
+def q_salary_run_education_impact(spark, d):
+    return _positions_text(_job_table(spark, d, "salary", "gold/education_salary_impact"))
+
+
+def q_salary_run_gender_pay_overview(spark, d):
+    return _job_table(spark, d, "salary", "gold/gender_pay_overview")
+
+
+def q_salary_run_gender_pay_by_education(spark, d):
+    return _job_table(spark, d, "salary", "gold/gender_pay_by_education")
+
+
+def q_salary_run_benchmarks(spark, d):
+    return _job_table(spark, d, "salary", "gold/industry_benchmarks")
+
+
+def q_retail_run_customer_stats(spark, d):
+    """The retail job end to end: bronze CSV files -> silver snapshots -> gold
+    snapshots; the customer stats gold table is read back."""
+    root = _run_retail(spark, d)
     out = _strip_clock(VersionedTable(spark, f"{root}/gold/customer_stats").read())
     out = _r9(out.drop("_commit_id"), "avg_age", "stddev_age", "variance_age")
     return _joined(out, "age_categories")
@@ -430,9 +512,7 @@ def q_retail_run_customer_stats(spark, d):
 
 def q_salary_run_job_titles(spark, d):
     """The salary job end to end; the job-title gold table is read back."""
-    src = _bronze_csv(spark, bronze_salary(spark, d), "bronze_salary")
-    root = scratch_path(spark, "salary_lake")
-    salary.run_salary(spark, src, root, as_of=AS_OF)
+    root = _run_salary(spark, d)
     out = VersionedTable(spark, f"{root}/gold/job_title_salary_analysis").read()
     return _strip_clock(out.drop("_commit_id"))
 
@@ -500,5 +580,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "industry_benchmarks": q_industry_benchmarks,
     "retail_run_customer_stats": q_retail_run_customer_stats,
     "salary_run_job_titles": q_salary_run_job_titles,
+    "retail_run_customers": q_retail_run_customers,
+    "retail_run_articles": q_retail_run_articles,
+    "retail_run_article_stats": q_retail_run_article_stats,
+    "retail_run_cross_metrics": q_retail_run_cross_metrics,
+    "salary_run_detail": q_salary_run_detail,
+    "salary_education_stats": q_salary_education_stats,
+    "salary_job_stats": q_salary_job_stats,
+    "salary_gender_stats": q_salary_gender_stats,
+    "salary_run_experience_trends": q_salary_run_experience_trends,
+    "salary_run_education_impact": q_salary_run_education_impact,
+    "salary_run_gender_pay_overview": q_salary_run_gender_pay_overview,
+    "salary_run_gender_pay_by_education": q_salary_run_gender_pay_by_education,
+    "salary_run_benchmarks": q_salary_run_benchmarks,
     "stream_customers_silver": q_stream_customers_silver,
 }

@@ -131,24 +131,28 @@ def run_retail(spark: SparkSession, customers_csv: str, articles_csv: str, root:
     Silver is written once and gold is computed from the written snapshots,
     so every gold table of a run sees the same silver rows.
     """
-    from strata.sources import read_bronze_csv
+    from strata.sources import read_counting_bad_rows, report_bad_rows
     from strata.tables import VersionedTable
 
     out: dict[str, int] = {}
-    cust = customers_silver(read_bronze_csv(spark, customers_csv), as_of)
-    arts = articles_silver(read_bronze_csv(spark, articles_csv), as_of)
+    bronze_cust, bad_cust = read_counting_bad_rows(spark, customers_csv)
+    bronze_arts, bad_arts = read_counting_bad_rows(spark, articles_csv)
+    cust = customers_silver(bronze_cust, as_of)
+    arts = articles_silver(bronze_arts, as_of)
     t_cust = VersionedTable(spark, f"{root}/silver/customers")
     t_arts = VersionedTable(spark, f"{root}/silver/articles")
-    out["silver.customers"] = t_cust.upsert(cust.drop("_corrupt_record"), ["customer_id"],
+    out["silver.customers"] = t_cust.upsert(cust, ["customer_id"],
                                             "update_timestamp", partition_by=["year", "month"],
                                             as_of=as_of, replace=True,
                                             target_file_bytes=SILVER_FILE_BYTES)
-    out["silver.articles"] = t_arts.upsert(arts.drop("_corrupt_record"), ["article_id"],
+    out["silver.articles"] = t_arts.upsert(arts, ["article_id"],
                                            "update_timestamp",
                                            partition_by=["product_category"], as_of=as_of,
                                            replace=True, target_file_bytes=SILVER_FILE_BYTES)
-    sc = t_cust.read(cache=True).drop("_commit_id", "_commit_ts")
-    sa = t_arts.read(cache=True).drop("_commit_id", "_commit_ts")
+    report_bad_rows(bad_cust, customers_csv)
+    report_bad_rows(bad_arts, articles_csv)
+    sc = t_cust.read().drop("_commit_id", "_commit_ts")
+    sa = t_arts.read().drop("_commit_id", "_commit_ts")
     gold = {
         "gold.customer_stats": (customers_gold(sc, as_of), ["club_member_status"]),
         "gold.article_stats": (articles_gold(sa, as_of), None),
@@ -160,8 +164,6 @@ def run_retail(spark: SparkSession, customers_csv: str, articles_csv: str, root:
                             target_file_bytes=GOLD_FILE_BYTES)
         if preview:
             t.read().show(5, truncate=False)
-    sc.unpersist()
-    sa.unpersist()
     return out
 
 

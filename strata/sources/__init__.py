@@ -1,6 +1,7 @@
 """Sources: tolerant bronze CSV and snapshot reads."""
 
-from strata.sources.csv import read_bronze_csv, string_schema
+from strata.sources.csv import (read_bronze_csv, read_counting_bad_rows, report_bad_rows,
+                                string_schema)
 from strata.sources.snapshot import read_snapshot
 
-__all__ = ["read_bronze_csv", "string_schema", "read_snapshot"]
+__all__ = ["read_bronze_csv", "read_counting_bad_rows", "report_bad_rows", "string_schema", "read_snapshot"]

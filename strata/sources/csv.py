@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
@@ -18,21 +20,37 @@ def string_schema(columns: Sequence[str], corrupt_column: str | None = CORRUPT)
 
 
 def read_bronze_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, *,
-                    multiline: bool = True, capture_corrupt: bool = True) -> DataFrame:
+                    multiline: bool = False, capture_corrupt: bool = True) -> DataFrame:
     """Read CSV with a header row as all-string columns.
 
-    With ``columns`` the schema is declared (no extra pass over the header
-    to infer it; the header row is still skipped); rows that do not fit it
-    land in ``_corrupt_record`` instead of failing the job. ``multiline``
-    keeps quoted fields with line breaks in one record. Empty fields and
-    quoted empty strings read as null.
+    The schema is always declared: ``columns``, or else the names of the
+    header row (the only row read for it). Rows that do not fit it land in
+    ``_corrupt_record`` instead of failing the job. Files are split over
+    tasks; ``multiline`` keeps quoted fields with line breaks in one record,
+    at the price of one task per file. Empty fields and quoted empty strings
+    read as null.
     """
     r = (spark.read.option("header", True).option("multiLine", multiline)
          .option("escape", '"').option("mode", "PERMISSIVE"))
-    if columns is not None:
-        r = r.schema(string_schema(columns, CORRUPT if capture_corrupt else None))
-        if capture_corrupt:
-            r = r.option("columnNameOfCorruptRecord", CORRUPT)
-    else:
-        r = r.option("inferSchema", False)
+    if columns is None:
+        columns = r.option("inferSchema", False).csv(path).columns
+    r = r.schema(string_schema(columns, CORRUPT if capture_corrupt else None))
+    if capture_corrupt:
+        r = r.option("columnNameOfCorruptRecord", CORRUPT)
     return r.csv(path)
+
+
+def read_counting_bad_rows(spark: SparkSession, path: str) -> tuple[DataFrame, Observation]:
+    """Bronze rows without the bad-row column, and a count of the rows that
+    did not fit the header, filled by the first job that reads them."""
+    bad = Observation()
+    bronze = read_bronze_csv(spark, path)
+    return bronze.observe(bad, F.count(CORRUPT).alias("bad_rows")).drop(CORRUPT), bad
+
+
+def report_bad_rows(bad: Observation, path: str) -> int:
+    """Number of bad rows, logged when there are any; call after the job."""
+    n = int(bad.get["bad_rows"])
+    if n:
+        logging.getLogger(__name__).warning("%s: %d rows do not fit the header", path, n)
+    return n

@@ -116,7 +116,8 @@ class VersionedTable:
     # ------------------------------------------------------------------ reads
     def read(self, commit_id: int | None = None, columns: Sequence[str] | None = None,
              cache: bool = False) -> DataFrame:
-        """Snapshot read (S2): newest full snapshot, or the one ``commit_id`` names.
+        """Snapshot read (S2): newest full snapshot, or the one ``commit_id`` names;
+        deltas written after it are only in :meth:`read_merged`.
 
         ``columns`` projects early (the Parquet scan then reads only those);
         ``cache`` keeps the snapshot for several downstream aggregations.
@@ -133,13 +134,19 @@ class VersionedTable:
             df = df.cache()
         return df
 
+    def _pending(self) -> list[int]:
+        """Delta commits after the newest full snapshot, oldest first."""
+        base = self._last(lambda r: r["operation"] in _FULL)
+        base_id = -1 if base is None else int(base["commit_id"])
+        return sorted(int(r["commit_id"]) for r in self.commit_log()
+                      if r["operation"] == "delta" and r["commit_id"] > base_id)
+
     def read_merged(self, keys: Sequence[str], precombine: str,
                     tie_break: Sequence[Column | str] = ()) -> DataFrame:
         """Merge-on-read view (T2): newest full snapshot + later deltas."""
         base = self._last(lambda r: r["operation"] in _FULL)
         base_id = -1 if base is None else int(base["commit_id"])
-        delta_ids = sorted(int(r["commit_id"]) for r in self.commit_log()
-                           if r["operation"] == "delta" and r["commit_id"] > base_id)
+        delta_ids = self._pending()
         base_df = None if base is None else self.read(base_id)
         deltas = [self.read_version(i) for i in delta_ids]
         return _mor(base_df, deltas, keys, precombine, tie_break)
@@ -238,7 +245,8 @@ class VersionedTable:
         ``write_options`` go to :meth:`write` (file size, dictionary, ...)."""
         base = None
         if not replace and self.latest_commit_id() is not None:
-            base = self.read().drop(COMMIT_ID, COMMIT_TS)
+            # The merged view: deltas still pending are part of the table.
+            base = self.read_merged(keys, precombine).drop(COMMIT_ID, COMMIT_TS)
         merged = _upsert(base, changes, keys, precombine, replace=replace)
         return self.write(merged, "upsert", partition_by=partition_by, as_of=as_of,
                           **write_options)
@@ -248,23 +256,26 @@ class VersionedTable:
         return self.write(changes, "delta", as_of=as_of)
 
     def compact(self, keys: Sequence[str], precombine: str, max_deltas: int = 5,
-                as_of=None, force: bool = False) -> int | None:
+                as_of=None, force: bool = False,
+                partition_by: Sequence[str] | None = None) -> int | None:
         """Fold the merge-on-read view into a new full snapshot once at least
         ``max_deltas`` deltas are pending (or when ``force``)."""
-        base = self._last(lambda r: r["operation"] in _FULL)
-        base_id = -1 if base is None else int(base["commit_id"])
-        pending = sum(1 for r in self.commit_log()
-                      if r["operation"] == "delta" and r["commit_id"] > base_id)
+        pending = len(self._pending())
         if pending == 0 or (pending < max_deltas and not force):
             return None
         view = self.read_merged(keys, precombine).drop(COMMIT_ID, COMMIT_TS)
-        return self.write(view, "compaction", as_of=as_of)
+        return self.write(view, "compaction", partition_by=partition_by, as_of=as_of)
 
     def rewrite_layout(self, cols: Sequence[str], as_of=None,
-                       max_records_per_file: int | None = None) -> int:
-        """Clustering commit (T7): same rows, range-partitioned and sorted."""
+                       max_records_per_file: int | None = None,
+                       partition_by: Sequence[str] | None = None) -> int:
+        """Clustering commit (T7): same rows, range-partitioned and sorted.
+        Pending deltas have to be compacted first (that needs their keys)."""
+        if self._pending():
+            raise ValueError("pending deltas: compact the table before a layout rewrite")
         cur = self.read().drop(COMMIT_ID, COMMIT_TS)
-        return self.write(cluster(cur, cols), "clustering", as_of=as_of,
+        return self.write(cluster(cur, cols), "clustering", partition_by=partition_by,
+                          as_of=as_of,
                           max_records_per_file=max_records_per_file)
 
     # -------------------------------------------------------------- retention

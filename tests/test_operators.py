@@ -146,3 +146,24 @@ def test_top_dense_rank_includes_nulls_within_k(spark):
     assert got == {1: 1, 4: 1, 2: 2, 3: 3}
     got2 = {r.id: r.r for r in top_dense_rank(df, "v", 2, out="r").collect()}
     assert got2 == {1: 1, 4: 1, 2: 2}
+
+
+def test_means_and_medians_of_values_beyond_the_decimal_do_not_raise(spark):
+    from pyspark.sql import functions as F
+
+    from strata.functions.numeric import rounded_mean
+    from strata.operators import gap_overview, premium
+    inf, nan = float("inf"), float("nan")
+    rows = [("big", "j", 1e30, 1.0), ("big", "k", 5.0, 1.0), ("nines", "j", float("9" * 30), 2.0),
+            ("nan", "j", nan, 1.0), ("nan", "j", 3.0, 1.0), ("inf", "j", inf, 1.0),
+            ("fine", "j", 1.005, 1.0), ("none", "j", None, None)]
+    df = spark.createDataFrame(rows, "g string, job string, v double, s double")
+    plain = {r.g: r.m for r in df.groupBy("g").agg(F.round(F.avg("v"), 2).alias("m")).collect()}
+    ours = {r.g: r.m for r in df.groupBy("g").agg(rounded_mean("v").alias("m")).collect()}
+    two = {r.g: r.avg_salary for r in premium(df, "g", "v", "s", "job").collect()}
+    med = {r.g: r.median_salary for r in
+           gap_overview(df, "g", "v", "s", distinct={"jobs": "job"}).collect()}
+    for got in (ours, two):
+        assert {k: str(x) for k, x in got.items()} == {
+            k: "1.01" if k == "fine" else str(x) for k, x in plain.items()}
+    assert med["big"] == 5e29 and med["inf"] == inf and med["none"] is None

@@ -19,7 +19,7 @@ def _write(path, text):
 def test_csv_all_strings_multiline_and_nulls(spark, tmpdir_path):
     p = _write(os.path.join(tmpdir_path, "a.csv"),
                'id,desc,n\n1,"comma, ""quote"" and\nline break",5\n2,,""\n')
-    df = read_bronze_csv(spark, p, ["id", "desc", "n"])
+    df = read_bronze_csv(spark, p, ["id", "desc", "n"], multiline=True)
     rows = df.orderBy("id").collect()
     assert all(t == "string" for _, t in df.dtypes)
     assert rows[0].desc == 'comma, "quote" and\nline break'
@@ -164,3 +164,29 @@ def test_salary_aggregates_split_like_three_group_bys(spark, tmpdir_path):
         plain = {r[0]: r[1] for r in silver.groupBy(key).count().collect()}
         assert {r[key]: r.record_count for r in df.collect()} == plain
         assert {r.stat_type for r in df.collect()} == {key}
+
+
+def test_one_csv_file_is_read_in_several_partitions_and_bad_rows_are_counted(spark, tmpdir_path):
+    from strata.sources import read_counting_bad_rows, report_bad_rows
+    p = _write(os.path.join(tmpdir_path, "big.csv"),
+               "id,name\n" + "".join(f"{i},{'x' * 40}\n" for i in range(20000)) + "1,a,too many\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(100_000))
+    try:
+        assert read_bronze_csv(spark, p).rdd.getNumPartitions() > 1
+        df, bad = read_counting_bad_rows(spark, p)
+        assert df.columns == ["id", "name"]
+        assert len(df.collect()) == 20001 and report_bad_rows(bad, p) == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_salary_job_caches_nothing_and_evaluates_the_stats_once(spark, tmpdir_path):
+    from strata.plans.salary import salary_aggregates
+    p = _write(os.path.join(tmpdir_path, "s3.csv"), SALARY)
+    spark.catalog.clearCache()
+    run_salary(spark, p, os.path.join(tmpdir_path, "lake3"), as_of="2024-06-15 12:00:00")
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    for df in salary_aggregates(salary_silver(read_bronze_csv(spark, p))).values():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" not in plan and "Expand" not in plan

@@ -165,3 +165,17 @@ def test_target_file_size_rebalances_unpartitioned_writes(spark, tmpdir_path):
     assert n[small] == 8 and n[big] == 1
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) != str(256 << 20)
     assert _rows(t.read()) == _rows(df)
+
+
+def test_full_commits_keep_pending_deltas(spark, tmpdir_path):
+    import pytest
+    t = VersionedTable(spark, os.path.join(tmpdir_path, "pend"))
+    t.write(spark.createDataFrame([(1, "a", 1, "x")], SCHEMA), partition_by=["part"])
+    t.append_delta(spark.createDataFrame([(2, "a", 1, "d")], SCHEMA))
+    with pytest.raises(ValueError):
+        t.rewrite_layout(["id"])
+    t.upsert(spark.createDataFrame([(3, "b", 1, "u")], SCHEMA), ["id"], "ts", partition_by=["part"])
+    assert [r[0] for r in _rows(t.read())] == [1, 2, 3]
+    t.rewrite_layout(["id"], partition_by=["part"])
+    assert sorted(n for n in os.listdir(t.version_path(t.latest_commit_id())) if "=" in n) == [
+        "part=a", "part=b"]
