@@ -156,14 +156,18 @@ class Grams(Words):
             shard = shard - early
         for s, part in self.parts(shard):
             p = parent[part] - s["first"][0]
-            known = np.flatnonzero(p < s["pointers"].n - 1)
-            lo = s["pointers"].access(p[known]).astype(np.int64)
-            hi = s["pointers"].access(p[known] + 1).astype(np.int64)
-            known, lo, hi = known[lo < hi], lo[lo < hi], hi[lo < hi]
-            base = np.zeros(len(known), dtype=np.uint64)
-            base[lo > 0] = s["words"].access(lo[lo > 0] - 1)
-            at, found = s["words"].successor(base + (word[part][known] + 1).astype(np.uint64))
-            found &= (at >= lo) & (at < hi)
+            new = np.append(True, p[1:] != p[:-1])         # the pointers are read once per parent
+            p, of = p[new], np.cumsum(new) - 1
+            inside = p < s["pointers"].n - 1
+            lo, hi = np.zeros(len(p), dtype=np.int64), np.zeros(len(p), dtype=np.int64)
+            lo[inside] = s["pointers"].access(p[inside])
+            hi[inside] = s["pointers"].access(p[inside] + 1)
+            base, some = np.zeros(len(p), dtype=np.uint64), (lo > 0) & (lo < hi)
+            base[some] = s["words"].access(lo[some] - 1)
+            known = np.flatnonzero((lo < hi)[of])
+            of = of[known]
+            at, found = s["words"].successor(base[of] + (word[part][known] + 1).astype(np.uint64))
+            found &= (at >= lo[of]) & (at < hi[of])
             place = np.arange(part.start, part.stop)[known[found]]
             rank[place] = at[found] + s["before"]
             code[place] = s["codes"][at[found]]
@@ -180,46 +184,53 @@ class Trie:
         self.total = total
         self.distinct = sum(f[4] for f in levels[0])
 
-    def ids(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids or -1, counts) of words by hash."""
+    def ids(self, h: np.ndarray, counts: bool = False) -> tuple[np.ndarray, ...]:
+        """Ids (or -1) of words by hash; if asked for, their counts and the
+        masses they leave as contexts too."""
         keys, back = np.unique(h, return_inverse=True)
         rank, count = self.words.find(keys, "counts")
-        return rank[back], count[back]
+        return (rank[back], count[back], self.mass(1, rank)[back]) if counts else (rank[back],)
 
-    def seek(self, level: int, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ranks or -1, discounted probabilities) in a level above 1."""
+    def seek(self, level: int, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ranks or -1, discounted probabilities, masses left as contexts) in
+        a level above 1. Ranks rise with the sorted queries, so the masses are
+        sought by the same order."""
         rank, p = np.full(len(parent), -1, dtype=np.int64), np.zeros(len(parent))
+        left = np.ones(len(parent))
         ask = np.flatnonzero((parent >= 0) & (word >= 0))
         if len(ask) and self.grams[level - 2].files:
             key, back = np.unique(pair(parent[ask], word[ask], self.distinct), return_inverse=True)
-            a, b = key // np.uint64(self.distinct), key % np.uint64(self.distinct)
+            a = key // np.uint64(self.distinct)
+            b = key - a * np.uint64(self.distinct)
             r, code = self.grams[level - 2].seek(a.astype(np.int64), b.astype(np.int64))
             rank[ask] = r[back]
             p[ask] = np.where(r >= 0, _UNIT[code], 0.0)[back]
-        return rank, p
+            if level <= len(self.masses):
+                left[ask] = self.mass(level, r)[back]
+        return rank, p, left
 
     def mass(self, level: int, context: np.ndarray) -> np.ndarray:
-        """What contexts of ``level`` words leave to shorter ones; 1 if they
-        have nothing stored."""
+        """What contexts of ``level`` words, rising but for -1, leave to
+        shorter ones; 1 if they have nothing stored."""
         out = np.ones(len(context))
         ask = np.flatnonzero(context >= 0)
-        if len(ask) and self.masses[level - 1].files:
-            key, back = np.unique(context[ask], return_inverse=True)
-            rank, code = self.masses[level - 1].find(key.astype(np.uint64), "codes")
-            out[ask] = np.where(rank >= 0, _UNIT[code], 1.0)[back]
+        if len(ask) and level <= len(self.masses) and self.masses[level - 1].files:
+            rank, code = self.masses[level - 1].find(context[ask].astype(np.uint64), "codes")
+            out[ask] = np.where(rank >= 0, _UNIT[code], 1.0)
         return out
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return (counts + ADD) / (self.total + ADD * (self.distinct + 1))
 
-    def score(self, ids: np.ndarray, counts: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """log10 probabilities of tokens in a row; ``start``: a text begins."""
-        p = self.base(counts)
-        context = np.where(start, -1, np.append(-1, ids[:-1]))
+    def score(self, ids: np.ndarray, base: np.ndarray, left: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """log10 probabilities of tokens in a row, from their ids, additive
+        probabilities and masses; ``start``: a text begins."""
+        p, rank = base, ids
         for level in range(2, len(self.grams) + 2):
-            rank, own = self.seek(level, context, ids)
-            p = own + self.mass(level - 1, context) * p
             context = np.where(start, -1, np.append(-1, rank[:-1]))
+            mass = np.where(start, 1.0, np.append(1.0, left[:-1]))
+            rank, own, left = self.seek(level, context, ids)
+            p = own + mass * p
         return np.log10(p)
 
 
@@ -343,9 +354,9 @@ def count_grams(train: DataFrame, level: int, make_trie, min_count: int, buckets
 
         def send():
             keys, n = np.unique(np.concatenate(held), return_counts=True)
-            to = (mix(keys) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            keys, n, to = keys[order], n[order].astype(np.uint32), to[order]
+            to = (mix(keys) % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
+            order = np.argsort(to, kind="stable")          # by digits, where two bytes hold a bucket
+            keys, n, to = keys[order], n[order].astype(np.uint32), to[order].astype(np.int64)
             at = np.searchsorted(to, np.arange(buckets + 1))
             used = np.flatnonzero(np.diff(at))
             return pa.RecordBatch.from_arrays(
@@ -354,11 +365,11 @@ def count_grams(train: DataFrame, level: int, make_trie, min_count: int, buckets
 
         for _, texts in together(grouped(batches, "doc_id", "text")):
             h, bounds = tokens(texts)
-            ids, _ = trie.ids(h)
+            ids, = trie.ids(h)
             start = _starts(bounds)
             context = np.where(start, -1, np.append(-1, ids[:-1]))
             for k in range(2, level):
-                rank, _ = trie.seek(k, context, ids)
+                rank, _, _ = trie.seek(k, context, ids)
                 context = np.where(start, -1, np.append(-1, rank[:-1]))
                 ids = np.where(rank >= 0, ids, -1)       # the shorter n-gram with this last word isn't stored
             ask = (context >= 0) & (ids >= 0)
@@ -507,10 +518,11 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
         trie = model()
         for ids, out, texts in together(grouped(batches, "doc_id", "held_out", "text")):
             h, bounds = tokens(texts)
-            word, count = trie.ids(h)
+            word, count, left = trie.ids(h, counts=True)
             known = np.add.reduceat((count > 0).astype(np.int64), bounds[:-1])
-            base = np.add.reduceat(np.log10(trie.base(count)), bounds[:-1])
-            logs = np.add.reduceat(trie.score(word, count, _starts(bounds)), bounds[:-1])
+            p = trie.base(count)
+            base = np.add.reduceat(np.log10(p), bounds[:-1])
+            logs = np.add.reduceat(trie.score(word, p, left, _starts(bounds)), bounds[:-1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(out, pa.bool_()), pa.array(np.diff(bounds)), pa.array(known),
                  pa.array(np.full(len(ids), trie.total)), pa.array(base), pa.array(logs)],
