@@ -534,4 +534,30 @@ _SQL["salary_run_gender_pay_overview"] = _SQL["gender_pay_overview"]
 _SQL["salary_run_gender_pay_by_education"] = _SQL["gender_pay_by_education"]
 _SQL["salary_run_benchmarks"] = _SQL["industry_benchmarks"]
 
+# The same job's tables in the session catalog, and the SQL texts over them.
+_SQL["catalog_salary_detail"] = _SQL["salary_silver"]
+_SQL["catalog_tables"] = "\nUNION ALL\n".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) AS n_rows FROM ({_SQL[same]})"
+    for layer, name, same in (
+        ("silver", "salary_detailed", "salary_silver"),
+        ("silver", "salary_education_stats", "salary_education_stats"),
+        ("silver", "salary_job_stats", "salary_job_stats"),
+        ("silver", "salary_gender_stats", "salary_gender_stats"),
+        ("gold", "salary_experience_trends", "experience_trends"),
+        ("gold", "education_salary_impact", "education_impact"),
+        ("gold", "gender_pay_overview", "gender_pay_overview"),
+        ("gold", "gender_pay_by_education", "gender_pay_by_education"),
+        ("gold", "job_title_salary_analysis", "job_title_analysis"),
+        ("gold", "industry_benchmarks", "industry_benchmarks")))
+_SQL["catalog_salary_sample"] = _with(SILVER_SALARY) + """
+SELECT job_title, education_level, gender, age, years_of_experience, salary
+FROM silver_salary ORDER BY 1, 2, 3, 4, 5, 6 LIMIT 10"""
+_SQL["catalog_education_stats"] = _SQL["salary_education_stats"]
+_SQL["catalog_education_view"] = f"""
+SELECT education_level, avg_salary, sample_size, premium_score FROM ({_SQL['education_impact']})"""
+_SQL["catalog_top_jobs"] = _SQL["top_paying_jobs"]
+_SQL["catalog_benchmark_view"] = f"""
+SELECT industry_avg_salary, industry_median_salary, total_job_titles, total_records
+FROM ({_SQL['industry_benchmarks']})"""
+
 ORACLE_SQL: dict[str, str] = dict(_SQL)

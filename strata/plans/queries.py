@@ -8,6 +8,7 @@ as joined strings, unrounded floating statistics rounded to 9 decimals.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ from strata.plans import retail, salary
 from strata.plans.standins import bronze_articles, bronze_customers, bronze_salary, table
 from strata.session import materialize, scratch_path
 from strata.sources import read_bronze_csv
-from strata.tables import VersionedTable, upsert
+from strata.tables import VersionedTable, list_tables, upsert
 
 AS_OF = "2024-06-15 12:00:00"
 WALL_CLOCK = ("update_timestamp", "etl_date", "calculation_timestamp", "_commit_ts")
@@ -517,6 +518,74 @@ def q_salary_run_job_titles(spark, d):
     return _strip_clock(out.drop("_commit_id"))
 
 
+# ------------------------------------------- the salary job in the catalog
+def _salary_catalog(spark, d) -> tuple[str, str]:
+    """(silver, gold) namespaces of one catalog run per session and folder."""
+    key = (spark.sparkContext.applicationId, d, "catalog")
+    tag = f"{zlib.crc32(d.encode()):08x}"
+    names = f"salary_silver_{tag}", f"salary_gold_{tag}"
+    if key not in _LAKES:
+        src = _bronze_csv(spark, bronze_salary(spark, d), "bronze_salary")
+        _LAKES[key] = scratch_path(spark, "salary_catalog")
+        salary.run_salary_catalog(spark, src, *names, root=_LAKES[key], as_of=AS_OF,
+                                  accuracy=EXACT_REGIME_ACCURACY)
+    return names
+
+
+def q_catalog_salary_detail(spark, d):
+    return _strip_clock(spark.table(f"{_salary_catalog(spark, d)[0]}.salary_detailed"))
+
+
+def q_catalog_tables(spark, d):
+    """The listing of both namespaces, with the rows of each table."""
+    out = None
+    for layer, name in zip(("silver", "gold"), _salary_catalog(spark, d)):
+        for t in list_tables(spark, name).where("not isTemporary").collect():   # ten names
+            rows = spark.table(f"{name}.{t.tableName}").select(
+                F.lit(layer).alias("layer"), F.lit(t.tableName).alias("table_name"))
+            out = rows if out is None else out.unionAll(rows)
+    return out.groupBy("layer", "table_name").agg(F.count("*").alias("n_rows"))
+
+
+def q_catalog_salary_sample(spark, d):
+    """Ten detail rows; the first ones in order, so that every run agrees."""
+    return spark.sql("""
+        SELECT t.job_title, t.education_level, t.gender, t.age, t.years_of_experience, t.salary
+        FROM IDENTIFIER(:detail) AS t
+        ORDER BY ALL
+        LIMIT 10""", {"detail": f"{_salary_catalog(spark, d)[0]}.salary_detailed"})
+
+
+def q_catalog_education_stats(spark, d):
+    stats = spark.sql("TABLE IDENTIFIER(:stats)",
+                      {"stats": f"{_salary_catalog(spark, d)[0]}.salary_education_stats"})
+    return _strip_clock(stats)
+
+
+def q_catalog_education_view(spark, d):
+    return spark.sql("""
+        SELECT e.premium_score, e.education_level, e.sample_size, e.avg_salary
+        FROM IDENTIFIER(:impact) AS e
+        ORDER BY e.avg_salary DESC, e.education_level""",
+                     {"impact": f"{_salary_catalog(spark, d)[1]}.education_salary_impact"})
+
+
+def q_catalog_top_jobs(spark, d):
+    return spark.sql("""
+        SELECT j.pay_rank, j.job_title, j.sample_size, j.avg_salary
+        FROM IDENTIFIER(:jobs) AS j
+        WHERE j.pay_rank BETWEEN 1 AND 10
+        ORDER BY j.pay_rank, j.job_title""",
+                     {"jobs": f"{_salary_catalog(spark, d)[1]}.job_title_salary_analysis"})
+
+
+def q_catalog_benchmark_view(spark, d):
+    return spark.sql("""
+        SELECT b.total_records, b.total_job_titles, b.industry_median_salary, b.industry_avg_salary
+        FROM IDENTIFIER(:marks) AS b""",
+                     {"marks": f"{_salary_catalog(spark, d)[1]}.industry_benchmarks"})
+
+
 def q_stream_customers_silver(spark, d):
     """Incremental ingestion: bronze customer files arrive in three batches
     (by order year); after each arrival one AvailableNow streaming run
@@ -593,5 +662,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "salary_run_gender_pay_overview": q_salary_run_gender_pay_overview,
     "salary_run_gender_pay_by_education": q_salary_run_gender_pay_by_education,
     "salary_run_benchmarks": q_salary_run_benchmarks,
+    "catalog_salary_detail": q_catalog_salary_detail,
+    "catalog_tables": q_catalog_tables,
+    "catalog_salary_sample": q_catalog_salary_sample,
+    "catalog_education_stats": q_catalog_education_stats,
+    "catalog_education_view": q_catalog_education_view,
+    "catalog_top_jobs": q_catalog_top_jobs,
+    "catalog_benchmark_view": q_catalog_benchmark_view,
     "stream_customers_silver": q_stream_customers_silver,
 }

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_namespace(spark: SparkSession, *names: str) -> None:
-    """``CREATE NAMESPACE IF NOT EXISTS`` for each name (e.g. silver, gold)."""
+def ensure_namespace(spark: SparkSession, *names: str, root: str | None = None) -> None:
+    """``CREATE NAMESPACE IF NOT EXISTS`` for each name (e.g. silver, gold);
+    new ones keep their tables in a folder of ``root`` if it is given, else in
+    the warehouse."""
     for n in names:
-        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {n}")
+        where = f" LOCATION '{root}/{n}'" if root else ""
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {n}{where}")
 
 
 def write_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
