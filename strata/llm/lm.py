@@ -18,12 +18,17 @@ shared folder and memory-mapped by the scoring tasks (read into memory, shard
 by shard, where the store can't be mapped). A task sorts its distinct queries,
 so it goes through the shards in order and touches only pages it needs; no
 part of the model is broadcast or passes through the driver but the list of
-shards.
+shards and the contexts at their ends.
 
-Counts are over all training tokens. N-grams of orders above 1 are stored from
-``min_count`` occurrences on (their mass below that stays with the shorter
-context), and a longer n-gram is only counted where both shorter ones it is
-made of are stored, which loses none that reaches the minimum.
+Counts are over all training tokens, and every n-gram that occurs is stored.
+With a higher ``min_count`` the rarer ones are left out (their mass stays with
+the shorter context); a longer n-gram is then only counted where both shorter
+ones it is made of are stored, which loses none that reaches the minimum.
+
+A level's n-grams are sent once, packed by ranges of keys whose bounds come
+from a sample, and each range is added up and written as a shard with the
+masses its contexts leave. What a context that may go on in another shard
+leaves is added up on the driver, two contexts a shard at most.
 
 Defined cases: a null or empty text is its end token alone; a row without id
 is training text; without training text every token is unknown. Each repeated
@@ -46,7 +51,7 @@ from strata.llm.words import NOT_SPACE, find_words, grouped, mix
 from strata.session import materialize, scratch_path
 
 ORDER = 3
-MIN_COUNT = 2
+MIN_COUNT = 1
 DISCOUNT = 0.75
 ADD = 0.1
 #: Steps per factor of ten of the 8-bit codes.
@@ -56,6 +61,12 @@ FLUSH = 4 << 20
 #: Bytes of text whose n-grams are looked up together: the more, the fewer
 #: distinct queries per token and visits to each shard.
 TOGETHER = 8 << 20
+#: Tokens in a range of n-grams: at least as many, so that small inputs make few
+#: files, and at most, so that a range fits a task; sampled ones per range.
+LEAST, MOST, SAMPLE = 1 << 12, 1 << 21, 512
+#: Bytes of a level whose shards are held open. Queries go through the shards in
+#: order, so of a larger level a shard would be closed again before its next use.
+HELD = 16 << 20
 END = np.uint64(0x656E64206F662074)
 _UNIT = 10.0 ** (-np.arange(256) / STEPS)
 _TAIL = struct.Struct("<Q")
@@ -98,7 +109,7 @@ class Shards:
 
     def __init__(self, folder: str, files: list[tuple]):
         self.folder, self.files = folder, files
-        self.load = lru_cache(64)(self._load)
+        self.load = lru_cache(64 if sum(f[2] for f in files) <= HELD else 2)(self._load)
 
     def _load(self, k: int) -> dict:
         _, name, size, before, _ = self.files[k]
@@ -177,10 +188,11 @@ class Grams(Words):
 class Trie:
     """All levels, from the list of their files."""
 
-    def __init__(self, folder: str, levels: list[list[tuple]], masses: list[list[tuple]], total: int):
+    def __init__(self, folder: str, levels: list[list[tuple]], masses: list[tuple], total: int):
         self.words = Words(folder, levels[0])
         self.grams = [Grams(folder, f) for f in levels[1:]]
-        self.masses = [Words(folder, f) for f in masses]
+        self.masses = [(Words(folder, f), np.array([e[0] for e in edges], dtype=np.int64),
+                        np.array([e[1] for e in edges])) for f, edges in masses]
         self.total = total
         self.distinct = sum(f[4] for f in levels[0])
 
@@ -214,9 +226,13 @@ class Trie:
         shorter ones; 1 if they have nothing stored."""
         out = np.ones(len(context))
         ask = np.flatnonzero(context >= 0)
-        if len(ask) and level <= len(self.masses) and self.masses[level - 1].files:
-            rank, code = self.masses[level - 1].find(context[ask].astype(np.uint64), "codes")
+        if len(ask) and level <= len(self.masses):
+            inner, edges, left = self.masses[level - 1]
+            rank, code = inner.find(context[ask].astype(np.uint64), "codes")
             out[ask] = np.where(rank >= 0, _UNIT[code], 1.0)
+            if len(edges):
+                at = np.minimum(np.searchsorted(edges, context[ask]), len(edges) - 1)
+                out[ask] = np.where(edges[at] == context[ask], left[at], out[ask])
         return out
 
     def base(self, counts: np.ndarray) -> np.ndarray:
@@ -269,10 +285,10 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(col.cast("string")) % 10 == 0, F.lit(False))
 
 
-def _files(rows: DataFrame) -> list[tuple]:
+def _files(rows: list) -> list[tuple]:
     """Level files in key order with the entries before each; one row each."""
     out, before = [], 0
-    for r in sorted(rows.collect(), key=lambda r: (r.first, r.second)):
+    for r in sorted(rows, key=lambda r: (r.first, r.second)):
         first = np.uint64(r.first) if r.second < 0 else (r.first, r.second)
         out.append((first, r.name, r.bytes, before, r.entries))
         before += r.entries
@@ -304,21 +320,21 @@ def _name(kind: str) -> str:
     return f"{kind}-{TaskContext.get().partitionId():06d}.lvl"
 
 
-def _sorted_file(rows: DataFrame, folder: str, kind: str, value: str, convert) -> list[tuple]:
+def write_words(counts: DataFrame, folder: str) -> list[tuple]:
     """Shards of (key, value) rows in the order of the unsigned key."""
     def put(batches):
         cols = _columns(batches)
         if cols:
             keys = cols[0].astype(np.uint64) ^ np.uint64(1 << 63)
-            seq = EliasFano.build(keys, 1 << 64 if kind == "words" else int(keys[-1]) + 1)
-            arrays = {f"keys.{k}": a for k, a in seq.arrays().items()} | {value: convert(cols[1])}
-            name = _name(kind)
+            seq = EliasFano.build(keys, 1 << 64)
+            arrays = {f"keys.{k}": a for k, a in seq.arrays().items()} | {"counts": cols[1].astype(np.int64)}
+            name = _name("words")
             yield _shard_row(int(keys[0]), -1, name, write_arrays(folder, name, arrays), len(keys))
 
-    n = shuffle_partitions(rows.sparkSession)
+    n = shuffle_partitions(counts.sparkSession)
     # the sign bit is turned, so that Spark's order of longs is that of the unsigned keys
-    turned = rows.select(F.col("key").bitwiseXOR(F.lit(-1 << 63)).alias("key"), "value")
-    return _files(turned.repartitionByRange(n, "key").sortWithinPartitions("key").mapInArrow(put, SHARD))
+    turned = counts.select(F.col("key").bitwiseXOR(F.lit(-1 << 63)).alias("key"), "value")
+    return _files(turned.repartitionByRange(n, "key").sortWithinPartitions("key").mapInArrow(put, SHARD).collect())
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -343,10 +359,82 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.mapInArrow(count, "key long, value long").groupBy("key").agg(F.sum("value").alias("value"))
 
 
-def count_grams(train: DataFrame, level: int, make_trie, min_count: int, buckets: int) -> DataFrame:
-    """(parent, word, n): n-grams of ``level`` words with at least min_count
-    occurrences. Tasks count what they have read and send it in packed parts,
-    one per bucket of n-grams by hash; each bucket is added up by itself."""
+def planes(keys: np.ndarray) -> bytes:
+    """Longs as their first bytes, then their second ones and so on: of sorted
+    ones, the higher bytes repeat and are well compressed on the way."""
+    return keys.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(raw) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def gram_keys(trie: Trie, level: int, texts: list[bytes], min_count: int) -> tuple[np.ndarray, int]:
+    """(keys of the n-grams of ``level`` words in a row of texts, tokens read)."""
+    h, bounds = tokens(texts)
+    ids, = trie.ids(h)
+    start = _starts(bounds)
+    context = np.where(start, -1, np.append(-1, ids[:-1]))
+    for k in range(2, level):
+        rank, _, _ = trie.seek(k, context, ids)
+        context = np.where(start, -1, np.append(-1, rank[:-1]))
+        if min_count > 1:
+            ids = np.where(rank >= 0, ids, -1)           # the shorter n-gram with this last word isn't stored
+    ask = (context >= 0) & (ids >= 0)
+    return pair(context[ask], ids[ask], trie.distinct), len(h)
+
+
+def gram_bounds(train: DataFrame, level: int, make_trie, total: int, min_count: int) -> np.ndarray:
+    """Keys that cut the n-grams of ``level`` words into ranges of about equal
+    size: quantiles of the distinct ones in a sample of documents."""
+    ranges = max(min(shuffle_partitions(train.sparkSession), total // LEAST), total // MOST, 1)
+    if ranges < 2:
+        return np.zeros(0, dtype=np.uint64)
+    share = min(1.0, SAMPLE * ranges / total)
+    thin = max(1, min(8, int(1 / share)))                # more documents, fewer n-grams of each
+
+    def pick(batches):
+        import pyarrow as pa
+
+        for _, texts in together(grouped(batches, "doc_id", "text")):
+            keys = np.unique(gram_keys(make_trie(), level, texts, min_count)[0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([keys[mix(keys) % np.uint64(thin) == 0].tobytes()], pa.binary())], names=["keys"])
+
+    rows = train if share * thin >= 1 else train.sample(share * thin, seed=level)
+    found = [np.frombuffer(r.keys, dtype=np.uint64) for r in rows.mapInArrow(pick, "keys binary").collect()]
+    keys = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *found]))
+    return np.unique(keys[np.arange(1, ranges) * len(keys) // ranges]) if len(keys) else keys
+
+
+def level_arrays(parent: np.ndarray, word: np.ndarray, n: np.ndarray, context: np.ndarray,
+                 discount: float) -> dict[str, np.ndarray]:
+    """A shard's arrays from sorted n-grams, their counts and their contexts'."""
+    at = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
+    size = np.diff(np.append(at, len(parent)))
+    last = word[at + size - 1] + 1
+    ends = np.repeat(np.cumsum(last) - last, size) + word + 1
+    first = int(parent[0])
+    per = np.zeros(int(parent[-1]) - first + 1, dtype=np.int64)
+    per[parent[at] - first] = size
+    pointers = EliasFano.build(np.append(0, np.cumsum(per)), len(word) + 1)
+    seq = EliasFano.build(ends, int(ends[-1]) + 1)
+    arrays = {f"pointers.{k}": a for k, a in pointers.arrays().items()}
+    arrays |= {f"words.{k}": a for k, a in seq.arrays().items()}
+    return arrays | {"codes": quantise((n - discount) / context), "first": np.array([first])}
+
+
+WRITTEN = "kind string, first decimal(20,0), second long, name string, bytes long, entries long, used double, context long"
+
+
+def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int, min_count: int, discount: float,
+                last: bool) -> tuple[list[tuple], tuple[list[tuple], list[tuple]]]:
+    """(shards of a level above 1; what its contexts leave, as shards and as
+    (context, mass) pairs). Tasks count what they have read and send it in
+    packed parts, one per range of keys; each range is added up by itself.
+    The last level's counts aren't needed again and aren't stored."""
+    bounds = gram_bounds(train, level, make_trie, total, min_count)
+
     def count(batches):
         import pyarrow as pa
 
@@ -354,27 +442,16 @@ def count_grams(train: DataFrame, level: int, make_trie, min_count: int, buckets
 
         def send():
             keys, n = np.unique(np.concatenate(held), return_counts=True)
-            to = (mix(keys) % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
-            order = np.argsort(to, kind="stable")          # by digits, where two bytes hold a bucket
-            keys, n, to = keys[order], n[order].astype(np.uint32), to[order].astype(np.int64)
-            at = np.searchsorted(to, np.arange(buckets + 1))
-            used = np.flatnonzero(np.diff(at))
+            at = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+            used, n = np.flatnonzero(np.diff(at)), n.astype(np.uint32)
             return pa.RecordBatch.from_arrays(
-                [pa.array(used), pa.array([keys[at[b]:at[b + 1]].tobytes() for b in used], pa.binary()),
+                [pa.array(used), pa.array([planes(keys[at[b]:at[b + 1]]) for b in used], pa.binary()),
                  pa.array([n[at[b]:at[b + 1]].tobytes() for b in used], pa.binary())], names=["bucket", "keys", "n"])
 
         for _, texts in together(grouped(batches, "doc_id", "text")):
-            h, bounds = tokens(texts)
-            ids, = trie.ids(h)
-            start = _starts(bounds)
-            context = np.where(start, -1, np.append(-1, ids[:-1]))
-            for k in range(2, level):
-                rank, _, _ = trie.seek(k, context, ids)
-                context = np.where(start, -1, np.append(-1, rank[:-1]))
-                ids = np.where(rank >= 0, ids, -1)       # the shorter n-gram with this last word isn't stored
-            ask = (context >= 0) & (ids >= 0)
-            held.append(pair(context[ask], ids[ask], trie.distinct))
-            size += len(h)
+            keys, n = gram_keys(trie, level, texts, min_count)
+            held.append(keys)
+            size += n
             if size >= FLUSH:
                 yield send()
                 held, size = [], 0
@@ -383,87 +460,75 @@ def count_grams(train: DataFrame, level: int, make_trie, min_count: int, buckets
 
     def add(batches):
         import pyarrow as pa
+        from decimal import Decimal
 
         trie, bucket, keys, n = make_trie(), None, [], []
+        above = trie.words if level == 2 else trie.grams[level - 3]
+
+        def row(kind, first, second, name, size, entries, used=None, context=None):
+            return {"kind": kind, "first": Decimal(int(first)), "second": second, "name": name, "bytes": size,
+                    "entries": entries, "used": used, "context": context}
 
-        def total():
-            if not keys:
-                return None
+        def put():
             k, c = np.concatenate(keys), np.concatenate(n).astype(np.int64)
             order = np.argsort(k, kind="stable")
             k, c = k[order], c[order]
-            first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, int)
-            c = np.add.reduceat(c, first) if len(k) else c
+            first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+            c = np.add.reduceat(c, first)
             k, c = k[first][c >= min_count], c[c >= min_count]
-            d = np.uint64(max(trie.distinct, 1))
-            return pa.RecordBatch.from_arrays(
-                [pa.array((k // d).astype(np.int64)), pa.array((k % d).astype(np.int64)), pa.array(c)],
-                names=["parent", "word", "n"])
+            if not len(k):
+                return
+            d = np.uint64(trie.distinct)
+            parent = (k // d).astype(np.int64)
+            word = (k - parent.astype(np.uint64) * d).astype(np.int64)
+            at = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
+            p, size = parent[at], np.diff(np.append(at, len(parent)))
+            context = above.at(p, "counts")
+            arrays = level_arrays(parent, word, c, np.repeat(context, size), discount)
+            if not last:
+                arrays["counts"] = c.astype(np.uint32 if c.max() < 1 << 32 else np.uint64)
+            name = f"level{level}-{bucket:06d}.lvl"
+            yield row("level", p[0], int(word[0]), name, write_arrays(folder, name, arrays), len(k))
+            used = np.add.reduceat(c, at) - discount * size
+            for e in sorted({0, len(p) - 1}):
+                yield row("edge", p[e], -1, None, 0, 1, float(used[e]), int(context[e]))
+            inner = slice(1, len(p) - 1)
+            if len(p) > 2:
+                seq = EliasFano.build(p[inner], int(p[-2]) + 1)
+                arrays = {f"keys.{x}": a for x, a in seq.arrays().items()}
+                arrays["codes"] = quantise(1 - used[inner] / context[inner])
+                name = f"mass{level - 1}-{bucket:06d}.lvl"
+                yield row("mass", p[1], -1, name, write_arrays(folder, name, arrays), len(p) - 2)
+
+        def rows(found):
+            return pa.RecordBatch.from_pylist(list(found), schema=pa.schema(
+                [("kind", pa.string()), ("first", pa.decimal128(20, 0)), ("second", pa.int64()), ("name", pa.string()),
+                 ("bytes", pa.int64()), ("entries", pa.int64()), ("used", pa.float64()), ("context", pa.int64())]))
 
         for b in batches:
-            for to, raw_keys, raw_n in zip(*b.columns):
+            for _, to, raw_keys, raw_n in zip(*b.columns):
                 if to.as_py() != bucket:
-                    done = total()
-                    if done is not None:
-                        yield done
+                    if keys:
+                        yield rows(put())
                     bucket, keys, n = to.as_py(), [], []
-                keys.append(np.frombuffer(raw_keys.as_buffer(), dtype=np.uint64).copy())
+                keys.append(from_planes(raw_keys.as_buffer()))
                 n.append(np.frombuffer(raw_n.as_buffer(), dtype=np.uint32).copy())
-        done = total()
-        if done is not None:
-            yield done
-
-    sent = train.mapInArrow(count, "bucket long, keys binary, n binary")
-    return (sent.repartition(shuffle_partitions(train.sparkSession), "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(add, "parent long, word long, n long"))
-
-
-def write_level(grams: DataFrame, folder: str, level: int, make_trie, discount: float) -> list[tuple]:
-    """Shards of a level above 1 from its (parent, word, n) rows."""
-    def put(batches):
-        cols = _columns(batches)
-        if not cols:
-            return
-        parent, word, n = cols
-        trie = make_trie()
-        above = trie.words if level == 2 else trie.grams[level - 3]
-        p, at = np.unique(parent, return_index=True)
-        context = np.repeat(above.at(p, "counts"), np.diff(np.append(at, len(parent))))
-        last = word[np.append(at[1:], len(word)) - 1] + 1
-        base = np.cumsum(last) - last
-        ends = np.repeat(base, np.diff(np.append(at, len(parent)))) + word + 1
-        first = int(p[0])
-        per = np.bincount(parent - first, minlength=int(p[-1]) - first + 1)
-        pointers = EliasFano.build(np.append(0, np.cumsum(per)), len(word) + 1)
-        seq = EliasFano.build(ends, int(ends[-1]) + 1)
-        arrays = {f"pointers.{k}": a for k, a in pointers.arrays().items()}
-        arrays |= {f"words.{k}": a for k, a in seq.arrays().items()}
-        arrays |= {"codes": quantise((n - discount) / context), "counts": n.astype(np.uint32 if n.max() < 1 << 32 else np.uint64),
-                   "first": np.array([first])}
-        name = _name(f"level{level}")
-        yield _shard_row(first, int(word[0]), name, write_arrays(folder, name, arrays), len(word))
-
-    n = shuffle_partitions(grams.sparkSession)
-    return _files(grams.repartitionByRange(n, "parent", "word").sortWithinPartitions("parent", "word")
-                  .mapInArrow(put, SHARD))
-
-
-def left_over(grams: DataFrame, level: int, make_trie, discount: float) -> DataFrame:
-    """(key, value): contexts and the share of their mass not stored."""
-    sums = grams.groupBy("parent").agg((F.sum("n") - discount * F.count("*")).alias("used"))
-
-    def share(batches):
-        import pyarrow as pa
-
-        trie = make_trie()
-        above = trie.words if level == 2 else trie.grams[level - 3]
-        for b in batches:
-            parent, used = (c.to_numpy(zero_copy_only=False) for c in b.columns)
-            order = np.argsort(parent)
-            left = 1 - used[order] / above.at(parent[order], "counts")
-            yield pa.RecordBatch.from_arrays([pa.array(parent[order]), pa.array(left)], names=["key", "value"])
-
-    return sums.mapInArrow(share, "key long, value double")
+        if keys:
+            yield rows(put())
+
+    parts = shuffle_partitions(train.sparkSession)
+    sent = train.mapInArrow(count, "bucket long, keys binary, n binary").select(
+        (F.col("bucket") % parts).cast("int").alias("part"), "bucket", "keys", "n")
+    found = (sent.repartitionById(parts, "part").sortWithinPartitions("bucket").mapInArrow(add, WRITTEN).collect())
+    sums: dict[int, list] = {}
+    for r in found:
+        if r.kind == "edge":
+            used, _ = sums.get(int(r.first), (0.0, 0))
+            sums[int(r.first)] = (used + r.used, r.context)
+    edges = sorted(sums)
+    left = _UNIT[quantise(1 - np.array([sums[p][0] / sums[p][1] for p in edges]))].tolist()
+    of = lambda kind: _files([r for r in found if r.kind == kind])
+    return of("level"), (of("mass"), list(zip(edges, left)))
 
 
 class Model:
@@ -494,13 +559,9 @@ def train(rows: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUNT, di
     folder = folder or scratch_path(spark, "trie")
     counts = materialize(count_words(rows), "words")
     total = int(counts.agg(F.coalesce(F.sum("value"), F.lit(0))).first()[0])
-    levels = [_sorted_file(counts, folder, "words", "counts", lambda c: c.astype(np.int64))]
-    model = Model(folder, levels, [], total)
-    buckets = 4 * shuffle_partitions(spark)
+    model = Model(folder, [write_words(counts, folder)], [], total)
     for level in range(2, order + 1):
-        grams = materialize(count_grams(rows, level, model, min_count, buckets), f"grams-{level}")
-        files = write_level(grams, folder, level, model, discount)
-        mass = _sorted_file(left_over(grams, level, model, discount), folder, f"mass{level - 1}", "codes", quantise)
+        files, mass = write_level(rows, folder, level, model, total, min_count, discount, level == order)
         _, levels, masses, _ = model.parts
         model = Model(folder, [*levels, files], [*masses, mass], total)
     return model
