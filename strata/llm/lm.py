@@ -9,8 +9,10 @@ sequences. A word is sought below its context: the context's pointers and base
 are read, and the successor of base + word id is searched from there.
 
 Every n-gram carries its discounted probability, every context the mass left
-for shorter contexts, both as 8-bit codes of their logarithm. The probability
-of a word is the discounted one of each order plus the mass left times that of
+for shorter contexts, both as 8-bit codes of their logarithm. A level's codes
+reach down to what an n-gram of the least count has after the level's commonest
+context, so that nothing is clipped whatever the counts; each file holds its
+codebook. The probability of a word is the discounted one of each order plus the mass left times that of
 the order below; order 1 is the contract's additive base.
 
 Levels are cut into shards by ranges of keys, written by Spark tasks to the
@@ -54,8 +56,6 @@ ORDER = 3
 MIN_COUNT = 1
 DISCOUNT = 0.75
 ADD = 0.1
-#: Steps per factor of ten of the 8-bit codes.
-STEPS = 32
 #: Tokens gathered in a task before their n-grams are sent on.
 FLUSH = 4 << 20
 #: Bytes of text whose n-grams are looked up together: the more, the fewer
@@ -68,12 +68,17 @@ LEAST, MOST, SAMPLE = 1 << 12, 1 << 21, 512
 #: order, so of a larger level a shard would be closed again before its next use.
 HELD = 16 << 20
 END = np.uint64(0x656E64206F662074)
-_UNIT = 10.0 ** (-np.arange(256) / STEPS)
 _TAIL = struct.Struct("<Q")
 
 
-def quantise(p: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(-np.log10(np.maximum(p, 1e-30)) * STEPS), 0, 255).astype(np.uint8)
+def codebook(least: float) -> np.ndarray:
+    """256 values from 1 down to ``least``, even steps of the logarithm apart."""
+    return min(least, 0.1) ** (np.arange(256) / 255)
+
+
+def quantise(p: np.ndarray, book: np.ndarray) -> np.ndarray:
+    """The codes of the values of a codebook next to p by the logarithm."""
+    return np.clip(np.rint(np.log(np.maximum(p, book[-1])) / np.log(book[-1]) * 255), 0, 255).astype(np.uint8)
 
 
 def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> int:
@@ -154,9 +159,8 @@ class Grams(Words):
     """A level above 1. Its files' first keys are (parent, word) pairs."""
 
     def seek(self, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ranks or -1, codes) of (parent, word) queries sorted so."""
-        rank = np.full(len(parent), -1, dtype=np.int64)
-        code = np.zeros(len(parent), dtype=np.uint8)
+        """(ranks or -1, probabilities or 0) of (parent, word) queries sorted so."""
+        rank, own = np.full(len(parent), -1, dtype=np.int64), np.zeros(len(parent))
         firsts = [f[0] for f in self.files]
         p0, w0 = (np.array([f[k] for f in firsts], dtype=np.int64) for k in (0, 1))
         shard = np.searchsorted(p0, parent, side="right") - 1
@@ -181,8 +185,8 @@ class Grams(Words):
             found &= (at >= lo[of]) & (at < hi[of])
             place = np.arange(part.start, part.stop)[known[found]]
             rank[place] = at[found] + s["before"]
-            code[place] = s["codes"][at[found]]
-        return rank, code
+            own[place] = s["book"][s["codes"][at[found]]]
+        return rank, own
 
 
 class Trie:
@@ -192,7 +196,7 @@ class Trie:
         self.words = Words(folder, levels[0])
         self.grams = [Grams(folder, f) for f in levels[1:]]
         self.masses = [(Words(folder, f), np.array([e[0] for e in edges], dtype=np.int64),
-                        np.array([e[1] for e in edges])) for f, edges in masses]
+                        np.array([e[1] for e in edges]), codebook(least)) for f, edges, least in masses]
         self.total = total
         self.distinct = sum(f[4] for f in levels[0])
 
@@ -214,9 +218,8 @@ class Trie:
             key, back = np.unique(pair(parent[ask], word[ask], self.distinct), return_inverse=True)
             a = key // np.uint64(self.distinct)
             b = key - a * np.uint64(self.distinct)
-            r, code = self.grams[level - 2].seek(a.astype(np.int64), b.astype(np.int64))
-            rank[ask] = r[back]
-            p[ask] = np.where(r >= 0, _UNIT[code], 0.0)[back]
+            r, own = self.grams[level - 2].seek(a.astype(np.int64), b.astype(np.int64))
+            rank[ask], p[ask] = r[back], own[back]
             if level <= len(self.masses):
                 left[ask] = self.mass(level, r)[back]
         return rank, p, left
@@ -227,9 +230,9 @@ class Trie:
         out = np.ones(len(context))
         ask = np.flatnonzero(context >= 0)
         if len(ask) and level <= len(self.masses):
-            inner, edges, left = self.masses[level - 1]
+            inner, edges, left, book = self.masses[level - 1]
             rank, code = inner.find(context[ask].astype(np.uint64), "codes")
-            out[ask] = np.where(rank >= 0, _UNIT[code], 1.0)
+            out[ask] = np.where(rank >= 0, book[code], 1.0)
             if len(edges):
                 at = np.minimum(np.searchsorted(edges, context[ask]), len(edges) - 1)
                 out[ask] = np.where(edges[at] == context[ask], left[at], out[ask])
@@ -408,7 +411,7 @@ def gram_bounds(train: DataFrame, level: int, make_trie, total: int, min_count:
 
 
 def level_arrays(parent: np.ndarray, word: np.ndarray, n: np.ndarray, context: np.ndarray,
-                 discount: float) -> dict[str, np.ndarray]:
+                 discount: float, book: np.ndarray) -> dict[str, np.ndarray]:
     """A shard's arrays from sorted n-grams, their counts and their contexts'."""
     at = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
     size = np.diff(np.append(at, len(parent)))
@@ -421,19 +424,27 @@ def level_arrays(parent: np.ndarray, word: np.ndarray, n: np.ndarray, context: n
     seq = EliasFano.build(ends, int(ends[-1]) + 1)
     arrays = {f"pointers.{k}": a for k, a in pointers.arrays().items()}
     arrays |= {f"words.{k}": a for k, a in seq.arrays().items()}
-    return arrays | {"codes": quantise((n - discount) / context), "first": np.array([first])}
+    return arrays | {"codes": quantise((n - discount) / context, book), "book": book, "first": np.array([first])}
+
+
+def left_over(used: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """The share of contexts' counts that their stored n-grams don't use."""
+    return (context - used) / context
 
 
 WRITTEN = "kind string, first decimal(20,0), second long, name string, bytes long, entries long, used double, context long"
 
 
 def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int, min_count: int, discount: float,
-                last: bool) -> tuple[list[tuple], tuple[list[tuple], list[tuple]]]:
-    """(shards of a level above 1; what its contexts leave, as shards and as
-    (context, mass) pairs). Tasks count what they have read and send it in
+                commonest: int, last: bool) -> tuple[list[tuple], tuple[list[tuple], list[tuple], float], int]:
+    """(shards of a level above 1; what its contexts leave, as shards, as
+    (context, mass) pairs and the least the codes reach; the count of its
+    commonest n-gram). ``commonest``: that of the level before. Tasks count what they have read and send it in
     packed parts, one per range of keys; each range is added up by itself.
     The last level's counts aren't needed again and aren't stored."""
     bounds = gram_bounds(train, level, make_trie, total, min_count)
+    least = min(min_count - discount, discount) / max(commonest, 1)
+    book = codebook(least)
 
     def count(batches):
         import pyarrow as pa
@@ -484,11 +495,11 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
             at = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
             p, size = parent[at], np.diff(np.append(at, len(parent)))
             context = above.at(p, "counts")
-            arrays = level_arrays(parent, word, c, np.repeat(context, size), discount)
+            arrays = level_arrays(parent, word, c, np.repeat(context, size), discount, book)
             if not last:
                 arrays["counts"] = c.astype(np.uint32 if c.max() < 1 << 32 else np.uint64)
             name = f"level{level}-{bucket:06d}.lvl"
-            yield row("level", p[0], int(word[0]), name, write_arrays(folder, name, arrays), len(k))
+            yield row("level", p[0], int(word[0]), name, write_arrays(folder, name, arrays), len(k), None, int(c.max()))
             used = np.add.reduceat(c, at) - discount * size
             for e in sorted({0, len(p) - 1}):
                 yield row("edge", p[e], -1, None, 0, 1, float(used[e]), int(context[e]))
@@ -496,7 +507,7 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
             if len(p) > 2:
                 seq = EliasFano.build(p[inner], int(p[-2]) + 1)
                 arrays = {f"keys.{x}": a for x, a in seq.arrays().items()}
-                arrays["codes"] = quantise(1 - used[inner] / context[inner])
+                arrays |= {"codes": quantise(left_over(used[inner], context[inner]), book), "book": book}
                 name = f"mass{level - 1}-{bucket:06d}.lvl"
                 yield row("mass", p[1], -1, name, write_arrays(folder, name, arrays), len(p) - 2)
 
@@ -526,9 +537,11 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
             used, _ = sums.get(int(r.first), (0.0, 0))
             sums[int(r.first)] = (used + r.used, r.context)
     edges = sorted(sums)
-    left = _UNIT[quantise(1 - np.array([sums[p][0] / sums[p][1] for p in edges]))].tolist()
+    left = left_over(*(np.array([sums[p][k] for p in edges]) for k in (0, 1)))
+    left = book[quantise(left, book)].tolist()
     of = lambda kind: _files([r for r in found if r.kind == kind])
-    return of("level"), (of("mass"), list(zip(edges, left)))
+    top = max((r.context for r in found if r.kind == "level"), default=0)
+    return of("level"), (of("mass"), list(zip(edges, left)), least), top
 
 
 class Model:
@@ -558,10 +571,10 @@ def train(rows: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUNT, di
     spark: SparkSession = rows.sparkSession
     folder = folder or scratch_path(spark, "trie")
     counts = materialize(count_words(rows), "words")
-    total = int(counts.agg(F.coalesce(F.sum("value"), F.lit(0))).first()[0])
+    total, top = (int(x or 0) for x in counts.agg(F.sum("value"), F.max("value")).first())
     model = Model(folder, [write_words(counts, folder)], [], total)
     for level in range(2, order + 1):
-        files, mass = write_level(rows, folder, level, model, total, min_count, discount, level == order)
+        files, mass, top = write_level(rows, folder, level, model, total, min_count, discount, top, level == order)
         _, levels, masses, _ = model.parts
         model = Model(folder, [*levels, files], [*masses, mass], total)
     return model

@@ -46,3 +46,18 @@ def test_ngrams_seen_once_are_in_the_trie(spark):
                 assert abs(r.score - want[r.doc_id]) <= r.n_tokens / 32 + 1e-9
     finally:
         lm.LEAST = least
+
+
+def test_codes_reach_the_rarest_words_of_the_commonest_contexts(tmp_path):
+    context, rare = 1_600_000_000, 40_000
+    n = np.append(np.ones(rare, dtype=np.int64), context - rare)
+    own = (n - lm.DISCOUNT) / context
+    book = lm.codebook((1 - lm.DISCOUNT) / context)
+    arrays = lm.level_arrays(np.full(rare + 1, 7), np.arange(rare + 1), n, np.full(rare + 1, context), lm.DISCOUNT, book)
+    size = lm.write_arrays(str(tmp_path), "level", arrays)
+    grams = lm.Grams(str(tmp_path), [((7, 0), "level", size, 0, rare + 1)])
+    rank, got = grams.seek(np.full(rare + 2, 7), np.arange(rare + 2))
+    assert (rank[:-1] == np.arange(rare + 1)).all() and (rank[-1], got[-1]) == (-1, 0)
+    assert np.abs(np.log10(got[:-1] / own)).max() < 0.5 * np.log10(1 / book[-1]) / 255 + 1e-12 < 0.02
+    left = lm.left_over(np.array([context - 0.75, context - lm.DISCOUNT * rare]), np.array([context] * 2))
+    assert np.abs(np.log10(book[lm.quantise(left, book)] * context / [0.75, lm.DISCOUNT * rare])).max() < 0.02
