@@ -1,20 +1,27 @@
 """Order MinHash fingerprints in DataFrame functions.
 
 A text's elements are its runs of ``k`` words, each numbered by how often it
-has come before in the text. Elements are dealt by hash into ``bins``; in each
-bin the ``picks`` smallest by hash are put in the order of the text, and the
-tuple of them is hashed to one entry of the fingerprint. Two texts agree on an
-entry when the same elements were picked and stand in the same order, so the
-share of equal entries falls with the edits between the texts, moves included,
-and not only with the elements they share.
+has come before in the text. Words end at any white space; a character of a
+script written without spaces is a word, and so is each character of a word of
+more than ``LONG`` ones. Every entry has a hash of its own, the elements' hash
+with the bits of the entry's number turned in it: of all elements, the
+``picks`` smallest by it are put in the order of the text, and the tuple of
+them is hashed to the entry. Two texts agree on an entry when the same
+elements were picked and stand in the same order, so the share of equal entries
+falls with the edits between the texts, moves included, and not only with the
+elements they share.
+
+An entry's smallest elements are those whose hash begins with its number, where
+there are ``picks`` of them: they are found for all entries in one sorting. Only
+the others, as most are in a short text, are sought among all elements.
 
 Everything is column expressions over arrays; there is no shuffle for the
 fingerprint itself.
 
 Defined cases: a null text counts as empty; an empty text has no elements and
-an empty fingerprint entry in every bin; a text of fewer than ``k`` words is
-one element. Two texts without elements have likeness 1, one with and one
-without 0; bins empty in both don't count.
+only empty entries; a text of fewer than ``k`` words is one element, and a
+text of fewer than ``picks`` elements has all of them in every entry. Two texts
+without elements have likeness 1, one with and one without 0.
 """
 
 from __future__ import annotations
@@ -27,6 +34,14 @@ from strata.llm.common import id_text, shuffle_partitions
 K = 3
 BINS = 32
 PICKS = 2
+#: Characters of the longest word that is not taken character by character.
+LONG = 32
+#: Scripts written without spaces between words.
+UNSPACED = (r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uA000-\uA4CF\uF900-\uFAFF\uFF66-\uFF9F"
+            r"\x{20000}-\x{3FFFF}]")
+#: Between words: white space, or either side of a character of those scripts.
+BETWEEN = (r"[\s\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
+           rf"|(?={UNSPACED})|(?<={UNSPACED})")
 #: Ranges of ids that are put in order side by side, per shuffle partition.
 RANGES = 4
 
@@ -43,13 +58,17 @@ def _packed(rank: Column, at: Column) -> Column:
 
 def add_fingerprint(df: DataFrame, text: str, out: str, *, k: int = K, bins: int = BINS,
                     picks: int = PICKS) -> DataFrame:
-    """``df`` with the fingerprint of ``text`` as the array column ``out`` (one
-    long per bin, null where the bin is empty). ``bins`` is a power of two.
+    """``df`` with the fingerprint of ``text`` as the array column ``out``
+    (``bins`` longs, null for a text without elements). ``bins`` is a power of
+    two.
 
     Ranks and places are packed into longs, which sort without objects; the
     numbering of equal elements is only worked out for texts that have some."""
     grams, marks, runs = f"{out}_grams", f"{out}_marks", f"{out}_runs"
-    df = df.withColumn(grams, F.transform(F.filter(F.split(text, " "), lambda w: w != ""), lambda w: F.xxhash64(w)))
+    df = df.withColumn(grams, F.filter(F.split(text, BETWEEN), lambda w: w != ""))
+    df = df.withColumn(grams, F.when(F.exists(grams, lambda w: F.length(w) > LONG), F.flatten(F.transform(
+        grams, lambda w: F.when(F.length(w) > LONG, F.split(w, "")).otherwise(F.array(w))))).otherwise(F.col(grams)))
+    df = df.withColumn(grams, F.transform(grams, lambda w: F.xxhash64(w)))
     n = F.size(grams)
     gram = lambda i: F.xxhash64(*(F.get(F.col(grams), i + j) for j in range(k)))
     df = df.withColumn(grams, F.when(n >= k, _each(n - (k - 1), gram)).when(
@@ -75,24 +94,31 @@ def add_fingerprint(df: DataFrame, text: str, out: str, *, k: int = K, bins: int
         (i == 0) | (F.shiftright(F.get(F.col(marks), i - 1), shift) != F.shiftright(m, shift)), i)),
         lambda i: i.isNotNull()))
 
-    def entry(lo, r):
-        size = F.least(F.coalesce(F.get(F.col(runs), r + 1), F.size(marks)) - lo, F.lit(picks))
-        low = lambda x: x.bitwiseAND(F.lit((1 << 32) - 1))
-        ordered = F.sort_array(F.transform(F.sequence(F.lit(0), size - 1), lambda j: F.struct(
-            low(F.get(F.col(marks), lo + j)).alias("at"),
-            F.shiftright(F.get(F.col(marks), lo + j), 32).alias("rank"))))
-        whole = F.aggregate(ordered, F.lit(42).cast("long"), lambda a, m: F.xxhash64(
+    def entry(picked):
+        ordered = F.sort_array(F.transform(picked, lambda m: F.struct(
+            m.bitwiseAND(F.lit((1 << 32) - 1)).alias("at"), F.shiftright(m, 32).alias("rank"))))
+        return F.aggregate(ordered, F.lit(42).cast("long"), lambda a, m: F.xxhash64(
             a, m["rank"], F.get(F.col(grams), m["at"].cast("int"))))
-        return F.struct(F.shiftright(F.get(F.col(marks), lo), shift).alias("bin"), whole.alias("hash"))
 
-    df = df.withColumn(runs, F.map_from_entries(F.transform(runs, entry)))
+    def full(lo, r):
+        size = F.coalesce(F.get(F.col(runs), r + 1), F.size(marks)) - lo
+        picked = F.transform(F.sequence(F.lit(0), F.lit(picks - 1)), lambda j: F.get(F.col(marks), lo + j))
+        return F.when(size >= picks, F.struct(F.shiftright(F.get(F.col(marks), lo), shift).alias("bin"),
+                                              entry(picked).alias("hash")))
+
+    def among_all(b):
+        turn = lambda m: m.bitwiseXOR(F.lit(b << shift))
+        near = F.slice(F.sort_array(F.transform(marks, turn)), 1, picks)
+        return F.when(F.size(marks) > 0, entry(F.transform(near, turn)))
+
+    df = df.withColumn(runs, F.map_from_entries(F.filter(F.transform(runs, full), lambda e: e.isNotNull())))
     # not a lambda over the bins: the optimiser would put the map into it, once per bin
-    return df.withColumn(out, F.array(*(F.try_element_at(runs, F.lit(b).cast("long")) for b in range(bins)))
-                         ).drop(grams, marks, runs)
+    return df.withColumn(out, F.array(*(F.coalesce(F.try_element_at(runs, F.lit(b).cast("long")), among_all(b))
+                                        for b in range(bins)))).drop(grams, marks, runs)
 
 
 def likeness(a: str, b: str) -> Column:
-    """Share of bins with equal entries among those filled in either."""
+    """Share of equal entries among those filled in either."""
     pairs = F.arrays_zip(F.col(a).alias("a"), F.col(b).alias("b"))
     used = F.size(F.filter(pairs, lambda p: p["a"].isNotNull() | p["b"].isNotNull()))
     same = F.size(F.filter(pairs, lambda p: p["a"] == p["b"]))
@@ -100,7 +126,7 @@ def likeness(a: str, b: str) -> Column:
 
 
 def as_text(a: str) -> Column:
-    """A fingerprint as hexadecimal entries, '-' for an empty bin."""
+    """A fingerprint as hexadecimal entries, '-' for an empty one."""
     return F.array_join(F.transform(a, lambda h: F.lower(F.hex(h))), " ", "-")
 
 

@@ -61,3 +61,29 @@ def test_codes_reach_the_rarest_words_of_the_commonest_contexts(tmp_path):
     assert np.abs(np.log10(got[:-1] / own)).max() < 0.5 * np.log10(1 / book[-1]) / 255 + 1e-12 < 0.02
     left = lm.left_over(np.array([context - 0.75, context - lm.DISCOUNT * rare]), np.array([context] * 2))
     assert np.abs(np.log10(book[lm.quantise(left, book)] * context / [0.75, lm.DISCOUNT * rare])).max() < 0.02
+
+
+def test_texts_without_spaces_and_short_texts_have_order(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from strata.llm import fingerprint
+
+    rng = random.Random(2)
+    kana = "".join(chr(rng.randrange(0x3042, 0x3090)) for _ in range(400))
+    token = "".join(rng.choice("abcdefghijklmnop0123456789") for _ in range(400))
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(6))
+    lines = "\n".join(word() for _ in range(400))
+    edit = lambda t: t[:len(t) * 7 // 8] + "".join(rng.sample(t, len(t) // 8))
+    few = [word() for _ in range(24)]
+    pairs = [(t, edit(t)) for t in (kana, token)] + [(lines, "\t".join(lines.split("\n")[:350] + ["x"] * 50)),
+                                                     (" ".join(few), " ".join(few[12:] + few[:12])), ("a b", "a b")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i long, a string, b string")
+    df = fingerprint.add_fingerprint(fingerprint.add_fingerprint(df, "a", "fa"), "b", "fb")
+    r = {x.i: x for x in df.withColumn("near", fingerprint.likeness("fa", "fb")).withColumn(
+        "entries", F.size(F.array_distinct("fa"))).collect()}
+    assert all(0.3 < r[k].near < 1 for k in (0, 1, 2)), r
+    assert all(None not in r[k].fa for k in r) and r[4].near == 1.0
+    # 20 of the 22 runs stay when the halves change places, but about half of the pairs change their order
+    assert 0.15 < r[3].near < 0.75 and r[3].entries > 6
