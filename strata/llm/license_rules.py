@@ -57,7 +57,7 @@ NAMED = [
     ("bsl-1.0", r"boost software license(?: version)?(?: 1 0)?", "bsl 1 0", "license 1 0", "boost bsl"),
     ("busl-1.1", r"business source license(?: version)?(?: 1 1)?", "busl 1 1", "bsl11", "business busl"),
     ("unlicense", r"the unlicense", "unlicense", "unlicense org", "unlicense"),
-    ("wtfpl", r"do what the f\w* you want to public license", "wtfpl", "wtfpl net", "wtfpl"),
+    ("wtfpl", r"do what the f\w* you want to public license", "wtfpl", "wtfpl net", "want"),
     ("postgresql", r"postgresql licen[sc]e", "postgresql", "about licence", "postgresql"),
     ("psf-2.0", r"python software foundation license(?: version 2)?", "python 2 0", "licenses psf 2 0", "python"),
     ("ofl-1.1", r"sil open font license(?: version)?(?: 1 1)?", "ofl 1 1", "scripts sil org ofl", "sil ofl"),
@@ -75,7 +75,7 @@ NAMED = [
     ("sspl-1.0", r"server side public license(?: version)?(?: 1)?", "sspl 1 0", "licensing server side public license", "sspl server"),
     ("elastic-2.0", r"elastic license(?: version)? 2 0", "elastic 2 0", "licensing elastic license", "elastic"),
     ("json", r"json license", "json", "license html", "json"),
-    ("beerware", r"beer ?ware license", "beerware", "wiki beerware", "beerware"),
+    ("beerware", r"beer ?ware license", "beerware", "wiki beerware", "beer beerware"),
     ("cecill-2.1", r"cecill(?: free software license agreement)?(?: version)? 2 1", "cecill 2 1", "licences licence cecill v2 1", "cecill"),
     ("afl-3.0", r"academic free license(?: version)? 3 0", "afl 3 0", "licenses afl 3 0", "afl academic"),
     ("osl-3.0", r"open software license(?: version)? 3 0", "osl 3 0", "licenses osl 3 0", "osl software"),
@@ -84,6 +84,9 @@ NAMED = [
     ("lppl-1.3c", r"latex project public license(?: version)?(?: 1 3c?)?", "lppl 1 3c", "lppl lppl 1 3c", "latex lppl"),
 ]
 
+#: Page words that begin with the site's own name, not with a path.
+SITES = ("unlicense org", "wtfpl net")
+
 #: Creative Commons: label, elements as in the short name, and as in the full one.
 CREATIVE = [
     ("cc-by", "by", "attribution"),
@@ -169,7 +172,7 @@ def rules() -> list[Rule]:
         add(label, 7, 0.9, rf"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?{name}", key)
         add(label, 5, 0.7, name, key)
         add(label, 8, 0.95, rf"spdx license identifier {spdx}(?: only| or later)?", "spdx")
-        add(label, 4, 0.7, rf"(?:org|com|net|fr) (?:\w+ ){{0,3}}{page}", page.split()[0])
+        add(label, 4, 0.7, page if page in SITES else rf"(?:org|com|net|fr) (?:\w+ ){{0,3}}{page}", page.split()[0])
     for label, short, full in CREATIVE:
         add(label, 6, 0.8, rf"cc {short}(?: [1-4] \d)?", "cc")
         add(label, 7, 0.9, rf"licensed under (?:a |the )?cc {short}(?: [1-4] \d)?", "cc")

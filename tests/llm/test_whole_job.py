@@ -87,3 +87,45 @@ def test_texts_without_spaces_and_short_texts_have_order(spark):
     assert all(None not in r[k].fa for k in r) and r[4].near == 1.0
     # 20 of the 22 runs stay when the halves change places, but about half of the pairs change their order
     assert 0.15 < r[3].near < 0.75 and r[3].entries > 6
+
+
+def _alternatives(tree):
+    """Texts of a parsed pattern: every branch, and repeats at their least and one more."""
+    import itertools
+
+    out = [""]
+    for op, av in tree:
+        kind = str(op)
+        if kind == "LITERAL":
+            some = [chr(av)]
+        elif kind == "IN":
+            some = [chr(a) for k, a in av if str(k) == "LITERAL"] or ["2"]
+        elif kind == "MAX_REPEAT":
+            some = ["".join(p) for n in {av[0], min(int(av[1]), av[0] + 1)}
+                    for p in itertools.product(_alternatives(av[2]), repeat=n)]
+        elif kind == "SUBPATTERN":
+            some = _alternatives(av[3])
+        elif kind == "BRANCH":
+            some = [x for b in av[1] for x in _alternatives(b)]
+        else:
+            assert kind in ("ASSERT", "ASSERT_NOT")
+            some = [""]
+        out = [a + b for a in out for b in some]
+    return out
+
+
+def test_each_alternative_of_a_licence_rule_holds_a_keyword(spark):
+    import re._parser as parser
+
+    from strata.llm import licenses
+    from strata.llm.license_rules import rules
+
+    for r in rules():
+        for t in _alternatives(parser.parse(r.pattern.pattern)):
+            if r.pattern.fullmatch(t):
+                assert r.keywords & set(t.split()), (r.label, t)
+    texts = {1: "Do What The Fuck You Want To Public License", 2: "the beer ware license", 3: "see http://unlicense.org",
+             4: "see wtfpl.net"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(df).collect()}
+    assert got == {1: "wtfpl", 2: "beerware", 3: "unlicense", 4: "wtfpl"}
