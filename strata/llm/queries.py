@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import (decontam, fingerprint, huffman, licenses, lm, neardup, packing, pii, quality,
-                        warc)
+from strata.llm import (decontam, fingerprint, huffman, licenses, lines, lm, merkle, neardup, packing, pii,
+                        quality, repair, warc)
 from strata.session import scratch_path
 
 
@@ -74,6 +74,22 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_report(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that five documents or more share, dropped from all but one."""
+    return lines.digests(lines.dedup_lines(table(spark, sf_dir, "documents"), scratch_path(spark, "lines")))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, audited and repaired with the least edits."""
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of every document, checked after tampering."""
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_huffman, op2_ngram_trie, op3_license_scan, op4_pii_segments, op5_warc_index, op6_ffd_packing,
-    op7_chosen_path, op8_decontamination, op9_quality_bayes, op10_order_minhash)}
+    op7_chosen_path, op8_decontamination, op9_quality_bayes, op10_order_minhash, op11_line_dedup, op12_conversation_repair,
+    op13_merkle_manifest)}
