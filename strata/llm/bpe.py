@@ -14,7 +14,10 @@ punctuation.) Further exact shortcuts:
 * a chunk of lower-case Latin letters is one pre-token that normalising leaves
   as it is, so it goes to the library's merge model directly.
 
-Chunks are found and looked up by hash for many texts at once (words.py).
+Chunks are found and looked up for many texts at once (words.py). A slot of the
+memo, found by hash, is only believed if it holds the very chunk: its length and
+its first and last eight bytes, which are all of a chunk of up to sixteen bytes.
+Longer chunks are remembered in a dictionary by their bytes.
 """
 
 from __future__ import annotations
@@ -25,12 +28,16 @@ from functools import cache
 
 import numpy as np
 
-from strata.llm.words import NOT_SPACE, find_words, hash_spans
+from strata.llm.words import FIRST, NOT_SPACE, blocks, find_words, hash_spans
 
 #: Slots of the memo (one chunk each; a newer chunk takes an older one's slot),
 #: and the ids it holds before it starts afresh.
-MEMO_BITS = 19
+MEMO_BITS = 20
 MEMO_IDS = 1 << 23
+#: Longest chunk of the memo's slots; chunks in the dictionary.
+SHORT = 16
+MEMO_LONG = 1 << 16
+MEMO_CHUNK = 256
 
 _letters = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 _PUNCT = np.zeros(256, bool)
@@ -49,9 +56,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.alphabet = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
-        self.keys = np.zeros(1 << MEMO_BITS, dtype=np.uint64)
+        self.head = np.zeros(1 << MEMO_BITS, dtype=np.uint64)
+        self.tail = np.zeros(1 << MEMO_BITS, dtype=np.uint64)
+        self.length = np.zeros(1 << MEMO_BITS, dtype=np.uint8)   # 0: the slot is free
         self.at = np.zeros(1 << MEMO_BITS, dtype=np.int64)
         self.size = np.zeros(1 << MEMO_BITS, dtype=np.int64)
+        self.long: dict[bytes, tuple[int, int]] = {}
         self.ids, self.used = np.zeros(1 << 16, dtype="<u4"), 0
 
     def whole(self, text: str) -> list[int]:
@@ -94,6 +104,51 @@ class Encoder:
         return (found.joined, np.insert(before, cut + 1, after), s, e,
                 found.bounds + np.searchsorted(cut, found.bounds))
 
+    def _new(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode chunks; returns where their ids begin, and how many there are."""
+        flat, sizes = array("I"), []
+        for c in chunks:
+            ids = self._chunk(c)
+            sizes.append(len(ids))
+            flat.extend(ids)
+        size = np.array(sizes, dtype=np.int64)
+        return self._keep(flat) + np.cumsum(size) - size, size
+
+    def _look_up(self, joined: bytes, h: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Where each chunk's ids begin, and how many there are."""
+        length = ends - starts
+        block = blocks(np.frombuffer(joined, dtype=np.uint8))
+        brief = np.minimum(length, 8)
+        head = block[starts] & FIRST[brief]
+        tail = np.where(length > 8, block[ends - brief], head)
+        slot = (h >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
+        at, size = self.at[slot], self.size[slot]
+        same = (self.length[slot] == length) & (self.head[slot] == head) & (self.tail[slot] == tail)
+        far = np.flatnonzero(length > SHORT)
+        miss = np.flatnonzero(~same & (length <= SHORT))
+        if len(miss):
+            key = np.lexsort((length[miss], tail[miss], head[miss]))
+            by = miss[key]
+            new = np.append(True, (head[by[1:]] != head[by[:-1]]) | (tail[by[1:]] != tail[by[:-1]])
+                            | (length[by[1:]] != length[by[:-1]]))
+            first, of = by[new], np.cumsum(new) - 1
+            new_at, new_size = self._new([joined[s:e].lower() for s, e in zip(starts[first].tolist(), ends[first].tolist())])
+            at[by], size[by] = new_at[of], new_size[of]
+            # of chunks that share a slot the last one stays: its slot's order decides for all arrays alike
+            slot, last = np.unique(slot[first][::-1], return_index=True)
+            last = len(first) - 1 - last
+            self.head[slot], self.tail[slot], self.length[slot] = head[first[last]], tail[first[last]], length[first[last]]
+            self.at[slot], self.size[slot] = new_at[last], new_size[last]
+        for j in far.tolist():
+            chunk = joined[starts[j]:ends[j]].lower()
+            if (held := self.long.get(chunk)) is None:
+                (a,), (n,) = self._new([chunk])
+                held = int(a), int(n)
+                if len(chunk) <= MEMO_CHUNK:
+                    self.long[chunk] = held
+            at[j], size[j] = held
+        return at, size
+
     def encode(self, texts: list[bytes], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by the id ``end`` if given,
         and their bounds: text k has ids[bounds[k]:bounds[k + 1]]."""
@@ -103,24 +158,10 @@ class Encoder:
             apart = {k: self.whole(texts[k].decode()) for k in special}
             for k in special:
                 texts[k] = b""
-        if self.used > MEMO_IDS:
-            self.keys[:], self.used = 0, 0
+        if self.used > MEMO_IDS or len(self.long) > MEMO_LONG:
+            self.length[:], self.used, self.long = 0, 0, {}
         joined, h, starts, ends, bounds = self._chunks(texts)
-        slot = (h >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-        at, size = self.at[slot], self.size[slot]
-        miss = np.flatnonzero(self.keys[slot] != h)
-        if len(miss):
-            new, first, back = np.unique(h[miss], return_index=True, return_inverse=True)
-            flat, sizes = array("I"), []
-            for s, e in zip(starts[miss[first]].tolist(), ends[miss[first]].tolist()):
-                ids = self._chunk(joined[s:e].lower())
-                sizes.append(len(ids))
-                flat.extend(ids)
-            new_size = np.array(sizes)
-            new_at = self._keep(flat) + np.cumsum(new_size) - new_size
-            at[miss], size[miss] = new_at[back], new_size[back]
-            slot = (new >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-            self.keys[slot], self.at[slot], self.size[slot] = new, new_at, new_size
+        at, size = self._look_up(joined, h, starts, ends)
         if special:
             row = [self._keep(array("I", apart[k])) for k in special]
             place = bounds[special]

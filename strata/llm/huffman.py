@@ -1,6 +1,6 @@
 """Token ids in canonical, length-limited Huffman code.
 
-``write`` counts all ids, builds one code of at most ``max_bits`` bits per id
+``write`` encodes every text once into a table of ids, counts them, builds one code of at most ``max_bits`` bits per id
 (package-merge, canonical order), and writes files of blocks in ascending
 document order. Every block is decoded by itself; checkpoints in it hold the
 bit offset of every ``CHECK``-th id, so a reader starts at any of them, and
@@ -16,7 +16,8 @@ code lengths); the sizes of the three; magic. A block is byte-aligned, most
 significant bit first.
 
 Defined cases: a null or empty text is its end id alone; rows with a null id
-come first; rows with equal ids are ordered by text; an empty table gives no
+come first; rows of one id are ordered by a hash of their token ids, then by
+those; an empty table gives no
 files and no rows.
 """
 
@@ -181,20 +182,42 @@ class Writer:
 MANIFEST = "file string, bytes long, docs long, tokens long, first_id long"
 
 
-def count_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """(id, n) over all texts; each task sends one row per id it has seen."""
+def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+    """(doc_id, ids) of all texts, each encoded once and written: little-endian
+    ids of two bytes where the vocabulary allows it, else of four."""
+    def encode(batches):
+        import pyarrow as pa
+
+        enc = encoder(tokenizer_path)
+        for ids, texts in grouped(batches, "doc_id", "text"):
+            tokens, bounds = enc.encode(texts, end=end_id)
+            raw, at = memoryview(tokens.astype(width)).cast("B"), (bounds * width.itemsize).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array([raw[lo:hi] for lo, hi in zip(at, at[1:])], pa.binary())],
+                names=["doc_id", "ids"])
+
+    width = id_type(max(encoder(tokenizer_path).tokenizer.get_vocab_size() - 1, end_id))
+    return materialize(docs.mapInArrow(encode, "doc_id long, ids binary"), "token-ids")
+
+
+def id_type(largest: int) -> np.dtype:
+    return np.dtype("<u2" if largest < 1 << 16 else "<u4")
+
+
+def count_ids(rows: DataFrame, kind: np.dtype) -> DataFrame:
+    """(id, n) over all rows; each task sends one row per id it has seen."""
     def count(batches):
         import pyarrow as pa
 
-        enc, total = encoder(tokenizer_path), np.zeros(0, dtype=np.int64)
-        for _, texts in grouped(batches, "doc_id", "text"):
-            got = np.bincount(enc.encode(texts, end=end_id)[0], minlength=len(total))
+        total = np.zeros(0, dtype=np.int64)
+        for _, raw in grouped(batches, "doc_id", "ids"):
+            got = np.bincount(np.frombuffer(b"".join(raw), dtype=kind), minlength=len(total))
             got[:len(total)] += total
             total = got
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    return docs.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = END_ID,
@@ -202,8 +225,9 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = EN
     """Write the files below ``folder`` (shared by all executors); returns the
     manifest, one row per file, which is also kept as a table beside them."""
     spark = docs.sparkSession
-    rows = id_text(docs, id_col, text_col)
-    found = count_ids(rows, tokenizer_path, end_id).collect()   # at most one row per id of the vocabulary
+    kind = id_type(max(encoder(tokenizer_path).tokenizer.get_vocab_size() - 1, end_id))
+    rows = token_rows(id_text(docs, id_col, text_col), tokenizer_path, end_id)
+    found = count_ids(rows, kind).collect()                 # at most one row per id of the vocabulary
     counts = np.zeros(max((r.id for r in found), default=0) + 1, dtype=np.int64)
     for r in found:
         counts[r.id] = r.n
@@ -213,27 +237,29 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = EN
         import pyarrow as pa
         from pyspark import TaskContext
 
-        enc, codec, out = encoder(tokenizer_path), Codec(lengths.value), None
-        for ids, texts in grouped(batches, "doc_id", "text"):
-            tokens, bounds = enc.encode(texts, end=end_id)
+        codec, out = Codec(lengths.value), None
+        for ids, raw in grouped(batches, "doc_id", "ids"):
             if out is None:
                 name = f"ids-{TaskContext.get().partitionId():06d}.huf"
                 out = Writer(folder, name, lengths.value, codec)
-            out.add(ids, np.diff(bounds), tokens)
+            out.add(ids, np.array([len(x) // kind.itemsize for x in raw]),
+                    np.frombuffer(b"".join(raw), dtype=kind).astype("<u4"))
         if out is not None:
             yield pa.RecordBatch.from_pylist([out.close()], schema=pa.schema(
                 [("file", pa.string()), *((c, pa.int64()) for c in ("bytes", "docs", "tokens", "first_id"))]))
 
-    ordered = rows.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    return materialize(ordered.mapInArrow(put, MANIFEST), "manifest")
+    # equal rows are told apart by their place, so that no id, however often it stands there, is one task
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids")]
+    ordered = rows.withColumn("place", F.monotonically_increasing_id()) \
+        .repartitionByRange(shuffle_partitions(spark), *order, "place").sortWithinPartitions(*order, "ids")
+    return materialize(ordered.select("doc_id", "ids").mapInArrow(put, MANIFEST), "manifest")
 
 
 def read(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Documents back from the files: doc_id, start (ids of all documents
     before it), n_tokens and ids_crc32. Blocks are read and decoded a few at a
     time; a document may span any number of them."""
-    before = Window.orderBy(F.col("first_id").asc_nulls_first(), "file").rowsBetween(
-        Window.unboundedPreceding, -1)
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)   # one row per file
     files = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
     n = max(1, manifest.count())
 

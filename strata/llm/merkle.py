@@ -20,7 +20,7 @@ table of the leaves and one row per (partition, source); equal rows are told
 apart by a number of their place, so that neither a large source nor a row
 repeated many times must be sorted by one task. A group never has more than
 FAN rows. The driver gets the largest number of leaves of a source, the number
-of sources, and the root.
+of sources, and the row of the root.
 
 Defined cases: null sources and ids come first; rows with equal ids are ordered
 by their leaves; equal rows have equal leaves, each with a proof of its own
@@ -63,7 +63,8 @@ class Tree(NamedTuple):
     sources: DataFrame
     records: list[DataFrame]
     tops: list[DataFrame]
-    root: str | None
+    #: One row (tree 0, digest, height), none for an empty table.
+    root: DataFrame
 
 
 def number_leaves(leaves: DataFrame) -> DataFrame:
@@ -128,8 +129,7 @@ def build(leaves: DataFrame, *, fan: int = FAN, more: tuple[str, ...] = ()) -> T
         F.lit(0).alias("tree"), F.col("tree").alias("rank"), F.lit(n).alias("n"), "digest"), fan=fan)
     tops = materialize(tops, "tops")
     top_records, root = climb(tops, n, fan, "tops")
-    found = root.first()                                     # one row
-    return Tree(runs, sources, records, top_records, found["digest"] if found else None)
+    return Tree(runs, sources, records, top_records, materialize(root, "root"))
 
 
 def descend(at: DataFrame, records: DataFrame, fan: int) -> DataFrame:
@@ -153,14 +153,12 @@ def proofs(tree: Tree, *, fan: int = FAN) -> DataFrame:
     """One row per leaf: the columns kept in the runs, ``leaf``, ``subroot``,
     ``root`` and ``proof``, an array of (left, right) from the leaf to the root."""
     start = F.array().cast("array<struct<left:string,right:string>>")
-    n = len(tree.tops) if tree.sources.count() > 1 else 0
-    at = tree.sources.limit(0).select(F.lit(0).cast("long").alias("rank"), "digest", start.alias("path")) \
-        if tree.root is None else tree.sources.sparkSession.range(1).select(
-            F.col("id").alias("rank"), F.lit(tree.root).alias("digest"), start.alias("path"))
-    for k in range(n, 0, -1):
+    top = tree.root.first()
+    at = tree.root.select(F.col("tree").cast("long").alias("rank"), "digest", F.col("digest").alias("root"), start.alias("path"))
+    for k in range(top["height"] if top else 0, 0, -1):
         at = descend(at, tree.tops[k - 1], fan)
     at = at.join(tree.sources.select("tree", "height"), F.col("rank") == F.col("tree")).select(
-        "tree", "height", F.col("digest").alias("subroot"), F.lit(0).cast("long").alias("rank"), "digest", "path")
+        "tree", "height", "root", F.col("digest").alias("subroot"), F.lit(0).cast("long").alias("rank"), "digest", "path")
     at = materialize(at, "requests")
     down, waiting = at.where(f"height = {len(tree.records)}"), at
     for k in range(len(tree.records), 1, -1):
@@ -170,10 +168,10 @@ def proofs(tree: Tree, *, fan: int = FAN) -> DataFrame:
     # a request is at its leaves' run now, whose record holds the leaves themselves
     runs = tree.runs.select(F.col("tree").alias("t"), "run", "n", "kids", F.col("digest").alias("of"))
     down = down.join(runs, (F.col("digest") == F.col("of")) & (F.col("tree") == F.col("t")) & (F.col("rank") == F.col("run")))
-    down = down.select("subroot", "path", "n", "kids", F.posexplode("kids").alias("digit", "kid"))
+    down = down.select("subroot", "root", "path", "n", "kids", F.posexplode("kids").alias("digit", "kid"))
     own = segment(F.col("kids.digest"), F.col("digit"))
     up = F.concat(F.when(F.col("n") > 1, F.array(own)).otherwise(start), F.reverse("path"))
-    return down.select("kid.*", "subroot", F.lit(tree.root).alias("root"), up.alias("proof")) \
+    return down.select("kid.*", "subroot", "root", up.alias("proof")) \
         .withColumnRenamed("digest", "leaf").drop("rank")
 
 

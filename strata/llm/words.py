@@ -1,15 +1,18 @@
 """Words of many texts at once, as 64-bit hashes, in numpy.
 
-A word's hash is a polynomial of its bytes modulo 2**64. Over a buffer of
-joined texts the polynomials of all words come from one running sum: the sum
-over a word, times the inverse power at its start, no longer depends on where
-the word stands. Two different words share a hash with a chance of about
-2**-64; operators that need certainty compare the words behind a hit.
+A word's hash is a chain over its blocks of eight bytes, each mixed into what
+came before by a 64-bit finaliser, for all words of a buffer side by side; words
+of more than LONG bytes, of which there are few, go through BLAKE2b one by one.
+Neither has the algebra of a polynomial, for which whole families of texts share
+a hash. Two words of up to eight bytes and one length never share one; others
+do with a chance of about 2**-64. Operators that need certainty compare the
+words behind a hit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -17,8 +20,11 @@ import numpy as np
 #: Bytes hashed at a time. Longer texts are cut at word ends, never truncated.
 SEGMENT = 1 << 21
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bytes of a word beyond which it is hashed by itself.
+LONG = 64
+_SEED, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
+#: The first k bytes of a block (little-endian).
+FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
@@ -65,15 +71,28 @@ def spans(buf: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+def blocks(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place of a buffer on, as 64-bit numbers (zeros
+    behind the end), A-Z lower-cased."""
+    padded = np.zeros(len(buf) + 8, dtype=np.uint8)
+    np.take(LOWER, buf, out=padded[:len(buf)])
+    return np.ndarray(len(buf) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
 def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of the (not empty) byte spans of a buffer, A-Z lower-cased."""
-    n = len(buf)
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((LOWER[buf].astype(np.uint64) + np.uint64(1)) * powers(_BASE, n),
-              out=total[1:])
-    return mix((total[ends] - total[starts]) * powers(_INVERSE, n)[starts])
+    at, size = blocks(buf), ends - starts
+    h = size.astype(np.uint64) * _SEED
+    live, k = np.flatnonzero(size <= LONG), 0
+    while len(live):
+        block = at[starts[live] + k] & FIRST[np.minimum(size[live] - k, 8)]
+        h[live] = mix(h[live] * _STEP ^ block)
+        k += 8
+        live = live[size[live] > k]
+    for j in np.flatnonzero(size > LONG).tolist():
+        word = LOWER[buf[starts[j]:ends[j]]].tobytes()
+        h[j] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+    return h
 
 
 def _gap(buf: np.ndarray, at: int, inside: np.ndarray) -> int:

@@ -162,3 +162,45 @@ def test_intersections_and_records():
     back = warc.parse(raw)
     assert (back["page_id"], back["payload"], back["payload_bytes"], back["record_type"]) == (7, "é".encode(), 2, "response")
     assert warc.url_key("http://www.Ex.org/b?z=1&a=2", 3) == "org,ex)/b?a=2&z=1 +00000000000000000003"
+
+
+def thue_morse(n):
+    s = "a"
+    while len(s) < n:
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s
+
+
+def test_words_that_polynomials_confuse_have_ids_of_their_own():
+    from strata.llm.bpe import Encoder
+    from strata.llm.queries import tokenizer_path
+
+    enc = Encoder(tokenizer_path())
+    for n in (8, 16, 64, 1024, 2048):
+        a = thue_morse(n)
+        b = a.translate(str.maketrans("ab", "ba"))
+        found = find_words([f"{a} {b} {a[:-1]} {a}".encode()], NOT_SPACE)
+        assert found.hashes[0] == found.hashes[3] and len(set(found.hashes.tolist())) == 3
+        for _ in range(2):                                  # from the library, then from the memo
+            ids, bounds = enc.encode([a.encode(), b.encode(), f"{b} {a}.".encode()])
+            for k, t in enumerate((a, b, f"{b} {a}.")):
+                assert ids[bounds[k]:bounds[k + 1]].tolist() == enc.whole(t)
+
+
+def test_a_full_memo_gives_the_ids_of_whole_texts(monkeypatch):
+    import random
+
+    from strata.llm import bpe
+    from strata.llm.queries import tokenizer_path
+
+    monkeypatch.setattr(bpe, "MEMO_BITS", 4)
+    monkeypatch.setattr(bpe, "MEMO_IDS", 200)
+    monkeypatch.setattr(bpe, "MEMO_LONG", 3)
+    enc, rng = bpe.Encoder(tokenizer_path()), random.Random(1)
+    pool = ["".join(rng.choice("abcxyz") for _ in range(rng.choice([1, 3, 7, 8, 9, 15, 16, 17, 40, 300]))) for _ in range(60)]
+    pool += [w.upper() + rng.choice(["", ".", "!?", "-x"]) for w in pool]
+    for _ in range(20):
+        texts = [" ".join(rng.choices(pool, k=rng.randint(0, 30))) for _ in range(5)]
+        ids, bounds = enc.encode([t.encode() for t in texts])
+        for k, t in enumerate(texts):
+            assert ids[bounds[k]:bounds[k + 1]].tolist() == enc.whole(t)
