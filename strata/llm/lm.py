@@ -22,6 +22,9 @@ so it goes through the shards in order and touches only pages it needs; no
 part of the model is broadcast or passes through the driver but the list of
 shards and the contexts at their ends.
 
+Texts are read twice, to count their words and to write them down as word ids;
+the levels above and the scores are made from those ids.
+
 Counts are over all training tokens, and every n-gram that occurs is stored.
 With a higher ``min_count`` the rarer ones are left out (their mass stays with
 the shorter context); a longer n-gram is then only counted where both shorter
@@ -58,9 +61,9 @@ DISCOUNT = 0.75
 ADD = 0.1
 #: Tokens gathered in a task before their n-grams are sent on.
 FLUSH = 4 << 20
-#: Bytes of text whose n-grams are looked up together: the more, the fewer
+#: Bytes of word ids whose n-grams are looked up together: the more, the fewer
 #: distinct queries per token and visits to each shard.
-TOGETHER = 8 << 20
+TOGETHER = 5 << 20
 #: Tokens in a range of n-grams: at least as many, so that small inputs make few
 #: files, and at most, so that a range fits a task; sampled ones per range.
 LEAST, MOST, SAMPLE = 1 << 12, 1 << 21, 512
@@ -200,12 +203,17 @@ class Trie:
         self.total = total
         self.distinct = sum(f[4] for f in levels[0])
 
-    def ids(self, h: np.ndarray, counts: bool = False) -> tuple[np.ndarray, ...]:
-        """Ids (or -1) of words by hash; if asked for, their counts and the
-        masses they leave as contexts too."""
+    def ids(self, h: np.ndarray) -> np.ndarray:
+        """Ids (or -1) of words by hash."""
         keys, back = np.unique(h, return_inverse=True)
-        rank, count = self.words.find(keys, "counts")
-        return (rank[back], count[back], self.mass(1, rank)[back]) if counts else (rank[back],)
+        return self.words.find(keys, "counts")[0][back]
+
+    def facts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The counts of words (0 for -1) and the masses they leave as contexts."""
+        rank, back = np.unique(ids, return_inverse=True)
+        count, known = np.zeros(len(rank), dtype=np.int64), rank >= 0
+        count[known] = self.words.at(rank[known], "counts")
+        return count[back], self.mass(1, rank)[back]
 
     def seek(self, level: int, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ranks or -1, discounted probabilities, masses left as contexts) in
@@ -372,11 +380,43 @@ def from_planes(raw) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
-def gram_keys(trie: Trie, level: int, texts: list[bytes], min_count: int) -> tuple[np.ndarray, int]:
+def id_type(distinct: int) -> np.dtype:
+    """Of stored word ids; the largest value is an unknown word's."""
+    return np.dtype("<u4" if distinct < (1 << 32) - 1 else "<u8")
+
+
+def word_ids(rows: DataFrame, make_trie) -> DataFrame:
+    """The rows (doc_id, held_out, text) with the text as word ids, written down."""
+    def run(batches):
+        import pyarrow as pa
+
+        trie = make_trie()
+        kind = id_type(trie.distinct)
+        for ids, out, texts in grouped(batches, "doc_id", "held_out", "text"):
+            h, bounds = tokens(texts)
+            raw, at = memoryview(trie.ids(h).astype(kind)).cast("B"), (bounds * kind.itemsize).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(out, pa.bool_()),
+                 pa.array([raw[lo:hi] for lo, hi in zip(at, at[1:])], pa.binary())], names=["doc_id", "held_out", "ids"])
+
+    kind = "doc_id long, held_out boolean, ids binary"
+    return materialize(rows.select("doc_id", "held_out", "text").mapInArrow(run, kind), "word-ids")
+
+
+def stored_ids(trie: Trie, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all tokens, -1 for unknown words; bounds of the texts)."""
+    kind = id_type(trie.distinct)
+    ids = np.frombuffer(b"".join(raw), dtype=kind)
+    unknown = ids == np.iinfo(kind).max
+    ids = ids.astype(np.int64)
+    ids[unknown] = -1
+    return ids, np.cumsum([0, *(len(r) // kind.itemsize for r in raw)])
+
+
+def gram_keys(trie: Trie, level: int, raw: list[bytes], min_count: int) -> tuple[np.ndarray, int]:
     """(keys of the n-grams of ``level`` words in a row of texts, tokens read)."""
-    h, bounds = tokens(texts)
-    ids, = trie.ids(h)
-    start = _starts(bounds)
+    ids, bounds = stored_ids(trie, raw)
+    start, total = _starts(bounds), len(ids)
     context = np.where(start, -1, np.append(-1, ids[:-1]))
     for k in range(2, level):
         rank, _, _ = trie.seek(k, context, ids)
@@ -384,7 +424,7 @@ def gram_keys(trie: Trie, level: int, texts: list[bytes], min_count: int) -> tup
         if min_count > 1:
             ids = np.where(rank >= 0, ids, -1)           # the shorter n-gram with this last word isn't stored
     ask = (context >= 0) & (ids >= 0)
-    return pair(context[ask], ids[ask], trie.distinct), len(h)
+    return pair(context[ask], ids[ask], trie.distinct), total
 
 
 def gram_bounds(train: DataFrame, level: int, make_trie, total: int, min_count: int) -> np.ndarray:
@@ -399,8 +439,8 @@ def gram_bounds(train: DataFrame, level: int, make_trie, total: int, min_count:
     def pick(batches):
         import pyarrow as pa
 
-        for _, texts in together(grouped(batches, "doc_id", "text")):
-            keys = np.unique(gram_keys(make_trie(), level, texts, min_count)[0])
+        for _, raw in together(grouped(batches, "doc_id", "ids")):
+            keys = np.unique(gram_keys(make_trie(), level, raw, min_count)[0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([keys[mix(keys) % np.uint64(thin) == 0].tobytes()], pa.binary())], names=["keys"])
 
@@ -459,8 +499,8 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
                 [pa.array(used), pa.array([planes(keys[at[b]:at[b + 1]]) for b in used], pa.binary()),
                  pa.array([n[at[b]:at[b + 1]].tobytes() for b in used], pa.binary())], names=["bucket", "keys", "n"])
 
-        for _, texts in together(grouped(batches, "doc_id", "text")):
-            keys, n = gram_keys(trie, level, texts, min_count)
+        for _, raw in together(grouped(batches, "doc_id", "ids")):
+            keys, n = gram_keys(trie, level, raw, min_count)
             held.append(keys)
             size += n
             if size >= FLUSH:
@@ -480,13 +520,16 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
             return {"kind": kind, "first": Decimal(int(first)), "second": second, "name": name, "bytes": size,
                     "entries": entries, "used": used, "context": context}
 
-        def put():
-            k, c = np.concatenate(keys), np.concatenate(n).astype(np.int64)
+        def summed():
+            k, c = np.concatenate(keys), np.concatenate(n)
             order = np.argsort(k, kind="stable")
             k, c = k[order], c[order]
             first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-            c = np.add.reduceat(c, first)
-            k, c = k[first][c >= min_count], c[c >= min_count]
+            return k[first], np.add.reduceat(c, first)
+
+        def put():
+            k, c = summed()
+            k, c = k[c >= min_count], c[c >= min_count]
             if not len(k):
                 return
             d = np.uint64(trie.distinct)
@@ -516,21 +559,26 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
                 [("kind", pa.string()), ("first", pa.decimal128(20, 0)), ("second", pa.int64()), ("name", pa.string()),
                  ("bytes", pa.int64()), ("entries", pa.int64()), ("used", pa.float64()), ("context", pa.int64())]))
 
+        held = 0
         for b in batches:
             for _, to, raw_keys, raw_n in zip(*b.columns):
                 if to.as_py() != bucket:
                     if keys:
                         yield rows(put())
-                    bucket, keys, n = to.as_py(), [], []
+                    bucket, keys, n, held = to.as_py(), [], [], 0
                 keys.append(from_planes(raw_keys.as_buffer()))
-                n.append(np.frombuffer(raw_n.as_buffer(), dtype=np.uint32).copy())
+                n.append(np.frombuffer(raw_n.as_buffer(), dtype=np.uint32).astype(np.int64))
+                held += len(keys[-1])
+                if held > MOST + 2 * len(keys[0]):       # a common range: add up what it has so far
+                    k, c = summed()
+                    keys, n, held = [k], [c], len(k)
         if keys:
             yield rows(put())
 
-    parts = shuffle_partitions(train.sparkSession)
+    # one task for each range, however many there are
     sent = train.mapInArrow(count, "bucket long, keys binary, n binary").select(
-        (F.col("bucket") % parts).cast("int").alias("part"), "bucket", "keys", "n")
-    found = (sent.repartitionById(parts, "part").sortWithinPartitions("bucket").mapInArrow(add, WRITTEN).collect())
+        F.col("bucket").cast("int").alias("part"), "bucket", "keys", "n")
+    found = sent.repartitionById(len(bounds) + 1, "part").mapInArrow(add, WRITTEN).collect()
     sums: dict[int, list] = {}
     for r in found:
         if r.kind == "edge":
@@ -566,18 +614,21 @@ def _open(folder: str, key: str, model: Model) -> Trie:
 
 
 def train(rows: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUNT, discount: float = DISCOUNT,
-          folder: str | None = None) -> Model:
-    """A model of all tokens of ``rows`` (doc_id, text)."""
+          folder: str | None = None) -> tuple[Model, DataFrame]:
+    """A model of all tokens of those ``rows`` (doc_id, held_out, text) that
+    aren't held out, and all rows as word ids."""
     spark: SparkSession = rows.sparkSession
     folder = folder or scratch_path(spark, "trie")
-    counts = materialize(count_words(rows), "words")
+    counts = materialize(count_words(rows.where("not held_out").select("doc_id", "text")), "words")
     total, top = (int(x or 0) for x in counts.agg(F.sum("value"), F.max("value")).first())
     model = Model(folder, [write_words(counts, folder)], [], total)
+    ids = word_ids(rows, model)
+    learn = ids.where("not held_out").select("doc_id", "ids")
     for level in range(2, order + 1):
-        files, mass, top = write_level(rows, folder, level, model, total, min_count, discount, top, level == order)
+        files, mass, top = write_level(learn, folder, level, model, total, min_count, discount, top, level == order)
         _, levels, masses, _ = model.parts
         model = Model(folder, [*levels, files], [*masses, mass], total)
-    return model
+    return model, ids
 
 
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -585,14 +636,14 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
-    """The contract's columns for rows of (doc_id, held_out, text)."""
+    """The contract's columns for rows of (doc_id, held_out, ids)."""
     def run(batches):
         import pyarrow as pa
 
         trie = model()
-        for ids, out, texts in together(grouped(batches, "doc_id", "held_out", "text")):
-            h, bounds = tokens(texts)
-            word, count, left = trie.ids(h, counts=True)
+        for ids, out, raw in together(grouped(batches, "doc_id", "held_out", "ids")):
+            word, bounds = stored_ids(trie, raw)
+            count, left = trie.facts(word)
             known = np.add.reduceat((count > 0).astype(np.int64), bounds[:-1])
             p = trie.base(count)
             base = np.add.reduceat(np.log10(p), bounds[:-1])
@@ -602,13 +653,12 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
                  pa.array(np.full(len(ids), trie.total)), pa.array(base), pa.array(logs)],
                 names=[c.split()[0] for c in SCORES.split(", ")])
 
-    return rows.select("doc_id", "held_out", "text").mapInArrow(run, SCORES)
+    return rows.mapInArrow(run, SCORES)
 
 
 def score_documents(docs: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUNT,
                     discount: float = DISCOUNT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on the documents that aren't held out; score all."""
     rows = id_text(docs, id_col, text_col).withColumn("held_out", held_out("doc_id"))
-    model = train(rows.where("not held_out").select("doc_id", "text"), order=order, min_count=min_count,
-                  discount=discount)
-    return score(rows, model)
+    model, ids = train(rows, order=order, min_count=min_count, discount=discount)
+    return score(ids, model)
