@@ -22,9 +22,6 @@ so it goes through the shards in order and touches only pages it needs; no
 part of the model is broadcast or passes through the driver but the list of
 shards and the contexts at their ends.
 
-Texts are read twice, to count their words and to write them down as word ids;
-the levels above and the scores are made from those ids.
-
 Counts are over all training tokens, and every n-gram that occurs is stored.
 With a higher ``min_count`` the rarer ones are left out (their mass stays with
 the shorter context); a longer n-gram is then only counted where both shorter
@@ -61,9 +58,9 @@ DISCOUNT = 0.75
 ADD = 0.1
 #: Tokens gathered in a task before their n-grams are sent on.
 FLUSH = 4 << 20
-#: Bytes of word ids whose n-grams are looked up together: the more, the fewer
+#: Bytes of text whose n-grams are looked up together: the more, the fewer
 #: distinct queries per token and visits to each shard.
-TOGETHER = 5 << 20
+TOGETHER = 8 << 20
 #: Tokens in a range of n-grams: at least as many, so that small inputs make few
 #: files, and at most, so that a range fits a task; sampled ones per range.
 LEAST, MOST, SAMPLE = 1 << 12, 1 << 21, 512
@@ -104,7 +101,7 @@ def read_arrays(folder: str, name: str, size: int) -> dict[str, np.ndarray]:
 
     on, top = filesystem(folder)
     if isinstance(on, fs.LocalFileSystem):
-        data = np.memmap(f"{top}/{name}", dtype=np.uint8, mode="r")
+        data = np.memmap(f"{top}/{name}", dtype=np.uint8, mode="r").view(np.ndarray)
     else:
         data = np.frombuffer(read_range(folder, name, 0, size), dtype=np.uint8)
     (n,) = _TAIL.unpack(data[size - 8:size].tobytes())
@@ -136,7 +133,7 @@ class Shards:
 
 
 class Words(Shards):
-    """Level 1, or the left-over masses of a level's contexts."""
+    """Level 1."""
 
     def find(self, keys: np.ndarray, value: str) -> tuple[np.ndarray, np.ndarray]:
         """(ranks or -1, the array ``value`` at them or 0) of sorted keys."""
@@ -158,6 +155,20 @@ class Words(Shards):
         return got
 
 
+class Masses(Shards):
+    """What a level's contexts leave: a code for each rank from a shard's first
+    context to its last, 0 (all is left) where a rank isn't a context."""
+
+    def codes(self, ranks: np.ndarray) -> np.ndarray:
+        """Of sorted ranks."""
+        got = np.zeros(len(ranks), dtype=np.uint8)
+        first = np.array([f[0] for f in self.files], dtype=np.int64)
+        for s, part in self.parts(np.searchsorted(first, ranks, side="right") - 1):
+            at = ranks[part] - s["first"][0]
+            got[part] = np.where(at < len(s["codes"]), s["codes"][np.minimum(at, len(s["codes"]) - 1)], 0)
+        return got
+
+
 class Grams(Words):
     """A level above 1. Its files' first keys are (parent, word) pairs."""
 
@@ -198,22 +209,17 @@ class Trie:
     def __init__(self, folder: str, levels: list[list[tuple]], masses: list[tuple], total: int):
         self.words = Words(folder, levels[0])
         self.grams = [Grams(folder, f) for f in levels[1:]]
-        self.masses = [(Words(folder, f), np.array([e[0] for e in edges], dtype=np.int64),
+        self.masses = [(Masses(folder, f), np.array([e[0] for e in edges], dtype=np.int64),
                         np.array([e[1] for e in edges]), codebook(least)) for f, edges, least in masses]
         self.total = total
         self.distinct = sum(f[4] for f in levels[0])
 
-    def ids(self, h: np.ndarray) -> np.ndarray:
-        """Ids (or -1) of words by hash."""
+    def ids(self, h: np.ndarray, counts: bool = False) -> tuple[np.ndarray, ...]:
+        """Ids (or -1) of words by hash; if asked for, their counts and the
+        masses they leave as contexts too."""
         keys, back = np.unique(h, return_inverse=True)
-        return self.words.find(keys, "counts")[0][back]
-
-    def facts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The counts of words (0 for -1) and the masses they leave as contexts."""
-        rank, back = np.unique(ids, return_inverse=True)
-        count, known = np.zeros(len(rank), dtype=np.int64), rank >= 0
-        count[known] = self.words.at(rank[known], "counts")
-        return count[back], self.mass(1, rank)[back]
+        rank, count = self.words.find(keys, "counts")
+        return (rank[back], count[back], self.mass(1, rank)[back]) if counts else (rank[back],)
 
     def seek(self, level: int, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ranks or -1, discounted probabilities, masses left as contexts) in
@@ -239,8 +245,7 @@ class Trie:
         ask = np.flatnonzero(context >= 0)
         if len(ask) and level <= len(self.masses):
             inner, edges, left, book = self.masses[level - 1]
-            rank, code = inner.find(context[ask].astype(np.uint64), "codes")
-            out[ask] = np.where(rank >= 0, book[code], 1.0)
+            out[ask] = book[inner.codes(context[ask])]
             if len(edges):
                 at = np.minimum(np.searchsorted(edges, context[ask]), len(edges) - 1)
                 out[ask] = np.where(edges[at] == context[ask], left[at], out[ask])
@@ -380,43 +385,11 @@ def from_planes(raw) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
-def id_type(distinct: int) -> np.dtype:
-    """Of stored word ids; the largest value is an unknown word's."""
-    return np.dtype("<u4" if distinct < (1 << 32) - 1 else "<u8")
-
-
-def word_ids(rows: DataFrame, make_trie) -> DataFrame:
-    """The rows (doc_id, held_out, text) with the text as word ids, written down."""
-    def run(batches):
-        import pyarrow as pa
-
-        trie = make_trie()
-        kind = id_type(trie.distinct)
-        for ids, out, texts in grouped(batches, "doc_id", "held_out", "text"):
-            h, bounds = tokens(texts)
-            raw, at = memoryview(trie.ids(h).astype(kind)).cast("B"), (bounds * kind.itemsize).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(out, pa.bool_()),
-                 pa.array([raw[lo:hi] for lo, hi in zip(at, at[1:])], pa.binary())], names=["doc_id", "held_out", "ids"])
-
-    kind = "doc_id long, held_out boolean, ids binary"
-    return materialize(rows.select("doc_id", "held_out", "text").mapInArrow(run, kind), "word-ids")
-
-
-def stored_ids(trie: Trie, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all tokens, -1 for unknown words; bounds of the texts)."""
-    kind = id_type(trie.distinct)
-    ids = np.frombuffer(b"".join(raw), dtype=kind)
-    unknown = ids == np.iinfo(kind).max
-    ids = ids.astype(np.int64)
-    ids[unknown] = -1
-    return ids, np.cumsum([0, *(len(r) // kind.itemsize for r in raw)])
-
-
-def gram_keys(trie: Trie, level: int, raw: list[bytes], min_count: int) -> tuple[np.ndarray, int]:
+def gram_keys(trie: Trie, level: int, texts: list[bytes], min_count: int) -> tuple[np.ndarray, int]:
     """(keys of the n-grams of ``level`` words in a row of texts, tokens read)."""
-    ids, bounds = stored_ids(trie, raw)
-    start, total = _starts(bounds), len(ids)
+    h, bounds = tokens(texts)
+    ids, = trie.ids(h)
+    start = _starts(bounds)
     context = np.where(start, -1, np.append(-1, ids[:-1]))
     for k in range(2, level):
         rank, _, _ = trie.seek(k, context, ids)
@@ -424,7 +397,7 @@ def gram_keys(trie: Trie, level: int, raw: list[bytes], min_count: int) -> tuple
         if min_count > 1:
             ids = np.where(rank >= 0, ids, -1)           # the shorter n-gram with this last word isn't stored
     ask = (context >= 0) & (ids >= 0)
-    return pair(context[ask], ids[ask], trie.distinct), total
+    return pair(context[ask], ids[ask], trie.distinct), len(h)
 
 
 def gram_bounds(train: DataFrame, level: int, make_trie, total: int, min_count: int) -> np.ndarray:
@@ -439,8 +412,8 @@ def gram_bounds(train: DataFrame, level: int, make_trie, total: int, min_count:
     def pick(batches):
         import pyarrow as pa
 
-        for _, raw in together(grouped(batches, "doc_id", "ids")):
-            keys = np.unique(gram_keys(make_trie(), level, raw, min_count)[0])
+        for _, texts in together(grouped(batches, "doc_id", "text")):
+            keys = np.unique(gram_keys(make_trie(), level, texts, min_count)[0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([keys[mix(keys) % np.uint64(thin) == 0].tobytes()], pa.binary())], names=["keys"])
 
@@ -499,8 +472,8 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
                 [pa.array(used), pa.array([planes(keys[at[b]:at[b + 1]]) for b in used], pa.binary()),
                  pa.array([n[at[b]:at[b + 1]].tobytes() for b in used], pa.binary())], names=["bucket", "keys", "n"])
 
-        for _, raw in together(grouped(batches, "doc_id", "ids")):
-            keys, n = gram_keys(trie, level, raw, min_count)
+        for _, texts in together(grouped(batches, "doc_id", "text")):
+            keys, n = gram_keys(trie, level, texts, min_count)
             held.append(keys)
             size += n
             if size >= FLUSH:
@@ -522,7 +495,7 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
 
         def summed():
             k, c = np.concatenate(keys), np.concatenate(n)
-            order = np.argsort(k, kind="stable")
+            order = np.argsort(k)
             k, c = k[order], c[order]
             first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
             return k[first], np.add.reduceat(c, first)
@@ -548,9 +521,9 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
                 yield row("edge", p[e], -1, None, 0, 1, float(used[e]), int(context[e]))
             inner = slice(1, len(p) - 1)
             if len(p) > 2:
-                seq = EliasFano.build(p[inner], int(p[-2]) + 1)
-                arrays = {f"keys.{x}": a for x, a in seq.arrays().items()}
-                arrays |= {"codes": quantise(left_over(used[inner], context[inner]), book), "book": book}
+                codes = np.zeros(int(p[-2] - p[1]) + 1, dtype=np.uint8)
+                codes[p[inner] - p[1]] = quantise(left_over(used[inner], context[inner]), book)
+                arrays = {"codes": codes, "first": p[1:2]}
                 name = f"mass{level - 1}-{bucket:06d}.lvl"
                 yield row("mass", p[1], -1, name, write_arrays(folder, name, arrays), len(p) - 2)
 
@@ -614,21 +587,18 @@ def _open(folder: str, key: str, model: Model) -> Trie:
 
 
 def train(rows: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUNT, discount: float = DISCOUNT,
-          folder: str | None = None) -> tuple[Model, DataFrame]:
-    """A model of all tokens of those ``rows`` (doc_id, held_out, text) that
-    aren't held out, and all rows as word ids."""
+          folder: str | None = None) -> Model:
+    """A model of all tokens of ``rows`` (doc_id, text)."""
     spark: SparkSession = rows.sparkSession
     folder = folder or scratch_path(spark, "trie")
-    counts = materialize(count_words(rows.where("not held_out").select("doc_id", "text")), "words")
+    counts = materialize(count_words(rows), "words")
     total, top = (int(x or 0) for x in counts.agg(F.sum("value"), F.max("value")).first())
     model = Model(folder, [write_words(counts, folder)], [], total)
-    ids = word_ids(rows, model)
-    learn = ids.where("not held_out").select("doc_id", "ids")
     for level in range(2, order + 1):
-        files, mass, top = write_level(learn, folder, level, model, total, min_count, discount, top, level == order)
+        files, mass, top = write_level(rows, folder, level, model, total, min_count, discount, top, level == order)
         _, levels, masses, _ = model.parts
         model = Model(folder, [*levels, files], [*masses, mass], total)
-    return model, ids
+    return model
 
 
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -636,14 +606,14 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
-    """The contract's columns for rows of (doc_id, held_out, ids)."""
+    """The contract's columns for rows of (doc_id, held_out, text)."""
     def run(batches):
         import pyarrow as pa
 
         trie = model()
-        for ids, out, raw in together(grouped(batches, "doc_id", "held_out", "ids")):
-            word, bounds = stored_ids(trie, raw)
-            count, left = trie.facts(word)
+        for ids, out, texts in together(grouped(batches, "doc_id", "held_out", "text")):
+            h, bounds = tokens(texts)
+            word, count, left = trie.ids(h, counts=True)
             known = np.add.reduceat((count > 0).astype(np.int64), bounds[:-1])
             p = trie.base(count)
             base = np.add.reduceat(np.log10(p), bounds[:-1])
@@ -653,12 +623,13 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
                  pa.array(np.full(len(ids), trie.total)), pa.array(base), pa.array(logs)],
                 names=[c.split()[0] for c in SCORES.split(", ")])
 
-    return rows.mapInArrow(run, SCORES)
+    return rows.select("doc_id", "held_out", "text").mapInArrow(run, SCORES)
 
 
 def score_documents(docs: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUNT,
                     discount: float = DISCOUNT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on the documents that aren't held out; score all."""
     rows = id_text(docs, id_col, text_col).withColumn("held_out", held_out("doc_id"))
-    model, ids = train(rows, order=order, min_count=min_count, discount=discount)
-    return score(ids, model)
+    model = train(rows.where("not held_out").select("doc_id", "text"), order=order, min_count=min_count,
+                  discount=discount)
+    return score(rows, model)
