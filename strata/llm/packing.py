@@ -8,7 +8,10 @@ sequence with room, found in a tournament tree of the sequences' free places
 (each node holds the larger of its children, so the leftmost leaf with enough
 room is reached in log steps). Groups are independent tasks of bounded size.
 
-Only piece lengths and checksums are shuffled, not ids or texts.
+Only piece lengths and checksums are dealt into groups, not ids or texts. With
+``with_ids`` every piece carries its ids (little-endian unsigned 32-bit), which
+are written down once and joined to the places found; a sequence is its pieces
+put end to end by offset.
 
 Defined cases: a null or empty text is its end id alone; repeated documents
 are packed one by one; an empty table gives no rows. Equal lengths are placed
@@ -37,9 +40,9 @@ PACKED = PIECE + ", sequence_id long, offset long, sequence_length long"
 
 
 def cut_documents(docs: DataFrame, tokenizer_path: str, *, size: int = SIZE, end_id: int = END_ID,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of at most ``size`` ids, each with the CRC-32 of its ids as
-    little-endian unsigned 32-bit integers."""
+    little-endian unsigned 32-bit integers; if asked for, with those too."""
     def cut(batches):
         import pyarrow as pa
 
@@ -54,12 +57,14 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, *, size: int = SIZE, end
             length = np.minimum(counts[doc] - start, size)
             at = (bounds[doc] + start).tolist()
             crc = [zlib.crc32(raw[4 * a:4 * (a + n)]) for a, n in zip(at, length.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([doc_ids[k] for k in doc.tolist()], pa.int64()), pa.array(start),
-                 pa.array(length), pa.array(crc, pa.int64()), pa.array(counts[doc])],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            out = [pa.array([doc_ids[k] for k in doc.tolist()], pa.int64()), pa.array(start),
+                   pa.array(length), pa.array(crc, pa.int64()), pa.array(counts[doc])]
+            if with_ids:
+                out.append(pa.array([raw[4 * a:4 * (a + n)] for a, n in zip(at, length.tolist())], pa.binary()))
+            yield pa.RecordBatch.from_arrays(out, names=[c.split()[0] for c in kind.split(", ")])
 
-    return id_text(docs, id_col, text_col).mapInArrow(cut, PIECE)
+    kind = PIECE + (", ids binary" if with_ids else "")
+    return id_text(docs, id_col, text_col).mapInArrow(cut, kind)
 
 
 def first_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,11 +99,13 @@ def padded(lengths: np.ndarray, size: int) -> np.ndarray:
 
 def pack(docs: DataFrame, tokenizer_path: str, *, size: int = SIZE, end_id: int = END_ID,
          group_pieces: int = GROUP_PIECES, seed: int = 11, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: its document, place in it, checksum, and its
-    sequence, offset there and the sequence's padded length."""
-    pieces = materialize(cut_documents(docs, tokenizer_path, size=size, end_id=end_id,
-                                       id_col=id_col, text_col=text_col), "pieces")
+    sequence, offset there and the sequence's padded length; if asked for,
+    its ids."""
+    pieces = materialize(cut_documents(docs, tokenizer_path, size=size, end_id=end_id, id_col=id_col,
+                                       text_col=text_col, with_ids=with_ids)
+                         .withColumn("piece", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
 
     def place(key, table):
@@ -116,5 +123,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, size: int = SIZE, end_id: int
             out = out.append_column(name, pa.array(values))
         return out
 
-    dealt = pieces.withColumn("group", F.floor(F.rand(seed) * groups).cast("long"))
-    return dealt.groupBy("group").applyInArrow(place, PACKED)
+    dealt = pieces.drop("ids").withColumn("group", F.floor(F.rand(seed) * groups).cast("long"))
+    if not with_ids:
+        return dealt.drop("piece").groupBy("group").applyInArrow(place, PACKED)
+    kind = PIECE + ", piece long" + PACKED.removeprefix(PIECE)
+    return dealt.groupBy("group").applyInArrow(place, kind).join(pieces.select("piece", "ids"), "piece").drop("piece")

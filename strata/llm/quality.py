@@ -18,7 +18,10 @@ plus its path's, held to ``max_shift``.
 Defined cases: a null or empty text has form figures of zero and no words; a
 null host or path is a group of its own; labels for absent documents and null
 labels are ignored; several labels of one document count as their largest;
-with labels of one class only that model answers the class's share.
+with labels of one class only, or none, that model answers the class's share (one
+half without any) and decides nothing: a document is then kept or not by the
+other model alone, and without either all documents are kept; repeated rows of a
+document are scored alike and count each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,8 +37,9 @@ TRAIN_DOCS = 8192
 VOCABULARY = 1024
 MIN_DOCS = 8
 MAX_SHIFT = 2.0
-#: Most (host, path) groups that are broadcast; more are joined by shuffle.
-BROADCAST_GROUPS = 100_000
+#: Most bytes of (host, path) groups that are broadcast, counting 64 for each
+#: group's figures; more are joined by shuffle, where Spark splits hot groups.
+BROADCAST_BYTES = 8 << 20
 
 _CLASSES = np.zeros((256, 7))
 _CLASSES[[*range(0x41, 0x5B)], 0] = 1
@@ -106,6 +110,8 @@ class Model:
     def __init__(self, vocabulary: np.ndarray, mean: np.ndarray, scale: np.ndarray):
         self.vocabulary, self.mean, self.scale = vocabulary, mean, scale
         self.weights: dict[str, np.ndarray] = {}
+        #: Models that have seen both classes; others decide nothing.
+        self.decides: dict[str, bool] = {}
 
     def matrix(self, figures: np.ndarray, words) -> np.ndarray:
         return np.hstack([presence(words, self.vocabulary), (figures - self.mean) / self.scale])
@@ -180,7 +186,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, train_docs: int = TRAIN_DOCS, voc
     x = np.hstack([x, (figures[:len(rows)] - model.mean) / model.scale])
     for name, y in (("good", [r.good for r in rows]), ("bad", [r.bad for r in rows])):
         known = np.array([v is not None for v in y], dtype=bool)
-        model.weights[name] = logistic(x[known], np.array([v for v in y if v is not None], dtype=float))
+        own = np.array([v > 0 for v in y if v is not None], dtype=float)
+        model.weights[name] = logistic(x[known], own)
+        model.decides[name] = bool(0 < own.sum() < len(own))
     return model
 
 
@@ -224,9 +232,9 @@ def score(docs: DataFrame, labels: DataFrame, *, train_docs: int = TRAIN_DOCS, v
 
     spark = docs.sparkSession
     small_batches(spark)
-    model = spark.sparkContext.broadcast(
-        fit(docs, labels, train_docs=train_docs, vocabulary=vocabulary, id_col=id_col, text_col=text_col,
-            label_cols=label_cols))
+    fitted = fit(docs, labels, train_docs=train_docs, vocabulary=vocabulary, id_col=id_col, text_col=text_col,
+                 label_cols=label_cols)
+    model = spark.sparkContext.broadcast(fitted)
     columns = [F.col(id_col).cast("long").alias("doc_id"), (F.col(host) if isinstance(host, str) else host).alias("host"),
                (F.col(path) if isinstance(path, str) else path).alias("path")]
     rows = docs.select(*columns, *([F.struct("*").alias("row")] if keep_columns else []),
@@ -252,7 +260,9 @@ def score(docs: DataFrame, labels: DataFrame, *, train_docs: int = TRAIN_DOCS, v
     scored = materialize(rows.mapInArrow(evaluate, schema).withColumn("p", 1 / (1 + F.exp(-F.col("z")))), "quality")
     sites, known = site_posteriors(scored.select("host", "path", "p"))
     sites = sites.withColumnsRenamed({"host": "site_host", "path": "site_path"})
-    if sites.count() <= BROADCAST_GROUPS:
+    name = lambda c: F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    size = sites.agg(F.sum(name("site_host") + name("site_path") + 64)).first()[0]
+    if (size or 0) <= BROADCAST_BYTES:
         sites = F.broadcast(sites)
     joined = scored.join(sites, F.equal_null("host", "site_host") & F.equal_null("path", "site_path"))
     mean, mh, mp = F.lit(known["mean"]), known["host"], known["path"]
@@ -263,7 +273,8 @@ def score(docs: DataFrame, labels: DataFrame, *, train_docs: int = TRAIN_DOCS, v
     return (joined.withColumn("host_rate", bounded(host_rate)).withColumn("path_rate", bounded(path_rate))
             .withColumn("posterior", 1 / (1 + F.exp(-(F.col("z") + shift))))
             .withColumn("p_toxic", 1 / (1 + F.exp(-F.col("t"))))
-            .withColumn("kept", (F.col("posterior") >= min_quality) & (F.col("p_toxic") < max_toxic))
+            .withColumn("kept", ((F.col("posterior") >= min_quality) | F.lit(not fitted.decides["good"]))
+                        & ((F.col("p_toxic") < max_toxic) | F.lit(not fitted.decides["bad"])))
             .select("doc_id", "host", "path", F.col("p").alias("p_quality"), "host_rate", "path_rate", "posterior",
                     "p_toxic", "kept", *(["row"] if keep_columns else [])))
 
