@@ -9,7 +9,10 @@ documents' columns:
 3. decontamination: benchmark passages are cut out, documents that consist of
    them for half or more go;
 4. pii: personal data and keys are replaced by the name of their kind;
-5. packing: the texts become pieces of sequences of 4096 tokens.
+5. packing: the texts become pieces of sequences of 4096 tokens, with their ids.
+
+Documents without text, and documents of a table without labels, are kept; an
+empty benchmark cuts nothing; an empty table gives no pieces.
 
 ORACLE_SQL is None: trained models, hash sketches and a tokenizer decide here.
 """
@@ -40,7 +43,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [
