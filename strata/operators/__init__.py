@@ -5,11 +5,11 @@ from strata.operators.profile import profile, profile_columns
 from strata.operators.quantiles import exact_percentile
 from strata.operators.rank import global_dense_rank, top_dense_rank
 from strata.operators.stats import (benchmarks, category_breakdown, cross_summary, distinct_counts, diversity,
-                                    gap, gap_overview, gap_pairs, group_stats, premium, ranked_groups,
+                                    gap, gap_overview, gap_pairs, group_stats, measured_groups, premium, ranked_groups,
                                     split_group_stats, summary)
 
 __all__ = ["dedup", "keep_latest", "profile", "profile_columns", "exact_percentile",
            "global_dense_rank", "top_dense_rank", "benchmarks", "category_breakdown",
            "cross_summary", "distinct_counts", "diversity", "gap",
-           "gap_overview", "gap_pairs", "group_stats", "premium", "ranked_groups",
+           "gap_overview", "gap_pairs", "group_stats", "measured_groups", "premium", "ranked_groups",
            "split_group_stats", "summary"]

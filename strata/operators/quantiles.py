@@ -2,14 +2,10 @@
 
 Spark's ``percentile``/``median`` keeps every distinct value of a group in one
 aggregation buffer, so a group that holds a third of the data lands, whole, in
-one task. Here the work is split by value range instead:
-
-1. pre-aggregate to one row per (group, value) with its multiplicity;
-2. range-partition those rows on (group, value); the partition id becomes a
-   bucket, so a hot group is spread over many buckets;
-3. per (group, bucket) counts -> running offsets per group (at most
-   #buckets rows per group);
-4. only the bucket(s) holding the wanted rank(s) are scanned value by value.
+one task. Here a quantile sketch, whose rank error is bounded, gives two values
+that surely enclose the wanted rank. One pass then counts what lies below them
+and keeps only the values between, which are a few hundred-thousandths of the
+group, as (value, number) rows. Nothing is written; the input is read twice.
 
 The result equals ``percentile(value, p)``: position ``p * (n - 1)``, linear
 interpolation between the neighbouring order statistics.
@@ -23,7 +19,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import exact
-from strata.session import materialize
+
+#: The sketch's rank error is n / ACCURACY; the bracket is that and a reserve.
+ACCURACY = 100_000
+MARGIN = 4 / ACCURACY
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
@@ -35,56 +34,51 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
 
 
 def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
-                     out: str = "percentile", buckets: int | None = None,
-                     digits: int | None = None) -> DataFrame:
+                     out: str = "percentile", digits: int | None = None) -> DataFrame:
     """One row per group of ``keys`` (null keys included): ``keys + [out]``.
 
     Groups whose values are all null are absent; join the result onto the
     group's other aggregates with a left join. With ``digits`` the
     interpolation is done in decimal and rounded HALF_UP, so a median that
-    falls exactly half-way rounds the same on every run.
+    falls exactly half-way rounds the same on every run. NaN counts as the
+    largest value. A bracket that misses the rank, which the sketch's bound
+    rules out, raises and does not answer wrongly.
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be within [0, 1]")
     keys = list(keys)
-    v = F.col(value).cast("double")
-    vc = (df.select(*[F.col(k) for k in keys], v.alias("_v"))
-            .where(F.col("_v").isNotNull())
-            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    # Range partitioning computes its bounds by sampling and assigns rows with
-    # a binary search on the JVM; the partition id is the value-range bucket.
-    # Materialised once (a table in the shared checkpoint folder) so that the
-    # bucket statistics and the bucket scan below see one and the same
-    # assignment, even if a stage is recomputed after an executor loss.
-    # Without an explicit count AQE may merge adjacent ranges of small data
-    # into fewer partitions; a merged partition is still one contiguous range.
-    exprs = [F.col(k) for k in keys] + [F.col("_v")]
-    ranged = vc.repartitionByRange(buckets, *exprs) if buckets else vc.repartitionByRange(*exprs)
-    vr = materialize(ranged.withColumn("_b", F.spark_partition_id()), "percentile_buckets")
-    per_bucket = vr.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-    wk = Window.partitionBy(*keys).orderBy("_b")
-    offs = (per_bucket
-            .withColumn("_before", F.coalesce(
-                F.sum("_bc").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*keys)))
-            .withColumn("_pos", F.lit(float(p)) * (F.col("_n") - 1).cast("double"))
-            .withColumn("_lo", F.floor("_pos"))
-            .withColumn("_hi", F.ceil("_pos")))
-    hit_lo = (F.col("_before") <= F.col("_lo")) & (F.col("_lo") < F.col("_before") + F.col("_bc"))
-    hit_hi = (F.col("_before") <= F.col("_hi")) & (F.col("_hi") < F.col("_before") + F.col("_bc"))
-    target = offs.where(hit_lo | hit_hi).select(*keys, "_b", "_before", "_pos", "_lo", "_hi")
-    t = target.alias("t")
-    r = vr.alias("r")
-    cond = null_safe_on(r, t, keys) & (F.col("r._b") == F.col("t._b"))
-    rows = r.join(t, cond, "inner").select(
-        *[F.col(f"r.{k}").alias(k) for k in keys], F.col("r._b").alias("_b"), "r._v", "r._c",
-        "t._before", "t._pos", "t._lo", "t._hi")
-    wb = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_cum", F.col("_before") + F.sum("_c").over(wb))
-    picked = rows.groupBy(*keys).agg(
-        F.min(F.when(F.col("_cum") > F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.min(F.when(F.col("_cum") > F.col("_hi"), F.col("_v"))).alias("_vhi"),
-        F.max("_pos").alias("_pos"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    rows = df.select(*[F.col(k) for k in keys], F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    sketch = F.percentile_approx("_v", [max(0.0, p - MARGIN), min(1.0, p + MARGIN)], ACCURACY)
+    if keys:
+        bounds = rows.groupBy(*keys).agg(sketch.alias("_q"))
+        r, b = rows.alias("r"), bounds.alias("b")
+        rows = r.join(b, null_safe_on(r, b, keys)).select(*[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_q")
+    else:
+        rows = rows.withColumn("_q", rows.select(sketch.alias("_q")).scalar())
+    zone = F.when(F.col("_v") < F.col("_q")[0], -1).when(F.col("_v") > F.col("_q")[1], 1).otherwise(0)
+    counted = (rows.select(*keys, "_v", zone.alias("_z"), F.when(zone == 0, F.col("_v")).alias("_in"))
+                   .groupBy(*keys, "_z", "_in").agg(F.count(F.lit(1)).alias("_c"), F.max("_v").alias("_top"),
+                                                    F.min("_v").alias("_least")))
+    group = Window.partitionBy(*keys)                    # a group's values between the bounds, and two rows
+    ranked = counted.select(
+        *keys, "_z", "_c", F.when(F.col("_z") < 0, F.col("_top")).otherwise(F.col("_least")).alias("_v"),
+        F.sum("_c").over(group.orderBy("_z", "_in").rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),
+        (F.lit(float(p)) * (F.sum("_c").over(group) - 1).cast("double")).alias("_pos"))
+    ranked = ranked.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
+    # the first row beyond a position; of the rows outside, only the value next to the bounds is known
+    at = {e: F.min(F.when(F.col("_cum") > F.col(e), F.struct("_cum", "_c", "_z", "_v"))) for e in ("_lo", "_hi")}
+    picked = ranked.groupBy(*keys).agg(at["_lo"].alias("_a"), at["_hi"].alias("_b"), F.max("_pos").alias("_pos"),
+                                       F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+
+    def known(row: str, place: str):
+        z, cum = F.col(f"{row}._z"), F.col(f"{row}._cum")
+        return (z == 0) | ((z < 0) & (cum - 1 == F.col(place))) | ((z > 0) & (cum - F.col(f"{row}._c") == F.col(place)))
+
+    missed = F.raise_error(F.lit("quantile bracket missed")).cast("double")
+    picked = picked.select(
+        *keys, "_pos", "_lo", "_hi",
+        F.when(known("_a", "_lo") & known("_b", "_hi"), F.col("_a._v")).otherwise(missed).alias("_vlo"),
+        F.col("_b._v").alias("_vhi"))
     same = (F.col("_lo") == F.col("_hi")) | (F.col("_vlo") == F.col("_vhi"))
     plain = F.when(same, F.col("_vlo")).otherwise(
         (F.col("_hi") - F.col("_pos")) * F.col("_vlo")

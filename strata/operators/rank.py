@@ -1,10 +1,11 @@
 """Global ranking of grouped results without a single-partition window.
 
 ``dense_rank().over(Window.orderBy(x))`` moves every row into one task. Here
-the distinct values are range-partitioned; each partition ranks its own slice
-and adds the count of distinct values held by the partitions before it. The
-per-partition count table has at most one row per shuffle partition, so it is
-broadcast with a proven size bound.
+quantiles of the distinct values cut them into ranges; a value's range is an
+expression, so nothing is written and no job runs before the caller's. Each
+range ranks its own values and adds the number of those in the ranges before
+it, a table of at most RANGES + 1 rows that is broadcast. The input stands in
+the plan several times, but behind one exchange that Spark reuses.
 """
 
 from __future__ import annotations
@@ -12,39 +13,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import materialize
+#: Ranges that the distinct values are cut into.
+RANGES = 256
 
 
 def global_dense_rank(df: DataFrame, value: str, out: str = "rank",
-                      descending: bool = True, partitions: int | None = None) -> DataFrame:
+                      descending: bool = True, ranges: int = RANGES) -> DataFrame:
     """Add ``out`` = ``dense_rank()`` over all rows ordered by ``value``.
 
     Nulls rank last (after every non-null value), as ``ORDER BY x DESC`` /
     ``ASC NULLS LAST`` would place them. Returns all columns of ``df`` plus
-    ``out`` (int).
+    ``out`` (int). ``value`` is a number, a date or a time.
     """
     vcol = F.col(value)
-    distinct_vals = df.select(vcol.alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    # The bucket id is a partition id, so it is materialised once (a table in
-    # the shared checkpoint folder): both consumers below then see the same
-    # assignment, even if a stage is recomputed after an executor loss.
+    vals = df.select(vcol.alias("_v")).where(F.col("_v").isNotNull()).distinct()
+    cuts = [k / ranges for k in range(1, ranges)]
+    at = F.lit(0)
+    placed = vals
+    if cuts:
+        bounds = vals.select(F.array_distinct(F.percentile_approx("_v", cuts, 10 * ranges)))
+        placed = vals.withColumn("_q", bounds.scalar())
+        at = F.size(F.filter("_q", lambda q: q < F.col("_v")))
+    placed = placed.select("_v", (-at if descending else at).alias("_b"))
     order = F.col("_v").desc() if descending else F.col("_v").asc()
-    # Without an explicit count AQE may merge adjacent ranges of small data;
-    # a merged partition is still one contiguous range of values.
-    ranged = (distinct_vals.repartitionByRange(partitions, order) if partitions
-              else distinct_vals.repartitionByRange(order))
-    ordered = materialize(ranged.withColumn("_b", F.spark_partition_id()), "rank_buckets")
-    counts = ordered.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    local = Window.partitionBy("_b").orderBy(F.col("_v").desc() if descending else F.col("_v").asc())
-    ranked = (ordered.join(F.broadcast(offsets.select("_b", "_off")), "_b")
-                     .withColumn("_r", (F.col("_off") + F.row_number().over(local)).cast("int"))
-                     .select("_v", "_r"))
-    n_distinct = counts.select(F.sum("_cnt")).scalar()
+    ranked = placed.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(order)))
+    counts = placed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_b", before.alias("_before"))      # one row per range
+    ranked = ranked.join(F.broadcast(offsets), "_b").select("_v", (F.col("_before") + F.col("_r")).cast("int").alias("_r"))
+    last = vals.select((F.count(F.lit(1)) + 1).cast("int")).scalar()
     joined = df.join(ranked, vcol == F.col("_v"), "left")
-    return (joined.withColumn(out, F.coalesce(F.col("_r"), (n_distinct + 1).cast("int")))
-                  .drop("_v", "_r"))
+    return joined.withColumn(out, F.coalesce(F.col("_r"), last)).drop("_v", "_r")
 
 
 def top_dense_rank(df: DataFrame, value: str, k: int, out: str = "rank",

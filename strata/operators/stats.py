@@ -137,15 +137,12 @@ def diversity(df: DataFrame, key: str, *, count_of: str, distinct: dict[str, str
 
 
 # --------------------------------------------------------------------------- C9
-def ranked_groups(df: DataFrame, key: str, value: str, second: str, distinct_col: str, *,
-                  min_n: int = 3, value_name: str = "salary", second_name: str = "experience",
-                  distinct_name: str = "education_variety", rank_name: str = "pay_rank",
-                  count_name: str = "sample_size", digits: int = 2) -> DataFrame:
-    """Groups with at least ``min_n`` rows, dense-ranked by rounded mean, desc.
-
-    The rank is global but computed without a single-partition window
-    (:func:`strata.operators.rank.global_dense_rank`).
-    """
+def measured_groups(df: DataFrame, key: str, value: str, second: str, distinct_col: str, *,
+                    min_n: int = 3, value_name: str = "salary", second_name: str = "experience",
+                    distinct_name: str = "education_variety", count_name: str = "sample_size",
+                    digits: int = 2) -> DataFrame:
+    """Groups with at least ``min_n`` rows: their size, rounded means, extremes and
+    spread, and the distinct values of ``distinct_col``."""
     v = F.col(value)
     agg = df.groupBy(key).agg(
         F.count(F.lit(1)).alias(count_name),
@@ -156,9 +153,16 @@ def ranked_groups(df: DataFrame, key: str, value: str, second: str, distinct_col
         F.countDistinct(distinct_col).alias(distinct_name),
         F.round(F.stddev(v), digits).alias(f"{value_name}_stddev"),
     ).where(F.col(count_name) >= min_n)
-    ranked = global_dense_rank(agg, f"avg_{value_name}", out=rank_name)
-    return ranked.withColumn(f"{value_name}_range",
-                             F.col(f"max_{value_name}") - F.col(f"min_{value_name}"))
+    return agg.withColumn(f"{value_name}_range", F.col(f"max_{value_name}") - F.col(f"min_{value_name}"))
+
+
+def ranked_groups(df: DataFrame, key: str, value: str, second: str, distinct_col: str, *,
+                  value_name: str = "salary", rank_name: str = "pay_rank", **names) -> DataFrame:
+    """:func:`measured_groups`, dense-ranked by rounded mean, desc. The rank is
+    global but computed without a single-partition window
+    (:func:`strata.operators.rank.global_dense_rank`)."""
+    groups = measured_groups(df, key, value, second, distinct_col, value_name=value_name, **names)
+    return global_dense_rank(groups, f"avg_{value_name}", out=rank_name)
 
 
 # -------------------------------------------------------------------------- C10

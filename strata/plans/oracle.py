@@ -331,33 +331,52 @@ SELECT o_orderkey,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
        CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice * 2 ELSE o_totalprice END
          AS o_totalprice,
-       CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS version,
-       CAST(2 AS BIGINT) AS _commit_id
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS version
 FROM orders"""
 
+_SQL["upsert_partitions"] = """
+SELECT o_orderkey, CASE WHEN late THEN 'F' ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
+       CAST(year(o_orderdate) + CASE WHEN late THEN 1 ELSE 0 END AS INTEGER) AS year,
+       CAST(month(o_orderdate) AS INTEGER) AS month, CASE WHEN late THEN 2 ELSE 1 END AS version
+FROM (SELECT *, o_orderstatus = 'P' AND year(o_orderdate) = 1995 AS late FROM orders)"""
+
+_SQL["table_checks"] = """
+WITH t AS (SELECT count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber)) AS lines,
+                  count(DISTINCT l_orderkey) AS orders, count(*) FILTER (l_shipdate IS NULL) AS undated,
+                  count(*) FILTER (l_returnflag NOT IN ('A', 'N', 'R')) AS odd_flag,
+                  count(*) FILTER (l_linestatus <> 'O') AS not_open,
+                  count(*) FILTER (l_returnflag NOT IN ('N', 'R')) AS other_flag FROM lineitem)
+SELECT 'rows' AS check_name, n AS n_rows, CAST(0 AS BIGINT) AS n_bad, n >= 1 AS passed FROM t
+UNION ALL SELECT 'unique(l_orderkey, l_linenumber)', n, n - lines, n = lines FROM t
+UNION ALL SELECT 'unique(l_orderkey)', n, n - orders, n = orders FROM t
+UNION ALL SELECT 'not_null(l_shipdate)', n, undated, undated = 0 FROM t
+UNION ALL SELECT 'domain(l_returnflag)', n, odd_flag, odd_flag = 0 FROM t
+UNION ALL SELECT 'domain(l_linestatus)', n, not_open, not_open = 0 FROM t
+UNION ALL SELECT 'domain(l_returnflag)', n, other_flag, other_flag <= n * 0.5 FROM t"""
+
 _SQL["snapshot_roundtrip"] = """
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(1 AS BIGINT) AS _commit_id
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
 FROM customer"""
 
-_SQL["history"] = """
-SELECT CAST(1 AS BIGINT) AS commit_id, 'overwrite' AS operation, count(*) AS rows,
-       CAST(NULL AS VARCHAR) AS parent_id FROM nation
-UNION ALL
-SELECT 2, 'upsert', count(*), '1' FROM nation
-UNION ALL
-SELECT 3, 'overwrite', count(*), '2' FROM nation WHERE n_regionkey = 0"""
+_SQL["history"] = f"""
+SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n_events,
+       count(DISTINCT user_id) AS n_users, {_xmean('value')} AS avg_value
+FROM events GROUP BY 1, 2"""
 
 _SQL["retention"] = """
-SELECT CAST(1 AS BIGINT) AS commit_id, 'overwrite' AS operation, count(*) AS rows
-FROM nation WHERE n_regionkey >= 0
-UNION ALL
-SELECT 2, 'overwrite', count(*) FROM nation WHERE n_regionkey >= 1"""
+WITH seen AS (SELECT DISTINCT user_id, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7.0)
+                AS INTEGER) AS week FROM events),
+first AS (SELECT user_id, min(week) AS cohort FROM seen GROUP BY user_id)
+SELECT cohort, week - cohort AS weeks_later, count(*) AS n_users
+FROM seen JOIN first USING (user_id) GROUP BY 1, 2"""
 
 _SQL["layout_rewrite"] = """
-SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_quantity,
-       CAST(2 AS BIGINT) AS _commit_id
+SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_quantity
 FROM lineitem"""
 
+_SQL["csv_multiline"] = """
+SELECT doc_id, sha256(replace(text, chr(13), ' ')) AS text_sha256, lang, true AS fits FROM documents"""
+
 _SQL["csv_scan"] = """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
        CAST(NULL AS VARCHAR) AS _corrupt_record
@@ -550,7 +569,7 @@ _SQL["catalog_tables"] = "\nUNION ALL\n".join(
         ("gold", "job_title_salary_analysis", "job_title_analysis"),
         ("gold", "industry_benchmarks", "industry_benchmarks")))
 _SQL["catalog_salary_sample"] = _with(SILVER_SALARY) + """
-SELECT job_title, education_level, gender, age, years_of_experience, salary
+SELECT age, gender, education_level, job_title, years_of_experience, salary
 FROM silver_salary ORDER BY 1, 2, 3, 4, 5, 6 LIMIT 10"""
 _SQL["catalog_education_stats"] = _SQL["salary_education_stats"]
 _SQL["catalog_education_view"] = f"""
@@ -560,4 +579,21 @@ _SQL["catalog_benchmark_view"] = f"""
 SELECT industry_avg_salary, industry_median_salary, total_job_titles, total_records
 FROM ({_SQL['industry_benchmarks']})"""
 
+# The columns of the run's time, as text.
+_AT = "'2024-06-15 12:00:00'"
+for _columns, _names in (
+        (f"{_AT} AS update_timestamp, '2024-06-15' AS etl_date",
+         "customers_silver retail_run_customers stream_customers_silver salary_silver salary_run_detail "
+         "catalog_salary_detail"),
+        (f"{_AT} AS update_timestamp",
+         "salary_education_stats salary_job_stats salary_gender_stats catalog_education_stats"),
+        (f"{_AT} AS calculation_timestamp",
+         "customer_stats retail_run_customer_stats article_stats retail_run_article_stats cross_metrics "
+         "retail_run_cross_metrics cross_summary experience_trends salary_run_experience_trends education_impact "
+         "salary_run_education_impact gender_pay_overview salary_run_gender_pay_overview gender_pay_by_education "
+         "salary_run_gender_pay_by_education job_title_analysis salary_run_job_titles industry_benchmarks "
+         "salary_run_benchmarks")):
+    for _name in _names.split():
+        _SQL[_name] = f"SELECT *, {_columns} FROM ({_SQL[_name]})"
+
 ORACLE_SQL: dict[str, str] = dict(_SQL)

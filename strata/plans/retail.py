@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from strata.functions import (AGE_CATEGORY, audit_columns, bucketize, calculation_timestamp,
                               completeness, content_hash, legacy_int)
 from strata.operators import category_breakdown, cross_summary, dedup, diversity, profile, summary
+from strata.sources import quarantine, read_bronze
+from strata.tables import Unique, not_null, observed, read_table, upsert, verify, write_table
 
 # The 22 article columns scored for completeness, in source order.
 ARTICLE_COLUMNS = (
@@ -124,46 +126,61 @@ def cross_metrics(customers: DataFrame, articles: DataFrame, as_of=None) -> Data
 
 
 # ---------------------------------------------------------------------- job
+# Record key, partition columns and sort of each gold table.
+GOLD_LAYOUT = {"customer_stats": ("club_member_status", ["club_member_status"], None),
+               "article_stats": ("product_category", None, ["total_articles desc"]),
+               "cross_metrics": ("metric_id", None, None)}
+
+
+def gold_tables(customers: DataFrame, articles: DataFrame, as_of=None) -> dict[str, DataFrame]:
+    """The three gold frames, one row per record key: of several, the one with
+    the latest ``calculation_timestamp``. Without articles there are no article
+    stats, and that table is left out."""
+    frames = {"customer_stats": customers_gold(customers, as_of),
+              "article_stats": articles_gold(articles, as_of, sort=False),
+              "cross_metrics": cross_metrics(customers, articles, as_of)}
+    return {k: upsert(None, df, [GOLD_LAYOUT[k][0]], "calculation_timestamp")
+            for k, df in frames.items() if "calculation_timestamp" in df.columns}
+
+
+def silver_checks(key: str) -> list:
+    return [not_null(key), Unique((key,))]
+
+
 def run_retail(spark: SparkSession, customers_csv: str, articles_csv: str, root: str,
                as_of=None, preview: bool = False) -> dict[str, int]:
-    """C22: bronze CSV -> silver snapshots -> gold snapshots under ``root``.
-
-    Silver is written once and gold is computed from the written snapshots,
-    so every gold table of a run sees the same silver rows.
+    """C22: bronze CSV -> silver tables -> gold tables, partitioned Parquet below
+    ``root``. Returns the rows of each, as read back.
+
+    Silver is written once and gold is computed from the written tables, so
+    every gold table of a run sees the same silver rows. Article descriptions
+    may hold line breaks. Rows that don't fit their file's header stay out of
+    silver and are kept below ``root/quarantine``. Every table is read back
+    after it was written, compared with what was written, and checked for its
+    key; the job fails where either doesn't hold.
     """
-    from strata.sources import read_counting_bad_rows, report_bad_rows
-    from strata.tables import VersionedTable
-
     out: dict[str, int] = {}
-    bronze_cust, bad_cust = read_counting_bad_rows(spark, customers_csv)
-    bronze_arts, bad_arts = read_counting_bad_rows(spark, articles_csv)
-    cust = customers_silver(bronze_cust, as_of)
-    arts = articles_silver(bronze_arts, as_of)
-    t_cust = VersionedTable(spark, f"{root}/silver/customers")
-    t_arts = VersionedTable(spark, f"{root}/silver/articles")
-    out["silver.customers"] = t_cust.upsert(cust, ["customer_id"],
-                                            "update_timestamp", partition_by=["year", "month"],
-                                            as_of=as_of, replace=True,
-                                            target_file_bytes=SILVER_FILE_BYTES)
-    out["silver.articles"] = t_arts.upsert(arts, ["article_id"],
-                                           "update_timestamp",
-                                           partition_by=["product_category"], as_of=as_of,
-                                           replace=True, target_file_bytes=SILVER_FILE_BYTES)
-    report_bad_rows(bad_cust, customers_csv)
-    report_bad_rows(bad_arts, articles_csv)
-    sc = t_cust.read().drop("_commit_id", "_commit_ts")
-    sa = t_arts.read().drop("_commit_id", "_commit_ts")
-    gold = {
-        "gold.customer_stats": (customers_gold(sc, as_of), ["club_member_status"]),
-        "gold.article_stats": (articles_gold(sa, as_of), None),
-        "gold.cross_metrics": (cross_metrics(sc, sa, as_of), None),
-    }
-    for name, (df, parts) in gold.items():
-        t = VersionedTable(spark, f"{root}/{name.replace('.', '/')}")
-        out[name] = t.write(df, "overwrite", partition_by=parts, as_of=as_of,
-                            target_file_bytes=GOLD_FILE_BYTES)
+
+    def put(name: str, df: DataFrame, key: str, parts, sort, size: int) -> DataFrame:
+        df, seen = observed(df)
+        write_table(df, f"{root}/{name}", parts, sort_within=sort, target_file_bytes=size)
+        table = read_table(spark, f"{root}/{name}", df.schema)
+        out[name.replace("/", ".")] = verify(table, seen, silver_checks(key), name)
         if preview:
-            t.read().show(5, truncate=False)
+            table.show(5, truncate=False)
+        return table
+
+    sources = {"customers": (customers_csv, customers_silver, "customer_id", ["year", "month"], False),
+               "articles": (articles_csv, articles_silver, "article_id", ["product_category"], True)}
+    silver = {}
+    for name, (path, clean, key, parts, multiline) in sources.items():
+        bronze, bad_rows, bad = read_bronze(spark, path, multiline=multiline)
+        rows = upsert(None, clean(bronze, as_of), [key], "update_timestamp")
+        silver[name] = put(f"silver/{name}", rows, key, parts, None, SILVER_FILE_BYTES)
+        quarantine(bad_rows, bad, path, f"{root}/quarantine/{name}")
+    for name, df in gold_tables(silver["customers"], silver["articles"], as_of).items():
+        key, parts, sort = GOLD_LAYOUT[name]
+        put(f"gold/{name}", df, key, parts, sort, GOLD_FILE_BYTES)
     return out
 
 

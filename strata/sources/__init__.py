@@ -1,7 +1,6 @@
-"""Sources: tolerant bronze CSV and snapshot reads."""
+"""Sources: tolerant bronze CSV, also with line breaks in its fields."""
 
-from strata.sources.csv import (read_bronze_csv, read_counting_bad_rows, report_bad_rows,
-                                string_schema)
-from strata.sources.snapshot import read_snapshot
+from strata.sources.csv import quarantine, read_bronze, read_bronze_csv, string_schema
+from strata.sources.records import csv_records
 
-__all__ = ["read_bronze_csv", "read_counting_bad_rows", "report_bad_rows", "string_schema", "read_snapshot"]
+__all__ = ["read_bronze", "read_bronze_csv", "quarantine", "string_schema", "csv_records"]

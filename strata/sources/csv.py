@@ -1,4 +1,4 @@
-"""Bronze CSV: header row, every column read as string, bad rows captured."""
+"""Bronze CSV: header row, every column read as string, bad rows set apart."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.records import csv_records
+
 CORRUPT = "_corrupt_record"
 
 
@@ -26,31 +28,42 @@ def read_bronze_csv(spark: SparkSession, path: str, columns: Sequence[str] | Non
     The schema is always declared: ``columns``, or else the names of the
     header row (the only row read for it). Rows that do not fit it land in
     ``_corrupt_record`` instead of failing the job. Files are split over
-    tasks; ``multiline`` keeps quoted fields with line breaks in one record,
-    at the price of one task per file. Empty fields and quoted empty strings
-    read as null.
+    tasks; with ``multiline`` quoted fields may hold line breaks, and files are
+    split all the same (:func:`strata.sources.records.csv_records`). Empty
+    fields and quoted empty strings read as null.
     """
-    r = (spark.read.option("header", True).option("multiLine", multiline)
-         .option("escape", '"').option("mode", "PERMISSIVE"))
+    r = spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
     if columns is None:
         columns = r.option("inferSchema", False).csv(path).columns
-    r = r.schema(string_schema(columns, CORRUPT if capture_corrupt else None))
+    schema = string_schema(columns, CORRUPT if capture_corrupt else None)
+    if multiline:
+        options = {"escape": '"', "mode": "PERMISSIVE"}
+        if capture_corrupt:
+            options["columnNameOfCorruptRecord"] = CORRUPT
+        fields = F.from_csv(F.col("record"), F.lit(schema.simpleString()), options)
+        return csv_records(spark, path).select(fields.alias("r")).select("r.*")
     if capture_corrupt:
-        r = r.option("columnNameOfCorruptRecord", CORRUPT)
-    return r.csv(path)
+        # Without pruning, so that a row is bad or good whatever columns are asked for.
+        r = r.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    return r.schema(schema).csv(path)
 
 
-def read_counting_bad_rows(spark: SparkSession, path: str) -> tuple[DataFrame, Observation]:
-    """Bronze rows without the bad-row column, and a count of the rows that
-    did not fit the header, filled by the first job that reads them."""
+def read_bronze(spark: SparkSession, path: str, *, multiline: bool = False) -> tuple[DataFrame, DataFrame, Observation]:
+    """(rows that fit the header; those that don't, as far as they could be read,
+    with their text as ``bad_record``; the number of the latter as
+    ``bad_rows``, filled by the first job that reads the good rows)."""
+    rows = read_bronze_csv(spark, path, multiline=multiline)
     bad = Observation()
-    bronze = read_bronze_csv(spark, path)
-    return bronze.observe(bad, F.count(CORRUPT).alias("bad_rows")).drop(CORRUPT), bad
+    good = rows.observe(bad, F.count(CORRUPT).alias("bad_rows")).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # Spark refuses to read the record's text alone, without any field.
+    return good, rows.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "bad_record"), bad
 
 
-def report_bad_rows(bad: Observation, path: str) -> int:
-    """Number of bad rows, logged when there are any; call after the job."""
+def quarantine(bad_rows: DataFrame, bad: Observation, path: str, folder: str) -> int:
+    """Number of bad rows of a source; if there are any, they are logged and
+    written below ``folder``. Call after the job that read the good rows."""
     n = int(bad.get["bad_rows"])
     if n:
-        logging.getLogger(__name__).warning("%s: %d rows do not fit the header", path, n)
+        logging.getLogger(__name__).warning("%s: %d rows do not fit the header, kept in %s", path, n, folder)
+        bad_rows.write.mode("overwrite").parquet(folder)
     return n

@@ -4,9 +4,9 @@ The source refreshes its layers with an hourly batch that re-reads the whole
 bronze file. Here the same bronze -> silver step runs as a Structured
 Streaming query with an ``AvailableNow`` trigger: each run (hourly, from any
 scheduler) processes only the files that arrived since the previous run,
-exactly once, tracked by the stream checkpoint; every micro-batch is
-upserted into the versioned table (latest wins). A micro-batch retried after
-a failure is harmless: the upsert is idempotent.
+exactly once, tracked by the stream checkpoint; every micro-batch is upserted
+into the partitions of the catalog table that it touches (latest wins). A
+micro-batch retried after a failure is harmless: the upsert is idempotent.
 """
 
 from __future__ import annotations
@@ -16,33 +16,33 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.sources.csv import string_schema
-from strata.tables.versioned import VersionedTable
+from strata.tables.keyed import create_keyed_table, upsert_partitions
 
 
-def ingest_bronze_stream(spark: SparkSession, bronze_dir: str, columns: Sequence[str],
-                         table_root: str, keys: Sequence[str], precombine: str,
-                         transform: Callable[[DataFrame], DataFrame],
-                         checkpoint: str, partition_by: Sequence[str] | None = None,
+def ingest_bronze_stream(spark: SparkSession, bronze_dir: str, columns: Sequence[str], name: str,
+                         keys: Sequence[str], precombine: str, transform: Callable[[DataFrame], DataFrame],
+                         checkpoint: str, partition_by: Sequence[str],
                          max_files_per_trigger: int | None = None) -> int:
     """Run one incremental pass; returns the number of micro-batches applied.
 
     ``transform`` is the silver step (e.g. ``customers_silver``) applied to
-    each micro-batch of raw, all-string rows.
+    each micro-batch of raw, all-string rows. Files are split over tasks, so a
+    record must not hold line breaks.
     """
-    reader = (spark.readStream.schema(string_schema(columns, None))
-              .option("header", True).option("multiLine", True).option("escape", '"'))
+    reader = spark.readStream.schema(string_schema(columns, None)).option("header", True).option("escape", '"')
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.csv(bronze_dir)
-    table = VersionedTable(spark, table_root)
     applied = []
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         silver = transform(batch)
-        table.upsert(silver, keys, precombine, partition_by=partition_by)
+        if batch.sparkSession.catalog.tableExists(name):
+            upsert_partitions(batch.sparkSession, name, silver, keys, precombine, partition_by)
+        else:
+            create_keyed_table(silver, name, keys, precombine, partition_by)
         applied.append(batch_id)
 
-    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    q = (reader.csv(bronze_dir).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(applied)

@@ -1,12 +1,16 @@
-"""Keyed, versioned tables on plain Parquet: snapshots, commit log, upsert,
-merge-on-read views, compaction, retention and layout rewrite."""
+"""Tables on plain Parquet and in the session catalog: upserts, merge-on-read
+views, layout rewrite, checks after the write."""
 
 from strata.tables.catalog import (ensure_namespace, list_namespaces, list_tables,
                                    write_catalog_table)
+from strata.tables.checks import (Holds, Rows, Unique, check_rows, digest, doubled, in_domain, not_null,
+                                  observed, verify, violations)
+from strata.tables.files import cluster, read_table, write_table
+from strata.tables.keyed import create_keyed_table, touched_partitions, upsert_partitions
 from strata.tables.upsert import global_upsert, merge_on_read, upsert
-from strata.tables.versioned import COMMIT_SCHEMA, VersionedTable, cluster
-from strata.tables.writers import COPY_ON_WRITE, MERGE_ON_READ, write_keyed_table
 
-__all__ = ["upsert", "global_upsert", "merge_on_read", "VersionedTable", "COMMIT_SCHEMA",
-           "cluster", "ensure_namespace", "list_namespaces", "list_tables",
-           "write_catalog_table", "write_keyed_table", "COPY_ON_WRITE", "MERGE_ON_READ"]
+__all__ = ["upsert", "global_upsert", "merge_on_read", "cluster", "read_table", "write_table",
+           "create_keyed_table", "upsert_partitions", "touched_partitions",
+           "ensure_namespace", "list_namespaces", "list_tables", "write_catalog_table",
+           "Rows", "Unique", "Holds", "not_null", "in_domain", "check_rows", "violations", "doubled",
+           "digest", "observed", "verify"]

@@ -61,14 +61,56 @@ def test_global_dense_rank_matches_window(spark):
     assert top == {i for i, r in exp.items() if r <= 5}
 
 
-def test_global_dense_rank_no_single_partition_on_data(spark):
-    df = spark.range(1000).withColumn("v", (F.col("id") % 37).cast("double"))
-    plan = global_dense_rank(df, "v")._jdf.queryExecution().executedPlan().toString()
-    # no window over all rows: ranks come from the range-bucketed table, and
-    # the only window is row_number() per bucket
-    assert "dense_rank" not in plan
-    assert "rank_buckets" in plan
+def _jobs_before_an_action(spark, build):
+    """(frame, Spark jobs that building it has run)."""
+    spark.sparkContext.setJobGroup("build", "build")
+    df = build()
+    df._jdf.queryExecution().executedPlan()
+    ran = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("rest", "rest")
+    return df, list(ran)
+
+
+def test_global_dense_rank_is_one_lazy_plan(spark):
+    rows = spark.range(1000).withColumn("v", (F.col("id") % 37).cast("double"))
+    df, ran = _jobs_before_an_action(spark, lambda: global_dense_rank(rows.groupBy("id").agg(F.max("v").alias("v")), "v"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # no job and no written table before the caller's action; the only window
+    # over the values is row_number() within a range
+    assert not ran and "dense_rank" not in plan and "Scan parquet" not in plan
     assert "row_number() windowspecdefinition(_b" in plan
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_global_dense_rank_of_few_and_of_no_values(spark):
+    from pyspark.sql import Window
+    for values in ([], [None, None], [5.0], [5.0, 5.0, None, -1.0], [float(k % 400) for k in range(1200)]):
+        df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "id int, v double")
+        for down in (True, False):
+            order = F.col("v").desc_nulls_last() if down else F.col("v").asc_nulls_last()
+            want = {r.id: r.r for r in df.withColumn("r", F.dense_rank().over(Window.orderBy(order))).collect()}
+            for ranges in (1, 7, 256):
+                got = global_dense_rank(df, "v", out="r", descending=down, ranges=ranges)
+                assert {r.id: r.r for r in got.collect()} == want
+
+
+def test_exact_percentile_by_bracket(spark):
+    hot = spark.range(60000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("k"),
+                                    (F.rand(5) * 1000 - 300).alias("v"))
+    same = spark.range(5000).select(F.lit("same").alias("k"), F.lit(7.0).alias("v"))
+    few = spark.createDataFrame([(None, 1.0), (None, 4.0), (None, None), ("one", 3.0), ("none", None)], "k string, v double")
+    two = spark.range(4001).select(F.lit("two").alias("k"), (F.col("id") % 2).cast("double").alias("v"))
+    df = hot.unionByName(same).unionByName(few).unionByName(two)
+    for p in (0.0, 0.01, 0.25, 0.5, 0.9, 1.0):
+        want = {r.k: r.m for r in df.groupBy("k").agg(F.percentile("v", F.lit(p)).alias("m")).collect() if r.m is not None}
+        got, ran = _jobs_before_an_action(spark, lambda: exact_percentile(df, ["k"], "v", p))
+        assert not ran
+        found = {r.k: r.percentile for r in got.collect()}
+        assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-9 for k in want)
+        (one,) = exact_percentile(df, [], "v", p).collect()
+        assert abs(one[0] - df.agg(F.percentile("v", F.lit(p))).first()[0]) < 1e-9
+    assert exact_percentile(df.limit(0), ["k"], "v", 0.5).count() == 0
 
 
 def test_group_stats_labels_null_keys(spark):

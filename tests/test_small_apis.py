@@ -1,23 +1,9 @@
-"""Small public entry points: snapshot reader, keep_latest, cluster, namespaces."""
-
-import os
+"""Small public entry points: keep_latest, cluster, namespaces."""
 
 from pyspark.sql import functions as F
 
 from strata.operators import keep_latest
-from strata.sources import read_snapshot
-from strata.tables import VersionedTable, cluster, list_namespaces
-
-
-def test_read_snapshot_projects_and_caches(spark, tmpdir_path):
-    root = os.path.join(tmpdir_path, "snap")
-    t = VersionedTable(spark, root)
-    t.write(spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string"))
-    t.write(spark.createDataFrame([(3, "c")], "id int, k string"))
-    df = read_snapshot(spark, root, columns=["id"], cache=True)
-    assert df.columns == ["id"] and df.is_cached and [r.id for r in df.collect()] == [3]
-    assert [r.id for r in read_snapshot(spark, root, commit_id=1).orderBy("id").collect()] == [1, 2]
-    df.unpersist()
+from strata.tables import cluster, list_namespaces
 
 
 def test_keep_latest_with_tie_break(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strata.plans.retail import ARTICLE_COLUMNS, run_retail
 from strata.plans.salary import run_salary, salary_silver
 from strata.sources import read_bronze_csv
-from strata.tables import VersionedTable
+from strata.tables import read_table
 
 
 def _write(path, text):
@@ -72,18 +72,18 @@ def test_run_retail_end_to_end(spark, tmpdir_path):
     ids = run_retail(spark, cust, arts, root, as_of="2024-06-15 12:00:00")
     assert set(ids) == {"silver.customers", "silver.articles", "gold.customer_stats",
                         "gold.article_stats", "gold.cross_metrics"}
-    silver = VersionedTable(spark, f"{root}/silver/customers").read()
+    silver = read_table(spark, f"{root}/silver/customers")
     assert silver.count() == 4                                   # null key dropped
     c1 = silver.where("customer_id = 'c1'").collect()[0]
     assert c1.age == 17 and c1.age_category == "junior"          # survivor: smallest age
     stats = {r.club_member_status: r for r in
-             VersionedTable(spark, f"{root}/gold/customer_stats").read().collect()}
+             read_table(spark, f"{root}/gold/customer_stats").collect()}
     assert stats["UNKNOWN"].total_customers == 2                 # null + literal UNKNOWN
     assert stats["UNKNOWN"].total_in_categories == 2
     scores = {r.article_id: r.data_completeness_score for r in
-              VersionedTable(spark, f"{root}/silver/articles").read().collect()}
+              read_table(spark, f"{root}/silver/articles").collect()}
     assert scores == {"a1": 1.0, "a2": 1 / 22.0}
-    cross = VersionedTable(spark, f"{root}/gold/cross_metrics").read().collect()[0]
+    cross = read_table(spark, f"{root}/gold/cross_metrics").collect()[0]
     assert cross.potential_combinations == 8 and cross.metric_id == "cross_1718452800"
 
 
@@ -92,11 +92,11 @@ def test_run_salary_end_to_end(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "lake")
     ids = run_salary(spark, p, root, as_of="2024-06-15 12:00:00")
     assert len(ids) == 10
-    bench = VersionedTable(spark, f"{root}/gold/industry_benchmarks").read().collect()[0]
+    bench = read_table(spark, f"{root}/gold/industry_benchmarks").collect()[0]
     assert bench.total_records == 4 and bench.data_quality_score == 0.4
-    jobs = VersionedTable(spark, f"{root}/gold/job_title_salary_analysis").read()
+    jobs = read_table(spark, f"{root}/gold/job_title_salary_analysis")
     assert jobs.collect()[0].job_title == "ENGINEER" and jobs.count() == 1
-    by_edu = VersionedTable(spark, f"{root}/gold/gender_pay_by_education").read()
+    by_edu = read_table(spark, f"{root}/gold/gender_pay_by_education")
     assert by_edu.select(F.sum("sample_size")).collect()[0][0] == 4
 
 
@@ -167,16 +167,20 @@ def test_salary_aggregates_split_like_three_group_bys(spark, tmpdir_path):
 
 
 def test_one_csv_file_is_read_in_several_partitions_and_bad_rows_are_counted(spark, tmpdir_path):
-    from strata.sources import read_counting_bad_rows, report_bad_rows
+    from strata.sources import quarantine, read_bronze
     p = _write(os.path.join(tmpdir_path, "big.csv"),
                "id,name\n" + "".join(f"{i},{'x' * 40}\n" for i in range(20000)) + "1,a,too many\n")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(100_000))
     try:
         assert read_bronze_csv(spark, p).rdd.getNumPartitions() > 1
-        df, bad = read_counting_bad_rows(spark, p)
-        assert df.columns == ["id", "name"]
-        assert len(df.collect()) == 20001 and report_bad_rows(bad, p) == 1
+        df, bad_rows, bad = read_bronze(spark, p)
+        assert df.columns == ["id", "name"] and df.select("id").where("id is null").count() == 0
+        df, bad_rows, bad = read_bronze(spark, p)
+        assert len(df.collect()) == 20000
+        kept = os.path.join(tmpdir_path, "kept")
+        assert quarantine(bad_rows, bad, p, kept) == 1
+        assert [r.bad_record for r in spark.read.parquet(kept).collect()] == ["1,a,too many"]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
@@ -190,3 +194,53 @@ def test_salary_job_caches_nothing_and_evaluates_the_stats_once(spark, tmpdir_pa
     for df in salary_aggregates(salary_silver(read_bronze_csv(spark, p))).values():
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Aggregate" not in plan and "Expand" not in plan
+
+
+def _multiline(spark, p, size):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = read_bronze_csv(spark, p, ["id", "desc", "n"], multiline=True)
+        return [tuple(r) for r in df.collect()], spark.read.text(p).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def test_multiline_csv_in_splits_equals_one_task(spark, tmpdir_path):
+    import random
+    rng = random.Random(8)
+    pool = ["plain", "a, b", 'said ""yes""', "two\nlines", "\n\n\nmany " * 30, "é ü\r\nwindows", "", 'x""\n""y', "1\n2,3\n4,5,6"]
+    for name, end in (("unix.csv", "\n"), ("win.csv", "\r\n")):
+        text = f"id,desc,n{end}" + "".join(f'{k},"{rng.choice(pool)}",{k * 2}{end}' for k in range(400))
+        text += f'400,"last'.replace('"last', '"last\nrow"') + ",1"
+        folder = os.path.join(tmpdir_path, name)
+        os.makedirs(folder)
+        for part in ("one", "two"):
+            with open(os.path.join(folder, f"{part}.csv"), "w", encoding="utf-8", newline="") as fh:
+                fh.write(text.replace("plain", part))
+        want = sorted(tuple(r) for r in spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+                      .schema("id string, desc string, n string, _corrupt_record string").csv(folder)
+                      .select("id", F.col("desc"), "n").collect())
+        for size in (97, 1000, 1 << 20):
+            got, tasks = _multiline(spark, folder, size)
+            norm = lambda rows: sorted((i, (d or "").replace("\r\n", "\n"), n) for i, d, n, *_ in rows)
+            assert norm(got) == norm(want) and len(got) == 802
+            assert all(r[3] is None for r in got)
+            assert size > 5000 or tasks > 5
+
+
+def test_bad_rows_and_line_breaks_stay_out_of_silver(spark, tmpdir_path):
+    header = ",".join(ARTICLE_COLUMNS)
+    rows = [",".join([f"a{k}", "Shirt"] + ["x"] * 19 + ['"soft\ncotton, ""warm"""']) for k in range(3)]
+    arts = _write(os.path.join(tmpdir_path, "arts.csv"), "\n".join([header, *rows, "bad," * 30]) + "\n")
+    cust = _write(os.path.join(tmpdir_path, "cust.csv"), CUSTOMERS + "c9,1,ACTIVE,more\n")
+    root = os.path.join(tmpdir_path, "lake")
+    n = run_retail(spark, cust, arts, root, as_of="2024-06-15 12:00:00")
+    assert n["silver.articles"] == 3 and n["silver.customers"] == 4
+    silver = read_table(spark, f"{root}/silver/articles")
+    assert {r.article_id for r in silver.collect()} == {"a0", "a1", "a2"}
+    assert {r.detail_desc for r in silver.collect()} == {'soft\ncotton, "warm"'}
+    for name in ("articles", "customers"):
+        assert spark.read.parquet(f"{root}/quarantine/{name}").count() == 1

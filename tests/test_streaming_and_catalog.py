@@ -4,8 +4,7 @@ import os
 
 from strata.plans.retail import CUSTOMER_COLUMNS, customers_silver
 from strata.streaming import ingest_bronze_stream
-from strata.tables import (VersionedTable, ensure_namespace, list_tables,
-                           write_catalog_table)
+from strata.tables import ensure_namespace, list_tables, write_catalog_table
 
 
 def test_incremental_runs_pick_up_only_new_files(spark, tmpdir_path):
@@ -13,7 +12,8 @@ def test_incremental_runs_pick_up_only_new_files(spark, tmpdir_path):
     os.makedirs(bronze)
     with open(os.path.join(bronze, "f1.csv"), "w") as fh:
         fh.write("customer_id,age,club_member_status\nc1,20,A\nc2,30,B\n")
-    kw = dict(columns=CUSTOMER_COLUMNS, table_root=os.path.join(tmpdir_path, "silver"),
+    ensure_namespace(spark, "streamed", root=tmpdir_path)
+    kw = dict(columns=CUSTOMER_COLUMNS, name="streamed.customers", partition_by=["year", "month"],
               keys=["customer_id"], precombine="update_timestamp",
               checkpoint=os.path.join(tmpdir_path, "ckpt"))
     run1 = ingest_bronze_stream(spark, bronze, transform=lambda b: customers_silver(
@@ -27,7 +27,7 @@ def test_incremental_runs_pick_up_only_new_files(spark, tmpdir_path):
     assert ingest_bronze_stream(spark, bronze, transform=lambda b: customers_silver(
         b, "2024-01-01 02:00:00"), **kw) == 0                   # nothing new
     rows = {r.customer_id: r.age for r in
-            VersionedTable(spark, kw["table_root"]).read().collect()}
+            spark.table("streamed.customers").collect()}
     assert rows == {"c1": 20, "c2": 31, "c3": 40}
 
 

@@ -1,11 +1,17 @@
-"""Keyed, versioned tables: upsert semantics, snapshots, history, retention."""
+"""Tables: upserts, partition-scoped upserts, layout, checks after the write."""
 
+import glob
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from strata.tables import (MERGE_ON_READ, VersionedTable, global_upsert, merge_on_read, upsert,
-                           write_keyed_table)
+from strata.tables import (Rows, Unique, check_rows, cluster, create_keyed_table, doubled, ensure_namespace,
+                           global_upsert, in_domain, merge_on_read, not_null, observed, read_table,
+                           touched_partitions, upsert, upsert_partitions, verify, violations,
+                           write_catalog_table, write_table)
+from strata.tables.keyed import in_partitions
 
 SCHEMA = "id int, part string, ts int, v string"
 
@@ -14,6 +20,9 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select("id", "part", "ts", "v").collect())
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
 
 def test_upsert_cases(spark):
     base = spark.createDataFrame([(1, "a", 5, "old"), (2, "a", 5, "keep"), (3, "a", 5, "base")],
@@ -34,16 +43,11 @@ def test_upsert_cases(spark):
     assert _rows(upsert(base, dup, ["id"], "ts", replace=True))[-1] == (4, "b", 2, "newest")
 
 
-def test_global_upsert_moves_partition(spark, tmpdir_path):
-    t = VersionedTable(spark, os.path.join(tmpdir_path, "t"))
-    t.write(spark.createDataFrame([(1, "a", 1, "x"), (2, "a", 1, "y")], SCHEMA),
-            partition_by=["part"])
+def test_global_upsert_moves_partition(spark):
+    base = spark.createDataFrame([(1, "a", 1, "x"), (2, "a", 1, "y")], SCHEMA)
     moved = spark.createDataFrame([(1, "b", 2, "x2")], SCHEMA)
-    t.write(global_upsert(t.read().drop("_commit_id", "_commit_ts"), moved, "id", "ts", "part"),
-            "upsert", partition_by=["part"])
-    out = t.read()
-    assert out.where("id = 1").select("part").collect()[0][0] == "b"
-    assert out.groupBy("id").count().where("count > 1").count() == 0
+    out = global_upsert(base, moved, "id", "ts", "part")
+    assert _rows(out) == [(1, "b", 2, "x2"), (2, "a", 1, "y")]
 
 
 def test_upsert_collapses_base_and_ties_in_any_order(spark):
@@ -55,7 +59,7 @@ def test_upsert_collapses_base_and_ties_in_any_order(spark):
             (1, "a", 2, "y"), (2, "a", 1, "p"), (3, "a", 2, "b"), (None, "a", 2, "n")]
 
 
-def test_merge_on_read_equals_sequential_upserts(spark, tmpdir_path):
+def test_merge_on_read_equals_sequential_upserts(spark):
     base = spark.createDataFrame([(i, "p", 1, f"b{i}") for i in range(10)], SCHEMA)
     d1 = spark.createDataFrame([(1, "p", 2, "d1"), (2, "p", 0, "d1-old"), (11, "p", 1, "n")],
                                SCHEMA)
@@ -63,119 +67,162 @@ def test_merge_on_read_equals_sequential_upserts(spark, tmpdir_path):
     view = merge_on_read(base, [d1, d2], ["id"], "ts")
     step = upsert(upsert(base, d1, ["id"], "ts"), d2, ["id"], "ts")
     assert _rows(view) == _rows(step)
-    t = VersionedTable(spark, os.path.join(tmpdir_path, "mor"))
-    t.write(base)
-    t.append_delta(d1)
-    t.append_delta(d2)
-    assert _rows(t.read_merged(["id"], "ts")) == _rows(step)
-    assert t.compact(["id"], "ts", max_deltas=5) is None           # 2 < 5 pending
-    cid = t.compact(["id"], "ts", max_deltas=2)
-    assert _rows(t.read()) == _rows(step)
-    assert t.history().where(F.col("commit_id") == cid).collect()[0].operation == "compaction"
-    # re-applying the last delta after compaction changes nothing
-    t.append_delta(d2)
-    assert _rows(t.read_merged(["id"], "ts")) == _rows(step)
-
-
-def test_snapshots_history_retention(spark, tmpdir_path):
-    t = VersionedTable(spark, os.path.join(tmpdir_path, "h"))
-    df = spark.createDataFrame([(i, "01", i, "v") for i in range(5)], SCHEMA)
-    ids = [t.write(df.where(F.col("id") >= k), partition_by=["part"], as_of="2024-01-01 00:00:00")
-           for k in range(4)]
-    assert ids == [1, 2, 3, 4]
-    h = t.history().orderBy("commit_id").collect()
-    assert [r.rows for r in h] == [5, 4, 3, 2]
-    assert [r.parent_id for r in h] == [None, 1, 2, 3]
-    # older snapshots stay readable; partition value "01" keeps its string type
-    old = t.read(commit_id=1)
-    assert old.count() == 5 and dict(old.dtypes)["part"] == "string"
-    assert old.select("part").distinct().collect()[0][0] == "01"
-    assert t.read().select("_commit_id").distinct().collect()[0][0] == 4
-    assert [r[0] for r in t.commit_ids().collect()] == [4]
-    assert t.expire(keep=2, delete=True) == [1, 2]
-    assert t.read(commit_id=3).count() == 3
-
-
-def test_uncommitted_folder_is_invisible(spark, tmpdir_path):
-    root = os.path.join(tmpdir_path, "crash")
-    t = VersionedTable(spark, root)
-    t.write(spark.createDataFrame([(1, "a", 1, "x")], SCHEMA))
-    # a writer that died after writing data but before its commit row
-    spark.createDataFrame([(9, "a", 1, "half")], SCHEMA).write.parquet(t.version_path(2))
-    assert _rows(t.read()) == [(1, "a", 1, "x")]
-    assert t.write(spark.createDataFrame([(2, "a", 1, "y")], SCHEMA)) == 2   # overwrites orphan
-    assert _rows(t.read()) == [(2, "a", 1, "y")]
-
-
-def test_layout_rewrite_keeps_rows(spark, tmpdir_path):
-    t = VersionedTable(spark, os.path.join(tmpdir_path, "l"))
-    df = spark.range(2000).select((F.col("id") * 7919 % 2000).cast("int").alias("id"),
-                                  F.lit("p").alias("part"), F.col("id").cast("int").alias("ts"),
-                                  F.lit("v").alias("v"))
-    t.write(df)
-    t.rewrite_layout(["id"], max_records_per_file=500)
-    assert _rows(t.read()) == _rows(df)
-    assert t.history().orderBy(F.col("commit_id").desc()).first().operation == "clustering"
-
-
-def test_keyed_writer_merge_on_read_compacts_inline(spark, tmpdir_path):
-    root = os.path.join(tmpdir_path, "kw")
-    for i in range(4):
-        batch = spark.createDataFrame([(1, "a", i, f"v{i}"), (10 + i, "a", 0, "n")], SCHEMA)
-        t = write_keyed_table(spark, batch, root, ["id"], "ts", table_type=MERGE_ON_READ,
-                              compact_after=3, keep_commits=3)
-    ops = [r.operation for r in t.history().orderBy("commit_id").collect()]
-    assert ops == ["upsert", "delta", "delta", "delta", "compaction"]
-    assert _rows(t.read()) == [(1, "a", 3, "v3"), (10, "a", 0, "n"), (11, "a", 0, "n"),
-                               (12, "a", 0, "n"), (13, "a", 0, "n")]
-
-
-def test_snapshot_reads_prune_partitions_and_columns(spark, tmpdir_path):
-    t = VersionedTable(spark, os.path.join(tmpdir_path, "pp"))
-    t.write(spark.createDataFrame([(i, "a" if i % 2 else "b", i, "v") for i in range(20)], SCHEMA),
-            partition_by=["part"])
-    q = t.read().where(F.col("part") == "a").select("id")
-    plan = q._jdf.queryExecution().executedPlan().toString()
+    # re-applying the last delta changes nothing
+    assert _rows(merge_on_read(step, [d2], ["id"], "ts")) == _rows(step)
+
+
+# partition-scoped upsert
+
+def _files(spark, name):
+    root = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first().data_type
+    found = glob.glob(root.removeprefix("file:") + "/**/*.parquet", recursive=True)
+    return {f: os.stat(f).st_mtime_ns for f in found}
+
+
+def _of(files, part):
+    return {f: t for f, t in files.items() if f"part={part}/" in f}
+
+
+@pytest.fixture()
+def keyed(spark, tmpdir_path):
+    space = f"keyed_{time.time_ns()}"
+    ensure_namespace(spark, space, root=tmpdir_path)
+    rows = [(k, "abcd"[k % 4], 1, f"v{k}") for k in range(40)] + [(100, "lone", 1, "x"), (7, "d", 0, "older")]
+    base = spark.createDataFrame(rows, SCHEMA).select("id", "ts", "v", "part")
+    create_keyed_table(base, f"{space}.t", ["id"], "ts", ["part"])
+    return f"{space}.t", base
+
+
+def test_partition_upsert_equals_the_whole_upsert_and_leaves_other_files(spark, keyed):
+    name, base = keyed
+    assert _rows(spark.table(name)) == _rows(upsert(None, base, ["id"], "ts"))
+    before = _files(spark, name)
+    changes = spark.createDataFrame([(0, "b", 2, "moved"), (4, "a", 0, "late"), (100, "b", 2, "left alone"), (500, "new's", 1, "n"),
+                                     (500, "b", 0, "older")], SCHEMA).select("id", "ts", "v", "part")
+    want = _rows(upsert(upsert(None, base, ["id"], "ts"), changes, ["id"], "ts"))
+    touched = {r.part for r in touched_partitions(spark.table(name), changes, ["id"], ["part"])}
+    assert touched == {"a", "b", "lone", "new's"}
+    assert upsert_partitions(spark, name, changes, ["id"], "ts", ["part"]) == 4
+    spark.catalog.refreshTable(name)
+    assert _rows(spark.table(name)) == want
+    after = _files(spark, name)
+    assert _of(after, "c") == _of(before, "c") and _of(after, "d") == _of(before, "d") and _of(before, "c")
+    assert _of(after, "a").keys() != _of(before, "a").keys() and not _of(after, "lone")
+    # applied again, and with nothing to do
+    upsert_partitions(spark, name, changes, ["id"], "ts", ["part"])
+    assert _rows(spark.table(name)) == want
+    assert upsert_partitions(spark, name, changes.limit(0), ["id"], "ts", ["part"]) == 0
+    assert _rows(spark.table(name)) == want
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_partition_upsert_reads_only_the_touched_partitions(spark, keyed):
+    name, _ = keyed
+    touched = [r for r in spark.table(name).select("part").distinct().collect() if r.part in "ab"]
+    plan = _plan(spark.table(name).where(in_partitions(["part"], touched)))
+    assert "PartitionFilters: [((part" in plan or "PartitionFilters: [(" in plan
+    assert "DataFilters: []" in plan
+    assert spark.table(name).where(in_partitions(["part"], touched)).inputFiles().__len__() < len(_files(spark, name))
+
+
+def test_partition_upsert_with_the_partition_in_the_key(spark, tmpdir_path):
+    space = f"inkey_{time.time_ns()}"
+    ensure_namespace(spark, space, root=tmpdir_path)
+    base = spark.createDataFrame([(1, 1, "x", 2023), (1, 1, "y", 2024), (2, 1, "z", None)], "id int, ts int, v string, year int")
+    create_keyed_table(base, f"{space}.t", ["id", "year"], "ts", ["year"])
+    changes = spark.createDataFrame([(1, 2, "y2", 2024), (2, 3, "z2", None)], base.schema)
+    assert {r.year for r in touched_partitions(spark.table(f"{space}.t"), changes, ["id", "year"], ["year"])} == {2024, None}
+    upsert_partitions(spark, f"{space}.t", changes, ["id", "year"], "ts", ["year"])
+    got = {(r.id, r.year): r.v for r in spark.table(f"{space}.t").collect()}
+    assert got == {(1, 2023): "x", (1, 2024): "y2", (2, None): "z2"}
+
+
+# files
+
+def test_partition_values_keep_their_type_and_reads_prune(spark, tmpdir_path):
+    df = spark.createDataFrame([(i, "01" if i % 2 else "b", i, "v") for i in range(20)], SCHEMA)
+    path = os.path.join(tmpdir_path, "t")
+    write_table(df, path, ["part"], sort_within=["ts desc"])
+    back = read_table(spark, path, df.schema)
+    assert _rows(back) == _rows(df) and dict(back.dtypes)["part"] == "string"
+    q = read_table(spark, path, df.schema, columns=["id", "part"]).where(F.col("part") == "01").select("id")
+    plan = _plan(q)
     assert "PartitionFilters: [isnotnull(part" in plan and "EqualTo(part" not in plan
-    assert "ReadSchema: struct<id:int>" in plan
-    assert q.count() == 10
-
+    assert "ReadSchema: struct<id:int>" in plan and q.count() == 10
+    (one,) = glob.glob(f"{path}/part=b/*.parquet")
+    assert [r.ts for r in spark.read.parquet(one).collect()] == list(range(18, -1, -2))
 
-def test_retention_keeps_the_base_of_pending_deltas(spark, tmpdir_path):
-    t = VersionedTable(spark, os.path.join(tmpdir_path, "ret"))
-    t.write(spark.createDataFrame([(i, "p", 0, "b") for i in range(5)], SCHEMA))
-    for i in range(4):
-        t.append_delta(spark.createDataFrame([(i, "p", 1, f"d{i}")], SCHEMA))
-    assert t.expire(keep=2, delete=True) == []          # base 1 is still needed
-    assert t.read_merged(["id"], "ts").count() == 5
-    t.compact(["id"], "ts", force=True)
-    assert t.expire(keep=2, delete=True) == [1, 2, 3, 4]
-    assert sorted(r.v for r in t.read().collect()) == ["b", "d0", "d1", "d2", "d3"]
 
-
-def test_target_file_size_rebalances_unpartitioned_writes(spark, tmpdir_path):
-    import glob
-    t = VersionedTable(spark, os.path.join(tmpdir_path, "fs"))
+def test_target_file_size_rebalances_writes(spark, tmpdir_path):
     df = spark.range(0, 20000, numPartitions=8).select(
         F.col("id").cast("int").alias("id"), F.lit("p").alias("part"),
         F.col("id").cast("int").alias("ts"), F.lit("v").alias("v"))
-    small = t.write(df)
-    big = t.write(df, target_file_bytes=256 << 20, dictionary=False)
-    n = {c: len(glob.glob(t.version_path(c) + "/*.parquet")) for c in (small, big)}
-    assert n[small] == 8 and n[big] == 1
+    n = {}
+    for name, options in (("plain", {"rebalance": False}), ("big", {"target_file_bytes": 256 << 20, "dictionary": False}),
+                          ("cut", {"max_records_per_file": 5000})):
+        write_table(df, os.path.join(tmpdir_path, name), **options)
+        n[name] = len(glob.glob(os.path.join(tmpdir_path, name, "*.parquet")))
+        assert _rows(read_table(spark, os.path.join(tmpdir_path, name))) == _rows(df)
+    assert n["plain"] == 8 and n["big"] == 1 and n["cut"] >= 4
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) != str(256 << 20)
-    assert _rows(t.read()) == _rows(df)
 
 
-def test_full_commits_keep_pending_deltas(spark, tmpdir_path):
-    import pytest
-    t = VersionedTable(spark, os.path.join(tmpdir_path, "pend"))
-    t.write(spark.createDataFrame([(1, "a", 1, "x")], SCHEMA), partition_by=["part"])
-    t.append_delta(spark.createDataFrame([(2, "a", 1, "d")], SCHEMA))
+def test_layout_rewrite_keeps_rows_and_ranges_apart(spark, tmpdir_path):
+    df = spark.range(2000).select((F.col("id") * 7919 % 2000).cast("int").alias("id"),
+                                  F.lit("p").alias("part"), F.col("id").cast("int").alias("ts"),
+                                  F.lit("v").alias("v"))
+    path = os.path.join(tmpdir_path, "l")
+    write_table(cluster(df, ["id"]), path, rebalance=False, max_records_per_file=500)
+    assert _rows(read_table(spark, path)) == _rows(df)
+    ranges = sorted(spark.read.parquet(f).agg(F.min("id"), F.max("id")).first() for f in glob.glob(f"{path}/*.parquet"))
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:])) and len(ranges) >= 4
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmpdir_path):
+    space = f"bucketed_{time.time_ns()}"
+    ensure_namespace(spark, space, root=tmpdir_path)
+    df = spark.range(500).select("id", (F.col("id") % 7).alias("n"))
+    for name in ("a", "b"):
+        write_catalog_table(df, f"{space}.{name}", bucket_by=["id"], buckets=4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table(f"{space}.a").join(spark.table(f"{space}.b").withColumnRenamed("n", "m"), "id")
+        grouped = spark.table(f"{space}.a").groupBy("id").agg(F.sum("n"))
+        assert "Exchange" not in _plan(joined) and "Exchange" not in _plan(grouped)
+        assert joined.count() == grouped.count() == 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     with pytest.raises(ValueError):
-        t.rewrite_layout(["id"])
-    t.upsert(spark.createDataFrame([(3, "b", 1, "u")], SCHEMA), ["id"], "ts", partition_by=["part"])
-    assert [r[0] for r in _rows(t.read())] == [1, 2, 3]
-    t.rewrite_layout(["id"], partition_by=["part"])
-    assert sorted(n for n in os.listdir(t.version_path(t.latest_commit_id())) if "=" in n) == [
-        "part=a", "part=b"]
+        write_catalog_table(df, f"{space}.c", bucket_by=["id"])
+
+
+# checks
+
+def test_checks_count_what_breaks_them(spark):
+    df = spark.createDataFrame([(1, "a", 1, "x"), (1, "a", 2, "x"), (2, None, 3, "y"), (None, "q", 4, None), (None, "b", 5, "z")], SCHEMA)
+    checks = [Rows(1, 4), Rows(5), Unique(("id",)), Unique(("ts",)), not_null("part"), not_null("part", most=0.2),
+              in_domain("part", ["a", "b"])]
+    got = [(r.check_name, r.n_rows, r.n_bad, r.passed) for r in check_rows(df, checks).collect()]
+    assert got == [("rows", 5, 0, False), ("rows", 5, 0, True), ("unique(id)", 5, 2, False), ("unique(ts)", 5, 0, True),
+                   ("not_null(part)", 5, 1, False), ("not_null(part)", 5, 1, True), ("domain(part)", 5, 1, False)]
+    assert [(r.ts, r.broken_checks) for r in violations(df, checks).orderBy("ts").collect()] == [
+        (3, ["not_null(part)", "not_null(part)"]), (4, ["domain(part)"])]
+    assert sorted(map(tuple, doubled(df, ["id"]).collect()), key=str) == [(1, 2), (None, 2)]
+    empty = check_rows(df.limit(0), [Rows(1), Unique(("id",)), not_null("v")]).collect()
+    assert [(r.n_rows, r.n_bad, r.passed) for r in empty] == [(0, 0, False), (0, 0, True), (0, 0, True)]
+
+
+def test_verify_compares_what_was_written(spark, tmpdir_path):
+    df = spark.createDataFrame([(k, "a", k, None) for k in range(100)], SCHEMA).repartition(5)
+    path = os.path.join(tmpdir_path, "t")
+    seen_df, seen = observed(df)
+    write_table(seen_df, path, ["part"])
+    table = read_table(spark, path, df.schema)
+    assert verify(table, seen, [Unique(("id",)), Rows(100, 100)], "t") == 100
+    assert verify(table.repartition(3), seen) == 100                       # order and layout don't matter
+    with pytest.raises(ValueError, match="unique"):
+        verify(table, seen, [Unique(("part",))], "t")
+    for other in (table.where("id > 0"), table.withColumn("ts", F.when(F.col("id") == 5, 6).otherwise(F.col("ts")))):
+        with pytest.raises(ValueError, match="read back"):
+            verify(other, seen)
