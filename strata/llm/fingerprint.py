@@ -1,9 +1,9 @@
 """Order MinHash fingerprints in DataFrame functions.
 
 A text's elements are its runs of ``k`` words, each numbered by how often it
-has come before in the text. Words end at any white space; a character of a
-script written without spaces is a word, and so is each character of a word of
-more than ``LONG`` ones. Every entry has a hash of its own, the elements' hash
+has come before in the text. Words end at any white space and every ``PIECE``
+characters, so that a text without spaces has elements like any other; a
+character of a script written without spaces is a word. Every entry has a hash of its own, the elements' hash
 with the bits of the entry's number turned in it: of all elements, the
 ``picks`` smallest by it are put in the order of the text, and the tuple of
 them is hashed to the entry. Two texts agree on an entry when the same
@@ -34,14 +34,14 @@ from strata.llm.common import id_text, shuffle_partitions
 K = 3
 BINS = 32
 PICKS = 2
-#: Characters of the longest word that is not taken character by character.
-LONG = 32
-#: Scripts written without spaces between words.
-UNSPACED = (r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uA000-\uA4CF\uF900-\uFAFF\uFF66-\uFF9F"
-            r"\x{20000}-\x{3FFFF}]")
-#: Between words: white space, or either side of a character of those scripts.
-BETWEEN = (r"[\s\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
-           rf"|(?={UNSPACED})|(?<={UNSPACED})")
+#: Characters after which a word ends, if it hasn't before.
+PIECE = 16
+#: Scripts written without spaces between words, and white space.
+UNSPACED = (r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uA000-\uA4CF\uF900-\uFAFF\uFF66-\uFF9F"
+            r"\x{20000}-\x{3FFFF}")
+SPACE = r"\s\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+#: A word, as Java's patterns have it.
+WORD = rf"[{UNSPACED}&&[^{SPACE}]]|[^{SPACE}{UNSPACED}]{{1,{PIECE}}}"
 #: Ranges of ids that are put in order side by side, per shuffle partition.
 RANGES = 4
 
@@ -65,9 +65,7 @@ def add_fingerprint(df: DataFrame, text: str, out: str, *, k: int = K, bins: int
     Ranks and places are packed into longs, which sort without objects; the
     numbering of equal elements is only worked out for texts that have some."""
     grams, marks, runs = f"{out}_grams", f"{out}_marks", f"{out}_runs"
-    df = df.withColumn(grams, F.filter(F.split(text, BETWEEN), lambda w: w != ""))
-    df = df.withColumn(grams, F.when(F.exists(grams, lambda w: F.length(w) > LONG), F.flatten(F.transform(
-        grams, lambda w: F.when(F.length(w) > LONG, F.split(w, "")).otherwise(F.array(w))))).otherwise(F.col(grams)))
+    df = df.withColumn(grams, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
     df = df.withColumn(grams, F.transform(grams, lambda w: F.xxhash64(w)))
     n = F.size(grams)
     gram = lambda i: F.xxhash64(*(F.get(F.col(grams), i + j) for j in range(k)))
@@ -130,13 +128,11 @@ def as_text(a: str) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lower(F.hex(h))), " ", "-")
 
 
-def _range_of(value: Column, bounds: list, lo: int = 0) -> Column:
-    """How many bounds lie below the value, by halving."""
+def _range_of(value: Column, bounds: list) -> Column:
+    """How many of the bounds lie below the value."""
     if not bounds:
-        return F.lit(lo)
-    mid = len(bounds) // 2
-    return F.when(value <= F.lit(bounds[mid]), _range_of(value, bounds[:mid], lo)).otherwise(
-        _range_of(value, bounds[mid + 1:], lo + mid + 1))
+        return F.lit(0)
+    return F.size(F.filter(F.lit(bounds), lambda b: b < value))
 
 
 def with_next(rows: DataFrame, derive, *columns: str) -> DataFrame:

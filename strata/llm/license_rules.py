@@ -159,6 +159,50 @@ PASSAGES = [
     ("licensed", 1, 0.3, r"spdx license identifier \w+", "spdx"),
 ]
 
+#: Short forms of everyday notices and file heads: label, priority, weight,
+#: pattern, keywords. A version always belongs to them, as the bare names are
+#: common words or say too little.
+EVERYDAY = [
+    ("gpl-3.0-or-later", 6, 0.8, r"(?:gpl ?v?|gpl version )3(?: 0)? (?:or later|or any later version)", "gpl gplv3 gpl3"),
+    ("gpl-2.0-or-later", 6, 0.8, r"(?:gpl ?v?|gpl version )2(?: 0)? (?:or later|or any later version)", "gpl gplv2 gpl2"),
+    ("gpl-3.0", 4, 0.7, r"(?:gpl ?v?|gpl version )3(?: 0)?(?: only)?(?: licen[sc]ed?)?", "gpl gplv3 gpl3"),
+    ("gpl-2.0", 4, 0.7, r"(?:gpl ?v?|gpl version )2(?: 0)?(?: only)?(?: licen[sc]ed?)?", "gpl gplv2 gpl2"),
+    ("gpl-3.0", 5, 0.7, r"general public licen[sc]e (?:v ?|version )?3(?: 0)?", "general"),
+    ("gpl-2.0", 5, 0.7, r"general public licen[sc]e (?:v ?|version )?2(?: 0)?", "general"),
+    ("gpl-3.0", 5, 0.7, r"version 3 of the (?:gnu )?(?:gpl|general public licen[sc]e)", "gpl general"),
+    ("gpl-2.0", 5, 0.7, r"version 2 of the (?:gnu )?(?:gpl|general public licen[sc]e)", "gpl general"),
+    ("lgpl-3.0", 4, 0.7, r"(?:lgpl ?v?|lgpl version )3(?: 0)?(?: only| or later)?", "lgpl lgplv3 lgpl3"),
+    ("lgpl-2.1", 5, 0.7, r"(?:lgpl ?v?|lgpl version )2 1(?: only| or later)?", "lgpl lgplv2 lgpl2"),
+    ("lgpl-2.0", 4, 0.6, r"(?:lgpl ?v?|lgpl version )2(?: 0)?(?: only| or later)?", "lgpl lgplv2 lgpl2"),
+    ("agpl-3.0", 4, 0.7, r"(?:agpl ?v?|agpl version )3(?: 0)?(?: only| or later)?", "agpl agplv3 agpl3"),
+    ("apache-2.0", 4, 0.7, r"(?:apache ?v?|apache version )2(?: 0)?(?: (?:software )?licen[sc]ed?)?", "apache apachev2 apache2"),
+    ("apache-2.0", 5, 0.7, r"apache (?:software )?licen[sc]e v ?2(?: 0)?", "apache"),
+    ("apache-2.0", 5, 0.7, r"version 2(?: 0)? of the apache licen[sc]e", "apache"),
+    ("apache-2.0", 4, 0.6, r"asl 2 0", "asl"),
+    ("bsd-2-clause", 5, 0.7, r"(?:new |modified |simplified )?bsd (?:2|two) clause(?: licen[sc]ed?)?", "bsd"),
+    ("bsd-3-clause", 5, 0.7, r"(?:new |modified |revised )?bsd (?:3|three) clause(?: licen[sc]ed?)?", "bsd"),
+    ("bsd-4-clause", 5, 0.7, r"(?:original )?bsd (?:4|four) clause(?: licen[sc]ed?)?", "bsd"),
+    ("bsd-2-clause", 5, 0.7, r"(?:2|two) clause bsd(?: style)?(?: licen[sc]ed?)?", "bsd"),
+    ("bsd-3-clause", 5, 0.7, r"(?:3|three) clause bsd(?: style)?(?: licen[sc]ed?)?", "bsd"),
+    ("bsd-4-clause", 5, 0.7, r"(?:4|four) clause bsd(?: style)?(?: licen[sc]ed?)?", "bsd"),
+    ("bsd", 3, 0.5, r"bsd licen[sc]ed", "bsd"),
+    ("mit", 5, 0.7, r"mit (?:expat )?licen[sc]ed", "mit"),
+    ("mit", 5, 0.7, r"(?:licen[sc]ed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?mit", "mit"),
+    ("isc", 5, 0.7, r"isc licen[sc]ed", "isc"),
+    ("mpl-2.0", 4, 0.7, r"(?:mpl ?v?|mpl version )2(?: 0)?(?: licen[sc]ed?)?", "mpl mplv2 mpl2"),
+    ("mpl-1.1", 4, 0.7, r"(?:mpl ?v?|mpl version )1 1(?: licen[sc]ed?)?", "mpl mplv1 mpl1"),
+    ("epl-2.0", 4, 0.7, r"(?:epl ?v?|epl version )2(?: 0)?(?: licen[sc]ed?)?", "epl eplv2 epl2"),
+    ("epl-1.0", 4, 0.7, r"(?:epl ?v?|epl version )1(?: 0)?(?: licen[sc]ed?)?", "epl eplv1 epl1"),
+    ("cddl-1.0", 4, 0.6, r"cddl (?:v ?|version )?1 [01]", "cddl"),
+    ("eupl-1.2", 4, 0.7, r"eupl (?:v ?|version )?1 2", "eupl"),
+    ("eupl-1.1", 4, 0.7, r"eupl (?:v ?|version )?1 1", "eupl"),
+    ("ofl-1.1", 4, 0.7, r"(?:sil )?ofl (?:v ?|version )?1 1", "ofl"),
+    ("bsl-1.0", 4, 0.6, r"bsl 1 0", "bsl"),
+    ("busl-1.1", 4, 0.6, r"busl 1 1", "busl"),
+    ("sspl-1.0", 4, 0.6, r"sspl(?:v1| v1| 1 0)", "sspl sspl1 ssplv1"),
+    ("odbl-1.0", 4, 0.6, r"odbl (?:v ?)?1 0", "odbl"),
+]
+
 
 def rules() -> list[Rule]:
     """All rules, highest priority first."""
@@ -181,6 +225,6 @@ def rules() -> list[Rule]:
         add(label, 8, 0.95, rf"spdx license identifier cc {short}(?: [1-4] \d)?", "spdx")
     add("cc0-1.0", 6, 0.9, r"cc0(?: 1 0)?(?: universal)?", "cc0")
     add("cc0-1.0", 6, 0.9, r"creativecommons org publicdomain zero 1 0", "publicdomain")
-    for p in PASSAGES:
+    for p in (*PASSAGES, *EVERYDAY):
         add(*p)
     return sorted(out, key=lambda r: -r.priority)

@@ -139,7 +139,7 @@ def test_window_hits_equal_brute_force():
     items = [(k, " ".join(rng.choices(words, k=n))) for k, n in enumerate((3, 10, 12, 5, 0))]
     texts = [" ".join(rng.choices(words, k=n)) for n in (0, 2, 40, 300, 12)] + [items[2][1].upper()]
     found = find_words([t.encode() for t in texts], ALNUM)
-    hits = decontam.find_hits(found, decontam.build_windows(items, 10))
+    hits = decontam.find_hits(found, decontam.build_windows([([str(i)], t) for i, t in items], 10))
     for k, t in enumerate(texts):
         w, want = t.lower().split(), set()
         for _, item in items:
@@ -204,3 +204,89 @@ def test_a_full_memo_gives_the_ids_of_whole_texts(monkeypatch):
         ids, bounds = enc.encode([t.encode() for t in texts])
         for k, t in enumerate(texts):
             assert ids[bounds[k]:bounds[k + 1]].tolist() == enc.whole(t)
+
+
+def detected(text):
+    """Labels of a text by all rules."""
+    from strata.llm.licenses import PHRASES, matcher, resolve
+
+    m = matcher(tuple(PHRASES.items()))
+    found = find_words([text.encode()], ALNUM)
+    keys = m.keywords_by_text(found)
+    words = [found.word(j).decode() for j in range(len(found.starts))]
+    return {r.label for *_, r in resolve(m.detect(words, keys[0]))} if 0 in keys else set()
+
+
+@pytest.mark.parametrize("text, label", [
+    ("Released under GPL-3.0", "gpl-3.0"), ("GPLv3 code", "gpl-3.0"), ("GPL v2 or later", "gpl-2.0-or-later"),
+    ("Apache 2.0 license", "apache-2.0"), ("Apache-2.0", "apache-2.0"), ("BSD 3-Clause License", "bsd-3-clause"),
+    ("MPL 2.0", "mpl-2.0"), ("this is MIT licensed", "mit"), ("LGPLv2.1+", "lgpl-2.1"),
+    ("licensed under the Apache 2.0 license", "apache-2.0"), ("GPLv2 only", "gpl-2.0"), ("AGPLv3", "agpl-3.0"),
+    ("General Public License v3", "gpl-3.0"), ("version 2 of the GNU General Public License", "gpl-2.0"),
+    ("Apache License v2", "apache-2.0"), ("two-clause BSD license", "bsd-2-clause"), ("ASL 2.0", "apache-2.0"),
+    ("LGPL version 3 or later", "lgpl-3.0"), ("distributed under the terms of the MIT", "mit"), ("EPL-2.0", "epl-2.0"),
+    ("EUPL v1.2", "eupl-1.2"), ("MPLv2.0", "mpl-2.0"), ("ISC licensed", "isc"), ("SSPLv1", "sspl-1.0"), ("CDDL 1.0", "cddl-1.0")])
+def test_everyday_forms_are_labelled(text, label):
+    assert label in detected(text) and label in detected(f"x {text}. y " * 3)
+
+
+@pytest.mark.parametrize("text", [
+    "the public bought 3 general books", "apache 3 helicopters", "a license mit ohne", "version 2 of the plan",
+    "bsd 3 things", "the mit campus", "gpl and more", "three clause sentences", "published under the tree"])
+def test_clean_words_are_not_labelled(text):
+    assert not detected(text) - {"licensed"}
+
+
+def test_base_phrases_equal_a_plain_count(spark):
+    import random
+    import re
+
+    from strata.llm import licenses
+
+    rng = random.Random(3)
+    pool = ["cc", "by", "CC", "BY", "general", "public", "License", "all", "rights", "reserved", "é", "x", "cc-by", "all,"]
+    rows = [(k, rng.choice([" ", "  ", "-", "\n"]).join(rng.choices(pool, k=rng.randint(0, 60)))) for k in range(300)]
+    rows += [(900, None), (901, ""), (902, "cc by " * 50_000)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+        at = [(k, label) for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+              for k in range(len(w)) if w[k:k + len(phrase.split())] == phrase.split()]
+        r = got[i]
+        assert (r.n_words, r.n_base, r.base_labels) == (len(w), len(at), ",".join(sorted({x[1] for x in at})))
+        assert (r.first_word, r.last_word) == (min((k for k, _ in at), default=None), max((k for k, _ in at), default=None))
+        assert {x[1] for x in at} <= set(r.labels.split(","))
+
+
+def test_contamination_in_slices_equals_one_table(spark):
+    import random
+
+    from strata.llm import decontam
+
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(40)}"
+    items = [(k, " ".join(word() for _ in range(rng.choice([1, 3, 9, 10, 14, 30])))) for k in range(60)]
+    items += [(100 + k, items[3][1]) for k in range(200)] + [(None, "only words without an id"), (5, None), (6, ""), (7, "!!")]
+    docs = [(k, " ".join([word() for _ in range(30)] + rng.choice(items[:60])[1].split() + [word() for _ in range(20)]), "x", 1)
+            for k in range(80)] + [(7, None, "x", 1), (8, "", "x", 1), (None, items[5][1], "x", 1), (3, "only words without an id", "x", 9)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, key string, n_chars long")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda df: sorted(map(str, df.collect()))
+    one, many = (decontam.digest(decontam.contamination(d, b, max_bytes=m)) for m in (1 << 30, 4000))
+    assert rows(one) == rows(many)
+    one, many = (decontam.remove_contamination(d, b, max_bytes=m, drop_share=0.9) for m in (1 << 30, 4000))
+    assert rows(one) == rows(many) and many.columns == d.columns
+    none = decontam.digest(decontam.contamination(d, b.limit(0)))
+    assert none.count() == d.count() and not none.where("contaminated").count()
+    assert decontam.contamination(d.limit(0), b).count() == 0 and decontam.remove_contamination(d.limit(0), b).count() == 0
+    assert rows(decontam.remove_contamination(d, b.limit(0))) == rows(d)
+
+
+def test_equal_hashes_of_windows_are_told_apart(monkeypatch):
+    from strata.llm import decontam
+
+    monkeypatch.setattr(decontam, "window_hashes", lambda h, size: np.full(max(0, len(h) - size + 1), 7, dtype=np.uint64))
+    table = decontam.build_windows([(["a"], "one two"), (["b", "c"], "three four"), (["d"], "one two")], 10)
+    hits = decontam.find_hits(find_words([b"x one two y", b"three four", b"four five"], ALNUM), table)
+    assert {k: [(lo, hi, sorted(i)) for lo, hi, i in v] for k, v in hits.items()} == {
+        0: [(1, 3, ["a", "d"])], 1: [(0, 2, ["b", "c"])]}
