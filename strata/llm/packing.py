@@ -9,9 +9,9 @@ sequence with room, found in a tournament tree of the sequences' free places
 room is reached in log steps). Groups are independent tasks of bounded size.
 
 Only piece lengths and checksums are dealt into groups, not ids or texts. With
-``with_ids`` every piece carries its ids (little-endian unsigned 32-bit), which
-are written down once and joined to the places found; a sequence is its pieces
-put end to end by offset.
+``with_ids`` every piece carries its ids (little-endian, unsigned, two bytes each
+where the vocabulary allows it, else four), which are written down once and
+joined to the places found; a sequence is its pieces put end to end by offset.
 
 Defined cases: a null or empty text is its end id alone; repeated documents
 are packed one by one; an empty table gives no rows. Equal lengths are placed
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.bpe import encoder
 from strata.llm.common import id_text
+from strata.llm.huffman import id_type
 from strata.llm.words import grouped
 from strata.session import materialize
 
@@ -60,10 +61,12 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, *, size: int = SIZE, end
             out = [pa.array([doc_ids[k] for k in doc.tolist()], pa.int64()), pa.array(start),
                    pa.array(length), pa.array(crc, pa.int64()), pa.array(counts[doc])]
             if with_ids:
-                out.append(pa.array([raw[4 * a:4 * (a + n)] for a, n in zip(at, length.tolist())], pa.binary()))
+                kept, w = memoryview(ids.astype(width)).cast("B"), width.itemsize
+                out.append(pa.array([kept[w * a:w * (a + n)] for a, n in zip(at, length.tolist())], pa.binary()))
             yield pa.RecordBatch.from_arrays(out, names=[c.split()[0] for c in kind.split(", ")])
 
     kind = PIECE + (", ids binary" if with_ids else "")
+    width = id_type(max(encoder(tokenizer_path).tokenizer.get_vocab_size() - 1, end_id)) if with_ids else None
     return id_text(docs, id_col, text_col).mapInArrow(cut, kind)
 
 

@@ -103,8 +103,8 @@ def test_pipeline_writes_the_ids_of_what_it_keeps(spark, tmp_path):
     tok = Tokenizer.from_file(tokenizer_path())
     by = defaultdict(list)
     for r in out:
-        raw = np.frombuffer(r.ids, dtype="<u4")
-        assert len(raw) == r.length and zlib.crc32(r.ids) == r.ids_crc32
+        raw = np.frombuffer(r.ids, dtype="<u2").astype("<u4")
+        assert len(raw) == r.length and zlib.crc32(raw.tobytes()) == r.ids_crc32
         by[r.doc_id] += [(r.start, raw.tolist())]
     text = lambda i: tok.encode(rows[i][1], add_special_tokens=False).ids + [2]
     assert sum((p for _, p in sorted(by[5])), []) == text(5)
@@ -127,4 +127,4 @@ def test_pieces_of_a_packing_equal_whole_texts(spark, docs):
     assert crc == sorted((i is not None, i or 0, k, zlib.crc32(np.array(ids[k:k + 64], dtype="<u4").tobytes()), len(ids))
                          for (i, t), n in [((r.doc_id, r.text), 1) for r in docs.collect()]
                          for ids in [want[i, t]] for k in range(0, len(ids), 64))
-    assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+    assert all(zlib.crc32(np.frombuffer(r.ids, dtype="<u2").astype("<u4").tobytes()) == r.ids_crc32 for r in rows)
