@@ -7,6 +7,7 @@ from strata.functions.casts import (legacy_double, legacy_int, rename_columns,
                                     strip_to_number)
 from strata.functions.hashing import content_hash
 from strata.functions.audit import audit_columns, calculation_timestamp
+from strata.functions.moments import add_sums, moment_sums, moments_of
 from strata.functions.quality import completeness
 from strata.functions.standardize import (EDUCATION_RULES, education_level, gender,
                                           job_title, standardize)
@@ -15,5 +16,5 @@ __all__ = [
     "AGE_CATEGORY", "AGE_GROUP", "EXPERIENCE_LEVEL", "SALARY_BUCKET", "bucketize",
     "legacy_double", "legacy_int", "rename_columns", "strip_to_number",
     "content_hash", "audit_columns", "calculation_timestamp", "completeness",
-    "EDUCATION_RULES", "education_level", "gender", "job_title", "standardize",
+    "EDUCATION_RULES", "education_level", "gender", "job_title", "standardize", "moment_sums", "add_sums", "moments_of",
 ]

