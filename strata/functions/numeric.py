@@ -47,13 +47,17 @@ def mean_parts(x: Column | str, name: str) -> list[Column]:
             F.count(_c(x)).alias(f"{name}_n")]
 
 
-def mean_of_parts(name: str, digits: int = 2) -> Column:
+def mean_of_parts(name: str, digits: int | None = 2) -> Column:
     """Second level: :func:`rounded_mean` over the rows of :func:`mean_parts`;
-    null (not an error) when there is no value."""
+    null (not an error) when there is no value. Without ``digits`` the plain
+    double mean."""
     n = F.sum(f"{name}_n")
+    double = F.try_divide(F.sum(f"{name}_double"), n.cast("double"))
+    if digits is None:
+        return double
     lost = F.count_if(F.col(f"{name}_exact").isNull() & (F.col(f"{name}_n") > 0))
     mean = F.round(F.try_divide(F.try_sum(f"{name}_exact"), n.cast("decimal(20,0)")),
                    digits).cast("double")
-    plain = F.round(F.try_divide(F.sum(f"{name}_double"), n.cast("double")), digits)
+    plain = F.round(double, digits)
     whole = (F.sum(f"{name}_held") == n) & (lost == 0)
     return F.when(whole, F.coalesce(mean, plain)).otherwise(plain)

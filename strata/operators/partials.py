@@ -48,6 +48,17 @@ def compact_parts(parts: DataFrame, keys: Sequence[str], *, k: int = K) -> DataF
         F.kll_merge_agg_double("sketch", k).alias("sketch"))
 
 
+def store_parts(rows: DataFrame, path: str, arrival: Sequence[str], keys: Sequence[str], value: str, *,
+                scale: int = SCALE, k: int = K) -> None:
+    """Write the parts of one run's rows below ``path``, partitioned by the
+    ``arrival`` columns. Only the partitions that the rows lie in are replaced, so
+    a run reads and writes what arrived and a repeated run changes nothing; the
+    rows must be all of those partitions'."""
+    parts = profile_parts(rows, [*arrival, *keys], value, scale=scale, k=k)
+    (parts.hint("rebalance", *arrival).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*arrival).parquet(path))
+
+
 def profile_of_parts(parts: DataFrame, keys: Sequence[str], name: str, *, digits: int | None = None,
                      scale: int = SCALE, k: int = K) -> DataFrame:
     """The profile per group: ``n``, mean, extremes, stddev, variance, quartiles and

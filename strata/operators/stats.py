@@ -79,7 +79,9 @@ def group_stats(df: DataFrame, keys: Sequence[str], value: str, second: str, *,
                 value_name: str = "salary", second_name: str = "experience",
                 count_name: str = "record_count", digits: int | None = 2,
                 label: str = "stat_type") -> DataFrame:
-    """Per-key stats for several keys from ONE scan (``GROUPING SETS``).
+    """Per-key stats for several keys from ONE scan: rows are added up by the
+    combination of all keys first, so ``GROUPING SETS`` copies combinations
+    and not rows.
 
     Output: ``label`` (the key the row belongs to), every key column (null
     unless it is the row's key), rounded mean of ``value`` and ``second``,
@@ -88,14 +90,16 @@ def group_stats(df: DataFrame, keys: Sequence[str], value: str, second: str, *,
     """
     keys = list(keys)
     v, s = F.col(value), F.col(second)
+    fine = df.groupBy(*keys).agg(*mean_parts(v, "_v"), *mean_parts(s, "_s"), F.count(F.lit(1)).alias("_rows"),
+                                 F.min(v).alias("_least"), F.max(v).alias("_most"))
     aggs = [
-        _mean(v, digits).alias(f"avg_{value_name}"),
-        _mean(s, digits).alias(f"avg_{second_name}"),
-        F.count(F.lit(1)).alias(count_name),
-        _r(F.min(v), digits).alias(f"min_{value_name}"),
-        _r(F.max(v), digits).alias(f"max_{value_name}"),
+        mean_of_parts("_v", digits).alias(f"avg_{value_name}"),
+        mean_of_parts("_s", digits).alias(f"avg_{second_name}"),
+        F.sum("_rows").alias(count_name),
+        _r(F.min("_least"), digits).alias(f"min_{value_name}"),
+        _r(F.max("_most"), digits).alias(f"max_{value_name}"),
     ] + [F.grouping(k).alias(f"_g_{k}") for k in keys]
-    out = df.groupingSets([[k] for k in keys], *keys).agg(*aggs)
+    out = fine.groupingSets([[k] for k in keys], *keys).agg(*aggs)
     lab = None
     for k in keys:
         cond = F.col(f"_g_{k}") == 0

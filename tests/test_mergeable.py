@@ -3,6 +3,7 @@ common items; the layout along a curve."""
 
 import datetime
 import math
+import os
 import random
 import statistics
 from collections import Counter, defaultdict
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import add_sums, moment_sums, moments_of
 from strata.operators import (compact_parts, counts_of_bitmaps, distinct_bitmaps, item_counts, most_common,
-                              profile_of_parts, profile_parts)
+                              profile_of_parts, profile_parts, store_parts)
 from strata.tables import cluster_by_curve, with_curve_key, write_table
 
 
@@ -139,6 +140,24 @@ def test_profile_of_three_arrivals_equals_one_pass(spark, tmpdir_path):
     assert profile_of_parts(stored.limit(0), ["k"], "v").count() == 0
 
 
+def test_store_parts_replaces_only_what_arrived(spark, tmpdir_path):
+    df, _ = _values(spark)
+    path = f"{tmpdir_path}/parts"
+
+    def files(day):
+        return sorted(os.listdir(f"{path}/day={day}"))
+
+    for day in range(4):
+        store_parts(df.where(F.col("day") == day), path, ["day"], ["k"], "v")
+    before, second = [files(d) for d in range(4)], files(2)
+    once = sorted(map(str, profile_of_parts(spark.read.parquet(path), ["k"], "v").collect()))
+    store_parts(df.where(F.col("day") == 2), path, ["day"], ["k"], "v")
+    assert [files(d) for d in (0, 1, 3)] == [before[d] for d in (0, 1, 3)] and files(2) != second
+    again = profile_of_parts(spark.read.parquet(path), ["k"], "v").drop("q1_v", "median_v", "q3_v", "iqr_v")
+    one = profile_of_parts(profile_parts(df, ["k"], "v"), ["k"], "v").drop("q1_v", "median_v", "q3_v", "iqr_v")
+    assert set(again.collect()) == set(one.collect()) and len(once) == again.count()
+
+
 def _groups_read(path, low, high, date_from, date_to):
     """Row groups whose statistics meet a filter on both columns."""
     hit = total = 0
