@@ -7,6 +7,22 @@ from pyspark.sql import functions as F
 
 from strata.session import materialize
 
+#: Parts that the rows of one key are dealt into: a task gets at most that share
+#: of the rows around a hot key, and as many sums of its parts.
+PARTS = 64
+
+
+def with_least(rows: DataFrame, key: str, value: str, out: str, parts: int = PARTS) -> DataFrame:
+    """``rows`` with the least ``value`` of their ``key`` as ``out``. The rows of
+    a key are dealt into parts by a hash of the value; only the parts' least
+    values meet by key, so that a key of very many rows is no task's alone. Rows
+    of a null key are left out."""
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(value), F.lit(parts)))
+    some = dealt.groupBy(key, "_part").agg(F.min(value).alias("_some"))
+    least = some.groupBy(key).agg(F.min("_some").alias(out))
+    named = some.join(least, key).select(key, "_part", out)
+    return dealt.join(named, [key, "_part"]).select(*rows.columns, out)
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Large star: every larger neighbour of u is tied to the least vertex
@@ -15,14 +31,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         sides = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         sides = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = sides.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("centre"), F.least("u", "m").alias("m"))
-    near = sides.join(least, F.col("u") == F.col("centre"))
+    near = with_least(sides, "u", "v", "m").withColumn("m", F.least("u", "m"))
     if large:
         tied = near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        tied = near.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            least.select(F.col("centre").alias("u"), F.col("m").alias("v")))
+        tied = near.select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+                                            F.struct(F.col("u").alias("u"), F.col("m").alias("v")))))
     return tied.where("u != v").distinct()
 
 

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import id_text
-from strata.llm.graph import components
+from strata.llm.graph import components, with_least
 from strata.llm.words import NOT_SPACE, find_words, grouped, mix, powers
 from strata.session import materialize
 
@@ -435,8 +435,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, width: int = WID
         labels = components(links.union(more))
     ids = classes.select("key", "rep").join(labels, F.col("key") == F.col("vertex"), "left").select(
         "key", "rep", F.coalesce("component", "key").alias("part"))
-    least = ids.groupBy("part").agg(F.min("rep").alias("component_id"))
-    named = ids.join(least, "part").select("key", "component_id")
+    named = with_least(ids, "part", "rep", "component_id").select("key", "component_id")
     out = signed.select("doc_id", F.col("n").alias("n_shingles"), "key").join(named, "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),

@@ -282,3 +282,20 @@ def test_merkle_of_one_row_and_of_none(spark):
     assert r.leaf == r.subroot == r.root and r.proof_sha256 == sha("")
     assert r.verified == (zlib.crc32(b"5") % 5 != 0)
     assert merkle.verified(frame.limit(0)).count() == 0
+
+
+def test_components_of_a_hub_and_of_a_chain(spark):
+    from strata.llm.graph import components, with_least
+
+    hub = [(k, 7) if k % 2 else (7, k) for k in range(100, 900)]
+    chain = [(k, k + 1) for k in range(2000, 2040)]
+    edges = spark.createDataFrame(hub + chain + [(5000, 5000), (2, 3), (2, 3)], "u long, v long")
+    found = {r.vertex: r.component for r in components(edges).collect()}
+    assert found == {7: 7, **{k: 7 for k in range(100, 900)}, **{k: 2000 for k in range(2000, 2041)}, 2: 2, 3: 2}
+
+    rows = spark.createDataFrame([("a", k, "x") for k in range(300)] + [("b", 5, "y"), ("b", 5, "y"), (None, 1, "z")],
+                                 "k string, v long, other string")
+    got = with_least(rows, "k", "v", "m").collect()
+    assert len(got) == 302 and {(r.k, r.m) for r in got} == {("a", 0), ("b", 5)}
+    assert with_least(rows.limit(0), "k", "v", "m").count() == 0
+    assert components(edges.limit(0)).count() == 0
