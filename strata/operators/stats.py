@@ -276,6 +276,10 @@ def benchmarks(df: DataFrame, value: str, second: str, *, distinct: dict[str, st
 
 
 # -------------------------------------------------------------------------- C13
+#: Decimals of a double mean that don't depend on the order of its sum.
+MEAN_DIGITS = 9
+
+
 def summary(df: DataFrame, *, count_of: str, count_name: str, distinct_of: str,
             distinct_name: str, mean_of: str, mean_name: str, kind_name: str,
             kind: str) -> DataFrame:
@@ -293,7 +297,9 @@ def cross_summary(left: DataFrame, right: DataFrame, *, left_count: str, right_c
     The right summary enters as scalar subqueries (Spark merges them into one
     subquery execution), so there is no join at all.
     ``potential_combinations`` is computed with overflow check (null instead
-    of an error); ``metric_id`` is ``cross_<epoch seconds>``.
+    of an error); ``metric_id`` is ``cross_<epoch seconds>``. The quality index
+    is rounded from the mean's first ``MEAN_DIGITS`` decimals, so that a tie isn't
+    decided by the order in which the mean was summed up.
     """
     from strata.functions.audit import calculation_timestamp
     out = left
@@ -303,6 +309,6 @@ def cross_summary(left: DataFrame, right: DataFrame, *, left_count: str, right_c
     return (out.withColumn("calculation_timestamp", ts)
                .withColumn("potential_combinations",
                            F.try_multiply(F.col(left_count), F.col(right_count)))
-               .withColumn("data_quality_index", F.round(F.col(completeness) * 100, digits))
+               .withColumn("data_quality_index", F.round(F.round(completeness, MEAN_DIGITS) * 100, digits))
                .withColumn("metric_id",
                            F.concat(F.lit("cross_"), F.col("calculation_timestamp").cast("long"))))

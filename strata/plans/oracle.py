@@ -297,7 +297,7 @@ SELECT total_customers, unique_segments, {_r9('avg_balance')} AS avg_balance,
        customer_metric_type, total_parts, unique_brands,
        {_r9('avg_retailprice')} AS avg_retailprice, part_metric_type,
        total_customers * total_parts AS potential_combinations,
-       {_rnd('avg_retailprice * 100')} AS data_quality_index,
+       {_rnd(_r9('avg_retailprice') + ' * 100')} AS data_quality_index,
        'cross_1718452800' AS metric_id
 FROM c, p"""
 
@@ -477,7 +477,7 @@ SELECT total_customers, unique_member_statuses, {_r9('overall_avg_age')} AS over
        customer_metric_type, total_articles, unique_categories,
        {_r9('overall_avg_completeness')} AS overall_avg_completeness, article_metric_type,
        total_customers * total_articles AS potential_combinations,
-       {_rnd('overall_avg_completeness * 100')} AS data_quality_index,
+       {_rnd(_r9('overall_avg_completeness') + ' * 100')} AS data_quality_index,
        'cross_1718452800' AS metric_id
 FROM c, a"""
 
@@ -618,6 +618,42 @@ _SQL["catalog_benchmark_view"] = f"""
 SELECT industry_avg_salary, industry_median_salary, total_job_titles, total_records
 FROM ({_SQL['industry_benchmarks']})"""
 
+# The retail job in the catalog, after two arrivals.
+ARRIVED_CUSTOMERS = f"""
+bronze_customers AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS customer_id,
+         CASE WHEN o_orderpriority = '5-LOW' THEN NULL
+              ELSE CAST(trunc(o_totalprice / 5000) AS INTEGER) END AS age,
+         NULLIF(o_orderstatus, 'P') AS club_member_status, year(o_orderdate) >= 1999 AS late
+  FROM orders),
+silver_customers AS (
+  SELECT customer_id, age, club_member_status,
+         CAST(2024 AS INTEGER) AS year, CAST(CASE WHEN late THEN 6 ELSE 5 END AS INTEGER) AS month,
+         sha256(customer_id || CAST(age AS VARCHAR)) AS customer_hash,
+         {_case('age', *AGE_CAT)} AS age_category
+  FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+                   ORDER BY late DESC, age ASC NULLS LAST, club_member_status ASC NULLS LAST) AS rn
+        FROM bronze_customers)
+  WHERE rn = 1 AND customer_id IS NOT NULL)"""
+ARRIVED_ARTICLES = SILVER_ARTICLES.replace(
+    "FROM part", "FROM (SELECT * REPLACE (CASE WHEN p_type = 'PROMO' THEN 'Promoted' ELSE p_brand END AS p_brand) FROM part)")
+
+
+def _arrived(name: str) -> str:
+    return _SQL[name].replace(SILVER_CUSTOMERS, ARRIVED_CUSTOMERS).replace(SILVER_ARTICLES, ARRIVED_ARTICLES)
+
+
+_SQL["catalog_retail_customers"] = f"""
+SELECT *, CASE month WHEN 5 THEN '2024-05-15 12:00:00' ELSE '2024-06-15 12:00:00' END AS update_timestamp,
+       CASE month WHEN 5 THEN '2024-05-15' ELSE '2024-06-15' END AS etl_date
+FROM ({_arrived('customers_silver')})"""
+_SQL["catalog_retail_articles"] = f"""
+SELECT *, CASE product_category WHEN 'Promoted' THEN '2024-06-15 12:00:00' ELSE '2024-05-15 12:00:00' END
+            AS update_timestamp
+FROM ({_arrived('articles_silver')})"""
+for _name in ("customer_stats", "article_stats", "cross_metrics"):
+    _SQL[f"catalog_retail_{_name}"] = _arrived(_name)
+
 # The columns of the run's time, as text.
 _AT = "'2024-06-15 12:00:00'"
 for _columns, _names in (
@@ -631,7 +667,8 @@ for _columns, _names in (
          "retail_run_cross_metrics cross_summary experience_trends salary_run_experience_trends education_impact "
          "salary_run_education_impact gender_pay_overview salary_run_gender_pay_overview gender_pay_by_education "
          "salary_run_gender_pay_by_education job_title_analysis salary_run_job_titles industry_benchmarks "
-         "salary_run_benchmarks")):
+         "salary_run_benchmarks catalog_retail_customer_stats catalog_retail_article_stats "
+         "catalog_retail_cross_metrics")):
     for _name in _names.split():
         _SQL[_name] = f"SELECT *, {_columns} FROM ({_SQL[_name]})"
 

@@ -676,6 +676,55 @@ def q_catalog_benchmark_view(spark, d):
     return salary.view(spark, "benchmark_view", _salary_catalog(spark, d)[1])
 
 
+# ------------------------------------------- the retail job in the catalog
+EARLIER = "2024-05-15 12:00:00"
+
+
+def _retail_catalog(spark, d) -> tuple[str, str]:
+    """(silver, gold) namespaces of one session and folder after two arrivals:
+    customers of the first two batches and all articles a month earlier, then
+    the last batch, and the promoted articles under a category of their own."""
+    key = (spark.sparkContext.applicationId, d, "retail catalog")
+    tag = f"{zlib.crc32(d.encode()):08x}"
+    names = f"retail_silver_{tag}", f"retail_gold_{tag}"
+    if key not in _LAKES:
+        root = scratch_path(spark, "retail_catalog")
+        customers, articles = bronze_customers(spark, d, with_batch=True), bronze_articles(spark, d)
+        promoted = articles.where("product_group_name = 'PROMO'").withColumn("product_type_name", F.lit("Promoted"))
+        for as_of, some, arts in ((EARLIER, "batch < 2", articles), (AS_OF, "batch = 2", promoted)):
+            retail.run_retail_catalog(
+                spark, _bronze_csv(spark, customers.where(some).drop("batch"), "bronze_customers"),
+                _bronze_csv(spark, arts, "bronze_articles"), *names, root=root, as_of=as_of)
+        _LAKES[key] = root
+    return names
+
+
+def q_catalog_retail_customers(spark, d):
+    return _age_as_text(_clock(spark.table(f"{_retail_catalog(spark, d)[0]}.customers")))
+
+
+def q_catalog_retail_articles(spark, d):
+    return _clock(spark.table(f"{_retail_catalog(spark, d)[0]}.articles")).select(
+        "article_id", "product_category", "data_completeness_score", "colour_group_name",
+        "garment_group_name", "update_timestamp")
+
+
+def q_catalog_retail_customer_stats(spark, d):
+    out = _clock(spark.table(f"{_retail_catalog(spark, d)[1]}.customer_stats"))
+    return _joined(_r9(out, "avg_age", "stddev_age", "variance_age"), "age_categories")
+
+
+def q_catalog_retail_article_stats(spark, d):
+    out = _clock(spark.table(f"{_retail_catalog(spark, d)[1]}.article_stats"))
+    out = _r9(out, "avg_completeness_score", "min_completeness_score", "max_completeness_score")
+    return _joined(out, "garment_groups")
+
+
+def q_catalog_retail_cross_metrics(spark, d):
+    return _r9(_clock(spark.table(f"{_retail_catalog(spark, d)[1]}.cross_metrics")), "overall_avg_age",
+               "overall_avg_completeness")
+
+
 def q_stream_customers_silver(spark, d):
     """Incremental ingestion: bronze customer files arrive in three batches
     (by order year); after each arrival one AvailableNow streaming run
@@ -766,5 +815,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalog_education_view": q_catalog_education_view,
     "catalog_top_jobs": q_catalog_top_jobs,
     "catalog_benchmark_view": q_catalog_benchmark_view,
+    "catalog_retail_customers": q_catalog_retail_customers,
+    "catalog_retail_articles": q_catalog_retail_articles,
+    "catalog_retail_customer_stats": q_catalog_retail_customer_stats,
+    "catalog_retail_article_stats": q_catalog_retail_article_stats,
+    "catalog_retail_cross_metrics": q_catalog_retail_cross_metrics,
     "stream_customers_silver": q_stream_customers_silver,
 }

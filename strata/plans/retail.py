@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +12,10 @@ from pyspark.sql import functions as F
 from strata.functions import (AGE_CATEGORY, audit_columns, bucketize, calculation_timestamp,
                               completeness, content_hash, legacy_int)
 from strata.operators import category_breakdown, cross_summary, dedup, diversity, profile, summary
+from strata.session import scratch_path
 from strata.sources import quarantine, read_bronze
-from strata.tables import Unique, not_null, observed, read_table, upsert, verify, write_table
+from strata.tables import (Unique, checked, create_keyed_table, ensure_namespace, not_null, observed, read_table,
+                           upsert, upsert_partitions, verify, write_catalog_table, write_table)
 
 # The 22 article columns scored for completeness, in source order.
 ARTICLE_COLUMNS = (
@@ -147,6 +151,13 @@ def silver_checks(key: str) -> list:
     return [not_null(key), Unique((key,))]
 
 
+def _sources(customers_csv: str, articles_csv: str) -> dict[str, tuple]:
+    """Per silver table: bronze path, cleaning step, record key, partition
+    columns, and whether fields may hold line breaks."""
+    return {"customers": (customers_csv, customers_silver, "customer_id", ["year", "month"], False),
+            "articles": (articles_csv, articles_silver, "article_id", ["product_category"], True)}
+
+
 def run_retail(spark: SparkSession, customers_csv: str, articles_csv: str, root: str,
                as_of=None, preview: bool = False) -> dict[str, int]:
     """C22: bronze CSV -> silver tables -> gold tables, partitioned Parquet below
@@ -170,10 +181,8 @@ def run_retail(spark: SparkSession, customers_csv: str, articles_csv: str, root:
             table.show(5, truncate=False)
         return table
 
-    sources = {"customers": (customers_csv, customers_silver, "customer_id", ["year", "month"], False),
-               "articles": (articles_csv, articles_silver, "article_id", ["product_category"], True)}
     silver = {}
-    for name, (path, clean, key, parts, multiline) in sources.items():
+    for name, (path, clean, key, parts, multiline) in _sources(customers_csv, articles_csv).items():
         bronze, bad_rows, bad = read_bronze(spark, path, multiline=multiline)
         rows = upsert(None, clean(bronze, as_of), [key], "update_timestamp")
         silver[name] = put(f"silver/{name}", rows, key, parts, None, SILVER_FILE_BYTES)
@@ -184,6 +193,55 @@ def run_retail(spark: SparkSession, customers_csv: str, articles_csv: str, root:
     return out
 
 
+def run_retail_catalog(spark: SparkSession, customers_csv: str | None, articles_csv: str | None,
+                       silver: str = "silver", gold: str = "gold", root: str | None = None, as_of=None,
+                       preview: bool = False) -> dict[str, int]:
+    """C22 through the session catalog, for one arrival after another: the rows
+    of the bronze files are merged into the keyed silver tables (created where
+    missing), of which only the partitions they lie in or move to are read and
+    rewritten; the gold tables are made from the silver tables and overwritten.
+    A key that arrives again takes its row of the later ``as_of``; of equal
+    ones, that of the later run, so a repeated run changes nothing.
+
+    A source without a file (None) keeps its table as it is; gold needs both
+    silver tables, and is left out until both are there. Rows that don't fit
+    their header are kept below ``root`` (else the checkpoint folder), by arrival.
+    Silver tables are checked for their keys after the merge, and gold tables are
+    compared with what was written. Returns the rows of each table.
+    """
+    as_of = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    arrival = re.sub("[^0-9]", "", str(as_of))
+    ensure_namespace(spark, silver, gold, root=root)
+    kept = f"{root}/quarantine" if root else scratch_path(spark, "quarantine")
+    out: dict[str, int] = {}
+
+    for name, (path, clean, key, parts, multiline) in _sources(customers_csv, articles_csv).items():
+        if path is None:
+            continue
+        table = f"{silver}.{name}"
+        bronze, bad_rows, bad = read_bronze(spark, path, multiline=multiline)
+        rows = clean(bronze, as_of)
+        if spark.catalog.tableExists(table):
+            upsert_partitions(spark, table, rows, [key], "update_timestamp", parts, target_file_bytes=SILVER_FILE_BYTES)
+        else:
+            create_keyed_table(rows, table, [key], "update_timestamp", parts, target_file_bytes=SILVER_FILE_BYTES)
+        quarantine(bad_rows, bad, path, f"{kept}/{name}/arrival={arrival}")
+        out[table] = checked(spark.table(table), silver_checks(key), table)
+
+    tables = [f"{silver}.customers", f"{silver}.articles"]
+    if not all(spark.catalog.tableExists(t) for t in tables):
+        return out
+    for name, df in gold_tables(*[spark.table(t) for t in tables], as_of).items():
+        key, parts, sort = GOLD_LAYOUT[name]
+        table = f"{gold}.{name}"
+        df, seen = observed(df)
+        write_catalog_table(df, table, parts, sort_within=sort, target_file_bytes=GOLD_FILE_BYTES)
+        out[table] = verify(spark.table(table), seen, silver_checks(key), table)
+        if preview:
+            spark.table(table).show(5, truncate=False)
+    return out
+
+
 def main(argv: list[str] | None = None) -> dict[str, int]:
     """``python -m strata.plans.retail --customers ... --articles ... --root ...``
 

@@ -123,13 +123,22 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *digest(df)), seen
 
 
+def checked(table: DataFrame, checks: Sequence, name: str = "table") -> int:
+    """Run the checks; returns the number of the table's rows, or raises
+    ``ValueError`` that names what failed."""
+    rows = check_rows(table, checks).collect()                                  # a row per check
+    failed = [f"{r.check_name}: {r.n_bad} of {r.n_rows} rows" for r in rows if not r.passed]
+    if failed:
+        raise ValueError(f"{name}: " + "; ".join(failed))
+    return int(rows[0].n_rows)
+
+
 def verify(table: DataFrame, written: Observation, checks: Sequence = (), name: str = "table") -> int:
     """Compare the table with what was written and run the checks; returns the
     number of its rows, or raises ``ValueError`` that names what failed."""
     got, want = table.agg(*digest(table)).first().asDict(), written.get
     if got != want:
         raise ValueError(f"{name}: read back {got}, written {want}")
-    failed = [r for r in check_rows(table, checks).collect() if not r.passed] if checks else []   # a row per check
-    if failed:
-        raise ValueError(f"{name}: " + "; ".join(f"{r.check_name}: {r.n_bad} of {r.n_rows} rows" for r in failed))
+    if checks:
+        checked(table, checks, name)
     return int(got["n"])
