@@ -29,8 +29,8 @@ from strata.plans import retail, salary
 from strata.plans.standins import bronze_articles, bronze_customers, bronze_salary, table
 from strata.session import materialize, scratch_path
 from strata.sources import read_bronze_csv
-from strata.tables import (Rows, Unique, check_rows, cluster, cluster_by_curve, create_keyed_table, ensure_namespace, in_domain,
-                           list_tables, merge_on_read, not_null, read_table, upsert, upsert_partitions,
+from strata.tables import (COMMIT_ID, Rows, Unique, check_rows, cluster, cluster_by_curve, create_keyed_table, ensure_namespace, in_domain,
+                           list_tables, merge_on_read, not_null, numbered, read_table, upsert, upsert_partitions,
                            write_table)
 
 AS_OF = "2024-06-15 12:00:00"
@@ -306,13 +306,14 @@ def q_global_upsert(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice",
                                          "o_orderpriority")
     name = f"{_namespace(spark, d, 'orders_by_status')}.orders"
-    create_keyed_table(o.withColumn("version", F.lit(1)), name, ["o_orderkey"], "version", ["o_orderstatus"])
+    first = numbered(o.withColumn("version", F.lit(1)), 1)
+    create_keyed_table(first, name, ["o_orderkey"], "version", ["o_orderstatus"])
     moved = (o.where(F.col("o_orderpriority") == "1-URGENT")
               .withColumn("o_orderstatus", F.lit("U"))
               .withColumn("o_totalprice", F.col("o_totalprice") * 2)
               .withColumn("version", F.lit(2)))
-    upsert_partitions(spark, name, moved, ["o_orderkey"], "version", ["o_orderstatus"])
-    return spark.table(name).select("o_orderkey", "o_orderstatus", "o_totalprice", "version")
+    upsert_partitions(spark, name, moved, ["o_orderkey"], "version", ["o_orderstatus"], commit=2)
+    return spark.table(name).select("o_orderkey", "o_orderstatus", "o_totalprice", "version", COMMIT_ID)
 
 
 def q_upsert_partitions(spark, d):

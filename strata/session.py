@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +74,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
+    """Within, the session's setting has the value (None: as it is)."""
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+#: Bytes of a file and, as shuffled, of a shuffle that a small task is given.
+SPLIT_BYTES = 32 * 1024 * 1024
+SHARE_BYTES = 16 * 1024 * 1024
+#: Parts, at least, that a shuffle's rows are dealt into before AQE puts parts together.
+PARTS = 200
+
+
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Within, more input makes more tasks and not larger ones: hash tables and
+    sorts of a task stay in its memory. For jobs whose grouping holds many keys;
+    a table's files are written apart, in their own size."""
+    parts = max(PARTS, int(spark.conf.get("spark.sql.shuffle.partitions", str(PARTS))))
+    with (setting(spark, "spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES)),
+          setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(SHARE_BYTES)),
+          setting(spark, "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))):
+        yield
+
+
 def materialize(df, name: str = "materialized"):
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
     folder and reading it back.

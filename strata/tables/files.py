@@ -9,8 +9,18 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import setting
+
 _FILE_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
+#: The column that holds the number of the write a stored row comes from.
+COMMIT_ID = "_commit_id"
+
+
+def numbered(df: DataFrame, commit: int) -> DataFrame:
+    """``df`` as rows of the table's write of that number, from 1."""
+    return df.withColumn(COMMIT_ID, F.lit(commit).cast("long"))
+
 
 def cluster(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Layout rewrite: range-partition on ``cols`` and sort inside each
@@ -28,23 +38,6 @@ def file_size(spark: SparkSession, target_file_bytes: int | None) -> Iterator[No
         yield
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
-    """Within, the session's setting has the value (None: as it is)."""
-    if value is None:
-        yield
-        return
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def laid_out(df: DataFrame, partition_by: Sequence[str] | None = None,
              sort_within: Sequence[str] | None = None, rebalance: bool = True) -> DataFrame:
     """``df`` as it should be dealt to the writing tasks. With partition columns

@@ -21,8 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import materialize
-from strata.tables.files import file_size, laid_out, setting, writer
+from strata.session import materialize, setting
+from strata.tables.files import file_size, laid_out, numbered, writer
 from strata.tables.upsert import upsert
 
 
@@ -57,16 +57,26 @@ def touched_partitions(table: DataFrame, changes: DataFrame, keys: Sequence[str]
 
 def upsert_partitions(spark: SparkSession, name: str, changes: DataFrame, keys: Sequence[str],
                       precombine: str, partition_by: Sequence[str], *,
-                      tie_break: Sequence[Column | str] = (), target_file_bytes: int | None = None) -> int:
+                      tie_break: Sequence[Column | str] = (), target_file_bytes: int | None = None,
+                      commit: int | None = None) -> int:
     """Merge ``changes`` into the catalog table; returns how many partitions were
     rewritten. One row per key: the greatest ``precombine`` wins, on a tie the
-    change. No changes: nothing is read or written."""
+    change. No changes: nothing is read or written. With ``commit`` the table is
+    one of :func:`strata.tables.files.numbered` rows and the merge a write of the
+    whole table: all partitions are rewritten, and every row gets that number."""
     base = spark.table(name)
+    if commit is not None:
+        changes = numbered(changes, commit)
     changes = materialize(changes.select(*base.columns), "changes")
-    touched = touched_partitions(base, changes, keys, partition_by)
+    if commit is None:
+        touched = touched_partitions(base, changes, keys, partition_by)
+    else:
+        touched = base.select(*partition_by).union(changes.select(*partition_by)).distinct().collect()
     if not touched:
         return 0
     merged = upsert(base.where(in_partitions(partition_by, touched)), changes, keys, precombine, tie_break)
+    if commit is not None:
+        merged = numbered(merged, commit)
     merged = materialize(merged.select(*base.columns), "merged")
     with file_size(spark, target_file_bytes), setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         laid_out(merged, partition_by).write.mode("overwrite").insertInto(name)
