@@ -401,7 +401,7 @@ def q_csv_multiline(spark, d):
     path = scratch_path(spark, "documents_csv")
     docs = table(spark, d, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), F.replace("text", F.lit("\r"), F.lit(" ")).alias("text"), "lang")
-    docs.coalesce(1).write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    docs.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
     b = read_bronze_csv(spark, path, ["doc_id", "text", "lang"], multiline=True)
     return b.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2("text", 256).alias("text_sha256"), "lang",
                     F.col("_corrupt_record").isNull().alias("fits"))
