@@ -21,8 +21,9 @@ def ensure_namespace(spark: SparkSession, *names: str, root: str | None = None)
 def write_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
                         max_records_per_file: int | None = None, *, sort_within: Sequence[str] | None = None,
                         bucket_by: Sequence[str] | None = None, buckets: int = 0,
-                        target_file_bytes: int | None = None) -> None:
-    """Overwrite ``name`` in the session catalog, optionally partitioned. With
+                        target_file_bytes: int | None = None, rebalance: bool = True) -> None:
+    """Overwrite ``name`` in the session catalog, optionally partitioned, and then
+    rebalanced on the partition columns unless ``rebalance`` is off. With
     ``bucket_by`` and ``buckets`` the rows lie in so many files by a hash of the
     key, sorted by it: joins and groupings on the key need no exchange of the
     table, and files of one bucket each are written by one task."""
@@ -32,7 +33,7 @@ def write_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] |
         if bucket_by:
             df = df.repartition(buckets, *bucket_by)
         else:
-            df = laid_out(df, partition_by, sort_within, rebalance=bool(partition_by))
+            df = laid_out(df, partition_by, sort_within, rebalance=rebalance and bool(partition_by))
         w = writer(df, partition_by, max_records_per_file).format("parquet")
         if bucket_by:
             w = w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by, *(sort_within or ()))
