@@ -23,6 +23,8 @@ from strata.functions.numeric import exact
 #: The sketch's rank error is n / ACCURACY; the bracket is that and a reserve.
 ACCURACY = 100_000
 MARGIN = 4 / ACCURACY
+#: Parts that a group's rows are dealt into, at most.
+PARTS = 64
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
@@ -50,9 +52,13 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
     rows = df.select(*[F.col(k) for k in keys], F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     sketch = F.percentile_approx("_v", [max(0.0, p - MARGIN), min(1.0, p + MARGIN)], ACCURACY)
     if keys:
-        bounds = rows.groupBy(*keys).agg(sketch.alias("_q"))
+        # A group's rows meet its bounds in parts by a hash of the value, so that no task
+        # gets a whole group; bounds are made for the parts that have rows.
+        rows = rows.withColumn("_part", F.pmod(F.xxhash64("_v"), F.lit(PARTS)))
+        bounds = rows.groupBy(*keys).agg(sketch.alias("_q"), F.collect_set("_part").alias("_parts")).select(
+            *keys, "_q", F.explode("_parts").alias("_part"))
         r, b = rows.alias("r"), bounds.alias("b")
-        rows = r.join(b, null_safe_on(r, b, keys)).select(*[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_q")
+        rows = r.join(b, null_safe_on(r, b, keys) & (F.col("r._part") == F.col("b._part"))).select(*[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_q")
     else:
         rows = rows.withColumn("_q", rows.select(sketch.alias("_q")).scalar())
     zone = F.when(F.col("_v") < F.col("_q")[0], -1).when(F.col("_v") > F.col("_q")[1], 1).otherwise(0)

@@ -226,12 +226,15 @@ def gap_overview(df: DataFrame, a: str, value: str, second: str, *, distinct: di
                  count_name: str = "sample_size", digits: int = 2) -> DataFrame:
     """Per ``a``: size, rounded means, distinct counts and the exact median,
     which comes from :func:`exact_percentile` and so never holds a whole
-    group in one task."""
+    group in one task. Every distinct count is an aggregate of its own: together
+    with the means, a row per value would carry the state of all of them."""
     over = df.groupBy(a).agg(
         F.count(F.lit(1)).alias(count_name),
         rounded_mean(value, digits).alias(f"avg_{value_name}"),
-        rounded_mean(second, digits).alias(f"avg_{second_name}"),
-        *[F.countDistinct(c).alias(n) for n, c in distinct.items()])
+        rounded_mean(second, digits).alias(f"avg_{second_name}"))
+    for n, c in distinct.items():
+        over = _left_join_on_keys(over, distinct_counts(df, [a], {n: c}), [a]).withColumn(
+            n, F.coalesce(n, F.lit(0).cast("long")))
     med = exact_percentile(df, [a], value, 0.5, out=f"median_{value_name}", digits=digits)
     return _left_join_on_keys(over, med, [a])
 
