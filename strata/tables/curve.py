@@ -40,9 +40,12 @@ def _number(df: DataFrame, column: str) -> Column:
     return F.conv(F.hex(raw), 16, 10).cast("double")
 
 
-def _below(edges: Column, v: Column) -> Column:
-    """How many of the edges lie below the value."""
-    return F.size(F.filter(edges, lambda q: q < v))
+def _below(edges: Column, v: Column, bits: int) -> Column:
+    """How many of the edges, ascending and fewer than ``2 ** bits``, lie below the
+    value: one comparison per bit, the highest first."""
+    steps = F.array(*[F.lit(2 ** b) for b in reversed(range(bits))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(edges, at + step - 1) < v, at + step).otherwise(at))
 
 
 def with_curve_key(df: DataFrame, columns: Sequence[str], out: str = "curve", bits: int = BITS) -> DataFrame:
@@ -53,13 +56,13 @@ def with_curve_key(df: DataFrame, columns: Sequence[str], out: str = "curve", bi
         raise ValueError("between 1 and 62 bits in all")
     cuts = [k / 2 ** bits for k in range(1, 2 ** bits)]
     bounds = df.select(F.struct(*[
-        F.array_distinct(F.percentile_approx(_number(df, c), cuts, _SKETCH)).alias(f"b{i}")
+        F.array_sort(F.array_distinct(F.percentile_approx(_number(df, c), cuts, _SKETCH))).alias(f"b{i}")
         for i, c in enumerate(columns)])).scalar()
     held, one = df.withColumn("_bounds", bounds), F.lit(1).cast("long")
     key = F.lit(0).cast("long")
     for i, c in enumerate(columns):
         v, edges = _number(df, c), F.col(f"_bounds.b{i}")
-        place = F.when(v.isNotNull() & edges.isNotNull(), _below(edges, v)).otherwise(0).cast("long")
+        place = F.when(v.isNotNull() & edges.isNotNull(), _below(edges, v, bits)).otherwise(0).cast("long")
         for b in range(bits):
             bit = F.shiftright(place, b).bitwiseAND(one)
             key = key.bitwiseOR(F.shiftleft(bit, b * len(columns) + len(columns) - 1 - i))
