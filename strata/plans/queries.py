@@ -27,7 +27,7 @@ from strata.operators import (benchmarks, category_breakdown, counts_of_bitmaps,
                               top_dense_rank)
 from strata.plans import retail, salary
 from strata.plans.standins import bronze_articles, bronze_customers, bronze_salary, table
-from strata.session import materialize, scratch_path
+from strata.session import materialize, scratch_path, small_tasks
 from strata.sources import read_bronze_csv
 from strata.tables import (COMMIT_ID, Rows, Unique, check_rows, cluster, cluster_by_curve, create_keyed_table, ensure_namespace, in_domain,
                            list_tables, merge_on_read, not_null, numbered, read_table, upsert, upsert_partitions,
@@ -225,7 +225,8 @@ def q_distinct_rollup(spark, d):
     """Distinct counts by flag and status, by flag, and in all, from one set of bitmaps."""
     li = table(spark, d, "lineitem")
     names = {"n_suppliers": "l_suppkey", "n_parts": "l_partkey", "n_days": "l_shipdate", "n_orders": "l_orderkey"}
-    bits = materialize(distinct_bitmaps(li, ["l_returnflag", "l_linestatus"], list(names.values())), "bitmaps")
+    with small_tasks(spark):
+        bits = materialize(distinct_bitmaps(li, ["l_returnflag", "l_linestatus"], list(names.values())), "bitmaps")
     out = counts_of_bitmaps(bits, ["l_returnflag", "l_linestatus"], names)
     by_flag = counts_of_bitmaps(bits, ["l_returnflag"], names)
     return out.unionByName(by_flag, True).unionByName(counts_of_bitmaps(bits, [], names), True)
@@ -371,7 +372,7 @@ def q_layout_rewrite(spark, d):
     write_table(cluster(numbered(read_table(spark, stored, li.schema), 2), ["l_shipdate"]), path, rebalance=False)
     return read_table(spark, path, li.schema).select(
         "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
-        "l_quantity")
+        "l_quantity", COMMIT_ID)
 
 
 def q_layout_curve(spark, d):
