@@ -19,8 +19,9 @@ def with_least(rows: DataFrame, key: str, value: str, out: str, parts: int = PAR
     of a null key are left out."""
     dealt = rows.withColumn("_part", F.pmod(F.xxhash64(value), F.lit(parts)))
     some = dealt.groupBy(key, "_part").agg(F.min(value).alias("_some"))
-    least = some.groupBy(key).agg(F.min("_some").alias(out))
-    named = some.join(least, key).select(key, "_part", out)
+    named = some.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.min("_some").alias(out), F.collect_list("_part").alias("_parts")).select(
+        key, out, F.explode("_parts").alias("_part"))
     return dealt.join(named, [key, "_part"]).select(*rows.columns, out)
 
 
@@ -37,7 +38,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         tied = near.select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))))
-    return tied.where("u != v").distinct()
+    # A large star has a row for each edge, as before it; a small one has two, of which many are equal.
+    return tied.where("u != v") if large else tied.where("u != v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

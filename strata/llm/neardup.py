@@ -432,7 +432,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, width: int = WID
         sets = sets.union(materialize(full_sets(rows, new, classes, width), "sets"))
     more = materialize(group_links(groups, sets, percent), "links")
     if not more.isEmpty():
-        labels = components(links.union(more))
+        known = labels.select(F.col("vertex").alias("u"), F.col("component").alias("v"))
+        labels = components(known.union(more))
     ids = classes.select("key", "rep").join(labels, F.col("key") == F.col("vertex"), "left").select(
         "key", "rep", F.coalesce("component", "key").alias("part"))
     named = with_least(ids, "part", "rep", "component_id").select("key", "component_id")
