@@ -58,6 +58,8 @@ DISCOUNT = 0.75
 ADD = 0.1
 #: Tokens gathered in a task before their n-grams are sent on.
 FLUSH = 4 << 20
+#: N-grams sent on in one batch, about.
+SENT = 1 << 18
 #: Bytes of text whose n-grams are looked up together: the more, the fewer
 #: distinct queries per token and visits to each shard.
 TOGETHER = 8 << 20
@@ -217,26 +219,34 @@ class Trie:
     def ids(self, h: np.ndarray, counts: bool = False) -> tuple[np.ndarray, ...]:
         """Ids (or -1) of words by hash; if asked for, their counts and the
         masses they leave as contexts too."""
-        keys, back = np.unique(h, return_inverse=True)
+        keys, back = distinct(h)
         rank, count = self.words.find(keys, "counts")
         return (rank[back], count[back], self.mass(1, rank)[back]) if counts else (rank[back],)
 
-    def seek(self, level: int, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def seek(self, level: int, parent: np.ndarray, word: np.ndarray, ranks: bool = True,
+             scores: bool = True) -> tuple[np.ndarray | None, np.ndarray | None, np.ndarray | None]:
         """(ranks or -1, discounted probabilities, masses left as contexts) in
         a level above 1. Ranks rise with the sorted queries, so the masses are
-        sought by the same order."""
-        rank, p = np.full(len(parent), -1, dtype=np.int64), np.zeros(len(parent))
-        left = np.ones(len(parent))
-        ask = np.flatnonzero((parent >= 0) & (word >= 0))
-        if len(ask) and self.grams[level - 2].files:
-            key, back = np.unique(pair(parent[ask], word[ask], self.distinct), return_inverse=True)
+        sought by the same order. Without ``ranks`` only the probabilities are
+        found, without ``scores`` only the ranks."""
+        ask, back = (parent >= 0) & (word >= 0), None
+        if self.grams[level - 2].files and ask.any():
+            key, back = distinct(pair(parent[ask], word[ask], self.distinct))
             a = key // np.uint64(self.distinct)
-            b = key - a * np.uint64(self.distinct)
-            r, own = self.grams[level - 2].seek(a.astype(np.int64), b.astype(np.int64))
-            rank[ask], p[ask] = r[back], own[back]
-            if level <= len(self.masses):
-                left[ask] = self.mass(level, r)[back]
-        return rank, p, left
+            key -= a * np.uint64(self.distinct)
+            r, own = self.grams[level - 2].seek(a.view(np.int64), key.view(np.int64))
+            del a, key
+
+        def at_all(kind: type, none: float, found) -> np.ndarray:
+            out = np.full(len(parent), none, dtype=kind)
+            if back is not None:
+                out[ask] = found()[back]
+            return out
+
+        masses = level <= len(self.masses)
+        return (at_all(np.int64, -1, lambda: r) if ranks else None, at_all(np.float64, 0, lambda: own) if scores else None,
+                at_all(np.float64, 1, lambda: self.mass(level, r) if masses else np.ones(len(r)))
+                if ranks and scores else None)
 
     def mass(self, level: int, context: np.ndarray) -> np.ndarray:
         """What contexts of ``level`` words, rising but for -1, leave to
@@ -259,15 +269,57 @@ class Trie:
         probabilities and masses; ``start``: a text begins."""
         p, rank = base, ids
         for level in range(2, len(self.grams) + 2):
-            context = np.where(start, -1, np.append(-1, rank[:-1]))
-            mass = np.where(start, 1.0, np.append(1.0, left[:-1]))
-            rank, own, left = self.seek(level, context, ids)
-            p = own + mass * p
+            mass = behind(left, 1.0, start)
+            mass *= p
+            p, left = mass, None
+            rank, own, left = self.seek(level, behind(rank, -1, start), ids, ranks=level <= len(self.grams))
+            p += own
         return np.log10(p)
 
 
+def behind(values: np.ndarray, none: float, start: np.ndarray) -> np.ndarray:
+    """The value of the token before each token; ``none`` where a text begins."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[start] = none
+    return out
+
+
 def pair(parent: np.ndarray, word: np.ndarray, distinct: int) -> np.ndarray:
-    return parent.astype(np.uint64) * np.uint64(distinct) + word.astype(np.uint64)
+    key = parent.astype(np.uint64)
+    key *= np.uint64(distinct)
+    key += word.astype(np.uint64)
+    return key
+
+
+def first_of(ordered: np.ndarray) -> np.ndarray:
+    """Whether each of some ordered values is the first of its kind."""
+    out = np.ones(len(ordered), dtype=bool)
+    out[1:] = ordered[1:] != ordered[:-1]
+    return out
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct keys, sorted; the place of each key among them), with
+    fewer and narrower arrays at a time than numpy's unique."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = first_of(keys)
+    keys = keys[new]
+    place = np.cumsum(new, dtype=np.int32 if len(new) < 1 << 31 else np.int64)
+    place -= 1
+    back = np.empty_like(place)
+    back[order] = place
+    return keys, back
+
+
+def counted(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, sorted; how often each occurs) of arrays, which go."""
+    keys = np.concatenate(held)
+    held.clear()
+    keys.sort()
+    first = np.flatnonzero(first_of(keys))
+    return keys[first], np.diff(first, append=len(keys))
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -277,16 +329,26 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def together(groups):
-    """Groups of columns (see words.grouped) joined up to about TOGETHER bytes."""
-    held, size = None, 0
-    for g in groups:
-        held = g if held is None else [a + b for a, b in zip(held, g)]
-        size += sum(map(len, g[-1]))
+    """Groups of columns (see words.grouped) joined up to about TOGETHER bytes,
+    with their tokens in the place of the texts. The words of a group are
+    found by themselves, so that only hashes gather; none is held on here."""
+    cols, parts, size = None, [], 0
+
+    def joined():
+        h, sizes = (np.concatenate(x) for x in zip(*((h, np.diff(bounds)) for h, bounds in parts)))
+        parts.clear()
+        return h, np.append(0, np.cumsum(sizes))
+
+    for *more, texts in groups:
+        cols = more if cols is None else [a + b for a, b in zip(cols, more)]
+        parts.append(tokens(texts))
+        size += sum(map(len, texts))
         if size >= TOGETHER:
-            yield held
-            held, size = None, 0
-    if held is not None:
-        yield held
+            del texts
+            yield [*cols, *joined()]
+            cols, size = None, 0
+    if parts:
+        yield [*cols, *joined()]
 
 
 def _starts(bounds: np.ndarray) -> np.ndarray:
@@ -360,7 +422,7 @@ def count_words(train: DataFrame) -> DataFrame:
 
         held, size = [], 0
         def send():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            keys, n = counted(held)
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "value"])
         for _, texts in grouped(batches, "doc_id", "text"):
             h, _ = tokens(texts)
@@ -385,19 +447,18 @@ def from_planes(raw) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
-def gram_keys(trie: Trie, level: int, texts: list[bytes], min_count: int) -> tuple[np.ndarray, int]:
-    """(keys of the n-grams of ``level`` words in a row of texts, tokens read)."""
-    h, bounds = tokens(texts)
+def gram_keys(trie: Trie, level: int, h: np.ndarray, bounds: np.ndarray, min_count: int) -> np.ndarray:
+    """Keys of the n-grams of ``level`` words in a row of tokens."""
     ids, = trie.ids(h)
     start = _starts(bounds)
-    context = np.where(start, -1, np.append(-1, ids[:-1]))
+    context = behind(ids, -1, start)
     for k in range(2, level):
-        rank, _, _ = trie.seek(k, context, ids)
-        context = np.where(start, -1, np.append(-1, rank[:-1]))
+        rank, _, _ = trie.seek(k, context, ids, scores=False)
+        context = behind(rank, -1, start)
         if min_count > 1:
             ids = np.where(rank >= 0, ids, -1)           # the shorter n-gram with this last word isn't stored
     ask = (context >= 0) & (ids >= 0)
-    return pair(context[ask], ids[ask], trie.distinct), len(h)
+    return pair(context[ask], ids[ask], trie.distinct)
 
 
 def gram_bounds(train: DataFrame, level: int, make_trie, total: int, min_count: int) -> np.ndarray:
@@ -412,8 +473,8 @@ def gram_bounds(train: DataFrame, level: int, make_trie, total: int, min_count:
     def pick(batches):
         import pyarrow as pa
 
-        for _, texts in together(grouped(batches, "doc_id", "text")):
-            keys = np.unique(gram_keys(make_trie(), level, texts, min_count)[0])
+        for _, h, text_bounds in together(grouped(batches, "doc_id", "text")):
+            keys = np.unique(gram_keys(make_trie(), level, h, text_bounds, min_count))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([keys[mix(keys) % np.uint64(thin) == 0].tobytes()], pa.binary())], names=["keys"])
 
@@ -465,22 +526,23 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
         trie, held, size = make_trie(), [], 0
 
         def send():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            keys, n = counted(held)
             at = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
-            used, n = np.flatnonzero(np.diff(at)), n.astype(np.uint32)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(used), pa.array([planes(keys[at[b]:at[b + 1]]) for b in used], pa.binary()),
-                 pa.array([n[at[b]:at[b + 1]].tobytes() for b in used], pa.binary())], names=["bucket", "keys", "n"])
-
-        for _, texts in together(grouped(batches, "doc_id", "text")):
-            keys, n = gram_keys(trie, level, texts, min_count)
-            held.append(keys)
-            size += n
+            n = n.astype(np.uint32)
+            for used in np.array_split(np.flatnonzero(np.diff(at)), 1 + len(keys) // SENT):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used, pa.int64()), pa.array([planes(keys[at[b]:at[b + 1]]) for b in used], pa.binary()),
+                     pa.array([n[at[b]:at[b + 1]].tobytes() for b in used], pa.binary())], names=["bucket", "keys", "n"])
+
+        for _, h, text_bounds in together(grouped(batches, "doc_id", "text")):
+            held.append(gram_keys(trie, level, h, text_bounds, min_count))
+            size += len(h)
+            del h
             if size >= FLUSH:
-                yield send()
+                yield from send()
                 held, size = [], 0
         if held:
-            yield send()
+            yield from send()
 
     def add(batches):
         import pyarrow as pa
@@ -495,10 +557,11 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
 
         def summed():
             k, c = np.concatenate(keys), np.concatenate(n)
+            keys.clear(), n.clear()
             order = np.argsort(k)
             k, c = k[order], c[order]
-            first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-            return k[first], np.add.reduceat(c, first)
+            first = np.flatnonzero(first_of(k))
+            return k[first], np.add.reduceat(c, first, dtype=np.int64)
 
         def put():
             k, c = summed()
@@ -540,7 +603,7 @@ def write_level(train: DataFrame, folder: str, level: int, make_trie, total: int
                         yield rows(put())
                     bucket, keys, n, held = to.as_py(), [], [], 0
                 keys.append(from_planes(raw_keys.as_buffer()))
-                n.append(np.frombuffer(raw_n.as_buffer(), dtype=np.uint32).astype(np.int64))
+                n.append(np.frombuffer(raw_n.as_buffer(), dtype=np.uint32).copy())
                 held += len(keys[-1])
                 if held > MOST + 2 * len(keys[0]):       # a common range: add up what it has so far
                     k, c = summed()
@@ -611,13 +674,15 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
         import pyarrow as pa
 
         trie = model()
-        for ids, out, texts in together(grouped(batches, "doc_id", "held_out", "text")):
-            h, bounds = tokens(texts)
+        for ids, out, h, bounds in together(grouped(batches, "doc_id", "held_out", "text")):
             word, count, left = trie.ids(h, counts=True)
-            known = np.add.reduceat((count > 0).astype(np.int64), bounds[:-1])
+            del h
+            known = np.add.reduceat(count > 0, bounds[:-1], dtype=np.int64)
             p = trie.base(count)
+            del count
             base = np.add.reduceat(np.log10(p), bounds[:-1])
             logs = np.add.reduceat(trie.score(word, p, left, _starts(bounds)), bounds[:-1])
+            del word, p, left
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(out, pa.bool_()), pa.array(np.diff(bounds)), pa.array(known),
                  pa.array(np.full(len(ids), trie.total)), pa.array(base), pa.array(logs)],
