@@ -37,6 +37,8 @@ TRAIN_DOCS = 8192
 VOCABULARY = 1024
 MIN_DOCS = 8
 MAX_SHIFT = 2.0
+#: Rows of the training sample that the driver has as doubles at a time.
+TOGETHER = 512
 #: Most bytes of (host, path) groups that are broadcast, counting 64 for each
 #: group's figures; more are joined by shuffle, where Spark splits hot groups.
 BROADCAST_BYTES = 8 << 20
@@ -85,19 +87,28 @@ def presence(words, vocabulary: np.ndarray) -> np.ndarray:
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, *, decay: float = 1.0, steps: int = 40) -> np.ndarray:
-    """Weights (the last for the constant) by Newton steps with ridge decay."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
+def logistic(x: np.ndarray, y: np.ndarray, figures: np.ndarray | None = None, *, decay: float = 1.0,
+             steps: int = 40) -> np.ndarray:
+    """Weights (the last for the constant) by Newton steps with ridge decay, of
+    the columns of ``x``, of any type of number, and then of ``figures``. A
+    step adds up its sums over TOGETHER rows at a time, so that no rows but
+    those stand side by side as doubles."""
+    figures = np.zeros((len(x), 0)) if figures is None else figures
+    w = np.zeros(x.shape[1] + figures.shape[1] + 1)
     w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
     if not 0 < y.sum() < len(y):
         return w
     ridge = np.full(len(w), decay)
     ridge[-1] = 1e-6
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) + ridge * w
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge), g)
+        g, h = ridge * w, np.diag(ridge)
+        for lo in range(0, len(x), TOGETHER):
+            some = slice(lo, lo + TOGETHER)
+            rows = np.hstack([x[some], figures[some], np.ones((len(x[some]), 1))])
+            p = 1 / (1 + np.exp(-np.clip(rows @ w, -30, 30)))
+            g += rows.T @ (p - y[some])
+            h += (rows * (p * (1 - p) + 1e-6)[:, None]).T @ rows
+        step = np.linalg.solve(h, g)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -150,12 +161,34 @@ def _sample(docs: DataFrame, labels: DataFrame, train_docs: int, id_col: str, te
     return found.mapInArrow(read, "doc_id long, good int, bad int, figures array<double>, words array<bigint>")
 
 
+def marked(sample: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """doc_id, good, bad, figures and ``held``: a bit for each word of the
+    sorted vocabulary, set where the document holds it."""
+    def mark(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            words = b.column(4)
+            found = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            row = np.repeat(np.arange(len(b)), words.value_lengths().to_numpy(zero_copy_only=False))
+            held = np.zeros((len(b), len(vocabulary)), dtype=bool)
+            if len(vocabulary) and len(found):
+                at = np.minimum(np.searchsorted(vocabulary, found), len(vocabulary) - 1)
+                hit = vocabulary[at] == found
+                held[row[hit], at[hit]] = True
+            bits = pa.array([x.tobytes() for x in np.packbits(held, axis=1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], bits], names=[*b.schema.names[:4], "held"])
+
+    return sample.select("doc_id", "good", "bad", "figures", "words").mapInArrow(
+        mark, "doc_id long, good int, bad int, figures array<double>, held binary")
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, train_docs: int = TRAIN_DOCS, vocabulary: int = VOCABULARY,
         id_col: str = "doc_id", text_col: str = "text",
         label_cols: tuple[str, str] = ("quality", "toxic")) -> Model:
     """Both models from the bounded sample. Word statistics are aggregated by
     Spark; the driver gets the chosen words and, per sampled document, its
-    figures and which of those words it holds."""
+    figures and a bit for each of those words."""
     from strata.session import materialize
 
     sample = materialize(_sample(docs, labels, train_docs, id_col, text_col, label_cols), "quality-sample")
@@ -175,19 +208,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, train_docs: int = TRAIN_DOCS, voc
     chosen = {r.word for by in ("good", "bad") for r in
               ranked.orderBy(F.desc(by), "word").limit(vocabulary // 2).collect()}
     words = np.sort(np.array(sorted(chosen), dtype=np.int64).view(np.uint64))
-    held = F.array(*(F.lit(int(w)) for w in words.view(np.int64))) if len(words) else F.array().cast("array<bigint>")
-    rows = sample.select("doc_id", "good", "bad", "figures", F.array_intersect("words", held).alias("words")).orderBy(
-        "doc_id").collect()
+    rows = marked(sample, words).orderBy("doc_id").collect()
     figures = np.array([r.figures for r in rows]).reshape(len(rows), -1) if rows else np.zeros((1, 12))
     model = Model(words, figures.mean(axis=0), figures.std(axis=0) + 1e-3)
-    x = np.zeros((len(rows), len(words)), dtype=np.float32)
-    for k, r in enumerate(rows):
-        x[k, np.searchsorted(words, np.array(r.words, dtype=np.int64).view(np.uint64))] = 1
-    x = np.hstack([x, (figures[:len(rows)] - model.mean) / model.scale])
+    bits = np.frombuffer(b"".join(r.held for r in rows), dtype=np.uint8).reshape(len(rows), -(-len(words) // 8))
+    x, figures = np.unpackbits(bits, axis=1, count=len(words)), (figures[:len(rows)] - model.mean) / model.scale
     for name, y in (("good", [r.good for r in rows]), ("bad", [r.bad for r in rows])):
         known = np.array([v is not None for v in y], dtype=bool)
         own = np.array([v > 0 for v in y if v is not None], dtype=float)
-        model.weights[name] = logistic(x[known], own)
+        model.weights[name] = logistic(x[known], own, figures[known])
         model.decides[name] = bool(0 < own.sum() < len(own))
     return model
 
