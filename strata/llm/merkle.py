@@ -20,7 +20,10 @@ table of the leaves and one row per (partition, source); equal rows are told
 apart by a number of their place, so that neither a large source nor a row
 repeated many times must be sorted by one task. A group never has more than
 FAN rows. The driver gets the largest number of leaves of a source, the number
-of sources, and the row of the root.
+of sources, the row of the root, and Spark's samples for the bounds of the
+ranges. The requests are never broadcast: Spark's estimate of their size leaves
+out that a step down makes FAN rows of one, so it would send the paths of all
+runs through the driver.
 
 Defined cases: null sources and ids come first; rows with equal ids are ordered
 by their leaves; equal rows have equal leaves, each with a proof of its own
@@ -84,10 +87,11 @@ def number_leaves(leaves: DataFrame) -> DataFrame:
     begun = parts.groupBy("part").agg(F.sum("first").alias("begun"))
     begun = begun.select("part", (F.sum("begun").over(Window.orderBy("part")) - F.col("begun")).alias("earlier"))
     number = F.col("earlier") + F.sum("first").over(Window.partitionBy("part").orderBy("lo")) - 1
-    parts = parts.join(begun, "part").withColumn("tree", F.when(F.col("first") == 1, number)) \
+    parts = parts.join(begun, "part", "left").withColumn("tree", F.when(F.col("first") == 1, number)) \
         .withColumn("tree", F.max("tree").over(of_source)) \
         .select(F.col("part").alias("p"), F.col("source").alias("s"), "tree", "n", (F.col("before") - F.col("lo")).alias("shift"))
-    rows = placed.join(parts, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
+    # every row has its match; a left join, so that Spark may broadcast the parts but not the leaves
+    rows = placed.join(parts, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")), "left")
     return rows.withColumn("rank", F.col("at") + F.col("shift")).drop("part", "p", "s", "at", "shift")
 
 
@@ -136,7 +140,7 @@ def descend(at: DataFrame, records: DataFrame, fan: int) -> DataFrame:
     """One step down: each node reached (rank, digest, path and more) makes way
     for its children, whose paths have the other children as a further segment."""
     kids = records.select(F.col("digest").alias("of"), "children")
-    down = at.join(kids, F.col("digest") == F.col("of")).drop("of")
+    down = at.join(kids.hint("merge"), F.col("digest") == F.col("of")).drop("of")
     down = down.select("*", F.posexplode("children").alias("digit", "child"))
     return down.select(
         *(c for c in at.columns if c not in ("rank", "digest", "path")), (F.col("rank") * fan + F.col("digit")).alias("rank"),
@@ -157,7 +161,7 @@ def proofs(tree: Tree, *, fan: int = FAN) -> DataFrame:
     at = tree.root.select(F.col("tree").cast("long").alias("rank"), "digest", F.col("digest").alias("root"), start.alias("path"))
     for k in range(top["height"] if top else 0, 0, -1):
         at = descend(at, tree.tops[k - 1], fan)
-    at = at.join(tree.sources.select("tree", "height"), F.col("rank") == F.col("tree")).select(
+    at = at.join(tree.sources.select("tree", "height").hint("merge"), F.col("rank") == F.col("tree")).select(
         "tree", "height", "root", F.col("digest").alias("subroot"), F.lit(0).cast("long").alias("rank"), "digest", "path")
     at = materialize(at, "requests")
     down, waiting = at.where(f"height = {len(tree.records)}"), at
@@ -167,7 +171,7 @@ def proofs(tree: Tree, *, fan: int = FAN) -> DataFrame:
         down = down.unionByName(waiting.where("height = 0"))
     # a request is at its leaves' run now, whose record holds the leaves themselves
     runs = tree.runs.select(F.col("tree").alias("t"), "run", "n", "kids", F.col("digest").alias("of"))
-    down = down.join(runs, (F.col("digest") == F.col("of")) & (F.col("tree") == F.col("t")) & (F.col("rank") == F.col("run")))
+    down = down.join(runs.hint("merge"), (F.col("digest") == F.col("of")) & (F.col("tree") == F.col("t")) & (F.col("rank") == F.col("run")))
     down = down.select("subroot", "root", "path", "n", "kids", F.posexplode("kids").alias("digit", "kid"))
     own = segment(F.col("kids.digest"), F.col("digit"))
     up = F.concat(F.when(F.col("n") > 1, F.array(own)).otherwise(start), F.reverse("path"))

@@ -9,8 +9,10 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import lines, merkle, repair
+from strata.session import setting
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -284,6 +286,16 @@ def test_merkle_of_one_row_and_of_none(spark):
     assert merkle.verified(frame.limit(0)).count() == 0
 
 
+def test_merkle_sends_no_leaves_and_no_requests_through_the_driver(spark):
+    n = 60_000
+    frame = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 9 > 0, "s").alias("source"), F.lit("en").alias("lang"),
+                                  F.col("id").alias("n_chars"), F.lit("Text").alias("text"))
+    with setting(spark, "spark.sql.maxBroadcastTableSize", "8m"):        # a broadcast of more is refused
+        got = merkle.verified(frame).agg(F.count("*"), F.countDistinct("leaf"), F.countDistinct("subroot"), F.countDistinct("root"),
+                                          F.sum((F.col("verified") == (F.crc32(F.col("doc_id").cast("string")) % 5 != 0)).cast("int"))).first()
+    assert tuple(got) == (n, n, 2, 1, n)
+
+
 def test_components_of_a_hub_and_of_a_chain(spark):
     from strata.llm.graph import components, with_least
 
